@@ -62,8 +62,8 @@ def statement_facts(m: Model, years: list[int], m1: int, m2: int, mode: str = "c
         rows = rows.unionByName(_grid(m, statement, lines, years, F.lit(0)))
     total = F.sum("amount")
     return rows.groupBy("zid", "statement", "line", "year").agg(
-        F.when(F.col("statement") == BALANCE, F.round(total, 0)).otherwise(total)
-        .cast(AMOUNT).alias("amount"))
+        F.when(F.col("statement") == BALANCE, F.round(total, 0).cast(AMOUNT))
+        .otherwise(total.cast(AMOUNT)).alias("amount"))
 
 
 def cash_flow_lines(m: Model, years: list[int], m1: int, m2: int, mode: str, layout: str) -> DataFrame:
