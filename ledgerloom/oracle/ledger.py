@@ -1,6 +1,5 @@
 """SQL of the ledger, statement and unit reports."""
 
-from ledgerloom.oracle.stock import AS_OF  # noqa: F401
 from ledgerloom.plans.params import DEFAULT as P
 from ledgerloom.plans.statement_lines import BALANCE_LABELS, INCOME_LABELS
 
@@ -120,7 +119,7 @@ def long(source: str) -> str:
 
 
 def line(prefix: str) -> str:
-    return f"coalesce(sum(amount) FILTER (WHERE line LIKE '{prefix}%'), 0)"
+    return f"CAST(coalesce(sum(amount) FILTER (WHERE line LIKE '{prefix}%'), 0) AS DECIMAL(30,1))"
 
 
 INCOME_NAMES = {
@@ -144,7 +143,7 @@ _balance_base = ", ".join(f"{line(BALANCE_NAMES[k])} AS {k}" for k in list(BALAN
 
 STATEMENTS = f"""pl AS ({PL}), bs AS ({BS}), grid AS (SELECT t.zid, y.year FROM tenant t CROSS JOIN {YEAR_LIST}),
     pl_long AS ({long('pl')}), bs_long AS ({long('bs')}),
-    i0 AS (SELECT zid, year, {_income_base}, sum(amount) AS ni FROM pl_long GROUP BY 1, 2),
+    i0 AS (SELECT zid, year, {_income_base}, CAST(sum(amount) AS DECIMAL(30,1)) AS ni FROM pl_long GROUP BY 1, 2),
     i1 AS (SELECT *, rev + cogs AS gross FROM i0),
     i2 AS (SELECT *, gross + oae + sd + dep + unusual + oper AS ebit FROM i1),
     inc AS (SELECT *, ebit + inter AS ebt FROM i2),
@@ -152,11 +151,11 @@ STATEMENTS = f"""pl AS ({PL}), bs AS ({BS}), grid AS (SELECT t.zid, y.year FROM
     b1 AS (SELECT b0.*, cash + ar + inv + prepaid AS tca, oth + ppe + good AS nca, ap + accr + st + debt AS tcl,
         lt AS ncl, inc.ni AS re FROM b0 JOIN inc ON inc.zid = b0.zid AND inc.year = b0.year),
     b2 AS (SELECT *, tca + nca + tcl + ncl + eq + re AS chk FROM b1),
-    bal AS (SELECT zid, year, {', '.join(f'round({k}, 0) AS {k}' for k in BALANCE_NAMES)} FROM b2)"""
+    bal AS (SELECT zid, year, {', '.join(f'CAST(round({k}, 0) AS DECIMAL(30,1)) AS {k}' for k in BALANCE_NAMES)} FROM b2)"""
 
 
 def rows(source: str, names: dict) -> str:
-    return " UNION ALL ".join(f"SELECT zid, year, '{v}' AS line, {k} AS amount FROM {source}" for k, v in names.items())
+    return " UNION ALL ".join(f"SELECT zid, year, '{v}' AS line, CAST({k} AS DECIMAL(38,1)) AS amount FROM {source}" for k, v in names.items())
 
 
 def headings(names: list[str]) -> str:
