@@ -54,13 +54,16 @@ def _largest_suffix(items: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Largest number after the first dash among the items that start with a prefix.
 
     "Starts with" becomes an equality by listing the leading parts of each
-    code; the maximum per part is formed before the join.
+    code, as long as the prefixes are; the maximum per part is formed before
+    the join.
     """
+    # a few distinct lengths, however many prefixes
+    sizes = prefixes.agg(F.sort_array(F.collect_set(F.length("prefix")))).scalar()
     second = F.try_element_at(F.split("xitem", "-"), F.lit(2))
     number = F.when(second.rlike("^[0-9]+$"), second.try_cast("bigint"))
     parts = (items.select("zid", "xitem", number.alias("number")).filter(F.col("number").isNotNull())
-             .select("zid", "number", F.explode(F.sequence(F.lit(1), F.length("xitem"))).alias("size"),
-                     "xitem")
+             .select("zid", "number", "xitem", F.explode(sizes).alias("size"))
+             .filter(F.col("size") <= F.length("xitem"))
              .select("zid", F.expr("substr(xitem, 1, size)").alias("prefix"), "number")
              .groupBy("zid", "prefix").agg(F.max("number").alias("largest")))
     return prefixes.join(parts, ["zid", "prefix"], "left")

@@ -55,10 +55,11 @@ def _by_period(entries: DataFrame, *keys: str) -> DataFrame:
 
 def cash_vouchers_activity(m: Model, project: str, a: date, b: date) -> DataFrame:
     """All lines of the vouchers that touch the unit's cash account in a project."""
-    entries = gl_entries(m, a, b, project, opening=False)
     cash = m.tenant_config.select("zid", F.col("cash_account").alias("xacc"))
-    touching = entries.join(cash, ["zid", "xacc"], "left_semi").select("zid", "xvoucher").distinct()
-    moved = entries.join(touching, ["zid", "xvoucher"], "left_semi")
+    # a voucher has one header, so the window on its lines below bounds these too
+    touching = (m.gldetail.filter(F.col("xproj") == project).join(cash, ["zid", "xacc"], "left_semi")
+                .select("zid", "xvoucher").distinct())
+    moved = gl_entries(m, a, b, project, opening=False).join(touching, ["zid", "xvoucher"], "left_semi")
     accounts = m.glmst.select("zid", "xacc")
     return _by_period(moved, "xacc").join(accounts, ["zid", "xacc"], "left_semi")
 

@@ -36,17 +36,16 @@ def purchase_receipts(m: Model, since: date, zid: int | None = CENTRAL, prefix:
 def ordered_by_date(m: Model) -> DataFrame:
     """Ordered quantity and rate totals by item and order date, counted once per receipt.
 
-    Lines are summed per order first and multiplied by the order's number of
-    receipts, so an order with many lines and receipts never multiplies out.
+    A line counts as often as its order has receipts.  The receipts are counted
+    first, so a line meets one row per order and never multiplies out.
     """
     receipts = m.pogrn.groupBy("zid", "xpornum").agg(F.count(F.lit(1)).alias("n"))
     dated = m.poord.select("zid", "xpornum", "xdate").join(receipts, ["zid", "xpornum"])
-    lines = m.poodt.groupBy("zid", "xpornum", "xitem").agg(
-        F.sum("xqtyord").alias("qty"), F.sum("xrate").alias("rates"), F.count(F.lit(1)).alias("lines"))
-    return lines.join(dated, ["zid", "xpornum"]).groupBy("zid", "xitem", "xdate").agg(
-        F.sum(F.col("qty") * F.col("n")).cast("decimal(38,2)").alias("qty"),
-        F.sum(F.col("rates") * F.col("n")).cast("decimal(38,2)").alias("rates"),
-        F.sum(F.col("lines") * F.col("n")).alias("lines"))
+    n = F.col("n").cast("decimal(10,0)")
+    return m.poodt.join(dated, ["zid", "xpornum"]).groupBy("zid", "xitem", "xdate").agg(
+        F.sum(F.col("xqtyord") * n).cast("decimal(38,2)").alias("qty"),
+        F.sum(F.col("xrate") * n).cast("decimal(38,2)").alias("rates"),
+        F.sum("n").alias("lines"))
 
 
 def purchase_summary(m: Model, since: date, items: DataFrame | None = None) -> DataFrame:

@@ -61,7 +61,8 @@ def _daily(m: Model, as_of: date) -> DataFrame:
         *[F.sum(F.when((F.col("zid") == unit) & doc_is(doc), signed_qty() * sign)).alias(name)
           for name, unit, doc, sign in FLOWS],
         *[F.sum(F.when(F.col("zid") == unit, signed_qty())).alias(name) for name, unit in BALANCES])
-    orders = ordered_by_date(m).filter(F.col("xdate") <= day(as_of)).groupBy("xitem", "xdate").agg(
+    sold = F.col("zid").isin([unit for _, unit in ORDERED]) & (F.col("xdate") <= day(as_of))
+    orders = ordered_by_date(m).filter(sold).groupBy("xitem", "xdate").agg(
         *[F.sum(F.when(F.col("zid") == unit, F.col("qty"))).alias(name) for name, unit in ORDERED])
     return filled(moves).unionByName(filled(orders))
 
@@ -84,13 +85,13 @@ def shipment_tracking(m: Model, as_of: date, since: date) -> DataFrame:
         *[F.sum(c).over(later).cast("decimal(38,2)").alias(c) for c in flows],
         *[F.sum(c).over(item).cast("decimal(38,2)").alias(c) for c in balances])
     prices = m.caitem.groupBy("xitem").agg(
-        F.max(F.when(F.col("zid") == CENTRAL, F.col("xdesc"))).alias("xdesc"),
-        F.max(F.when(F.col("zid") == CENTRAL, F.col("xgitem"))).alias("xgitem"),
-        *[F.coalesce(F.max(F.when(F.col("zid") == unit, F.col("xstdprice"))), F.lit(0)).alias(name)
-          for name, unit in PRICES])
+        *[F.max(F.when(F.col("zid") == unit, F.col("xstdprice"))).alias(name) for name, unit in PRICES])
+    names = m.caitem.filter(F.col("zid") == CENTRAL).select("xitem", "xdesc", "xgitem")
     c = F.col
-    return (lines.join(timeline, ["xitem", "xdate"]).join(prices, "xitem", "left")
+    return (lines.join(timeline, ["xitem", "xdate"])
+            .join(prices, "xitem", "left").join(names, "xitem", "left")
             .withColumnsRenamed({"xdate": "cpdate", "xqtyord": "cpqty", "xrate": "cprate"})
+            .withColumns({name: F.coalesce(name, F.lit(0)) for name, _ in PRICES})
             .withColumns({
                 "price_check": ratio((c("gprice") - c("cprice")) * 100, c("cprate")),
                 "store_price_check": c("gprice") - c("eprice"),

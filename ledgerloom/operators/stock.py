@@ -121,25 +121,33 @@ def _units(value: Column) -> Column:
 
 def multi_branch_stock(m: Model, as_of: date | None = None) -> DataFrame:
     """Stock of the three units side by side, for items that central holds."""
-    in_central = F.col("zid") == CENTRAL
-    side_by_side = inventory_balance(m, as_of=as_of).groupBy("xitem").agg(
-        F.max(F.when(in_central, F.col("xdesc"))).alias("name"),
-        _units(F.sum(F.when(in_central, F.col("inventory")))).alias("central"),
-        _units(F.sum(F.when(F.col("zid") == STORE, F.col("inventory")))).alias("store"),
-        _units(F.sum(F.when(F.col("zid") == ECOMMERCE, F.col("inventory")))).alias("ecommerce"),
-        F.count(F.when(in_central, 1)).alias("held"))
-    return side_by_side.filter("held > 0").select(
-        F.col("xitem").alias("sku"), "name", "central", "store", "ecommerce",
+    moved = m.imtrn if as_of is None else m.imtrn.filter(F.col("xdate") <= day(as_of))
+    held = (moved.groupBy(*KEY).agg(F.sum(signed_qty()).alias("inventory"))
+            .join(m.caitem.select(*KEY), KEY, "left_semi"))
+    units = {"central": CENTRAL, "store": STORE, "ecommerce": ECOMMERCE}
+    side_by_side = held.groupBy("xitem").agg(
+        F.count(F.when(F.col("zid") == CENTRAL, 1)).alias("held"),
+        *[_units(F.sum(F.when(F.col("zid") == zid, F.col("inventory")))).alias(name)
+          for name, zid in units.items()])
+    names = of_unit(m.caitem, CENTRAL).select("xitem", F.col("xdesc").alias("name"))
+    return side_by_side.filter("held > 0").join(names, "xitem").select(
+        F.col("xitem").alias("sku"), "name", *units,
         (F.col("central") + F.col("store") + F.col("ecommerce")).alias("sum_of_stock"))
 
 
-def stock_changes(current: DataFrame, previous: DataFrame, key: str | list[str] = "sku",
-                  value: str = "sum_of_stock") -> DataFrame:
-    """Rows whose value differs from the earlier snapshot; a new row is a change."""
+def mark_changes(current: DataFrame, previous: DataFrame, key: str | list[str] = "sku",
+                 value: str = "sum_of_stock") -> DataFrame:
+    """Current rows with the value of the earlier snapshot and whether it changed."""
     keys = [key] if isinstance(key, str) else key
     old = previous.select(*keys, F.col(value).alias("previous"))
     return (current.join(old, keys, "left")
-            .filter(~F.col(value).eqNullSafe(F.col("previous"))))
+            .withColumn("changed", ~F.col(value).eqNullSafe(F.col("previous"))))
+
+
+def stock_changes(current: DataFrame, previous: DataFrame, key: str | list[str] = "sku",
+                  value: str = "sum_of_stock") -> DataFrame:
+    """Rows whose value differs from the earlier snapshot; a new row is a change."""
+    return mark_changes(current, previous, key, value).filter("changed").drop("changed")
 
 
 def negative_movements(m: Model, on: str = "last") -> DataFrame:
@@ -152,16 +160,15 @@ def negative_movements(m: Model, on: str = "last") -> DataFrame:
     return balance.join(last, KEY).select(*KEY, "xdesc", "inventory", "last_date", "xqty", "xval")
 
 
-def shipping_class(products: DataFrame, stock: DataFrame, changed: DataFrame) -> DataFrame:
-    """New class of products that changed or have none.
+def shipping_class(products: DataFrame, stock: DataFrame, previous: DataFrame) -> DataFrame:
+    """New class of products whose stock changed since ``previous`` or that have none.
 
     Products without a code never match stock; they skip the join, so their
     common empty key does not land in one task.
     """
     coded = F.col("sku") != ""
     unclassed = F.coalesce(F.col("shipping_class"), F.lit("")) == ""
-    marked = (stock.join(changed.select("sku").distinct().withColumn("changed", F.lit(True)), "sku", "left")
-              .select("sku", "central", "store", "ecommerce", "changed"))
+    marked = mark_changes(stock, previous).select("sku", "central", "store", "ecommerce", "changed")
     known = (products.filter(coded).join(marked, "sku", "left")
              .filter(F.coalesce(F.col("changed"), F.lit(False)) | unclassed))
     near = F.col("store") + F.col("ecommerce")

@@ -120,14 +120,13 @@ def multi_branch_stock(m):
     return stock.multi_branch_stock(m)
 
 
-def _changed(m: Model) -> DataFrame:
-    return stock.stock_changes(stock.multi_branch_stock(m, P.as_of),
-                               stock.multi_branch_stock(m, P.back(1)))
+def _two_days(m: Model) -> tuple[DataFrame, DataFrame]:
+    return stock.multi_branch_stock(m, P.as_of), stock.multi_branch_stock(m, P.back(1))
 
 
 @query
 def stock_changes(m):
-    return _changed(m)
+    return stock.stock_changes(*_two_days(m))
 
 
 @query
@@ -142,7 +141,7 @@ def negative_balances(m):
 
 @query
 def shipping_class(m):
-    return stock.shipping_class(m.web_products, stock.multi_branch_stock(m, P.as_of), _changed(m))
+    return stock.shipping_class(m.web_products, *_two_days(m))
 
 
 @query

@@ -80,6 +80,18 @@ def in_every_unit(df: DataFrame) -> DataFrame:
     return df.withColumn("zid", F.explode(F.array(*[F.lit(z) for z, _ in UNITS])))
 
 
+def of_type(prefix: str) -> Column:
+    """Line items of one document type, in stored columns that a scan can filter."""
+    returned, shipped = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
+    return {
+        "PRE-": returned & shipped,
+        "SRE-": returned & ~shipped,
+        "GRN-": ~returned & shipped,
+        "TO--": ~returned & ~shipped & (F.col("l_returnflag") == "A"),
+        "CO--": ~returned & ~shipped & (F.col("l_returnflag") != "A"),
+    }[prefix]
+
+
 def movements(lineitem: DataFrame) -> DataFrame:
     """Stock movements of line items; also works on a stream."""
     returned, shipped = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
@@ -129,7 +141,7 @@ class Star:
         return movements(self.read("lineitem"))
 
     def _lines(self, prefix: str) -> DataFrame:
-        return self.imtrn().filter(F.col("xdocnum").startswith(prefix))
+        return movements(self.read("lineitem").filter(of_type(prefix)))
 
     def caitem(self) -> DataFrame:
         markup = (F.when(F.col("zid") == 100001, F.col("p_partkey") % 7)
