@@ -33,16 +33,18 @@ def _moved(m: Model, text: str, a: date, b: date) -> DataFrame:
 
 def _paired(m: Model, lines: DataFrame, headers: DataFrame, text: str, a: date, b: date) -> DataFrame:
     return (_moved(m, text, a, b).join(lines, DOC_KEY)
-            .join(headers.select("zid", "xdocnum"), ["zid", "xdocnum"], "left_semi")
-            .join(m.caitem.select(*KEY), KEY, "left_semi"))
+            .join(headers.select("zid", "xdocnum"), ["zid", "xdocnum"], "left_semi"))
+
+
+def _listed(m: Model, rows: DataFrame) -> DataFrame:
+    return rows.join(m.caitem.select(*KEY), KEY, "left_semi")
 
 
 def _times(total: str, count: str):
     return (F.col(total) * F.col(count)).cast("decimal(38,2)")
 
 
-def sales_cogs(m: Model, a: date, b: date) -> DataFrame:
-    """Cost and revenue of sold goods per document and item."""
+def _sales(m: Model, a: date, b: date) -> DataFrame:
     lines = (m.opodt.withColumnRenamed("xordernum", "xdocnum").groupBy(*DOC_KEY)
              .agg(F.count(F.lit(1)).alias("lines"), F.sum("xlineamt").alias("amount"),
                   F.sum(F.col("xdtwotax") - F.col("xdtdisc")).alias("net")))
@@ -53,8 +55,7 @@ def sales_cogs(m: Model, a: date, b: date) -> DataFrame:
         _times("amount", "moves").alias("xlineamt"), _times("net", "moves").alias("xdtwotax"))
 
 
-def transfer_cogs(m: Model, a: date, b: date) -> DataFrame:
-    """The same for goods sent out by transfer orders."""
+def _transfers(m: Model, a: date, b: date) -> DataFrame:
     lines = (m.imtdt.withColumnRenamed("ximtor", "xdocnum").groupBy(*DOC_KEY)
              .agg(F.count(F.lit(1)).alias("lines"), F.sum("xdtwotax").alias("amount")))
     headers = m.imtor.withColumnRenamed("ximtor", "xdocnum")
@@ -64,6 +65,16 @@ def transfer_cogs(m: Model, a: date, b: date) -> DataFrame:
         _times("amount", "moves").alias("xlineamt"))
 
 
+def sales_cogs(m: Model, a: date, b: date) -> DataFrame:
+    """Cost and revenue of sold goods per document and item."""
+    return _listed(m, _sales(m, a, b))
+
+
+def transfer_cogs(m: Model, a: date, b: date) -> DataFrame:
+    """The same for goods sent out by transfer orders."""
+    return _listed(m, _transfers(m, a, b))
+
+
 def sales_returns(m: Model, a: date, b: date) -> DataFrame:
     """Value of returned goods per item, at the rate of the return."""
     lines = (m.imtemptdt.withColumnRenamed("ximtrnnum", "xdocnum").groupBy(*DOC_KEY)
@@ -78,8 +89,9 @@ def sales_returns(m: Model, a: date, b: date) -> DataFrame:
 def _item_rows(m: Model, a: date, b: date) -> DataFrame:
     """Profit per item; central sells by transfer, the other units by order."""
     columns = [*KEY, "totalvalue", "xlineamt"]
-    sold = (sales_cogs(m, a, b).filter(F.col("zid") != CENTRAL).select(*columns)
-            .unionByName(transfer_cogs(m, a, b).filter(F.col("zid") == CENTRAL).select(*columns))
+    # the item master joins last, when there is one row per item
+    sold = (_sales(m, a, b).filter(F.col("zid") != CENTRAL).select(*columns)
+            .unionByName(_transfers(m, a, b).filter(F.col("zid") == CENTRAL).select(*columns))
             .groupBy(*KEY)
             .agg(F.round(F.sum("totalvalue"), 1).alias("totalvalue"),
                  F.round(F.sum("xlineamt"), 1).alias("xlineamt")))

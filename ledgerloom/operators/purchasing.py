@@ -164,13 +164,14 @@ def receipt_inventory_check(m: Model, on: date, zid: int | None = STORE) -> Data
     ``item_inserted_inv`` means that nothing was posted.
     """
     received = receipts_of_day(m, on, zid)
-    items = received.select(*KEY).distinct()
+    today = of_unit(m.pogrn, zid).filter(F.col("xdate") == day(on)).select("zid", "xgrnnum")
+    items = of_unit(m.pogdt, zid).join(today, ["zid", "xgrnnum"], "left_semi").select(*KEY)
     posted = (of_unit(m.imtrn, zid).withColumnRenamed("xdocnum", "xgrnnum")
-              .join(received.select("zid", "xgrnnum").distinct(), ["zid", "xgrnnum"], "left_semi")
+              .join(today, ["zid", "xgrnnum"], "left_semi")
               .groupBy("zid", "xgrnnum", "xitem")
               .agg(F.sum("xqty").alias("item_inserted_inv"), F.count(F.lit(1)).alias("inv_rows")))
     return (received
-            .join(sales_qty_of_day(m, on, items, zid), KEY, "left")
+            .join(sales_qty_of_day(m, on, zid=zid), KEY, "left")
             .join(day_over_day_stock(m, on, items), KEY, "left")
             .join(posted, ["zid", "xgrnnum", "xitem"], "left")
             .select("zid", "xdate", "xgrnnum", "xitem", "xdesc", "today_grn_qty", "item_inserted_inv",

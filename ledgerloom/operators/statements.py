@@ -138,7 +138,7 @@ def financial_ratios(m: Model, years: list[int], m1: int, m2: int, mode: str = "
 
     rows = F.array(*[
         F.struct(F.lit(i).alias("ratio_no"), F.lit(title).alias("ratio"),
-                 (-ratio(added(num) * factor, added(den))).alias("amount"))
+                 (F.lit(0.0) - ratio(added(num) * factor, added(den))).alias("amount"))
         for i, (title, factor, num, den) in enumerate(L.RATIOS, start=1)])
     long = wide.select("zid", "year", F.inline(rows))
     return long.groupBy("zid", "ratio_no", "ratio").agg(*[

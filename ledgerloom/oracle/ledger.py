@@ -217,7 +217,7 @@ RATIOS = [
 ]
 _ratio_rows = " UNION ALL ".join(
     f"SELECT zid, year, {i} AS ratio_no, '{name}' AS ratio, "
-    f"-(CAST({num} AS DOUBLE) / CAST(nullif({den}, 0) AS DOUBLE)) AS amount FROM both_sides"
+    f"CAST(0 AS DOUBLE) - (CAST({num} AS DOUBLE) / CAST(nullif({den}, 0) AS DOUBLE)) AS amount FROM both_sides"
     for i, (name, num, den) in enumerate(RATIOS, start=1))
 
 

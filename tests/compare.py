@@ -37,7 +37,7 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     if len(ours[1]) != len(theirs[1]):
         return f"{len(ours[1])} rows vs {len(theirs[1])}"
     for a, b in zip(ours[1], theirs[1]):
-        if a != b or [type(x) for x in a] != [type(x) for x in b]:
-            bad = [(c, x, y) for c, x, y in zip(ours[0], a, b) if x != y or type(x) is not type(y)]
+        if repr(a) != repr(b):
+            bad = [(c, x, y) for c, x, y in zip(ours[0], a, b) if repr(x) != repr(y)]
             return f"first difference {bad} in {a}"
     return None
