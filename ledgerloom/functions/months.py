@@ -26,11 +26,11 @@ def period_key() -> Column:
 
 
 def pivot_months(df: DataFrame, keys: list[str], months: list[Month],
-                 value: str = "amount", earlier: bool = False) -> DataFrame:
+                 value: str = "amount") -> DataFrame:
     """One 0-filled column per month, in time order.
 
-    With ``earlier`` everything before the first listed month goes to a column
-    of that name, so the row total stays complete.
+    Periods that are not listed are summed in the column ``other``, so a row
+    always adds up.
     """
     zero = F.lit(0).cast("decimal(38,2)")
     period = period_key()
@@ -38,12 +38,16 @@ def pivot_months(df: DataFrame, keys: list[str], months: list[Month],
         F.coalesce(F.sum(F.when(period == y * 100 + p, F.col(value))), zero).alias(label((y, p)))
         for y, p in months
     ]
-    if earlier:
-        first = months[0][0] * 100 + months[0][1]
-        cells.insert(0, F.coalesce(F.sum(F.when(period < first, F.col(value))), zero).alias("earlier"))
+    listed = period.isin([y * 100 + p for y, p in months])
+    cells.append(F.coalesce(F.sum(F.when(~listed, F.col(value))), zero).alias("other"))
     return df.groupBy(*keys).agg(*cells)
 
 
+def month_columns(months: list[Month]) -> list[str]:
+    """Value columns of ``pivot_months``."""
+    return [*[label(x) for x in months], "other"]
+
+
 def year_column(year: int) -> str:
     return f"y{year}"
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import day, doc_is, lookup, signed_value
 from ledgerloom.functions.months import (
     Month,
-    label as month_name,
+    month_columns,
     pivot_months,
     pivot_years,
     year_column,
@@ -66,7 +66,7 @@ def cash_vouchers_activity(m: Model, project: str, a: date, b: date) -> DataFram
 
 def monthly_cash_flow(m: Model, project: str, a: date, b: date, months: list[Month]) -> DataFrame:
     """Cash activity by account and month with a row per cash flow section."""
-    names = [month_name(x) for x in months]
+    names = month_columns(months)
     wide = pivot_months(cash_vouchers_activity(m, project, a, b), ["zid", "xacc"], months)
     named = wide.join(m.glmst.select("zid", "xacc", "xdesc", "xhrc3", "xacctype"), ["zid", "xacc"], "left")
     head = ["xacc", "xdesc", "xhrc3", "xacctype"]
@@ -83,44 +83,45 @@ def monthly_cash_flow(m: Model, project: str, a: date, b: date, months: list[Mon
 
 def monthly_pl(m: Model, project: str, a: date, b: date, months: list[Month]) -> DataFrame:
     """Income and expenditure by account and month with a Profit/Loss row per unit."""
-    names = [month_name(x) for x in months]
+    names = month_columns(months)
     accounts = gl_master(m, "pl").select("zid", "xacc", "xdesc", "xacctype")
     wide = pivot_months(_by_period(gl_entries(m, a, b, project), "xacc"), ["zid", "xacc"], months)
     return with_totals(wide.join(accounts, ["zid", "xacc"]), ["zid", "xacc", "xdesc", "xacctype"],
                        ["zid"], names, "xacc", "Profit/Loss")
 
 
-def _partner_entries(m: Model, project: str, b: date) -> DataFrame:
+def _partner_months(m: Model, project: str, b: date, months: list[Month]) -> DataFrame:
+    """One wide row per partner, so its name joins without another shuffle of the months."""
     entries = gl_entries(m, end=b, project=project).filter(~doc_is("OB--", "xvoucher"))
-    return _by_period(entries, "xsub")
+    return pivot_months(entries, ["zid", "xsub"], months, value="xprime")
 
 
-def _monthly(df: DataFrame, keys: list[str], months: list[Month], label: str, text: str) -> DataFrame:
-    wide = pivot_months(df, keys, months, earlier=True)
-    return with_totals(wide, keys, ["zid"], ["earlier", *[month_name(x) for x in months]], label, text)
+def _with_monthly_total(wide: DataFrame, keys: list[str], months: list[Month], label: str,
+                        text: str) -> DataFrame:
+    return with_totals(wide, keys, ["zid"], month_columns(months), label, text)
 
 
 def monthly_payables(m: Model, project: str, b: date, months: list[Month]) -> DataFrame:
     """Payables by supplier and month, with a total row per unit."""
     suppliers = m.casup.select("zid", F.col("xsup").alias("xsub"), "xshort")
-    owed = _partner_entries(m, project, b).join(suppliers, ["zid", "xsub"])
-    return _monthly(owed, ["zid", "xsub", "xshort"], months, "xshort", "Monthly Payable")
+    owed = _partner_months(m, project, b, months).join(suppliers, ["zid", "xsub"])
+    return _with_monthly_total(owed, ["zid", "xsub", "xshort"], months, "xshort", "Monthly Payable")
 
 
 def monthly_receivables(m: Model, project: str, b: date, months: list[Month]) -> DataFrame:
     """Receivables by customer, place and month, with a total row per unit."""
     customers = m.cacus.select("zid", F.col("xcus").alias("xsub"), "xshort", "xadd2", "xcity", "xstate")
-    due = _partner_entries(m, project, b).join(customers, ["zid", "xsub"])
-    return _monthly(due, ["zid", "xsub", "xshort", "xadd2", "xcity", "xstate"], months,
-                    "xstate", "Monthly Receivable")
+    due = _partner_months(m, project, b, months).join(customers, ["zid", "xsub"])
+    return _with_monthly_total(due, ["zid", "xsub", "xshort", "xadd2", "xcity", "xstate"], months,
+                               "xstate", "Monthly Receivable")
 
 
 def monthly_inventory_value(m: Model, b: date, months: list[Month]) -> DataFrame:
     """Stock value moved by item group and month, with a total row per unit."""
-    moved = (m.imtrn.filter(F.col("xdate") <= day(b)).groupBy("zid", "xitem", "xyear", "xper")
-             .agg(F.sum(signed_value()).alias("amount")))
-    grouped = moved.join(m.caitem.select("zid", "xitem", "xgitem"), ["zid", "xitem"])
-    return _monthly(grouped, ["zid", "xgitem"], months, "xgitem", "Monthly Inventory")
+    moved = m.imtrn.filter(F.col("xdate") <= day(b)).withColumn("amount", signed_value())
+    wide = pivot_months(moved, ["zid", "xitem"], months)
+    grouped = wide.join(m.caitem.select("zid", "xitem", "xgitem"), ["zid", "xitem"])
+    return _with_monthly_total(grouped, ["zid", "xgitem"], months, "xgitem", "Monthly Inventory")
 
 
 def gl_master(m: Model, side: str = "pl") -> DataFrame:

@@ -12,14 +12,13 @@ YEAR_LIST = "(VALUES " + ", ".join(f"({y})" for y in YEARS) + ") AS y(year)"
 
 
 def month_columns(months) -> str:
-    return " ".join(f"{y}/{p}:d" for y, p in months)
+    return " ".join(f"{y}/{p}:d" for y, p in months) + " other:d"
 
 
-def month_sums(months, value: str = "amount", earlier: bool = False) -> str:
+def month_sums(months, value: str = "amount") -> str:
     cells = [f'coalesce(sum({value}) FILTER (WHERE xyear = {y} AND xper = {p}), 0) AS "{y}/{p}"' for y, p in months]
-    if earlier:
-        y, p = months[0]
-        cells.insert(0, f"coalesce(sum({value}) FILTER (WHERE xyear * 100 + xper < {y * 100 + p}), 0) AS earlier")
+    listed = ", ".join(str(y * 100 + p) for y, p in months)
+    cells.append(f"coalesce(sum({value}) FILTER (WHERE xyear * 100 + xper NOT IN ({listed})), 0) AS other")
     return ", ".join(cells)
 
 
@@ -61,14 +60,14 @@ def partners(table: str, key: str, columns: list[str], label: str, text: str) ->
     return f"""WITH owed AS (SELECT l.zid, l.xsub, {named}, l.xyear, l.xper, l.xprime AS amount
             FROM ({LINES}) l JOIN {table} p ON p.zid = l.zid AND p.{key} = l.xsub
             WHERE l.xproj = '{P.project}' AND l.xvoucher NOT LIKE 'OB--%' AND l.xdate <= {B})
-        SELECT zid, xsub, {', '.join(columns)}, {month_sums(P.pl_months, earlier=True)} FROM owed GROUP BY ALL
-        UNION ALL SELECT zid, NULL, {total}, {month_sums(P.pl_months, earlier=True)} FROM owed GROUP BY zid"""
+        SELECT zid, xsub, {', '.join(columns)}, {month_sums(P.pl_months)} FROM owed GROUP BY ALL
+        UNION ALL SELECT zid, NULL, {total}, {month_sums(P.pl_months)} FROM owed GROUP BY zid"""
 
 
 STOCK_VALUE = f"""WITH moved AS (SELECT i.zid, c.xgitem, i.xyear, i.xper, i.xval * i.xsign AS amount
         FROM imtrn i JOIN caitem c ON c.zid = i.zid AND c.xitem = i.xitem WHERE i.xdate <= {B})
-    SELECT zid, xgitem, {month_sums(P.months, earlier=True)} FROM moved GROUP BY 1, 2
-    UNION ALL SELECT zid, 'Monthly Inventory', {month_sums(P.months, earlier=True)} FROM moved GROUP BY 1"""
+    SELECT zid, xgitem, {month_sums(P.months)} FROM moved GROUP BY 1, 2
+    UNION ALL SELECT zid, 'Monthly Inventory', {month_sums(P.months)} FROM moved GROUP BY 1"""
 
 
 def activity(project: str = "TRUE") -> str:
@@ -232,7 +231,7 @@ TAX = "'0604-City Corporation Tax', '0625-Property Tax & Others', '0629-VAT & Ta
 INTEREST = ("'0630- Bank Interest & Charges', '0630-Bank Interest & Charges', '0633-Interest-Loan', "
             "'0633-Interest on Loan'")
 UNIT_COLUMNS = f"zid:i name:s {YEAR_COLUMNS}"
-PARTNER_MONTHS = f"earlier:d {month_columns(P.pl_months)}"
+PARTNER_MONTHS = month_columns(P.pl_months)
 IN_PROJECT = f"l.xproj = '{P.project}'"
 MASTER = "SELECT zid, xacc, xacctype, xdesc, xhrc1, xhrc2, xhrc3, xhrc4 FROM glmst WHERE xacctype NOT IN "
 SUM_COLUMNS = "zid:i xacc:s year:i amount:d"
@@ -246,7 +245,7 @@ QUERIES = {
     "monthly_receivables": (
         partners("cacus", "xcus", ["xshort", "xadd2", "xcity", "xstate"], "xstate", "Monthly Receivable"),
         f"zid:i xsub:s xshort:s xadd2:s xcity:s xstate:s {PARTNER_MONTHS}"),
-    "monthly_inventory_value": (STOCK_VALUE, f"zid:i xgitem:s earlier:d {month_columns(P.months)}"),
+    "monthly_inventory_value": (STOCK_VALUE, f"zid:i xgitem:s {month_columns(P.months)}"),
     "gl_master": (MASTER + "('Asset', 'Liability')", ACCOUNT_COLUMNS),
     "gl_master_balance": (MASTER + "('Income', 'Expenditure')", ACCOUNT_COLUMNS),
     "gl_activity": (activity(), SUM_COLUMNS),

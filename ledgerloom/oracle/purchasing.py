@@ -1,10 +1,14 @@
 """SQL of the purchasing, supplier and shipment reports."""
 
-from ledgerloom.oracle.stock import AS_OF, DAY_BEFORE, YEAR_AGO, balance, newest, rate
+from datetime import timedelta
+
+from ledgerloom.oracle.stock import AS_OF, YEAR_AGO, balance, newest, rate
 from ledgerloom.oracle.views import code
 from ledgerloom.plans.params import DEFAULT as P
 
 LINE_SKU = code("'IT-'", "l.l_partkey", 6)
+CHECK = f"DATE '{P.check_day}'"
+CHECK_EVE = f"DATE '{P.check_day - timedelta(days=1)}'"
 MONTH_AGO = f"DATE '{P.back(30)}'"
 TWO_MONTHS_AGO = f"DATE '{P.back(60)}'"
 
@@ -157,9 +161,9 @@ def sales_of_purchase(unit: str) -> str:
 
 RECEIPTS = f"""SELECT g.zid, g.xdate, g.xgrnnum, d.xitem, c.xdesc, d.xqty AS today_grn_qty
     FROM pogrn g JOIN pogdt d ON d.zid = g.zid AND d.xgrnnum = g.xgrnnum
-    JOIN caitem c ON c.zid = d.zid AND c.xitem = d.xitem WHERE g.xdate = {AS_OF}"""
+    JOIN caitem c ON c.zid = d.zid AND c.xitem = d.xitem WHERE g.xdate = {CHECK}"""
 SOLD_TODAY = f"""SELECT d.zid, d.xitem, sum(d.xqtyord) AS today_sales_qty FROM opord o
-    JOIN opodt d ON d.zid = o.zid AND d.xordernum = o.xordernum WHERE o.xdate = {AS_OF} GROUP BY 1, 2"""
+    JOIN opodt d ON d.zid = o.zid AND d.xordernum = o.xordernum WHERE o.xdate = {CHECK} GROUP BY 1, 2"""
 RECEIPT_COLUMNS = "zid:i xdate:t xgrnnum:s xitem:s xdesc:s today_grn_qty:d"
 
 
@@ -225,8 +229,8 @@ QUERIES = {
             CASE WHEN t.q IS NOT NULL THEN coalesce(y.q, 0) END AS yesterday_stock, t.q AS today_stock
             FROM ({RECEIPTS}) r
             LEFT JOIN ({SOLD_TODAY}) s ON s.zid = r.zid AND s.xitem = r.xitem
-            LEFT JOIN {closing(DAY_BEFORE)} y ON y.zid = r.zid AND y.xitem = r.xitem
-            LEFT JOIN {closing(AS_OF)} t ON t.zid = r.zid AND t.xitem = r.xitem
+            LEFT JOIN {closing(CHECK_EVE)} y ON y.zid = r.zid AND y.xitem = r.xitem
+            LEFT JOIN {closing(CHECK)} t ON t.zid = r.zid AND t.xitem = r.xitem
             LEFT JOIN (SELECT zid, xdocnum, xitem, sum(xqty) AS q, count(*) AS n FROM imtrn GROUP BY 1, 2, 3) p
             ON p.zid = r.zid AND p.xdocnum = r.xgrnnum AND p.xitem = r.xitem""",
         RECEIPT_COLUMNS + " item_inserted_inv:d inv_rows:i today_sales_qty:d yesterday_stock:d today_stock:d"),

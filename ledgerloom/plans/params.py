@@ -11,6 +11,7 @@ from ledgerloom.functions.months import Month, months_between
 @dataclass(frozen=True)
 class Params:
     as_of: date = date(2001, 6, 30)
+    check_day: date = date(1995, 7, 20)
     project: str = "BUILDING"
     years: tuple[int, ...] = (1997, 1998, 1999, 2000, 2001)
     first_month: int = 1

@@ -258,17 +258,17 @@ def sales_of_purchase_summary(m):
 
 @query
 def receipts_of_day(m):
-    return purchasing.receipts_of_day(m, P.as_of, None)
+    return purchasing.receipts_of_day(m, P.check_day, None)
 
 
 @query
 def sales_qty_of_day(m):
-    return purchasing.sales_qty_of_day(m, P.as_of, zid=None)
+    return purchasing.sales_qty_of_day(m, P.check_day, zid=None)
 
 
 @query
 def receipt_inventory_check(m):
-    return purchasing.receipt_inventory_check(m, P.as_of, None)
+    return purchasing.receipt_inventory_check(m, P.check_day, None)
 
 
 # --- cycle counting ---------------------------------------------------------

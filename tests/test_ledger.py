@@ -119,11 +119,11 @@ def test_cash_vouchers_take_all_their_lines(spark, table):
     assert rows(pl, "xacc", "2024/1", "2024/2") == [("A1", n(-14), n(0)), ("Profit/Loss", n(-14), n(0))]
 
 
-def test_payables_skip_opening_vouchers_and_keep_early_months(spark, table):
-    entries = [("JV--1", 2023, 5, "S", 4), ("JV--2", 2024, 2, "S", 6), ("OB--1", 2024, 0, "S", 100)]
+def test_payables_skip_opening_vouchers_and_keep_other_months(spark, table):
+    entries = [("JV--1", 2023, 5, "S", 3), ("JV--3", 2024, 7, "S", 1), ("JV--2", 2024, 2, "S", 6), ("OB--1", 2024, 0, "S", 100)]
     m = books(spark, table, entries, casup=table("casup", dict(zid=1, xsup="S", xshort="sup")))
     got = ledger.monthly_payables(m, "P", d("2024-12-31"), months_between(d("2024-01-01"), d("2024-02-01")))
-    assert rows(got, "xsub", "xshort", "earlier", "2024/1", "2024/2") == [
+    assert rows(got, "xsub", "xshort", "other", "2024/1", "2024/2") == [
         ("S", "sup", n(4), n(0), n(6)), (None, "Monthly Payable", n(4), n(0), n(6))]
 
 
