@@ -58,10 +58,26 @@ def month_label(year: str = "xyear", period: str = "xper") -> Column:
     return F.concat_ws("/", F.col(year).cast("string"), F.col(period).cast("string"))
 
 
+def literal(value) -> str:
+    """SQL text of a constant; a list is an array, a dict a struct."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, date):
+        return f"DATE '{value}'"
+    if isinstance(value, dict):
+        fields = ", ".join(f"{literal(name)}, {literal(v)}" for name, v in value.items())
+        return f"named_struct({fields})"
+    if isinstance(value, (list, tuple)):
+        return f"array({', '.join(literal(v) for v in value)})"
+    return str(value)
+
+
 def lookup(key: Column, mapping: Mapping) -> Column:
     """Constant dictionary lookup; NULL for an unknown key."""
-    pairs = [F.lit(part) for item in mapping.items() for part in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in mapping.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
 
 
 def seeded_hash(seed: int, *cols: Column) -> Column:
@@ -86,14 +102,7 @@ def constant_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataF
     names = [f.strip().split()[0] for f in schema.split(",")]
     types = [f.strip().split()[1] for f in schema.split(",")]
 
-    def literal(value, kind):
-        if value is None:
-            return f"CAST(NULL AS {kind})"
-        if kind == "string":
-            return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-        return f"CAST('{value}' AS {kind})"
-
     body = ", ".join(
-        "(" + ", ".join(literal(v, t) for v, t in zip(row, types)) + ")" for row in rows
+        "(" + ", ".join(f"CAST({literal(v)} AS {t})" for v, t in zip(row, types)) + ")" for row in rows
     )
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")

@@ -21,10 +21,6 @@ def label(month: Month) -> str:
     return f"{month[0]}/{month[1]}"
 
 
-def period_key() -> Column:
-    return F.col("xyear") * 100 + F.col("xper")
-
-
 def pivot_months(df: DataFrame, keys: list[str], months: list[Month],
                  value: str = "amount") -> DataFrame:
     """One 0-filled column per month, in time order.
@@ -32,15 +28,15 @@ def pivot_months(df: DataFrame, keys: list[str], months: list[Month],
     Periods that are not listed are summed in the column ``other``, so a row
     always adds up.
     """
-    zero = F.lit(0).cast("decimal(38,2)")
-    period = period_key()
-    cells = [
-        F.coalesce(F.sum(F.when(period == y * 100 + p, F.col(value))), zero).alias(label((y, p)))
-        for y, p in months
-    ]
-    listed = period.isin([y * 100 + p for y, p in months])
-    cells.append(F.coalesce(F.sum(F.when(~listed, F.col(value))), zero).alias("other"))
-    return df.groupBy(*keys).agg(*cells)
+    def cell(test: str, name: str) -> Column:
+        total = f"sum({value}) FILTER (WHERE {test})"
+        return F.expr(f"coalesce({total}, cast(0 AS decimal(38,2))) AS `{name}`")
+
+    period = "xyear * 100 + xper"
+    listed = ", ".join(str(y * 100 + p) for y, p in months)
+    return df.groupBy(*keys).agg(
+        *[cell(f"{period} = {y * 100 + p}", label((y, p))) for y, p in months],
+        cell(f"{period} NOT IN ({listed})", "other"))
 
 
 def month_columns(months: list[Month]) -> list[str]:

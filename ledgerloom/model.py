@@ -22,12 +22,15 @@ class Model:
     def __init__(self, spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]):
         self.spark = spark
         self._tables = tables
+        self._built: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         tables = self.__dict__.get("_tables", {})
         if name not in tables:
             raise AttributeError(f"no table {name!r}")
-        return tables[name]()
+        if name not in self._built:
+            self._built[name] = tables[name]()
+        return self._built[name]
 
     def replace(self, **frames: DataFrame) -> Model:
         """Same model with some tables given as DataFrames."""
@@ -42,5 +45,5 @@ class Model:
     @classmethod
     def from_star(cls, spark: SparkSession, folder: str) -> Model:
         star = Star(spark, folder)
-        names = [n for n in dir(star) if not n.startswith("_") and n not in ("read", "spark", "folder")]
-        return cls(spark, {n: getattr(star, n) for n in names})
+        names = [n for n, member in vars(Star).items() if callable(member) and not n.startswith("_")]
+        return cls(spark, {n: getattr(star, n) for n in names if n != "read"})

@@ -70,7 +70,7 @@ def monthly_cash_flow(m: Model, project: str, a: date, b: date, months: list[Mon
     wide = pivot_months(cash_vouchers_activity(m, project, a, b), ["zid", "xacc"], months)
     named = wide.join(m.glmst.select("zid", "xacc", "xdesc", "xhrc3", "xacctype"), ["zid", "xacc"], "left")
     head = ["xacc", "xdesc", "xhrc3", "xacctype"]
-    sections = lookup(F.col("xhrc3"), {k: F.array(*[F.lit(x) for x in v]) for k, v in CASH_SECTIONS.items()})
+    sections = lookup(F.col("xhrc3"), CASH_SECTIONS)
     none = F.lit(None).cast("string")
     section_rows = F.transform(sections, lambda x: F.struct(
         none.alias("xacc"), none.alias("xdesc"), x.alias("xhrc3"), none.alias("xacctype")))

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import day, doc_is, ratio, signed_qty
+from ledgerloom.functions.columns import day, ratio
 from ledgerloom.model import CENTRAL, ECOMMERCE, STORE, Model
 from ledgerloom.operators.purchasing import ordered_by_date, purchase_receipts
 
@@ -34,6 +34,20 @@ ORDERED = [("gpurchase", STORE), ("epurchase", ECOMMERCE)]
 BALANCES = [("cstock", CENTRAL), ("gstock", STORE), ("estock", ECOMMERCE)]
 PRICES = [("cprice", CENTRAL), ("gprice", STORE), ("eprice", ECOMMERCE)]
 
+# Checks and margins of a received line.  Purchase returns count positive in both shops.
+MARGINS = {
+    "price_check": "try_divide(cast((gprice - cprice) * 100 AS double), cast(cprate AS double))",
+    "store_price_check": "gprice - eprice",
+    "central_check": "cpqty - transfer - cstock + creturn",
+    "store_check": "gpurchase - gpreturn - gsales + greturn - gstock",
+    "ecommerce_check": "epurchase - epreturn - esales + ereturn - estock",
+    "total_cpgp": "(cprice - cprate) * cpqty",
+    "total_rgp": "(gprice - cprice) * cpqty",
+    "total_cgp": "(cprice - cprate) * transfer",
+    "total_ggp": "(gprice - cprice) * gsales",
+    "total_egp": "(eprice - cprice) * esales",
+}
+
 # Report lines of the shipment summary: subject and the totals it adds up.
 SUMMARY = [
     ("Total Possible Gross Profit", ["total_pgp"]),
@@ -49,21 +63,19 @@ SUMMARY = [
 
 def _daily(m: Model, as_of: date) -> DataFrame:
     """Item movements and orders by day, one column per measure."""
-    zero = F.lit(0).cast("decimal(38,2)")
     names = [f[0] for f in FLOWS] + [b[0] for b in BALANCES] + [o[0] for o in ORDERED]
 
     def filled(df: DataFrame) -> DataFrame:
-        return df.select("xitem", "xdate", *[
-            (F.coalesce(F.col(n), zero) if n in df.columns else zero).cast("decimal(38,2)").alias(n)
-            for n in names])
+        return df.selectExpr("xitem", "xdate", *[
+            f"cast({f'coalesce({n}, 0)' if n in df.columns else 0} AS decimal(38,2)) AS {n}" for n in names])
 
     moves = m.imtrn.filter(F.col("xdate") <= day(as_of)).groupBy("xitem", "xdate").agg(
-        *[F.sum(F.when((F.col("zid") == unit) & doc_is(doc), signed_qty() * sign)).alias(name)
+        *[F.expr(f"sum(xqty * xsign * {sign}) FILTER (WHERE zid = {unit} AND startswith(xdocnum, '{doc}')) AS {name}")
           for name, unit, doc, sign in FLOWS],
-        *[F.sum(F.when(F.col("zid") == unit, signed_qty())).alias(name) for name, unit in BALANCES])
+        *[F.expr(f"sum(xqty * xsign) FILTER (WHERE zid = {unit}) AS {name}") for name, unit in BALANCES])
     sold = F.col("zid").isin([unit for _, unit in ORDERED]) & (F.col("xdate") <= day(as_of))
     orders = ordered_by_date(m).filter(sold).groupBy("xitem", "xdate").agg(
-        *[F.sum(F.when(F.col("zid") == unit, F.col("qty"))).alias(name) for name, unit in ORDERED])
+        *[F.expr(f"sum(qty) FILTER (WHERE zid = {unit}) AS {name}") for name, unit in ORDERED])
     return filled(moves).unionByName(filled(orders))
 
 
@@ -76,40 +88,24 @@ def shipment_tracking(m: Model, as_of: date, since: date) -> DataFrame:
     balances = [b[0] for b in BALANCES]
     days = (daily.unionByName(received, allowMissingColumns=True)
             .groupBy("xitem", "xdate")
-            .agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,2)").alias(c)
-                   for c in flows + balances]))
-    item = Window.partitionBy("xitem")
-    later = item.orderBy(F.col("xdate").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    timeline = days.select(
+            .agg(*[F.expr(f"cast(coalesce(sum({c}), 0) AS decimal(38,2)) AS {c}") for c in flows + balances]))
+    later = "PARTITION BY xitem ORDER BY xdate DESC ROWS UNBOUNDED PRECEDING"
+    timeline = days.selectExpr(
         "xitem", "xdate",
-        *[F.sum(c).over(later).cast("decimal(38,2)").alias(c) for c in flows],
-        *[F.sum(c).over(item).cast("decimal(38,2)").alias(c) for c in balances])
+        *[f"cast(sum({c}) OVER ({later}) AS decimal(38,2)) AS {c}" for c in flows],
+        *[f"cast(sum({c}) OVER (PARTITION BY xitem) AS decimal(38,2)) AS {c}" for c in balances])
     prices = m.caitem.groupBy("xitem").agg(
-        *[F.max(F.when(F.col("zid") == unit, F.col("xstdprice"))).alias(name) for name, unit in PRICES])
+        *[F.expr(f"max(xstdprice) FILTER (WHERE zid = {unit}) AS {name}") for name, unit in PRICES])
     names = m.caitem.filter(F.col("zid") == CENTRAL).select("xitem", "xdesc", "xgitem")
-    c = F.col
-    return (lines.join(timeline, ["xitem", "xdate"])
+    base = (lines.join(timeline, ["xitem", "xdate"])
             .join(prices, "xitem", "left").join(names, "xitem", "left")
-            .withColumnsRenamed({"xdate": "cpdate", "xqtyord": "cpqty", "xrate": "cprate"})
-            .withColumns({name: F.coalesce(name, F.lit(0)) for name, _ in PRICES})
-            .withColumns({
-                "price_check": ratio((c("gprice") - c("cprice")) * 100, c("cprate")),
-                "store_price_check": c("gprice") - c("eprice"),
-                "central_check": c("cpqty") - c("transfer") - c("cstock") + c("creturn"),
-                "store_check": c("gpurchase") - c("gpreturn") - c("gsales") + c("greturn") - c("gstock"),
-                "ecommerce_check": c("epurchase") - c("epreturn") - c("esales") + c("ereturn") - c("estock"),
-                "total_cpgp": (c("cprice") - c("cprate")) * c("cpqty"),
-                "total_rgp": (c("gprice") - c("cprice")) * c("cpqty"),
-                "total_cgp": (c("cprice") - c("cprate")) * c("transfer"),
-                "total_ggp": (c("gprice") - c("cprice")) * c("gsales"),
-                "total_egp": (c("eprice") - c("cprice")) * c("esales"),
-            })
-            .withColumns({
-                "total_pgp": c("total_cpgp") + c("total_rgp"),
-                "total_gp": c("total_cgp") + c("total_ggp") + c("total_egp"),
-            })
-            .withColumn("gp_percent", ratio(c("total_gp") * 100, c("total_pgp")))
-            .drop("zid"))
+            .selectExpr("xgrnnum", "xdate AS cpdate", "xitem", "xqtyord AS cpqty", "xrate AS cprate",
+                        "xdesc", "xgitem", *flows, *balances,
+                        *[f"coalesce({name}, 0) AS {name}" for name, _ in PRICES]))
+    margins = base.selectExpr("*", *[f"{formula} AS {name}" for name, formula in MARGINS.items()])
+    return (margins.selectExpr("*", "total_cpgp + total_rgp AS total_pgp",
+                               "total_cgp + total_ggp + total_egp AS total_gp")
+            .withColumn("gp_percent", ratio(F.col("total_gp") * 100, F.col("total_pgp"))))
 
 
 def shipment_errors(tracking: DataFrame) -> DataFrame:

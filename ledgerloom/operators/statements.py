@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import lookup, ratio
+from ledgerloom.functions.columns import literal, lookup
 from ledgerloom.functions.months import pivot_years, year_column
 from ledgerloom.model import Model
 from ledgerloom.operators.ledger import account_amounts
@@ -21,28 +21,21 @@ AMOUNT = "decimal(38,1)"
 INCOME, BALANCE = "income", "balance"
 
 
-def _list(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
-
-
-def _grid(m: Model, statement: str, lines: list[str], years: list[int], amount: Column) -> DataFrame:
+def _grid(m: Model, statement: str, lines: list[str], years: list[int], amount: int | None) -> DataFrame:
     """One row per unit, line and year."""
-    return (m.tenant.select("zid", F.explode(_list(lines)).alias("line"))
-            .select("zid", F.lit(statement).alias("statement"), "line",
-                    F.explode(F.array(*[F.lit(y) for y in years])).alias("year"),
-                    amount.cast(AMOUNT).alias("amount")))
+    return (m.tenant.selectExpr("zid", f"explode({literal(lines)}) AS line")
+            .selectExpr("zid", f"{literal(statement)} AS statement", "line",
+                        f"explode({literal(years)}) AS year", f"cast({literal(amount)} AS {AMOUNT}) AS amount"))
 
 
 def _targets(labels: dict[str, str], subtotals: dict[str, list[str]], statement: str,
              always: list[tuple[str, str]]) -> Column:
     """Statement lines that an account of a group enters, by its group name."""
-    def cells(pairs: list[tuple[str, str]]) -> Column:
-        return F.array(*[F.struct(F.lit(s).alias("statement"), F.lit(x).alias("line")) for s, x in pairs])
-
-    known = {group: cells([(statement, line), *[(statement, t) for t in subtotals.get(line, [])], *always])
+    everywhere = [{"statement": s, "line": x} for s, x in always]
+    known = {group: [{"statement": statement, "line": x} for x in (line, *subtotals.get(line, []))] + everywhere
              for group, line in labels.items()}
     found = lookup(F.col("xhrc4"), known)
-    return F.coalesce(found, cells(always)) if always else found
+    return F.coalesce(found, F.expr(literal(everywhere))) if always else found
 
 
 def statement_facts(m: Model, years: list[int], m1: int, m2: int, mode: str = "cumulative") -> DataFrame:
@@ -59,7 +52,7 @@ def statement_facts(m: Model, years: list[int], m1: int, m2: int, mode: str = "c
     entered = F.when(F.col("xacctype").isin("Income", "Expenditure"), income).otherwise(balance)
     rows = accounts.select("zid", F.inline(entered), "year", "amount")
     for statement, lines in ((INCOME, L.INCOME_LINES), (BALANCE, L.BALANCE_LINES)):
-        rows = rows.unionByName(_grid(m, statement, lines, years, F.lit(0)))
+        rows = rows.unionByName(_grid(m, statement, lines, years, 0))
     total = F.sum("amount")
     return rows.groupBy("zid", "statement", "line", "year").agg(
         F.when(F.col("statement") == BALANCE, F.round(total, 0).cast(AMOUNT))
@@ -93,14 +86,14 @@ def cash_flow_lines(m: Model, years: list[int], m1: int, m2: int, mode: str, lay
                     *L.CASH_FLOW_ZERO, L.OPENING_CASH, L.CHANGE, L.ENDING_CASH})
     moved = facts.select("zid", "year", effect.alias("effect")).filter("effect is not null").select(
         "zid", F.inline("effect"), "year")
-    return (moved.unionByName(_grid(m, "", every, years, F.lit(0)).drop("statement"))
+    return (moved.unionByName(_grid(m, "", every, years, 0).drop("statement"))
             .groupBy("zid", "line", "year").agg(F.sum("amount").cast(AMOUNT).alias("amount")))
 
 
 def _report(m: Model, lines: DataFrame, headings: list[str], years: list[int]) -> DataFrame:
     lines = lines.select("zid", "line", "year", "amount")
     if headings:
-        lines = lines.unionByName(_grid(m, "", headings, years, F.lit(None)).drop("statement"))
+        lines = lines.unionByName(_grid(m, "", headings, years, None).drop("statement"))
     return pivot_years(lines, ["zid", "line"], years)
 
 
@@ -130,16 +123,16 @@ def financial_ratios(m: Model, years: list[int], m1: int, m2: int, mode: str = "
     used = sorted({line.lstrip("-") for _, _, n, d in L.RATIOS for line in [*n, *d]})
     name = {line: f"l{i}" for i, line in enumerate(used)}
     wide = both.groupBy("zid", "year").agg(*[
-        F.sum(F.when(F.col("line") == line, F.col("amount"))).alias(name[line]) for line in used])
+        F.expr(f"sum(amount) FILTER (WHERE line = {literal(line)}) AS {name[line]}") for line in used])
 
-    def added(lines: list[str]) -> Column:
-        terms = [-F.col(name[x[1:]]) if x.startswith("-") else F.col(name[x]) for x in lines]
-        return sum(terms[1:], terms[0])
+    def added(lines: list[str]) -> str:
+        return " + ".join(f"(-{name[x[1:]]})" if x.startswith("-") else name[x] for x in lines)
 
-    rows = F.array(*[
-        F.struct(F.lit(i).alias("ratio_no"), F.lit(title).alias("ratio"),
-                 (F.lit(0.0) - ratio(added(num) * factor, added(den))).alias("amount"))
-        for i, (title, factor, num, den) in enumerate(L.RATIOS, start=1)])
-    long = wide.select("zid", "year", F.inline(rows))
+    # subtracting from 0 instead of negating keeps a zero ratio free of a sign
+    cells = ", ".join(
+        f"named_struct('ratio_no', {i}, 'ratio', {literal(title)}, 'amount', 0D - try_divide("
+        f"cast(({added(num)}) * {factor} AS double), cast({added(den)} AS double)))"
+        for i, (title, factor, num, den) in enumerate(L.RATIOS, start=1))
+    long = wide.selectExpr("zid", "year", f"inline(array({cells}))")
     return long.groupBy("zid", "ratio_no", "ratio").agg(*[
         F.max(F.when(F.col("year") == y, F.col("amount"))).alias(year_column(y)) for y in years])

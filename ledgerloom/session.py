@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    # Wide reports build hundreds of columns; a call site for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

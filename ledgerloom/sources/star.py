@@ -7,10 +7,10 @@ aggregates by document, so filters on the result reach the parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import constant_table, lookup
+from ledgerloom.functions.columns import constant_table, literal, lookup
 from ledgerloom.schemas import MONEY
 
 # Business units.
@@ -63,60 +63,61 @@ WEB_STATUS = {
     7: "completed",
 }
 
+SUP, CUS = "'SUP-'", "'CUS-'"
 
-def code(prefix: str | Column, key: str, width: int) -> Column:
+
+def code(prefix: str, key: str, width: int) -> str:
     """Zero-padded code; a longer key is kept whole, never cut."""
-    text = F.col(key).cast("string")
-    head = F.lit(prefix) if isinstance(prefix, str) else prefix
-    return F.concat(head, F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0")))
+    text = f"cast({key} AS string)"
+    return f"concat({prefix}, lpad({text}, greatest({width}, length({text})), '0'))"
 
 
-def unit_of(order_key: str) -> Column:
-    return (F.lit(100001) + F.col(order_key) % 3).cast("int")
+def unit_of(order_key: str) -> str:
+    return f"cast(100001 + {order_key} % 3 AS int)"
 
 
-def in_every_unit(df: DataFrame) -> DataFrame:
-    """Master rows that exist in all units."""
-    return df.withColumn("zid", F.explode(F.array(*[F.lit(z) for z, _ in UNITS])))
+ITEM = code("'IT-'", "p_partkey", 6)
+LINE_ITEM = code("'IT-'", "l_partkey", 6)
+LINE_SUPPLIER = code("'SUP-'", "l_suppkey", 6)
+RETURNED, SHIPPED = "l_returnflag = 'R'", "l_linestatus = 'F'"
+
+# Line items of each document type, in stored columns that a scan can filter.
+TYPES = {
+    "PRE-": f"{RETURNED} AND {SHIPPED}",
+    "SRE-": f"{RETURNED} AND NOT {SHIPPED}",
+    "GRN-": f"NOT {RETURNED} AND {SHIPPED}",
+    "TO--": f"NOT {RETURNED} AND NOT {SHIPPED} AND l_returnflag = 'A'",
+    "CO--": f"NOT {RETURNED} AND NOT {SHIPPED} AND l_returnflag <> 'A'",
+}
+DOC = (f"CASE WHEN {RETURNED} AND {SHIPPED} THEN 'PRE-' WHEN {RETURNED} THEN 'SRE-' WHEN {SHIPPED} THEN 'GRN-' "
+       "WHEN l_returnflag = 'A' THEN 'TO--' ELSE 'CO--' END")
+OPENING = "o_orderstatus = 'P' AND o_orderkey % 4 = 0"
+VOUCHER = code(f"CASE WHEN {OPENING} THEN 'OB--' ELSE 'JV--' END", "o_orderkey", 7)
 
 
-def of_type(prefix: str) -> Column:
-    """Line items of one document type, in stored columns that a scan can filter."""
-    returned, shipped = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
-    return {
-        "PRE-": returned & shipped,
-        "SRE-": returned & ~shipped,
-        "GRN-": ~returned & shipped,
-        "TO--": ~returned & ~shipped & (F.col("l_returnflag") == "A"),
-        "CO--": ~returned & ~shipped & (F.col("l_returnflag") != "A"),
-    }[prefix]
+def account(number: str, leading_zero: str) -> str:
+    return f"concat(CASE WHEN {leading_zero} THEN '0' ELSE '' END, cast(4010000 + {number} AS string))"
+
+
+def share(factor: str) -> str:
+    return f"cast(xval * {factor} AS {MONEY})"
+
+
+def in_every_unit(df: DataFrame) -> DataFrame:
+    """Master rows that exist in all units."""
+    return df.selectExpr("*", f"explode({literal([z for z, _ in UNITS])}) AS zid")
 
 
 def movements(lineitem: DataFrame) -> DataFrame:
     """Stock movements of line items; also works on a stream."""
-    returned, shipped = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
-    doc = (F.when(returned & shipped, "PRE-").when(returned, "SRE-").when(shipped, "GRN-")
-           .when(F.col("l_returnflag") == "A", "TO--").otherwise("CO--"))
-    room = F.when(F.col("l_suppkey") % 2 == 0, "Main ").otherwise("Annex ")
-    return lineitem.select(
-        unit_of("l_orderkey").alias("zid"),
-        code("IT-", "l_partkey", 6).alias("xitem"),
-        F.col("l_shipdate").cast("date").alias("xdate"),
-        code(doc, "l_orderkey", 7).alias("xdocnum"),
-        F.col("l_linenumber").cast("int").alias("xline"),
-        code("SUP-", "l_suppkey", 6).alias("xsup"),
-        F.when(doc.isin("GRN-", "SRE-"), 1).otherwise(-1).alias("xsign"),
-        F.col("l_quantity").cast(MONEY).alias("xqty"),
-        F.col("l_extendedprice").cast(MONEY).alias("xval"),
-        F.col("l_discount").cast("decimal(4,2)").alias("xdisc"),
-        F.concat(room, (F.col("l_orderkey") % 3).cast("string")).alias("xwh"),
-        F.year("l_shipdate").alias("xyear"),
-        F.month("l_shipdate").alias("xper"),
-    )
-
-
-def _share(factor: Column) -> Column:
-    return (F.col("xval") * factor).cast(MONEY)
+    return lineitem.selectExpr(
+        f"{unit_of('l_orderkey')} AS zid", f"{LINE_ITEM} AS xitem", "cast(l_shipdate AS date) AS xdate",
+        f"{code(DOC, 'l_orderkey', 7)} AS xdocnum", "cast(l_linenumber AS int) AS xline",
+        f"{LINE_SUPPLIER} AS xsup", f"CASE WHEN {DOC} IN ('GRN-', 'SRE-') THEN 1 ELSE -1 END AS xsign",
+        f"cast(l_quantity AS {MONEY}) AS xqty", f"cast(l_extendedprice AS {MONEY}) AS xval",
+        "cast(l_discount AS decimal(4,2)) AS xdisc",
+        "concat(CASE WHEN l_suppkey % 2 = 0 THEN 'Main ' ELSE 'Annex ' END, cast(l_orderkey % 3 AS string)) AS xwh",
+        "year(l_shipdate) AS xyear", "month(l_shipdate) AS xper")
 
 
 class Star:
@@ -124,9 +125,12 @@ class Star:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._files: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._files[name]
 
     def tenant(self) -> DataFrame:
         return constant_table(self.spark, "zid int, name string", UNITS)
@@ -140,70 +144,59 @@ class Star:
     def imtrn(self) -> DataFrame:
         return movements(self.read("lineitem"))
 
-    def _lines(self, prefix: str) -> DataFrame:
-        return movements(self.read("lineitem").filter(of_type(prefix)))
+    def _lines(self, prefix: str, *columns: str) -> DataFrame:
+        return movements(self.read("lineitem").filter(TYPES[prefix])).selectExpr("zid", *columns)
 
     def caitem(self) -> DataFrame:
-        markup = (F.when(F.col("zid") == 100001, F.col("p_partkey") % 7)
-                  .when(F.col("zid") == 100003, F.col("p_partkey") % 5).otherwise(0))
-        return in_every_unit(self.read("part")).select(
-            "zid", code("IT-", "p_partkey", 6).alias("xitem"), F.col("p_name").alias("xdesc"),
-            F.col("p_type").alias("xgitem"), F.col("p_brand").alias("xbrand"),
-            (F.col("p_retailprice").cast(MONEY) + markup.cast(MONEY)).cast("decimal(19,2)").alias("xstdprice"))
+        markup = "CASE zid WHEN 100001 THEN p_partkey % 7 WHEN 100003 THEN p_partkey % 5 ELSE 0 END"
+        return in_every_unit(self.read("part")).selectExpr(
+            "zid", f"{ITEM} AS xitem", "p_name AS xdesc", "p_type AS xgitem", "p_brand AS xbrand",
+            f"cast(cast(p_retailprice AS {MONEY}) + cast({markup} AS {MONEY}) AS decimal(19,2)) AS xstdprice")
 
     def pogdt(self) -> DataFrame:
-        return self._lines("GRN-").select("zid", F.col("xdocnum").alias("xgrnnum"), "xitem", "xqty")
+        return self._lines("GRN-", "xdocnum AS xgrnnum", "xitem", "xqty")
 
     def pogrn(self) -> DataFrame:
-        return (self._lines("GRN-").groupBy("zid", F.col("xdocnum").alias("xgrnnum"))
+        return (self._lines("GRN-", "xdocnum AS xgrnnum", "xsup", "xdate").groupBy("zid", "xgrnnum")
                 .agg(F.max("xsup").alias("xsup"), F.min("xdate").alias("xdate"))
-                .withColumn("xpornum", F.concat(F.lit("IP--"), F.expr("substr(xgrnnum, 5)"))))
+                .selectExpr("*", "concat('IP--', substr(xgrnnum, 5)) AS xpornum"))
 
     def poord(self) -> DataFrame:
-        return self.pogrn().select("zid", "xpornum", "xsup", "xdate",
-                                   F.lit("5-Received").alias("xstatuspor"))
+        return self.pogrn().selectExpr("zid", "xpornum", "xsup", "xdate", "'5-Received' AS xstatuspor")
 
     def poodt(self) -> DataFrame:
-        return self._lines("GRN-").select(
-            "zid", F.concat(F.lit("IP--"), F.expr("substr(xdocnum, 5)")).alias("xpornum"), "xitem",
-            F.col("xqty").alias("xqtyord"), _share(F.lit(0.04).cast("decimal(2,2)")).alias("xrate"))
+        return self._lines("GRN-", "concat('IP--', substr(xdocnum, 5)) AS xpornum", "xitem",
+                           "xqty AS xqtyord", f"{share('0.04')} AS xrate")
 
     def opodt(self) -> DataFrame:
-        full = F.lit(1) + F.col("xdisc")
-        return self._lines("CO--").select(
-            "zid", F.col("xdocnum").alias("xordernum"), "xitem", F.col("xqty").alias("xqtyord"),
-            _share(full).alias("xlineamt"), _share(full).alias("xdtwotax"),
-            _share(F.col("xdisc")).alias("xdtdisc"))
+        return self._lines("CO--", "xdocnum AS xordernum", "xitem", "xqty AS xqtyord",
+                           f"{share('(1 + xdisc)')} AS xlineamt", f"{share('(1 + xdisc)')} AS xdtwotax",
+                           f"{share('xdisc')} AS xdtdisc")
 
     def opord(self) -> DataFrame:
-        return (self._lines("CO--").groupBy("zid", F.col("xdocnum").alias("xordernum"))
+        return (self._lines("CO--", "xdocnum AS xordernum", "xdate").groupBy("zid", "xordernum")
                 .agg(F.min("xdate").alias("xdate")))
 
     def imtdt(self) -> DataFrame:
-        return self._lines("TO--").select(
-            "zid", F.col("xdocnum").alias("ximtor"), "xitem",
-            _share(F.lit(1) + F.col("xdisc")).alias("xdtwotax"))
+        return self._lines("TO--", "xdocnum AS ximtor", "xitem", f"{share('(1 + xdisc)')} AS xdtwotax")
 
     def imtor(self) -> DataFrame:
         return self.imtdt().select("zid", "ximtor").distinct()
 
     def imtemptdt(self) -> DataFrame:
-        return self._lines("SRE-").select(
-            "zid", F.col("xdocnum").alias("ximtrnnum"), "xitem",
-            _share(F.lit(0.04).cast("decimal(2,2)")).alias("xrate"))
+        return self._lines("SRE-", "xdocnum AS ximtrnnum", "xitem", f"{share('0.04')} AS xrate")
 
     def imtemptrn(self) -> DataFrame:
-        return self.imtemptdt().select("zid", F.col("ximtrnnum").alias("ximtmptrn")).distinct()
+        return self.imtemptdt().selectExpr("zid", "ximtrnnum AS ximtmptrn").distinct()
 
     def casup(self) -> DataFrame:
-        return in_every_unit(self.read("supplier")).select(
-            "zid", code("SUP-", "s_suppkey", 6).alias("xsup"), F.col("s_name").alias("xshort"),
-            F.concat(F.lit("0"), F.col("s_suppkey").cast("string")).alias("xphone"))
+        return in_every_unit(self.read("supplier")).selectExpr(
+            "zid", f"{code(SUP, 's_suppkey', 6)} AS xsup", "s_name AS xshort",
+            "concat('0', cast(s_suppkey AS string)) AS xphone")
 
     def credit_suppliers(self) -> DataFrame:
         """Suppliers that deliver on credit: the ones with a positive balance."""
-        return (self.read("supplier").filter(F.col("s_acctbal") > 0)
-                .select(code("SUP-", "s_suppkey", 6).alias("xsup")))
+        return self.read("supplier").filter("s_acctbal > 0").selectExpr(f"{code(SUP, 's_suppkey', 6)} AS xsup")
 
     def _places(self) -> DataFrame:
         # nation has 25 rows and region 5 at every scale
@@ -213,109 +206,83 @@ class Star:
     def cacus(self) -> DataFrame:
         placed = self.read("customer").join(
             F.broadcast(self._places()), F.col("c_nationkey") == F.col("n_nationkey"))
-        return in_every_unit(placed).select(
-            "zid", code("CUS-", "c_custkey", 6).alias("xcus"), F.col("c_name").alias("xshort"),
-            F.col("c_mktsegment").alias("xadd2"), F.col("n_name").alias("xcity"),
-            F.col("r_name").alias("xstate"))
+        return in_every_unit(placed).selectExpr(
+            "zid", f"{code(CUS, 'c_custkey', 6)} AS xcus", "c_name AS xshort", "c_mktsegment AS xadd2",
+            "n_name AS xcity", "r_name AS xstate")
 
     def glmst(self) -> DataFrame:
-        group = lookup(F.col("n_nationkey"), {n: g for n, _, g in ACCOUNTS})
-        kind = lookup(F.col("n_nationkey"), {n: t for n, t, _ in ACCOUNTS})
-        flow = F.coalesce(
-            lookup(F.col("r_name"), {"AFRICA": "Operating", "AMERICA": "Operating Investment",
-                                     "ASIA": "Investing"}), F.lit("Financing"))
-        return in_every_unit(self._places()).select(
-            "zid", _account("n_nationkey", F.col("zid") == 100001).alias("xacc"),
-            F.col("n_name").alias("xdesc"), kind.alias("xacctype"),
-            F.concat(F.lit("H1-"), kind).alias("xhrc1"), group.alias("xhrc2"),
-            flow.alias("xhrc3"), group.alias("xhrc4"))
+        named = in_every_unit(self._places()).withColumns({
+            "xacctype": lookup(F.col("n_nationkey"), {n: t for n, t, _ in ACCOUNTS}),
+            "xhrc4": lookup(F.col("n_nationkey"), {n: g for n, _, g in ACCOUNTS}),
+        })
+        return named.selectExpr(
+            "zid", f"{account('n_nationkey', 'zid = 100001')} AS xacc", "n_name AS xdesc", "xacctype",
+            "concat('H1-', xacctype) AS xhrc1", "xhrc4 AS xhrc2",
+            "CASE r_name WHEN 'AFRICA' THEN 'Operating' WHEN 'AMERICA' THEN 'Operating Investment' "
+            "WHEN 'ASIA' THEN 'Investing' ELSE 'Financing' END AS xhrc3", "xhrc4")
 
     def glheader(self) -> DataFrame:
-        return self.read("orders").select(
-            unit_of("o_orderkey").alias("zid"), _voucher().alias("xvoucher"),
-            F.col("o_orderdate").cast("date").alias("xdate"), F.year("o_orderdate").alias("xyear"),
-            F.when(_opening(), 0).otherwise(F.month("o_orderdate")).alias("xper"))
+        return self.read("orders").selectExpr(
+            f"{unit_of('o_orderkey')} AS zid", f"{VOUCHER} AS xvoucher", "cast(o_orderdate AS date) AS xdate",
+            "year(o_orderdate) AS xyear", f"CASE WHEN {OPENING} THEN 0 ELSE month(o_orderdate) END AS xper")
 
     def gldetail(self) -> DataFrame:
         lines = (self.read("lineitem")
                  .join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
                  .join(self.read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
                  .join(self.read("customer"), F.col("o_custkey") == F.col("c_custkey")))
-        partner = (F.when(F.col("l_linestatus") == "F", code("SUP-", "l_suppkey", 6))
-                   .otherwise(code("CUS-", "o_custkey", 6)))
-        sign = F.when((F.col("s_nationkey") % 5).isin(0, 3), -1).otherwise(1)
-        return lines.select(
-            unit_of("o_orderkey").alias("zid"), _voucher().alias("xvoucher"),
-            _account("s_nationkey", F.col("o_orderkey") % 3 == 0).alias("xacc"),
-            F.col("c_mktsegment").alias("xproj"), partner.alias("xsub"),
-            (F.col("l_extendedprice").cast(MONEY) * sign).alias("xprime"))
+        partner = f"CASE WHEN {SHIPPED} THEN {LINE_SUPPLIER} ELSE {code(CUS, 'o_custkey', 6)} END"
+        sign = "CASE WHEN s_nationkey % 5 IN (0, 3) THEN -1 ELSE 1 END"
+        return lines.selectExpr(
+            f"{unit_of('o_orderkey')} AS zid", f"{VOUCHER} AS xvoucher",
+            f"{account('s_nationkey', 'o_orderkey % 3 = 0')} AS xacc", "c_mktsegment AS xproj",
+            f"{partner} AS xsub", f"cast(l_extendedprice AS {MONEY}) * {sign} AS xprime")
 
     def web_orders(self) -> DataFrame:
-        status = lookup((F.col("o_orderkey") % 8).cast("int"), WEB_STATUS)
-        created = F.col("o_orderdate")
-        done = F.when((F.col("o_orderkey") % 8 == 7) & (F.col("o_orderkey") % 5 != 0),
-                      F.date_add(created.cast("date"), (F.col("o_orderkey") % 12).cast("int")))
-        return self.read("orders").select(
-            F.col("o_orderkey").alias("id"), status.alias("status"),
-            created.alias("date_created"), done.alias("date_completed"),
-            F.coalesce(done, F.date_add(created.cast("date"), 1)).alias("date_modified"),
-            F.col("o_totalprice").cast(MONEY).alias("total"))
+        named = self.read("orders").withColumn(
+            "status", lookup(F.expr("cast(o_orderkey % 8 AS int)"), WEB_STATUS))
+        done = ("CASE WHEN o_orderkey % 8 = 7 AND o_orderkey % 5 <> 0 "
+                "THEN date_add(cast(o_orderdate AS date), cast(o_orderkey % 12 AS int)) END")
+        return named.selectExpr(
+            "o_orderkey AS id", "status", "o_orderdate AS date_created", f"{done} AS date_completed",
+            f"coalesce({done}, date_add(cast(o_orderdate AS date), 1)) AS date_modified",
+            f"cast(o_totalprice AS {MONEY}) AS total")
 
     def web_order_documents(self) -> DataFrame:
         """Nested order documents.  A page may carry part of an order, so each
         document holds one line: no task gathers the lines of a large order."""
-        lines = self.read("lineitem").select(
-            F.col("l_orderkey").alias("id"),
-            F.array(F.struct(F.col("l_partkey").alias("id"), F.lit(None).cast("string").alias("name"),
-                             code("IT-", "l_partkey", 6).alias("sku"))).alias("line_items"))
+        lines = self.read("lineitem").selectExpr(
+            "l_orderkey AS id",
+            "array(named_struct('id', l_partkey, 'name', cast(NULL AS string), "
+            f"'sku', {LINE_ITEM})) AS line_items")
         return lines.join(self.web_orders(), "id")
 
     def web_products(self) -> DataFrame:
-        price = F.col("p_retailprice").cast(MONEY) + (F.col("p_partkey") % 4).cast(MONEY)
-        place = lookup((F.col("p_partkey") % 3).cast("int"), {0: "", 1: "inhouse", 2: "nearby"})
-        return self.read("part").select(
-            F.col("p_partkey").alias("id"),
-            F.when(F.col("p_partkey") % 53 == 0, "").otherwise(code("IT-", "p_partkey", 6)).alias("sku"),
-            F.when(F.col("p_partkey") % 17 == 0, "").otherwise(price.cast("string")).alias("regular_price"),
-            place.alias("shipping_class"))
+        price = f"cast(p_retailprice AS {MONEY}) + cast(p_partkey % 4 AS {MONEY})"
+        return self.read("part").selectExpr(
+            "p_partkey AS id", f"CASE WHEN p_partkey % 53 = 0 THEN '' ELSE {ITEM} END AS sku",
+            f"CASE WHEN p_partkey % 17 = 0 THEN '' ELSE cast({price} AS string) END AS regular_price",
+            "CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'inhouse' ELSE 'nearby' END AS shipping_class")
 
     def catalog_sheet(self) -> DataFrame:
         """A sheet with every part: known codes to update, bare prefixes to number."""
-        item = (F.when(F.col("p_partkey") % 2 == 0, code("IT-", "p_partkey", 6))
-                .when(F.col("p_partkey") % 3 == 0, "IT-").otherwise("NB-"))
-        return self.read("part").select(
-            F.lit(100002).alias("zid"), item.alias("xitem"),
-            F.concat(F.lit("new "), F.col("p_name")).alias("xdesc"), F.col("p_type").alias("xgitem"),
-            (F.col("p_retailprice").cast(MONEY) + F.lit(1)).cast("decimal(19,2)").alias("xstdprice"),
-            F.concat(F.lit("U"), (F.col("p_size") % 5).cast("string")).alias("xeccrange"),
-            F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("V"), F.col("p_size").cast("string"))).alias("xrandom"),
-            F.lit("N1").alias("xnameonly"), F.col("p_brand").alias("xbrand"),
-            F.split_part("p_name", F.lit(" "), F.lit(1)).alias("xcolor"),
-            F.col("p_type").alias("xmaterial"), F.col("p_partkey").alias("row_id"))
+        return self.read("part").selectExpr(
+            "100002 AS zid",
+            f"CASE WHEN p_partkey % 2 = 0 THEN {ITEM} WHEN p_partkey % 3 = 0 THEN 'IT-' ELSE 'NB-' END AS xitem",
+            "concat('new ', p_name) AS xdesc", "p_type AS xgitem",
+            f"cast(cast(p_retailprice AS {MONEY}) + 1 AS decimal(19,2)) AS xstdprice",
+            "concat('U', cast(p_size % 5 AS string)) AS xeccrange",
+            "CASE WHEN p_size % 3 = 0 THEN concat('V', cast(p_size AS string)) END AS xrandom",
+            "'N1' AS xnameonly", "p_brand AS xbrand", "split_part(p_name, ' ', 1) AS xcolor",
+            "p_type AS xmaterial", "p_partkey AS row_id")
 
     def xcodes(self) -> DataFrame:
         part = self.read("part")
-        brands = part.filter("p_size < 2").select(
-            F.lit("Brand").alias("xtype"), F.col("p_brand").alias("xcode"))
-        materials = part.filter("p_type <> 'PROMO'").select(
-            F.lit("Material").alias("xtype"), F.col("p_type").alias("xcode"))
-        return brands.union(materials).distinct().select(F.lit(100002).alias("zid"), "xtype", "xcode")
+        brands = part.filter("p_size < 2").selectExpr("'Brand' AS xtype", "p_brand AS xcode")
+        materials = part.filter("p_type <> 'PROMO'").selectExpr("'Material' AS xtype", "p_type AS xcode")
+        return brands.union(materials).distinct().selectExpr("100002 AS zid", "xtype", "xcode")
 
     def count_history(self) -> DataFrame:
         """Items counted before: the small ones."""
-        return in_every_unit(self.read("part").filter("p_size <= 5")).select(
-            F.lit("2001-04-01").cast("date").alias("quarter_start"), "zid",
-            code("IT-", "p_partkey", 6).alias("xitem"))
-
-
-def _opening() -> Column:
-    return (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 4 == 0)
-
-
-def _voucher() -> Column:
-    return code(F.when(_opening(), "OB--").otherwise("JV--"), "o_orderkey", 7)
-
-
-def _account(number: str, leading_zero: Column) -> Column:
-    return F.concat(F.when(leading_zero, "0").otherwise(""),
-                    (F.lit(4010000) + F.col(number)).cast("string"))
+        return in_every_unit(self.read("part").filter("p_size <= 5")).selectExpr(
+            "DATE '2001-04-01' AS quarter_start", "zid", f"{ITEM} AS xitem")
