@@ -7,22 +7,23 @@ A, B = (f"DATE '{d}'" for d in P.profit_window)
 FIRST = "DATE '1995-01-01'"
 
 
+def pairs(lines: str, doc: str, amounts: str, headers: str, header: str, text: str, a: str, b: str) -> str:
+    """Movements joined with document lines, then with header and item."""
+    return f"""SELECT p.*, c.xdesc, c.xgitem FROM (WITH paired AS MATERIALIZED (
+            SELECT i.zid, i.xdocnum, i.xitem, i.xqty * i.xsign AS qty, i.xval * i.xsign AS totalvalue, {amounts}
+            FROM (SELECT * FROM imtrn WHERE contains(xdocnum, '{text}') AND xdate BETWEEN {a} AND {b}) i
+            JOIN {lines} d ON d.zid = i.zid AND d.{doc} = i.xdocnum AND d.xitem = i.xitem) SELECT * FROM paired) p
+        JOIN caitem c ON c.zid = p.zid AND c.xitem = p.xitem
+        JOIN {headers} o ON o.zid = p.zid AND o.{header} = p.xdocnum"""
+
+
 def sales(a: str, b: str) -> str:
-    return f"""SELECT i.zid, i.xdocnum, i.xitem, c.xdesc, c.xgitem, i.xqty * i.xsign AS qty, i.xval * i.xsign AS totalvalue,
-        d.xlineamt, d.xdtwotax - d.xdtdisc AS xdtwotax
-        FROM caitem c JOIN imtrn i ON i.zid = c.zid AND i.xitem = c.xitem
-        JOIN opodt d ON d.zid = i.zid AND d.xordernum = i.xdocnum AND d.xitem = i.xitem
-        JOIN opord o ON o.zid = i.zid AND o.xordernum = i.xdocnum
-        WHERE contains(i.xdocnum, 'CO--') AND i.xdate BETWEEN {a} AND {b}"""
+    return pairs("opodt", "xordernum", "d.xlineamt, d.xdtwotax - d.xdtdisc AS xdtwotax", "opord", "xordernum",
+                 "CO--", a, b)
 
 
 def transfers(a: str, b: str) -> str:
-    return f"""SELECT i.zid, i.xdocnum, i.xitem, c.xdesc, c.xgitem, i.xqty * i.xsign AS qty, i.xval * i.xsign AS totalvalue,
-        d.xdtwotax AS xlineamt
-        FROM caitem c JOIN imtrn i ON i.zid = c.zid AND i.xitem = c.xitem
-        JOIN imtdt d ON d.zid = i.zid AND d.ximtor = i.xdocnum AND d.xitem = i.xitem
-        JOIN imtor o ON o.zid = i.zid AND o.ximtor = i.xdocnum
-        WHERE contains(i.xdocnum, 'TO--') AND i.xdate BETWEEN {a} AND {b}"""
+    return pairs("imtdt", "ximtor", "d.xdtwotax AS xlineamt", "imtor", "ximtor", "TO--", a, b)
 
 
 def returns(a: str, b: str) -> str:

@@ -10,6 +10,7 @@ import duckdb
 
 def oracle_connection(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    con.execute("SET max_temp_directory_size = '2GB'")
     for file in sorted(Path(folder).glob("*.parquet")):
         con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
     return con
