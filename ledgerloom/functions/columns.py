@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def signed_qty() -> Column:
     """Quantity with its direction: receipts add, issues subtract."""
     return F.col("xqty") * F.col("xsign")

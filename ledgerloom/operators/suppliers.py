@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import days_before, doc_is, rate, signed_qty
 from ledgerloom.model import CENTRAL, STORE, Model
 from ledgerloom.operators.purchasing import supplier_last_receipt
-from ledgerloom.operators.stock import KEY, inventory_balance, last_movement, of_unit
+from ledgerloom.operators.stock import inventory_balance, last_movement, of_unit
 
 CREDIT_DAYS, REST_DAYS = 60, 30
 

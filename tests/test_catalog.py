@@ -7,8 +7,6 @@ from hypothesis import strategies as st
 from ledgerloom.functions.numbering import dense_numbers
 from ledgerloom.operators import catalog
 
-ITEMS = "zid int, xitem string, xdesc string, xgitem string, xbrand string, xstdprice decimal(18,2)"
-
 
 def items(spark, *codes):
     return spark.createDataFrame([(1, c, "old", "G", "B", 5) for c in codes],
