@@ -125,9 +125,12 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
         ("candidate", CANDIDATE, _spans(F.col("__text"), CANDIDATE, lambda s: ~s["value"].rlike(ALLOWED))),
     ):
         step = step.withColumn(f"__{name}", F.when(F.col("__text").rlike(test), spans).otherwise(_empty_spans()))
-    kinds = {kind: F.transform(F.col(f"__{kind}"), lambda s, k=i: F.struct(
-        s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end"))) for i, kind in enumerate(KINDS[:3])}
-    step = step.withColumn("__base", F.array_sort(F.concat(*kinds.values())))
+
+    def ranked(kind):
+        rank = F.lit(KINDS.index(kind)).alias("rank")
+        return F.transform(F.col(f"__{kind}"), lambda s: F.struct(s["start"].alias("start"), rank, s["end"].alias("end")))
+
+    step = step.withColumn("__base", F.array_sort(F.concat(*map(ranked, KINDS[:3]))))
     raised = F.filter(
         F.transform(F.col("__candidate"), lambda s: F.struct(s["start"].alias("start"), high_entropy_span(s["value"]).alias("high"))),
         lambda s: s["high"]["first"].isNotNull())
