@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +40,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the session was started from."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if getattr(context, "_ledgerloom_shipped", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-code-"), "ledgerloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(archive)
+    context._ledgerloom_shipped = True
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import secret_scan, urls
+from . import quality, secret_scan, urls
 
-MODULES = [urls, secret_scan]
+MODULES = [urls, secret_scan, quality]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
