@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import quality, secret_scan, simhash, urls
+from . import bpe, quality, secret_scan, simhash, urls
 
-MODULES = [urls, secret_scan, quality, simhash]
+MODULES = [urls, secret_scan, quality, simhash, bpe]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
