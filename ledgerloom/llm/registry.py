@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, quality, secret_scan, simhash, urls
+from . import bpe, chat, quality, secret_scan, simhash, urls, weighted
 
-MODULES = [urls, secret_scan, quality, simhash, bpe]
+MODULES = [urls, secret_scan, quality, simhash, bpe, chat, weighted]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
