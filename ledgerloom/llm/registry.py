@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, quality, secret_scan, simhash, toxicity, urls, weighted
+from . import bpe, chat, licenses, mixing, quality, secret_scan, simhash, toxicity, urls, weighted
 
-MODULES = [urls, secret_scan, quality, simhash, bpe, chat, weighted, toxicity]
+MODULES = [urls, secret_scan, quality, simhash, bpe, chat, weighted, toxicity, mixing, licenses]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -106,8 +106,8 @@ def high_entropy_span(value: Column, window: int = WINDOW) -> Column:
     return F.aggregate(steps, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
-def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``secrets``: (start, end, kind) of every span, by start and then kind.
+def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
+    """``docs`` with a column ``into``: (start, end, kind) of every span, by start and then kind.
 
     Places are code points, the end exclusive.  Kinds ``assign``, ``access``
     and ``hex`` follow the base patterns; ``entropy`` spans are the parts of a
@@ -144,12 +144,12 @@ def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     names = F.array(*[F.lit(k) for k in KINDS])
     every = F.transform(F.array_sort(F.concat("__base", "__raised")), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), F.element_at(names, s["rank"] + 1).alias("kind")))
-    return step.withColumn("secrets", every).drop(
+    return step.withColumn(into, every).drop(
         "__text", "__base", "__raised", "__assign", "__access", "__hex", "__candidate")
 
 
-def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span of ``secrets`` replaced by ``mask``; overlapping spans become one.
+def redact(docs: DataFrame, text: str = "text", spans: str = "secrets", mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span of ``spans`` replaced by ``mask``; overlapping spans become one.
 
     The text is put together from the gaps, so spans are never searched again.
     """
@@ -163,9 +163,9 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]") -> DataF
         parts = F.when(fresh, F.concat(state["parts"], F.array(gap, F.lit(mask)))).otherwise(state["parts"])
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), parts.alias("parts"))
 
-    clean = F.aggregate(F.col("secrets"), start, step, lambda s: F.concat(
+    clean = F.aggregate(F.col(spans), start, step, lambda s: F.concat(
         F.array_join(s["parts"], ""), F.substring(body, s["at"].cast("int") + 1, F.length(body))))
-    return docs.withColumn(text, F.when(F.size("secrets") > 0, clean).otherwise(body))
+    return docs.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(body))
 
 
 def _joined(spans: Column) -> Column:
