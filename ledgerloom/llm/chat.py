@@ -32,23 +32,34 @@ def _steps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     the deepest path.  A parent that is missing makes its child a root; nodes
     whose parents form a circle have no root and get no depth.
     """
-    known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
-    state = nodes.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n")), "left")
-    state = cut_lineage(state.select("tree", "node", F.col("n").alias("up"), F.col("score").alias("total"),
-                                     F.lit(1).cast("long").alias("depth")))
-    tables: list[DataFrame] = []
-    open_nodes = state.where("up IS NOT NULL").count()
+    def up(rows: DataFrame, others: DataFrame, *more) -> DataFrame:
+        """Left join of ``rows`` with the node they point at."""
+        named = others.select(F.col("tree").alias("t"), F.col("node").alias("n"), *more)
+        return rows.join(named, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
+
+    start = nodes.select("tree", "node", F.col("parent").alias("up"), F.col("score").alias("total"),
+                         F.lit(1).cast("long").alias("depth"))
+    state = cut_lineage(up(start, nodes).select("tree", "node", F.col("n").alias("up"), "total", "depth"))
     longest = state.count()
-    while open_nodes and 2 ** len(tables) <= longest:
-        tables.append(state.where("up IS NOT NULL").select("tree", "node", "up"))
-        above = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("further"),
-                             F.col("total").alias("more"), F.col("depth").alias("deeper"))
-        state = cut_lineage(state.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left").select(
+    done, climbing = [state.where("up IS NULL")], state.where("up IS NOT NULL")
+    tables: list[DataFrame] = []
+    # Only nodes whose root is not yet reached go on.
+    while not climbing.isEmpty() and 2 ** len(tables) <= longest:
+        tables.append(climbing.select("tree", "node", "up"))
+        reached = climbing
+        for part in done:
+            reached = reached.unionByName(part)
+        moved = cut_lineage(up(climbing, reached, F.col("up").alias("further"), F.col("total").alias("more"),
+                               F.col("depth").alias("deeper")).select(
             "tree", "node", F.col("further").alias("up"),
             (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
             (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth")))
-        open_nodes = state.where("up IS NOT NULL").count()
-    return tables, state.where("up IS NULL").select("tree", "node", "total", "depth")
+        done.append(moved.where("up IS NULL"))
+        climbing = moved.where("up IS NOT NULL")
+    ways = done[0]
+    for part in done[1:]:
+        ways = ways.unionByName(part)
+    return tables, ways.select("tree", "node", "total", "depth")
 
 
 def reply_paths(messages: DataFrame, best: int = 1) -> DataFrame:
