@@ -2,28 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Ranges a numbering is cut into; each holds about this part of the rows.
+RANGES = 512
+STEP = 16
+
+
+def _cuts(df: DataFrame, key: str, ranges: int) -> list[int]:
+    """At most ``ranges`` - 1 keys that part the rows evenly, whatever gaps the keys have."""
+    points = [i / ranges for i in range(1, ranges)]
+    found = df.agg(F.percentile_approx(key, points, 10 * ranges)).first()[0]
+    return sorted(set(found or []))
+
+
+def _range_of(key: Column, cuts: list[int]) -> Column:
+    """Number of cuts below ``key``, found among every ``STEP``-th cut and then within one step."""
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda c: c < key))
+
+    if not cuts:
+        return F.lit(0)
+    steps = [cuts[i:i + STEP] for i in range(0, len(cuts), STEP)]
+    coarse = below(F.array(*[F.lit(s[-1]) for s in steps]))
+    inside = F.get(F.array(*[F.array(*map(F.lit, s)) for s in steps]), coarse)
+    return coarse * STEP + F.coalesce(below(inside), F.lit(0))
+
 
 def dense_numbers(df: DataFrame, key: str, by: tuple[str, ...] = (),
-                  out: str = "rn", width: int = 65536) -> DataFrame:
+                  out: str = "rn", ranges: int = RANGES) -> DataFrame:
     """Number the rows of each ``by`` group 1..n in the order of ``key``.
 
-    ``key`` is a unique integer.  Rows are cut into ranges of ``width`` keys, so
-    no task sorts more than ``width`` rows; the start of each range is a running
-    sum over one count per range (rows / width values, not rows).  The ranges
-    follow from the key alone, so a recomputed partition numbers identically.
+    ``key`` is a unique integer.  Rows are cut into ranges of keys by quantiles,
+    so a task sorts about rows / ``ranges`` of them, also where keys lie far
+    apart or crowd together.  A range starts after the counts of the ranges
+    below it: ``ranges`` numbers for each group, and no more when all rows
+    are one group.  The cuts are taken once, so a recomputed partition numbers
+    identically.
     """
-    bucket = F.floor(F.col(key) / F.lit(width)).cast("bigint")
-    ranged = df.withColumn("_bucket", bucket)
+    ranged = df.withColumn("_bucket", _range_of(F.col(key), _cuts(df, key, ranges)))
     counts = ranged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # A constant partition key: the counts of an ungrouped numbering are one list.
-    part = list(by) or [F.lit(0)]
-    before = (Window.partitionBy(*part).orderBy("_bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select(
-        *by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    if by:
+        before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counts.select(*by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    else:
+        listed = counts.agg(F.collect_list(F.struct("_bucket", "_n")).alias("all"))
+        starts = listed.select(F.inline(F.transform("all", lambda x: F.struct(
+            x["_bucket"].alias("_bucket"),
+            F.aggregate(F.filter("all", lambda y: y["_bucket"] < x["_bucket"]), F.lit(0).cast("bigint"),
+                        lambda s, y: s + y["_n"]).alias("_start")))))
     inside = Window.partitionBy(*by, "_bucket").orderBy(key)
     joined = ranged.join(starts, [*by, "_bucket"])
     return (joined.withColumn(out, (F.col("_start") + F.row_number().over(inside)).cast("bigint"))

@@ -31,15 +31,17 @@ def count_pool(m: Model, counted: DataFrame, n: int = POOL_SIZE) -> DataFrame:
     return first_per_unit(named, n, F.desc("stockvalue"), "xitem", "xwh")
 
 
-def count_picks(pool: DataFrame, k: int = PICKS, seed: int = 0) -> DataFrame:
-    """k rows of each unit, drawn without replacement.
+def count_picks(pool: DataFrame, k: int = PICKS, seed: int = 0, units: DataFrame | None = None) -> DataFrame:
+    """k rows of each unit, or of each of the chosen ``units``, drawn without replacement.
 
     The chance follows the stock value, negative values counting as 0: with
     u uniform and w the weight, the k smallest ``-ln(u) / w`` are such a draw.
     Rows of weight 0 come after all others in a uniform order, so they are
     drawn only when nothing of value is left.
     """
-    bits = seeded_hash(seed, F.col("xitem"), F.col("xwh"))
+    bits = seeded_hash(seed, F.col("zid"), F.col("xitem"), F.col("xwh"))
+    if units is not None:
+        pool = pool.join(units.select("zid"), "zid", "left_semi")
     u = (bits + 1).cast("double") / F.lit(2.0 ** 32 + 1)
     weight = F.greatest(F.col("stockvalue"), F.lit(0)).cast("double")
     keyed = pool.withColumns({"_bits": bits, "_key": F.try_divide(-F.log(u), weight)})
@@ -56,7 +58,7 @@ def count_history(history: DataFrame, picks: DataFrame, on: date) -> DataFrame:
 def choose_units(pool: DataFrame, k: int = 1, seed: int = 0) -> DataFrame:
     """k units drawn evenly among those that have something to count."""
     return (pool.select("zid").distinct()
-            .orderBy(seeded_hash(seed, F.col("zid")), "zid").limit(k))
+            .orderBy(seeded_hash(seed, F.lit("unit"), F.col("zid")), "zid").limit(k))
 
 
 def working_days(calendar: DataFrame, days_off: tuple[str, ...] = DAYS_OFF,

@@ -31,6 +31,12 @@ def _moved(m: Model, text: str, a: date, b: date) -> DataFrame:
                  F.sum("xqty").alias("raw_qty"), F.count(F.lit(1)).alias("moves")))
 
 
+def _of_window(m: Model, lines: DataFrame, text: str, a: date, b: date) -> DataFrame:
+    """Lines of the documents that moved between two days; the others are never grouped."""
+    documents = m.imtrn.filter(doc_has(text) & F.col("xdate").between(day(a), day(b)))
+    return lines.join(documents.select("zid", "xdocnum").distinct(), ["zid", "xdocnum"], "left_semi")
+
+
 def _paired(m: Model, lines: DataFrame, headers: DataFrame, text: str, a: date, b: date) -> DataFrame:
     return (_moved(m, text, a, b).join(lines, DOC_KEY)
             .join(headers.select("zid", "xdocnum"), ["zid", "xdocnum"], "left_semi"))
@@ -45,7 +51,7 @@ def _times(total: str, count: str):
 
 
 def _sales(m: Model, a: date, b: date) -> DataFrame:
-    lines = (m.opodt.withColumnRenamed("xordernum", "xdocnum").groupBy(*DOC_KEY)
+    lines = (_of_window(m, m.opodt.withColumnRenamed("xordernum", "xdocnum"), "CO--", a, b).groupBy(*DOC_KEY)
              .agg(F.count(F.lit(1)).alias("lines"), F.sum("xlineamt").alias("amount"),
                   F.sum(F.col("xdtwotax") - F.col("xdtdisc")).alias("net")))
     headers = m.opord.withColumnRenamed("xordernum", "xdocnum")
@@ -56,7 +62,7 @@ def _sales(m: Model, a: date, b: date) -> DataFrame:
 
 
 def _transfers(m: Model, a: date, b: date) -> DataFrame:
-    lines = (m.imtdt.withColumnRenamed("ximtor", "xdocnum").groupBy(*DOC_KEY)
+    lines = (_of_window(m, m.imtdt.withColumnRenamed("ximtor", "xdocnum"), "TO--", a, b).groupBy(*DOC_KEY)
              .agg(F.count(F.lit(1)).alias("lines"), F.sum("xdtwotax").alias("amount")))
     headers = m.imtor.withColumnRenamed("ximtor", "xdocnum")
     return _paired(m, lines, headers, "TO--", a, b).select(
@@ -77,7 +83,7 @@ def transfer_cogs(m: Model, a: date, b: date) -> DataFrame:
 
 def sales_returns(m: Model, a: date, b: date) -> DataFrame:
     """Value of returned goods per item, at the rate of the return."""
-    lines = (m.imtemptdt.withColumnRenamed("ximtrnnum", "xdocnum").groupBy(*DOC_KEY)
+    lines = (_of_window(m, m.imtemptdt.withColumnRenamed("ximtrnnum", "xdocnum"), "SRE-", a, b).groupBy(*DOC_KEY)
              .agg(F.sum("xrate").alias("rates")))
     headers = m.imtemptrn.withColumnRenamed("ximtmptrn", "xdocnum").select("zid", "xdocnum")
     return (_moved(m, "SRE-", a, b).join(lines, DOC_KEY)
@@ -121,7 +127,7 @@ def gl_income_expenditure(m: Model, a: date, b: date) -> DataFrame:
 
 
 def business_profit_summary(m: Model, a: date, b: date) -> DataFrame:
-    """One row per unit: item profit, ledger income and expenditure, net."""
+    """One row per unit, also without sales: item profit, ledger income and expenditure, net."""
     items = _item_rows(m, a, b).groupBy("zid").agg(
         *[F.sum(c).alias(c) for c in ("totalvalue", "final_sales", "gross_profit")])
     side = lambda kind: F.sum(F.when(F.col("xacctype") == kind, F.col("amount")))
@@ -129,12 +135,11 @@ def business_profit_summary(m: Model, a: date, b: date) -> DataFrame:
         side("Income").alias("income"), side("Expenditure").alias("expenditure"))
     zero = F.lit(0)
     money = {
-        "totalvalue": F.col("totalvalue"), "final_sales": F.col("final_sales"),
-        "gross_profit": F.col("gross_profit"),
+        **{c: F.coalesce(c, zero) for c in ("totalvalue", "final_sales", "gross_profit")},
         "income_gl": F.coalesce("income", zero), "expenditure_gl": F.coalesce("expenditure", zero),
-        "net": F.col("gross_profit") - F.coalesce("expenditure", zero),
+        "net": F.coalesce("gross_profit", zero) - F.coalesce("expenditure", zero),
     }
-    return (m.tenant.join(items, "zid").join(ledger, "zid", "left")
+    return (m.tenant.join(items, "zid", "left").join(ledger, "zid", "left")
             .select("zid", "name", *[F.round(v, 1).alias(n) for n, v in money.items()]))
 
 

@@ -33,16 +33,18 @@ def purchase_receipts(m: Model, since: date, zid: int | None = CENTRAL, prefix:
             .select("zid", "xgrnnum", "xdate", "xitem", "xqtyord", "xrate"))
 
 
-def ordered_by_date(m: Model) -> DataFrame:
+def ordered_by_date(m: Model, items: DataFrame | None = None, since: date | None = None) -> DataFrame:
     """Ordered quantity and rate totals by item and order date, counted once per receipt.
 
     A line counts as often as its order has receipts.  The receipts are counted
-    first, so a line meets one row per order and never multiplies out.
+    first, so a line meets one row per order and never multiplies out.  Only
+    orders from ``since`` and lines of ``items`` are read into it.
     """
+    orders = m.poord if since is None else m.poord.filter(F.col("xdate") >= day(since))
     receipts = m.pogrn.groupBy("zid", "xpornum").agg(F.count(F.lit(1)).alias("n"))
-    dated = m.poord.select("zid", "xpornum", "xdate").join(receipts, ["zid", "xpornum"])
+    dated = orders.select("zid", "xpornum", "xdate").join(receipts, ["zid", "xpornum"])
     n = F.col("n").cast("decimal(10,0)")
-    return m.poodt.join(dated, ["zid", "xpornum"]).groupBy("zid", "xitem", "xdate").agg(
+    return only_items(m.poodt, items).join(dated, ["zid", "xpornum"]).groupBy("zid", "xitem", "xdate").agg(
         F.sum(F.col("xqtyord") * n).cast("decimal(38,2)").alias("qty"),
         F.sum(F.col("xrate") * n).cast("decimal(38,2)").alias("rates"),
         F.sum("n").alias("lines"))
@@ -50,8 +52,7 @@ def ordered_by_date(m: Model) -> DataFrame:
 
 def purchase_summary(m: Model, since: date, items: DataFrame | None = None) -> DataFrame:
     """Ordered quantity and mean rate per item."""
-    recent = ordered_by_date(m).filter(F.col("xdate") >= day(since))
-    return (only_items(recent, items).groupBy(*KEY)
+    return (ordered_by_date(m, items, since).groupBy(*KEY)
             .agg(F.sum("qty").alias("ordered_qty"), F.sum("rates").alias("rates"),
                  F.sum("lines").alias("lines"))
             .select(*KEY, "ordered_qty", ratio(F.col("rates"), F.col("lines")).alias("mean_rate")))
@@ -83,7 +84,8 @@ def last_supplier_for_orders(m: Model, order_lines: DataFrame, zid: int = CENTRA
     Amounts and dates stay NULL for an item that was never bought; the
     placeholder text appears in the text columns only.
     """
-    wanted = order_lines.select(F.col("sku").alias("xitem")).distinct()
+    named = F.when(F.col("sku") != "", F.col("sku"))
+    wanted = order_lines.select(named.alias("xitem")).where("xitem IS NOT NULL").distinct()
     suppliers = of_unit(m.casup, zid).select("zid", "xsup", "xshort", "xphone")
     bought = (of_unit(m.poodt, zid).select("zid", "xpornum", "xitem", "xrate")
               .join(wanted, "xitem", "left_semi")
@@ -92,7 +94,10 @@ def last_supplier_for_orders(m: Model, order_lines: DataFrame, zid: int = CENTRA
     last = (bought.groupBy("xitem")
             .agg(newest(["xdate", "xpornum", "xrate", "xsup"], ["xshort", "xphone"]).alias("p")))
     text = lambda c: F.coalesce(F.col(c), F.lit(NO_ORDER))
-    return (order_lines.withColumnRenamed("sku", "xitem").join(last, "xitem", "left")
+    # Lines without a code share one value, NULL or empty; they have no purchase and skip the join.
+    coded = order_lines.where("sku <> ''").withColumnRenamed("sku", "xitem").join(last, "xitem", "left")
+    bare = order_lines.where("sku IS NULL OR sku = ''").withColumnRenamed("sku", "xitem")
+    return (coded.unionByName(bare, allowMissingColumns=True)
             .select(F.col("xitem").alias("item_code"), "order_id", "date_created", "status",
                     text("p.xsup").alias("supplier_code"), text("p.xshort").alias("supplier_name"),
                     text("p.xphone").alias("supplier_mobile"),
@@ -127,8 +132,7 @@ def sales_of_purchase(m: Model, since: date, zid: int | None = STORE,
     grand = detail.groupBy("zid").agg(
         F.sum("purchase_value").alias("purchase_total"),
         F.sum(F.col("sales_value") * once).alias("sales_total"))
-    # one row per business unit
-    return detail.join(F.broadcast(grand), "zid").select(
+    return detail.join(grand, "zid").select(
         *KEY, "xdesc", "xgitem", "xdate", "purchase_qty", "purchase_rate", "purchase_value",
         "stock", "sales_qty", F.col("xstdprice").alias("sales_rate"), "sales_value",
         "purchase_total", "sales_total")
@@ -157,13 +161,14 @@ def sales_qty_of_day(m: Model, on: date, items: DataFrame | None = None,
 
 
 def receipt_inventory_check(m: Model, on: date, zid: int | None = STORE) -> DataFrame:
-    """Receipt lines of a day with what was posted to stock for the same receipt and item.
+    """Items of each receipt of a day with what was posted to stock for the same receipt and item.
 
-    Postings are summed per (receipt, item) before the join, so a receipt that
-    repeats an item does not pair every line with every posting.  A NULL
+    Lines and postings are both summed per (receipt, item), so a receipt that
+    repeats an item compares its total with what was posted in total.  A NULL
     ``item_inserted_inv`` means that nothing was posted.
     """
-    received = receipts_of_day(m, on, zid)
+    received = receipts_of_day(m, on, zid).groupBy("zid", "xdate", "xgrnnum", "xitem", "xdesc").agg(
+        F.sum("today_grn_qty").alias("today_grn_qty"))
     today = of_unit(m.pogrn, zid).filter(F.col("xdate") == day(on)).select("zid", "xgrnnum")
     items = of_unit(m.pogdt, zid).join(today, ["zid", "xgrnnum"], "left_semi").select(*KEY)
     posted = (of_unit(m.imtrn, zid).withColumnRenamed("xdocnum", "xgrnnum")

@@ -61,20 +61,21 @@ SUMMARY = [
 ]
 
 
-def _daily(m: Model, as_of: date) -> DataFrame:
-    """Item movements and orders by day, one column per measure."""
+def _daily(m: Model, as_of: date, items: DataFrame) -> DataFrame:
+    """Movements and orders of some items by day, one column per measure; other items are never grouped."""
     names = [f[0] for f in FLOWS] + [b[0] for b in BALANCES] + [o[0] for o in ORDERED]
 
     def filled(df: DataFrame) -> DataFrame:
         return df.selectExpr("xitem", "xdate", *[
             f"cast({f'coalesce({n}, 0)' if n in df.columns else 0} AS decimal(38,2)) AS {n}" for n in names])
 
-    moves = m.imtrn.filter(F.col("xdate") <= day(as_of)).groupBy("xitem", "xdate").agg(
+    history = m.imtrn.filter(F.col("xdate") <= day(as_of)).join(items, "xitem", "left_semi")
+    moves = history.groupBy("xitem", "xdate").agg(
         *[F.expr(f"sum(xqty * xsign * {sign}) FILTER (WHERE zid = {unit} AND startswith(xdocnum, '{doc}')) AS {name}")
           for name, unit, doc, sign in FLOWS],
         *[F.expr(f"sum(xqty * xsign) FILTER (WHERE zid = {unit}) AS {name}") for name, unit in BALANCES])
     sold = F.col("zid").isin([unit for _, unit in ORDERED]) & (F.col("xdate") <= day(as_of))
-    orders = ordered_by_date(m).filter(sold).groupBy("xitem", "xdate").agg(
+    orders = ordered_by_date(m, items).filter(sold).groupBy("xitem", "xdate").agg(
         *[F.expr(f"sum(qty) FILTER (WHERE zid = {unit}) AS {name}") for name, unit in ORDERED])
     return filled(moves).unionByName(filled(orders))
 
@@ -83,7 +84,7 @@ def shipment_tracking(m: Model, as_of: date, since: date) -> DataFrame:
     """One row per received import line of central ordered after ``since``."""
     lines = purchase_receipts(m, since, CENTRAL, after=True)
     received = lines.select("xitem", "xdate").distinct()
-    daily = _daily(m, as_of).join(received.select("xitem").distinct(), "xitem", "left_semi")
+    daily = _daily(m, as_of, received.select("xitem").distinct())
     flows = [f[0] for f in FLOWS] + [o[0] for o in ORDERED]
     balances = [b[0] for b in BALANCES]
     days = (daily.unionByName(received, allowMissingColumns=True)

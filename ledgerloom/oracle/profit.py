@@ -65,10 +65,10 @@ QUERIES = {
         "zid:i xitem:s xdesc:s xgitem:s totalvalue:d final_sales:d gross_profit:d"),
     "gl_income_expenditure": (LEDGER, "zid:i xacctype:s amount:d"),
     "business_profit_summary": (
-        f"""SELECT t.zid, t.name, round(i.totalvalue, 1) AS totalvalue, round(i.final_sales, 1) AS final_sales,
-            round(i.gross_profit, 1) AS gross_profit, round(coalesce(a.amount, 0), 1) AS income_gl,
-            round(coalesce(e.amount, 0), 1) AS expenditure_gl, round(i.gross_profit - coalesce(e.amount, 0), 1) AS net
-            FROM tenant t JOIN (SELECT zid, {_sums} FROM ({ITEMS}) GROUP BY 1) i ON i.zid = t.zid
+        f"""SELECT t.zid, t.name, round(coalesce(i.totalvalue, 0), 1) AS totalvalue,
+            round(coalesce(i.final_sales, 0), 1) AS final_sales, round(coalesce(i.gross_profit, 0), 1) AS gross_profit, round(coalesce(a.amount, 0), 1) AS income_gl,
+            round(coalesce(e.amount, 0), 1) AS expenditure_gl, round(coalesce(i.gross_profit, 0) - coalesce(e.amount, 0), 1) AS net
+            FROM tenant t LEFT JOIN (SELECT zid, {_sums} FROM ({ITEMS}) GROUP BY 1) i ON i.zid = t.zid
             LEFT JOIN (SELECT * FROM ({LEDGER}) WHERE xacctype = 'Income') a ON a.zid = t.zid
             LEFT JOIN (SELECT * FROM ({LEDGER}) WHERE xacctype = 'Expenditure') e ON e.zid = t.zid""",
         "zid:i name:s totalvalue:d final_sales:d gross_profit:d income_gl:d expenditure_gl:d net:d"),

@@ -227,7 +227,8 @@ QUERIES = {
     "receipt_inventory_check": (
         f"""SELECT r.*, p.q AS item_inserted_inv, p.n AS inv_rows, coalesce(s.today_sales_qty, 0) AS today_sales_qty,
             CASE WHEN t.q IS NOT NULL THEN coalesce(y.q, 0) END AS yesterday_stock, t.q AS today_stock
-            FROM ({RECEIPTS}) r
+            FROM (SELECT zid, xdate, xgrnnum, xitem, xdesc, sum(today_grn_qty) AS today_grn_qty
+                  FROM ({RECEIPTS}) GROUP BY 1, 2, 3, 4, 5) r
             LEFT JOIN ({SOLD_TODAY}) s ON s.zid = r.zid AND s.xitem = r.xitem
             LEFT JOIN {closing(CHECK_EVE)} y ON y.zid = r.zid AND y.xitem = r.xitem
             LEFT JOIN {closing(CHECK)} t ON t.zid = r.zid AND t.xitem = r.xitem

@@ -58,11 +58,15 @@ def bits(*cols: str) -> str:
     return f"cast('0x' || substr(md5({text}), 1, 8) AS bigint)"
 
 
+CHOSEN = f"""SELECT zid FROM (SELECT DISTINCT zid FROM ({POOL}))
+    ORDER BY {bits("'unit'", 'zid')}, zid LIMIT {P.units}"""
+
 PICKS = f"""SELECT zid, xitem, xwh, stockqty, stockvalue, xdesc, xgitem FROM (
     SELECT *, row_number() OVER (PARTITION BY zid ORDER BY
         CASE WHEN stockvalue > 0 THEN -ln((h + 1) / 4294967297.0::DOUBLE) / cast(stockvalue AS double) END ASC NULLS LAST,
         h, xitem, xwh) AS pick
-    FROM (SELECT *, {bits('xitem', 'xwh')} AS h FROM ({POOL}) pool_rows) hashed) ranked WHERE pick <= {P.picks}"""
+    FROM (SELECT *, {bits('zid', 'xitem', 'xwh')} AS h FROM ({POOL}) pool_rows
+          WHERE zid IN ({CHOSEN})) hashed) ranked WHERE pick <= {P.picks}"""
 
 ATTRIBUTES = " UNION ".join(
     f"SELECT zid, '{kind}' AS xtype, {c} AS xcode FROM catalog_sheet WHERE {c} IS NOT NULL"
@@ -164,8 +168,7 @@ QUERIES = {
         f"""SELECT quarter_start, zid, xitem FROM count_history WHERE quarter_start = DATE '2001-04-01'
             UNION SELECT DATE '2001-04-01', zid, xitem FROM ({PICKS})""",
         "quarter_start:t zid:i xitem:s"),
-    "choose_units": (
-        f"SELECT zid FROM (SELECT DISTINCT zid FROM ({POOL})) ORDER BY {bits('zid')}, zid LIMIT 2", "zid:i"),
+    "choose_units": (CHOSEN, "zid:i"),
     "working_days": (
         f"""SELECT DISTINCT xdate, dayname(xdate) AS weekday FROM imtrn WHERE dayname(xdate) <> 'Friday'
             AND xdate NOT IN ({', '.join(f"DATE '{h}'" for h in P.holidays)})""",

@@ -18,6 +18,7 @@ class Params:
     last_month: int = 6
     pool: int = 200
     picks: int = 3
+    units: int = 2
     seed: int = 7
     batch_size: int = 100
     holidays: tuple[date, ...] = field(

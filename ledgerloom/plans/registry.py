@@ -283,20 +283,25 @@ def count_pool(m):
     return _pool(m)
 
 
+def _picks(m: Model) -> DataFrame:
+    """Picks of the units that are chosen to count."""
+    pool = _pool(m)
+    return counting.count_picks(pool, P.picks, P.seed, counting.choose_units(pool, P.units, P.seed))
+
+
 @query
 def count_picks(m):
-    return counting.count_picks(_pool(m), P.picks, P.seed)
+    return _picks(m)
 
 
 @query
 def count_history(m):
-    picks = counting.count_picks(_pool(m), P.picks, P.seed)
-    return counting.count_history(m.count_history, picks, P.as_of)
+    return counting.count_history(m.count_history, _picks(m), P.as_of)
 
 
 @query
 def choose_units(m):
-    return counting.choose_units(_pool(m), 2, P.seed)
+    return counting.choose_units(_pool(m), P.units, P.seed)
 
 
 @query

@@ -15,16 +15,22 @@ from ledgerloom.schemas import (
 )
 
 
+PARTITION_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 def read_table(spark: SparkSession, src: str | dict, name: str) -> DataFrame:
     """ERP table from a parquet folder, or from a database.
 
-    ``src`` is a folder path, or JDBC options.  For a database give
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``,
-    otherwise one task reads the whole table.  Filters and columns reach
-    either source.
+    ``src`` is a folder path, or JDBC options.  A database needs
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``:
+    without them one task would read the whole table, so they are demanded.
+    Filters and columns reach either source.
     """
     columns = [f.strip().split()[0] for f in _split(TABLES[name])]
     if isinstance(src, dict):
+        missing = [o for o in PARTITION_OPTIONS if o not in src]
+        if missing:
+            raise ValueError(f"give JDBC options {', '.join(missing)}; one task would read all of {name}")
         return spark.read.format("jdbc").options(**{**src, "dbtable": name}).load().select(*columns)
     return spark.read.schema(TABLES[name]).parquet(f"{src}/{name}").select(*columns)
 

@@ -9,9 +9,12 @@ from ledgerloom.functions.numbering import dense_numbers
 
 
 def write_report(df: DataFrame, path: str, by: str = "zid", fmt: str = "parquet") -> None:
-    """One folder per unit.  Units differ in size, so rows stay where they are
-    instead of being shuffled into one task per unit."""
-    writer = df.write.mode("overwrite").partitionBy(by)
+    """One folder per unit; units that ``df`` does not hold keep theirs.
+
+    Units differ in size, so rows stay where they are instead of being shuffled
+    into one task per unit.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

@@ -3,6 +3,7 @@ from datetime import datetime
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbering import dense_numbers
 from ledgerloom.operators import catalog
@@ -65,12 +66,22 @@ def test_defaults(spark):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(keys=st.sets(st.integers(-5_000_000, 5_000_000), min_size=1, max_size=60), width=st.integers(1, 1000))
-def test_dense_numbers_equal_a_plain_sort(spark, keys, width):
+@given(keys=st.sets(st.integers(-5_000_000, 5_000_000), min_size=1, max_size=60), ranges=st.integers(1, 70))
+def test_dense_numbers_equal_a_plain_sort(spark, keys, ranges):
     df = spark.createDataFrame([(k, k % 2) for k in keys], "k bigint, g bigint")
-    whole = {r.k: r.rn for r in dense_numbers(df, "k", width=width).collect()}
+    whole = {r.k: r.rn for r in dense_numbers(df, "k", ranges=ranges).collect()}
     assert whole == {k: i for i, k in enumerate(sorted(keys), start=1)}
-    grouped = {(r.g, r.k): r.rn for r in dense_numbers(df, "k", by=("g",), width=width).collect()}
+    grouped = {(r.g, r.k): r.rn for r in dense_numbers(df, "k", by=("g",), ranges=ranges).collect()}
     for g in (0, 1):
         part = sorted(k for k in keys if k % 2 == g)
         assert [grouped[(g, k)] for k in part] == list(range(1, len(part) + 1))
+
+
+def test_numbers_of_keys_far_apart(spark):
+    keys = [i * 2 ** 32 for i in range(-20_000, 20_000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(4)
+    numbered = dense_numbers(df, "k")
+    assert numbered.agg(F.count_distinct("rn"), F.min("rn"), F.max("rn")).first() == (40_000, 1, 40_000)
+    assert numbered.where("k <> (rn - 20001) * 4294967296").isEmpty()
+    assert "Window" not in "".join(x for x in numbered._jdf.queryExecution().optimizedPlan().toString().split("\n")
+                                   if "Window" in x and "_bucket" not in x)

@@ -72,3 +72,17 @@ def test_days_off_and_holidays(spark):
     got = rows(counting.working_days(days, holidays=[d("2024-05-01")]), "xdate")
     assert [r[0].day for r in got] == [2, 4, 5, 6, 7]
     assert len(rows(counting.working_days(days, days_off=()))) == 7
+
+
+def test_equal_pools_of_units_draw_differently(spark):
+    pool = pool_frame(spark, *[(z, f"I{i}", "W", 10) for z in (1, 2, 3) for i in range(60)])
+    drawn = {}
+    for unit, item in rows(counting.count_picks(pool, 5, 7), "zid", "xitem"):
+        drawn.setdefault(unit, set()).add(item)
+    assert len({frozenset(x) for x in drawn.values()}) == 3
+
+
+def test_only_chosen_units_are_picked(spark):
+    pool = pool_frame(spark, *[(z, f"I{i}", "W", 10) for z in (1, 2, 3) for i in range(9)])
+    units = counting.choose_units(pool, 1, 3)
+    assert {r[0] for r in rows(counting.count_picks(pool, 2, 7, units), "zid")} == {r[0] for r in rows(units, "zid")}

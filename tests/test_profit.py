@@ -50,3 +50,11 @@ def test_total_row_is_the_sum_of_the_items(sample):
     total = df.filter("xitem is null").groupBy("zid").agg(F.sum("gross_profit").alias("g"))
     items = df.filter("xitem is not null").groupBy("zid").agg(F.sum("gross_profit").alias("g"))
     assert rows(total) == rows(items)
+
+
+def test_unit_without_sales_stays_in_the_summary(spark, sample):
+    none = sample.replace(imtrn=sample.imtrn.filter("zid <> 100003"))
+    got = {r[0]: r[1:] for r in rows(profit.business_profit_summary(none, d("1992-01-01"), d("2001-06-30")),
+                                     "zid", "gross_profit", "expenditure_gl", "net")}
+    assert set(got) == {100001, 100002, 100003}
+    assert got[100003][0] == 0 and got[100003][2] == -got[100003][1]

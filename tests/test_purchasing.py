@@ -46,16 +46,49 @@ def check_model(spark, table, posted):
         opord=table("opord"), opodt=table("opodt"))
 
 
-def test_receipt_check_shows_one_row_per_line(spark, table):
+def test_receipt_check_sums_repeated_lines_and_postings(spark, table):
     got = rows(purchasing.receipt_inventory_check(check_model(spark, table, [4, 6]), d("2024-01-01")),
                "today_grn_qty", "item_inserted_inv", "inv_rows", "yesterday_stock", "today_stock")
-    assert got == [(n("4.00"), n("10.00"), 2, n("2.00"), n("12.00")),
-                   (n("6.00"), n("10.00"), 2, n("2.00"), n("12.00"))]
+    assert got == [(n("10.00"), n("10.00"), 2, n("2.00"), n("12.00"))]
 
 
 def test_receipt_not_posted_is_null(spark, table):
     got = rows(purchasing.receipt_inventory_check(check_model(spark, table, []), d("2024-01-01")), "item_inserted_inv")
-    assert got == [(None,), (None,)]
+    assert got == [(None,)]
+
+
+def test_lines_without_a_code_have_no_supplier(spark, sample):
+    lines = spark.createDataFrame([(1, None), (2, ""), (3, "IT-000001")], "order_id long, sku string").selectExpr(
+        "order_id", "date '2001-01-01' AS date_created", "'x' AS status", "sku")
+    got = {r.order_id: (r.item_code, r.supplier_code) for r in purchasing.last_supplier_for_orders(sample, lines).collect()}
+    assert got[1] == (None, purchasing.NO_ORDER) and got[2] == ("", purchasing.NO_ORDER)
+    assert got[3][0] == "IT-000001" and len(got) == 3
+
+
+def below_an_aggregate(plan: str, table_text: str) -> bool:
+    """Whether every aggregate that stands above a scan also stands above a semi join with it."""
+    lines = plan.split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "Aggregate" in line:
+            under = []
+            for other in lines[i + 1:]:
+                if depth(other) <= depth(line):
+                    break
+                under.append(other)
+            if any("LeftSemi" in x for x in under) and any(table_text in x for x in under):
+                return True
+    return False
+
+
+def test_semi_join_stands_below_the_sums(spark, sample):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tracking = shipments.shipment_tracking(sample, d("2001-06-30"), d("2000-06-30"))
+        plan = tracking._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert below_an_aggregate(plan, "l_shipdate")
 
 
 def test_sales_total_counts_an_item_once(spark, table):

@@ -58,6 +58,19 @@ def test_report_parts_per_unit(spark, sample, tmp_path):
     assert rows(back) == rows(balance)
 
 
+def test_report_of_one_unit_keeps_the_others(spark, sample, tmp_path):
+    balance = stock.inventory_balance(sample)
+    sinks.write_report(balance, str(tmp_path / "all"))
+    sinks.write_report(balance.filter("zid = 100001").limit(2), str(tmp_path / "all"))
+    back = {r.zid: r["count"] for r in spark.read.parquet(str(tmp_path / "all")).groupBy("zid").count().collect()}
+    assert back[100001] == 2 and set(back) == {100001, 100002, 100003}
+
+
+def test_database_without_partition_options_is_refused(spark):
+    with pytest.raises(ValueError, match="partitionColumn"):
+        readers.read_table(spark, {"url": "jdbc:none"}, "imtrn")
+
+
 def test_snapshot_replaces_its_own_day_only(spark, sample, tmp_path):
     path, now = str(tmp_path / "snap"), stock.multi_branch_stock(sample)
     sinks.write_snapshot(now, path, "2001-06-29")
