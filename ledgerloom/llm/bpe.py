@@ -3,9 +3,9 @@
 1. Every task splits its texts into pre-tokens.  A run of rows (a chunk) becomes
    one row per document, its pre-tokens as positions in the chunk's own list of
    distinct words, and that list.
-2. The lists are exploded and dealt out by word, so each distinct word of the
+2. The lists are dealt out by hash of the word, so each distinct word of the
    corpus meets one task and is encoded there once.  A chunk sends a word at
-   most once: the commonest word of the corpus has as many rows as there are
+   most once: the commonest word of the corpus travels as often as there are
    chunks, so no word can outweigh the others.
 3. Ids go back by chunk, where the positions put the documents together.
 
@@ -14,6 +14,7 @@ Positions and words travel packed, so what is shuffled stays below the text.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,16 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import vocab
-from .common import partitions, ship, table
+from .common import Numbering, partitions, ship, table
 
 #: Characters after which a task closes a chunk; a longer document is a chunk of its own.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 6_000_000
 _PACKED = "chunk long, row int, words binary, positions binary, count int, {key}"
 
 
 def _pack(numbers: np.ndarray) -> bytes:
     """Small numbers as compressed byte planes."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    planes = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
@@ -60,7 +61,7 @@ def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
         part, serial = 0, 0
         keys: list = []
         sequences: list[np.ndarray] = []
-        number: dict[str, int] = {}
+        number = Numbering()
         chars = 0
 
         def close() -> pa.RecordBatch:
@@ -71,8 +72,7 @@ def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
             place[order] = np.arange(len(order))
             listed = list(number)
             raw = [listed[i].encode("utf-8", "replace") for i in order]
-            sizes = np.array([len(w) for w in raw], np.int64)
-            words = zstandard.ZstdCompressor(level=3).compress(_lengths_first(sizes, b"".join(raw)))
+            words = _pack_strings(raw)
             chunk = (part << 32) | serial
             n = len(keys)
             return pa.RecordBatch.from_arrays([
@@ -85,70 +85,104 @@ def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
         for batch in batches:
             for part, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = find(text)
-                for word in set(found).difference(number):
-                    number[word] = len(number)
                 sequences.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
                 keys.append(own)
                 chars += len(text)
                 if chars >= chunk_chars:
                     yield close()
                     serial += 1
-                    keys, sequences, number, chars = [], [], {}, 0
+                    keys, sequences, number, chars = [], [], Numbering(), 0
         if keys:
             yield close()
     return run
 
 
-def _lengths_first(sizes: np.ndarray, body: bytes) -> bytes:
-    return len(sizes).to_bytes(4, "little") + sizes.astype("<u4").tobytes() + body
+def _pack_strings(strings: list[bytes], level: int = 3) -> bytes:
+    """Byte strings as one compressed block, lengths first."""
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    body = len(sizes).to_bytes(4, "little") + sizes.astype("<u4").tobytes() + b"".join(strings)
+    return zstandard.ZstdCompressor(level=level).compress(body)
 
 
-def list_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, number, word) of the lists of distinct words; document rows give nothing."""
-    for batch in batches:
-        for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("words").to_pylist(), strict=True):
-            if packed is None:
-                continue
-            raw = zstandard.ZstdDecompressor().decompressobj().decompress(packed)
-            n = int.from_bytes(raw[:4], "little")
-            ends = np.cumsum(np.frombuffer(raw, "<u4", n, 4).astype(np.int64))
-            words = pa.BinaryArray.from_buffers(pa.binary(), n, [
-                None, pa.py_buffer(np.concatenate([[0], ends]).astype("<i4").tobytes()), pa.py_buffer(raw[4 + 4 * n:])])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, chunk)), pa.array(np.arange(n, dtype=np.int32)), words],
-                names=["chunk", "number", "word"])
+def _unpack_strings(packed: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    n = int.from_bytes(raw[:4], "little")
+    ends = (4 + 4 * n + np.cumsum(np.frombuffer(raw, "<u4", n, 4).astype(np.int64))).tolist()
+    return [raw[a:b] for a, b in zip([4 + 4 * n, *ends], ends, strict=False)]
+
+
+def _buckets(words: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+
+
+def list_words(buckets: int):
+    """Arrow function from packed chunks to (chunk, bucket, words): the words of a chunk that fall in one bucket.
+
+    A word's bucket is a hash of the word, so equal words of all chunks meet.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                if packed is None:
+                    continue
+                words = _unpack_strings(packed)
+                of = _buckets(words, buckets)
+                order = np.argsort(of, kind="stable")
+                cuts = np.searchsorted(of[order], np.arange(buckets + 1))
+                own = [[words[i] for i in order[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                full = [b for b in range(buckets) if own[b]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(full), pa.int64()), pa.array(full, pa.int32()),
+                     pa.array([_pack_strings(own[b]) for b in full], pa.binary())], names=["chunk", "bucket", "words"])
+    return run
 
 
 def encode_words(ranks):
-    """Arrow function over (chunk, number, word) rows in word order: ids of each word, encoded when it first shows."""
+    """Arrow function over (chunk, bucket, words) rows in bucket order: ids of the words, each distinct word encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocab.byte_bpe(ranks.value).encode_ordinary
-        last, ids = None, b""
+
+        class Known(dict):
+            def __missing__(self, word: bytes) -> bytes:
+                ids = self[word] = np.array(encode(word.decode()), "<u4").tobytes()
+                return ids
+
+        last, known = None, Known()
         for batch in batches:
             out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(encode(word.decode()), "<u4").tobytes()
-                out.append(ids)
+            for bucket, packed in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                if bucket != last:
+                    last, known = bucket, Known()
+                ids = list(map(known.__getitem__, _unpack_strings(packed)))
+                counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                flat = np.frombuffer(b"".join(ids), "<u4")
+                out.append(len(ids).to_bytes(4, "little") + len(flat).to_bytes(4, "little")
+                           + _pack(np.concatenate([counts.astype("<u4"), flat])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("number"), pa.array(out, pa.binary())],
-                names=["chunk", "number", "ids"])
+                [batch.column("chunk"), batch.column("bucket"), pa.array(out, pa.binary())], names=["chunk", "bucket", "ids"])
     return run
 
 
-def assemble(key: pa.Field):
+def assemble(key: pa.Field, buckets: int):
     """Cogrouped function: the documents of one chunk and the ids of its words, put together by position."""
     schema = pa.schema([key, ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def run(documents: pa.Table, words: pa.Table) -> pa.Table:
         if not documents.num_rows:
             return schema.empty_table()
-        order = np.argsort(words.column("number").to_numpy())
-        ids = words.column("ids").combine_chunks()
-        ids = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).take(pa.array(order))
-        flat = np.frombuffer(b"".join(ids.to_pylist()), "<u4")
-        lengths = pa.compute.binary_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-        starts = np.cumsum(lengths) - lengths
+        listed = next((w for w in documents.column("words").to_pylist() if w is not None))
+        of = _buckets(_unpack_strings(listed), buckets)
+        order = np.argsort(of, kind="stable")  # numbers in the order of their buckets
+        counts, flat = [], []
+        for _, packed in sorted(zip(words.column("bucket").to_pylist(), words.column("ids").to_pylist(), strict=True)):
+            n, total = int.from_bytes(packed[:4], "little"), int.from_bytes(packed[4:8], "little")
+            both = _unpack(packed[8:], n + total)
+            counts.append(both[:n])
+            flat.append(both[n:])
+        flat = np.concatenate([*flat, np.zeros(0, "<u4")])
+        sizes = np.concatenate([*counts, np.zeros(0, "<u4")]).astype(np.int64)
+        lengths, starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        lengths[order], starts[order] = sizes, np.cumsum(sizes) - sizes
         keys, out, sizes = [], [], []
         for row, own, packed, count in zip(*(documents.column(c).to_pylist() for c in ("row", key.name, "positions", "count")), strict=True):
             if row < 0:
@@ -184,11 +218,12 @@ def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", voca
                         F.coalesce(F.col(text), F.lit("")).alias("__text"))
     packed = parts.mapInArrow(split_chunks(field, chunk_chars, pattern), packed_type).repartition(n, "chunk")
     # Both uses read the same exchange, so texts are split once.
-    words = packed.mapInArrow(list_words, "chunk long, number int, word binary")
-    ids = (words.repartition(n, "word").sortWithinPartitions("word")
-           .mapInArrow(encode_words(ranks), "chunk long, number int, ids binary"))
+    buckets = 4 * n
+    words = packed.mapInArrow(list_words(buckets), "chunk long, bucket int, words binary")
+    ids = (words.repartition(n, "bucket").sortWithinPartitions("bucket")
+           .mapInArrow(encode_words(ranks), "chunk long, bucket int, ids binary"))
     return packed.groupBy("chunk").cogroup(ids.repartition(n, "chunk").groupBy("chunk")).applyInArrow(
-        assemble(field), f"`{key}` {kind.dataType.simpleString()}, n_tokens long, ids binary")
+        assemble(field, buckets), f"`{key}` {kind.dataType.simpleString()}, n_tokens long, ids binary")
 
 
 def decode_ids(ids: Column, spark: SparkSession, vocabulary: str = vocab.BYTE_BPE) -> Column:
