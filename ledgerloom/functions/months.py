@@ -39,6 +39,19 @@ def pivot_months(df: DataFrame, keys: list[str], months: list[Month],
         cell(f"{period} NOT IN ({listed})", "other"))
 
 
+def show_months(df: DataFrame, keys: list[str], last: date) -> DataFrame:
+    """Rows of ``keys``, xyear, xper and amount as one column per month.
+
+    Lists every month from the first in the data to ``last`` and the opening
+    periods that have rows, so ``other`` is left with nothing.  Only the
+    distinct periods are read ahead, twelve or thirteen a year.
+    """
+    found = [(r.xyear, r.xper) for r in df.select("xyear", "xper").distinct().collect()]
+    monthly = [p for p in found if p[1] > 0]
+    first = date(*min(monthly), 1) if monthly else last
+    return pivot_months(df, keys, sorted({*months_between(first, last), *found}))
+
+
 def month_columns(months: list[Month]) -> list[str]:
     """Value columns of ``pivot_months``."""
     return [*[label(x) for x in months], "other"]

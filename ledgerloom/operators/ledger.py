@@ -21,7 +21,6 @@ from ledgerloom.functions.months import (
 )
 from ledgerloom.functions.totals import with_totals
 from ledgerloom.model import Model
-from ledgerloom.plans.statement_lines import BALANCE_LABELS, INCOME_LABELS
 
 SIDES = {"pl": ("Income", "Expenditure"), "bs": ("Asset", "Liability")}
 
@@ -35,8 +34,8 @@ CASH_SECTIONS = {
 
 
 def gl_entries(m: Model, start: date | None = None, end: date | None = None,
-               project: str | None = None, opening: bool = True) -> DataFrame:
-    """Voucher lines with the date and period of their voucher."""
+               projects: DataFrame | None = None, opening: bool = True) -> DataFrame:
+    """Voucher lines, of some (unit, project) pairs, with the date and period of their voucher."""
     headers, lines = m.glheader, m.gldetail
     if start is not None:
         headers = headers.filter(F.col("xdate") >= day(start))
@@ -44,30 +43,35 @@ def gl_entries(m: Model, start: date | None = None, end: date | None = None,
         headers = headers.filter(F.col("xdate") <= day(end))
     if not opening:
         headers = headers.filter("xper <> 0")
-    if project is not None:
-        lines = lines.filter(F.col("xproj") == project)
+    if projects is not None:
+        lines = lines.join(projects.select("zid", "xproj").distinct(), ["zid", "xproj"], "left_semi")
     return lines.join(headers, ["zid", "xvoucher"])
 
 
+def unit_projects(m: Model, project: str | None = None) -> DataFrame:
+    """(unit, project, cash account): all projects of the units, or one of them."""
+    return m.tenant_project if project is None else m.tenant_project.filter(F.col("xproj") == project)
+
+
 def _by_period(entries: DataFrame, *keys: str) -> DataFrame:
     return entries.groupBy("zid", *keys, "xyear", "xper").agg(F.sum("xprime").alias("amount"))
 
 
-def cash_vouchers_activity(m: Model, project: str, a: date, b: date) -> DataFrame:
-    """All lines of the vouchers that touch the unit's cash account in a project."""
-    cash = m.tenant_config.select("zid", F.col("cash_account").alias("xacc"))
+def cash_vouchers_activity(m: Model, a: date, b: date, project: str | None = None) -> DataFrame:
+    """All lines of the vouchers that touch a cash account of the unit's project."""
+    projects = unit_projects(m, project)
     # a voucher has one header, so the window on its lines below bounds these too
-    touching = (m.gldetail.filter(F.col("xproj") == project).join(cash, ["zid", "xacc"], "left_semi")
+    touching = (m.gldetail.join(projects, ["zid", "xproj", "xacc"], "left_semi")
                 .select("zid", "xvoucher").distinct())
-    moved = gl_entries(m, a, b, project, opening=False).join(touching, ["zid", "xvoucher"], "left_semi")
+    moved = gl_entries(m, a, b, projects, opening=False).join(touching, ["zid", "xvoucher"], "left_semi")
     accounts = m.glmst.select("zid", "xacc")
     return _by_period(moved, "xacc").join(accounts, ["zid", "xacc"], "left_semi")
 
 
-def monthly_cash_flow(m: Model, project: str, a: date, b: date, months: list[Month]) -> DataFrame:
+def monthly_cash_flow(m: Model, a: date, b: date, months: list[Month], project: str | None = None) -> DataFrame:
     """Cash activity by account and month with a row per cash flow section."""
     names = month_columns(months)
-    wide = pivot_months(cash_vouchers_activity(m, project, a, b), ["zid", "xacc"], months)
+    wide = pivot_months(cash_vouchers_activity(m, a, b, project), ["zid", "xacc"], months)
     named = wide.join(m.glmst.select("zid", "xacc", "xdesc", "xhrc3", "xacctype"), ["zid", "xacc"], "left")
     head = ["xacc", "xdesc", "xhrc3", "xacctype"]
     sections = lookup(F.col("xhrc3"), CASH_SECTIONS)
@@ -81,47 +85,50 @@ def monthly_cash_flow(m: Model, project: str, a: date, b: date, months: list[Mon
             .groupBy("zid", *head).agg(*[F.sum(n).alias(n) for n in names]))
 
 
-def monthly_pl(m: Model, project: str, a: date, b: date, months: list[Month]) -> DataFrame:
+def monthly_pl(m: Model, a: date, b: date, months: list[Month], project: str | None = None) -> DataFrame:
     """Income and expenditure by account and month with a Profit/Loss row per unit."""
     names = month_columns(months)
     accounts = gl_master(m, "pl").select("zid", "xacc", "xdesc", "xacctype")
-    wide = pivot_months(_by_period(gl_entries(m, a, b, project), "xacc"), ["zid", "xacc"], months)
+    wide = pivot_months(_by_period(gl_entries(m, a, b, unit_projects(m, project)), "xacc"), ["zid", "xacc"], months)
     return with_totals(wide.join(accounts, ["zid", "xacc"]), ["zid", "xacc", "xdesc", "xacctype"],
                        ["zid"], names, "xacc", "Profit/Loss")
 
 
-def _partner_months(m: Model, project: str, b: date, months: list[Month]) -> DataFrame:
-    """One wide row per partner, so its name joins without another shuffle of the months."""
-    entries = gl_entries(m, end=b, project=project).filter(~doc_is("OB--", "xvoucher"))
-    return pivot_months(entries, ["zid", "xsub"], months, value="xprime")
+def _period_totals(rows: DataFrame, keys: list[str], label: str, text: str) -> DataFrame:
+    """One row per key and month that has movements, with a total row per unit and month."""
+    return with_totals(rows, [*keys, "xyear", "xper"], ["zid", "xyear", "xper"], ["amount"], label, text)
 
 
-def _with_monthly_total(wide: DataFrame, keys: list[str], months: list[Month], label: str,
-                        text: str) -> DataFrame:
-    return with_totals(wide, keys, ["zid"], month_columns(months), label, text)
+def _partner_months(m: Model, partners: DataFrame, b: date, project: str | None) -> DataFrame:
+    """Movements of some partners by month, from the first in the books to ``b``; others are not grouped."""
+    entries = gl_entries(m, end=b, projects=unit_projects(m, project)).filter(~doc_is("OB--", "xvoucher"))
+    own = entries.join(partners.select("zid", "xsub"), ["zid", "xsub"], "left_semi")
+    return _by_period(own, "xsub").join(partners, ["zid", "xsub"])
 
 
-def monthly_payables(m: Model, project: str, b: date, months: list[Month]) -> DataFrame:
-    """Payables by supplier and month, with a total row per unit."""
+def monthly_payables(m: Model, b: date, project: str | None = None) -> DataFrame:
+    """Payables by supplier and month, with a total row per unit and month.
+
+    ``functions.months.show_months`` lays the months out as columns.
+    """
     suppliers = m.casup.select("zid", F.col("xsup").alias("xsub"), "xshort")
-    owed = _partner_months(m, project, b, months).join(suppliers, ["zid", "xsub"])
-    return _with_monthly_total(owed, ["zid", "xsub", "xshort"], months, "xshort", "Monthly Payable")
+    return _period_totals(_partner_months(m, suppliers, b, project), ["zid", "xsub", "xshort"],
+                          "xshort", "Monthly Payable")
 
 
-def monthly_receivables(m: Model, project: str, b: date, months: list[Month]) -> DataFrame:
-    """Receivables by customer, place and month, with a total row per unit."""
+def monthly_receivables(m: Model, b: date, project: str | None = None) -> DataFrame:
+    """Receivables by customer, place and month, with a total row per unit and month."""
     customers = m.cacus.select("zid", F.col("xcus").alias("xsub"), "xshort", "xadd2", "xcity", "xstate")
-    due = _partner_months(m, project, b, months).join(customers, ["zid", "xsub"])
-    return _with_monthly_total(due, ["zid", "xsub", "xshort", "xadd2", "xcity", "xstate"], months,
-                               "xstate", "Monthly Receivable")
+    return _period_totals(_partner_months(m, customers, b, project),
+                          ["zid", "xsub", "xshort", "xadd2", "xcity", "xstate"], "xstate", "Monthly Receivable")
 
 
-def monthly_inventory_value(m: Model, b: date, months: list[Month]) -> DataFrame:
-    """Stock value moved by item group and month, with a total row per unit."""
-    moved = m.imtrn.filter(F.col("xdate") <= day(b)).withColumn("amount", signed_value())
-    wide = pivot_months(moved, ["zid", "xitem"], months)
-    grouped = wide.join(m.caitem.select("zid", "xitem", "xgitem"), ["zid", "xitem"])
-    return _with_monthly_total(grouped, ["zid", "xgitem"], months, "xgitem", "Monthly Inventory")
+def monthly_inventory_value(m: Model, b: date) -> DataFrame:
+    """Stock value moved by item group and month, with a total row per unit and month."""
+    moved = (m.imtrn.filter(F.col("xdate") <= day(b)).groupBy("zid", "xitem", "xyear", "xper")
+             .agg(F.sum(signed_value()).alias("amount")))
+    grouped = moved.join(m.caitem.select("zid", "xitem", "xgitem"), ["zid", "xitem"])
+    return _period_totals(grouped, ["zid", "xgitem"], "xgitem", "Monthly Inventory")
 
 
 def gl_master(m: Model, side: str = "pl") -> DataFrame:
@@ -135,7 +142,9 @@ def account_year_sums(m: Model, last_year: int, m1: int, m2: int, project: str |
     """Sums by account and year up to month m2: ``within`` counts the months
     from m1, ``upto`` also those before it and the opening period."""
     headers = m.glheader.filter((F.col("xper") <= m2) & (F.col("xyear") <= last_year))
-    return (gl_entries(m.replace(glheader=headers), project=project)
+    if project is not None:
+        m = m.replace(gldetail=m.gldetail.filter(F.col("xproj") == project))
+    return (gl_entries(m.replace(glheader=headers))
             .groupBy("zid", "xacc", F.col("xyear").alias("year"))
             .agg(F.sum(F.when(F.col("xper") >= m1, F.col("xprime"))).alias("within"),
                  F.sum("xprime").alias("upto")))
@@ -194,14 +203,16 @@ def comparative(m: Model, side: str, years: list[int], m1: int, m2: int, mode: s
                 project: str | None = None) -> DataFrame:
     """All accounts of a side with one 0-filled column per year and their statement line."""
     if side == "pl":
-        sums, labels = gl_activity(m, years, m1, m2, project), INCOME_LABELS
+        sums = gl_activity(m, years, m1, m2, project)
     else:
-        sums, labels = gl_position(m, years, m1, m2, mode, project), BALANCE_LABELS
+        sums = gl_position(m, years, m1, m2, mode, project)
+    lines = m.account_group.filter((F.col("side") == side) & F.col("line").isNotNull()).select(
+        F.col("xgroup").alias("xhrc4"), "line")
     wide = pivot_years(sums, ["zid", "xacc"], years)
     columns = [year_column(y) for y in years]
     accounts = gl_master(m, side)
-    return accounts.join(wide, ["zid", "xacc"], "left").select(
-        *accounts.columns, lookup(F.col("xhrc4"), labels).alias("line"),
+    return accounts.join(wide, ["zid", "xacc"], "left").join(lines, "xhrc4", "left").select(
+        *accounts.columns, "line",
         *[F.round(F.coalesce(c, F.lit(0)), 1).alias(c) for c in columns])
 
 

@@ -28,14 +28,15 @@ def _grid(m: Model, statement: str, lines: list[str], years: list[int], amount:
                         f"explode({literal(years)}) AS year", f"cast({literal(amount)} AS {AMOUNT}) AS amount"))
 
 
-def _targets(labels: dict[str, str], subtotals: dict[str, list[str]], statement: str,
-             always: list[tuple[str, str]]) -> Column:
-    """Statement lines that an account of a group enters, by its group name."""
-    everywhere = [{"statement": s, "line": x} for s, x in always]
-    known = {group: [{"statement": statement, "line": x} for x in (line, *subtotals.get(line, []))] + everywhere
-             for group, line in labels.items()}
-    found = lookup(F.col("xhrc4"), known)
-    return F.coalesce(found, F.expr(literal(everywhere))) if always else found
+def _targets(subtotals: dict[str, list[str]], statement: str, always: list[tuple[str, str]]) -> Column:
+    """Lines that an account enters: that of its group, the subtotals of that line, and ``always``."""
+    line = F.col("line")
+    totals = {k: [{"statement": statement, "line": x} for x in above] for k, above in subtotals.items()}
+    kind = "array<struct<statement:string,line:string>>"
+    nothing = F.array().cast(kind)
+    own = F.when(line.isNull(), nothing).otherwise(F.array(F.struct(F.lit(statement).alias("statement"), line.alias("line"))))
+    everywhere = F.expr(literal([{"statement": s, "line": x} for s, x in always])).cast(kind) if always else nothing
+    return F.concat(own, F.coalesce(lookup(line, totals).cast(kind), nothing), everywhere)
 
 
 def statement_facts(m: Model, years: list[int], m1: int, m2: int, mode: str = "cumulative") -> DataFrame:
@@ -45,10 +46,12 @@ def statement_facts(m: Model, years: list[int], m1: int, m2: int, mode: str = "c
     not their group has a line; it is also the retained earnings of the year.
     The balance sheet is rounded to whole units.
     """
-    accounts = account_amounts(m, years, m1, m2, mode)
-    income = _targets(L.INCOME_LABELS, L.INCOME_SUBTOTALS, INCOME,
+    side = F.when(F.col("xacctype").isin("Income", "Expenditure"), "pl").otherwise("bs")
+    accounts = account_amounts(m, years, m1, m2, mode).withColumn("side", side).join(
+        m.account_group.select("side", F.col("xgroup").alias("xhrc4"), "line"), ["side", "xhrc4"], "left")
+    income = _targets(L.INCOME_SUBTOTALS, INCOME,
                       [(INCOME, L.NET_INCOME), (BALANCE, L.RETAINED), (BALANCE, L.CHECK)])
-    balance = _targets(L.BALANCE_LABELS, L.BALANCE_SUBTOTALS, BALANCE, [])
+    balance = _targets(L.BALANCE_SUBTOTALS, BALANCE, [])
     entered = F.when(F.col("xacctype").isin("Income", "Expenditure"), income).otherwise(balance)
     rows = accounts.select("zid", F.inline(entered), "year", "amount")
     for statement, lines in ((INCOME, L.INCOME_LINES), (BALANCE, L.BALANCE_LINES)):
@@ -136,3 +139,25 @@ def financial_ratios(m: Model, years: list[int], m1: int, m2: int, mode: str = "
     long = wide.selectExpr("zid", "year", f"inline(array({cells}))")
     return long.groupBy("zid", "ratio_no", "ratio").agg(*[
         F.max(F.when(F.col("year") == y, F.col("amount"))).alias(year_column(y)) for y in years])
+
+
+def statement_report(m: Model, years: list[int], m1: int, m2: int, mode: str = "cumulative",
+                     layout: str = "detailed") -> DataFrame:
+    """Income statement, balance sheet, cash flow and ratios of every unit in one frame.
+
+    Signs are reversed, so income shows positive; amounts have three digits;
+    headings and ratios without a denominator show 0.
+    """
+    amounts = [("income", income_statement(m, years, m1, m2)), ("balance", balance_sheet(m, years, m1, m2, mode)),
+               ("cash flow", cash_flow_statement(m, years, m1, m2, mode, layout))]
+    ratios = financial_ratios(m, years, m1, m2, mode).withColumnRenamed("ratio", "line")
+    columns = [year_column(y) for y in years]
+
+    def shown(part: DataFrame, number: int, name: str, sign: int) -> DataFrame:
+        return part.select("zid", F.lit(number).alias("part_no"), F.lit(name).alias("part"), "line", *[
+            F.round(F.coalesce(F.col(c).cast("decimal(30,9)") * sign, F.lit(0)), 3).alias(c) for c in columns])
+
+    report = shown(ratios, len(amounts) + 1, "ratios", 1)  # ratios are reversed already
+    for number, (name, part) in enumerate(amounts, start=1):
+        report = report.unionByName(shown(part, number, name, -1))
+    return report

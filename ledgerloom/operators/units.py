@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.months import year_column
 from ledgerloom.functions.totals import with_totals
 from ledgerloom.model import Model
-from ledgerloom.plans.statement_lines import DEPRECIATION_GROUPS, INTEREST_GROUPS, TAX_GROUPS
 
 
 def _by_unit(m: Model, accounts: DataFrame, years: list[int]) -> DataFrame:
@@ -27,6 +26,11 @@ def _cost_accounts(m: Model) -> DataFrame:
     return m.tenant_config.select("zid", F.col("cogs_account").alias("xacc"))
 
 
+def _groups(m: Model, *kinds: str) -> DataFrame:
+    """Account groups of some kinds, matched at hierarchy level 2."""
+    return m.account_group.filter(F.col("kind").isin(*kinds)).select(F.col("xgroup").alias("xhrc2"))
+
+
 def tenant_income(m: Model, pl: DataFrame, years: list[int]) -> DataFrame:
     return _by_unit(m, pl.filter(F.col("xacctype") == "Income"), years)
 
@@ -48,13 +52,13 @@ def tenant_profit(m: Model, pl: DataFrame, years: list[int]) -> DataFrame:
 
 def tenant_ebitda(m: Model, pl: DataFrame, years: list[int]) -> DataFrame:
     """Profit before tax, interest and depreciation."""
-    below = [*TAX_GROUPS, *INTEREST_GROUPS, *DEPRECIATION_GROUPS]
-    return _by_unit(m, pl.filter(F.col("xhrc2").isNull() | ~F.col("xhrc2").isin(*below)), years)
+    below = _groups(m, "tax", "interest", "depreciation")
+    return _by_unit(m, pl.join(below, "xhrc2", "left_anti"), years)
 
 
 def tenant_tax(m: Model, pl: DataFrame, years: list[int]) -> DataFrame:
-    return _by_unit(m, pl.filter(F.col("xhrc2").isin(*TAX_GROUPS)), years)
+    return _by_unit(m, pl.join(_groups(m, "tax"), "xhrc2", "left_semi"), years)
 
 
 def tenant_interest(m: Model, pl: DataFrame, years: list[int]) -> DataFrame:
-    return _by_unit(m, pl.filter(F.col("xhrc2").isin(*INTEREST_GROUPS)), years)
+    return _by_unit(m, pl.join(_groups(m, "interest"), "xhrc2", "left_semi"), years)

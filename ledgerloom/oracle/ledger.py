@@ -1,7 +1,72 @@
 """SQL of the ledger, statement and unit reports."""
 
 from ledgerloom.plans.params import DEFAULT as P
-from ledgerloom.plans.statement_lines import BALANCE_LABELS, INCOME_LABELS
+
+# Statement line of each account group, written out here so that the reports are held against them.
+INCOME_LABELS = {
+    "04-Cost of Goods Sold": "02-1-Cost of Revenue",
+    "0401-DIRECT EXPENSES": "07-1-Other Operating Expenses, Total",
+    "0401-PURCHASE": "07-1-Other Operating Expenses, Total",
+    "0501-OTHERS DIRECT EXPENSES": "07-1-Other Operating Expenses, Total",
+    "0601-OTHERS DIRECT EXPENSES": "07-1-Other Operating Expenses, Total",
+    "0631- Development Expenses": "07-1-Other Operating Expenses, Total",
+    "06-Office & Administrative Expenses": "03-1-Office & Administrative Expenses",
+    "0625-Property Tax & Others": "09-1-Income Tax & VAT",
+    "0629-VAT & Tax Expenses": "09-1-Income Tax & VAT",
+    "0630- Bank Interest & Charges": "08-1-Interest Expense",
+    "0630-Bank Interest & Charges": "08-1-Interest Expense",
+    "0631-Other Expenses": "07-1-Other Operating Expenses, Total",
+    "0633-Interest-Loan": "08-1-Interest Expense",
+    "0636-Depreciation": "05-1-Depreciation/Amortization",
+    "07-Sales & Distribution Expenses": "04-1-Sales & Distribution Expenses",
+    "SALES & DISTRIBUTION EXPENSES": "04-1-Sales & Distribution Expenses",
+    "0701-MRP-Discount": "04-2-MRP Discount",
+    "0702-Discount-Expense": "04-3-Discount Expense",
+    "08-Revenue": "01-1-Revenue",
+    "14-Purchase Return": "06-1-Unusual Expenses (Income)",
+    "15-Sales Return": "06-1-Unusual Expenses (Income)",
+    "": "06-1-Unusual Expenses (Income)",
+    "0629- Unit VAT & Tax Expenses": "09-1-Income Tax & VAT",
+}
+BALANCE_LABELS = {
+    "0101-CASH & CASH EQUIVALENT": "01-3-Cash",
+    "0102-BANK BALANCE": "01-3-Cash",
+    "0103-ACCOUNTS RECEIVABLE": "02-1-Accounts Receivable",
+    "ACCOUNTS RECEIVABLE": "02-1-Accounts Receivable",
+    "0104-PREPAID EXPENSES": "04-1-Prepaid Expenses",
+    "0105-ADVANCE ACCOUNTS": "04-1-Prepaid Expenses",
+    "0106-STOCK IN HAND": "03-1-Inventories",
+    "02-OTHER ASSET": "05-1-Other Assets",
+    "0201-DEFFERED CAPITAL EXPENDITURE": "05-1-Other Assets",
+    "0203-LOAN TO OTHERS CONCERN": "05-1-Other Assets",
+    "0204-SECURITY DEPOSIT": "05-1-Other Assets",
+    "0205-LOAN TO OTHERS CONCERN": "05-1-Other Assets",
+    "0206-Other Investment": "05-1-Other Assets",
+    "0301-Lab Equipment": "06-1-Property, Plant & Equipment",
+    "0301-Office Equipment": "06-1-Property, Plant & Equipment",
+    "0302-Corporate Office Equipments": "06-1-Property, Plant & Equipment",
+    "0303-Furniture & Fixture": "06-1-Property, Plant & Equipment",
+    "0303-Lab Decoration": "06-1-Property, Plant & Equipment",
+    "0304-Trading Vehicles": "06-1-Property, Plant & Equipment",
+    "0305-Private Vehicles": "06-1-Property, Plant & Equipment",
+    "0305-Plants & Machinery": "06-1-Property, Plant & Equipment",
+    "0306- Plants & Machinery": "06-1-Property, Plant & Equipment",
+    "0307-Intangible Asset": "07-1-Goodwill & Intangible Asset",
+    "0308-Land & Building": "06-1-Property, Plant & Equipment",
+    "0901-Accrued Expenses": "09-1-Accrued Liabilities",
+    "0902-Income Tax Payable": "09-1-Accrued Liabilities",
+    "0903-Accounts Payable": "08-1-Accounts Payable",
+    "0904-Money Agent Liability": "10-1-Other Short Term Liabilities",
+    "0904-Reconciliation Liability": "10-1-Other Short Term Liabilities",
+    "0905-C & F Liability": "10-1-Other Short Term Liabilities",
+    "0906-Others Liability": "10-1-Other Short Term Liabilities",
+    "INTERNATIONAL PURCHASE TAX & COMMISSION": "10-1-Other Short Term Liabilities",
+    "1001-Short Term Bank Loan": "11-1-Debt",
+    "1002-Short Term Loan": "11-1-Debt",
+    "11-Reserve & Fund": "12-1-Other Long Term Liabilities",
+    "1202-Long Term Bank Loan": "11-1-Debt",
+    "13-Owners Equity": "13-1-Total Shareholders Equity",
+}
 
 A, B = f"DATE '{P.ledger_start}'", f"DATE '{P.ledger_end}'"
 YEARS = list(P.years)
@@ -25,11 +90,12 @@ def month_sums(months, value: str = "amount") -> str:
 LINES = """SELECT d.zid, d.xvoucher, d.xacc, d.xproj, d.xsub, d.xprime, h.xdate, h.xyear, h.xper
     FROM gldetail d JOIN glheader h ON h.zid = d.zid AND h.xvoucher = d.xvoucher"""
 
+OWN_PROJECT = "(l.zid, l.xproj) IN (SELECT (zid, xproj) FROM tenant_project)"
+
 CASH = f"""SELECT l.zid, l.xacc, l.xyear, l.xper, sum(l.xprime) AS amount FROM ({LINES}) l
-    WHERE l.xproj = '{P.project}' AND l.xper <> 0 AND l.xdate BETWEEN {A} AND {B}
-    AND EXISTS (SELECT 1 FROM ({LINES}) c JOIN tenant_config t ON t.zid = c.zid AND t.cash_account = c.xacc
-        WHERE c.zid = l.zid AND c.xvoucher = l.xvoucher AND c.xproj = '{P.project}' AND c.xper <> 0
-        AND c.xdate BETWEEN {A} AND {B})
+    WHERE {OWN_PROJECT} AND l.xper <> 0 AND l.xdate BETWEEN {A} AND {B}
+    AND EXISTS (SELECT 1 FROM ({LINES}) c JOIN tenant_project t ON t.zid = c.zid AND t.xproj = c.xproj AND t.xacc = c.xacc
+        WHERE c.zid = l.zid AND c.xvoucher = l.xvoucher AND c.xper <> 0 AND c.xdate BETWEEN {A} AND {B})
     AND EXISTS (SELECT 1 FROM glmst g WHERE g.zid = l.zid AND g.xacc = l.xacc)
     GROUP BY 1, 2, 3, 4"""
 
@@ -49,7 +115,7 @@ CASH_FLOW = f"""WITH cash AS ({CASH})
 
 MONTHLY_PL = f"""WITH pl AS (SELECT l.zid, l.xacc, g.xdesc, g.xacctype, l.xyear, l.xper, l.xprime AS amount
         FROM ({LINES}) l JOIN glmst g ON g.zid = l.zid AND g.xacc = l.xacc
-        WHERE g.xacctype IN ('Income', 'Expenditure') AND l.xproj = '{P.project}' AND l.xdate BETWEEN {A} AND {B})
+        WHERE g.xacctype IN ('Income', 'Expenditure') AND {OWN_PROJECT} AND l.xdate BETWEEN {A} AND {B})
     SELECT zid, xacc, xdesc, xacctype, {month_sums(P.pl_months)} FROM pl GROUP BY 1, 2, 3, 4
     UNION ALL SELECT zid, 'Profit/Loss', NULL, NULL, {month_sums(P.pl_months)} FROM pl GROUP BY 1"""
 
@@ -59,15 +125,15 @@ def partners(table: str, key: str, columns: list[str], label: str, text: str) ->
     total = ", ".join(f"'{text}' AS {c}" if c == label else f"NULL AS {c}" for c in columns)
     return f"""WITH owed AS (SELECT l.zid, l.xsub, {named}, l.xyear, l.xper, l.xprime AS amount
             FROM ({LINES}) l JOIN {table} p ON p.zid = l.zid AND p.{key} = l.xsub
-            WHERE l.xproj = '{P.project}' AND l.xvoucher NOT LIKE 'OB--%' AND l.xdate <= {B})
-        SELECT zid, xsub, {', '.join(columns)}, {month_sums(P.pl_months)} FROM owed GROUP BY ALL
-        UNION ALL SELECT zid, NULL, {total}, {month_sums(P.pl_months)} FROM owed GROUP BY zid"""
+            WHERE {OWN_PROJECT} AND l.xvoucher NOT LIKE 'OB--%' AND l.xdate <= {B})
+        SELECT zid, xsub, {', '.join(columns)}, xyear, xper, sum(amount) AS amount FROM owed GROUP BY ALL
+        UNION ALL SELECT zid, NULL, {total}, xyear, xper, sum(amount) FROM owed GROUP BY zid, xyear, xper"""
 
 
 STOCK_VALUE = f"""WITH moved AS (SELECT i.zid, c.xgitem, i.xyear, i.xper, i.xval * i.xsign AS amount
         FROM imtrn i JOIN caitem c ON c.zid = i.zid AND c.xitem = i.xitem WHERE i.xdate <= {B})
-    SELECT zid, xgitem, {month_sums(P.months)} FROM moved GROUP BY 1, 2
-    UNION ALL SELECT zid, 'Monthly Inventory', {month_sums(P.months)} FROM moved GROUP BY 1"""
+    SELECT zid, xgitem, xyear, xper, sum(amount) AS amount FROM moved GROUP BY 1, 2, 3, 4
+    UNION ALL SELECT zid, 'Monthly Inventory', xyear, xper, sum(amount) FROM moved GROUP BY 1, 3, 4"""
 
 
 def activity(project: str = "TRUE") -> str:
@@ -227,16 +293,34 @@ def units(where: str) -> str:
         SELECT * FROM u UNION ALL SELECT NULL, 'Total', {year_sums} FROM u"""
 
 
-TAX = "'0604-City Corporation Tax', '0625-Property Tax & Others', '0629-VAT & Tax Expenses'"
+TAX = "'0629- Unit VAT & Tax Expenses', '0604-City Corporation Tax', '0625-Property Tax & Others', '0629-VAT & Tax Expenses'"
 INTEREST = ("'0630- Bank Interest & Charges', '0630-Bank Interest & Charges', '0633-Interest-Loan', "
             "'0633-Interest on Loan'")
 UNIT_COLUMNS = f"zid:i name:s {YEAR_COLUMNS}"
-PARTNER_MONTHS = month_columns(P.pl_months)
+PARTNER_MONTHS = "xyear:i xper:i amount:d"
 IN_PROJECT = f"l.xproj = '{P.project}'"
 MASTER = "SELECT zid, xacc, xacctype, xdesc, xhrc1, xhrc2, xhrc3, xhrc4 FROM glmst WHERE xacctype NOT IN "
 SUM_COLUMNS = "zid:i xacc:s year:i amount:d"
 
+_report_parts = [
+    (1, "income", rows("inc", INCOME_NAMES)),
+    (2, "balance", rows("bal", BALANCE_NAMES) + " UNION ALL " + headings(
+        ["01-1-Assets", "01-2-Current Assets", "04-3-Non-Current Assets", "07-3-Current Liabilities",
+         "11-4-Non-Current Liabilities"])),
+    (3, "cash flow", rows("cash_flow", DETAILED) + " UNION ALL " + _extra),
+    (4, "ratios", "SELECT zid, year, ratio AS line, -amount AS amount FROM r"),
+]
+_all_parts = " UNION ALL ".join(
+    f"SELECT zid, {i} AS part_no, '{name}' AS part, line, year, CAST(amount AS DECIMAL(30,9)) AS amount FROM ({sql})"
+    for i, name, sql in _report_parts)
+STATEMENT_REPORT = f"""WITH {CASH_FLOW_BASE}, both_sides AS (SELECT inc.*, bal.* EXCLUDE (zid, year) FROM inc
+        JOIN bal ON bal.zid = inc.zid AND bal.year = inc.year), r AS ({_ratio_rows}), every AS ({_all_parts})
+    SELECT zid, part_no, part, line, {', '.join(
+        f"round(coalesce(-max(amount) FILTER (WHERE year = {y}), 0), 3) AS y{y}" for y in YEARS)}
+    FROM every GROUP BY 1, 2, 3, 4"""
+
 QUERIES = {
+    "statement_report": (STATEMENT_REPORT, f"zid:i part_no:i part:s line:s {YEAR_COLUMNS}"),
     "cash_vouchers_activity": (CASH, "zid:i xacc:s xyear:i xper:i amount:d"),
     "monthly_cash_flow": (CASH_FLOW, f"zid:i xacc:s xdesc:s xhrc3:s xacctype:s {month_columns(P.months)}"),
     "monthly_pl": (MONTHLY_PL, f"zid:i xacc:s xdesc:s xacctype:s {month_columns(P.pl_months)}"),
@@ -245,7 +329,7 @@ QUERIES = {
     "monthly_receivables": (
         partners("cacus", "xcus", ["xshort", "xadd2", "xcity", "xstate"], "xstate", "Monthly Receivable"),
         f"zid:i xsub:s xshort:s xadd2:s xcity:s xstate:s {PARTNER_MONTHS}"),
-    "monthly_inventory_value": (STOCK_VALUE, f"zid:i xgitem:s {month_columns(P.months)}"),
+    "monthly_inventory_value": (STOCK_VALUE, f"zid:i xgitem:s {PARTNER_MONTHS}"),
     "gl_master": (MASTER + "('Asset', 'Liability')", ACCOUNT_COLUMNS),
     "gl_master_balance": (MASTER + "('Income', 'Expenditure')", ACCOUNT_COLUMNS),
     "gl_activity": (activity(), SUM_COLUMNS),

@@ -16,9 +16,11 @@ OPENING = "o_orderstatus = 'P' AND o_orderkey % 4 = 0"
 
 VIEWS = {
     "tenant": "SELECT * FROM (VALUES (100001, 'store'), (100002, 'central'), (100003, 'ecommerce')) AS t(zid, name)",
-    "tenant_config": """SELECT * FROM (VALUES (100001, '04010001', '04010002', 'Main'),
-        (100002, '4010001', '4010002', 'Main'), (100003, '4010001', '4010002', 'Annex'))
-        AS t(zid, cogs_account, cash_account, warehouse_text)""",
+    "tenant_config": """SELECT * FROM (VALUES (100001, '04010001', 'Main'), (100002, '4010001', 'Main'),
+        (100003, '4010001', 'Annex')) AS t(zid, cogs_account, warehouse_text)""",
+    "tenant_project": """SELECT * FROM (VALUES (100001, 'BUILDING', '04010002'), (100001, 'BUILDING', '04010007'),
+        (100002, 'MACHINERY', '4010002'), (100003, 'FURNITURE', '4010002'), (100003, 'FURNITURE', '4010012'))
+        AS t(zid, xproj, xacc)""",
     "caitem": f"""SELECT t.zid, {ITEM} AS xitem, p_name AS xdesc, p_type AS xgitem, p_brand AS xbrand,
         cast(p_retailprice AS decimal(18,2)) + cast(CASE WHEN t.zid = 100001 THEN p_partkey % 7
           WHEN t.zid = 100003 THEN p_partkey % 5 ELSE 0 END AS decimal(18,2)) AS xstdprice
@@ -67,7 +69,7 @@ VIEWS = {
         (14,'Expenditure','0629-VAT & Tax Expenses'),(15,'Income','14-Purchase Return'),
         (16,'Expenditure','0631-Other Expenses'),(17,'Asset','0104-PREPAID EXPENSES'),
         (18,'Liability','1001-Short Term Bank Loan'),(19,'Expenditure','0702-Discount-Expense'),
-        (20,'Income','08-Revenue'),(21,'Expenditure','0401-PURCHASE'),(22,'Asset','0303-Furniture & Fixture'),
+        (20,'Income','08-Revenue'),(21,'Expenditure','0629- Unit VAT & Tax Expenses'),(22,'Asset','0303-Furniture & Fixture'),
         (23,'Liability','13-Owners Equity'),(24,'Expenditure','0701-MRP-Discount')) AS t(n, xacctype, xhrc4)""",
     "glmst": """SELECT t.zid, concat(CASE WHEN t.zid = 100001 THEN '0' ELSE '' END, cast(4010000 + n_nationkey AS varchar)) AS xacc,
         n_name AS xdesc, l.xacctype, concat('H1-', l.xacctype) AS xhrc1, l.xhrc4 AS xhrc2,

@@ -34,7 +34,7 @@ YEARS = list(P.years)
 SPAN = (YEARS, P.first_month, P.last_month)
 LOADED_AT = datetime(2001, 6, 30, 9, 0, 0)
 WINDOW = P.profit_window
-LEDGER = (P.project, P.ledger_start, P.ledger_end)
+LEDGER = (P.ledger_start, P.ledger_end)
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -470,17 +470,17 @@ def monthly_pl(m):
 
 @query
 def monthly_payables(m):
-    return ledger.monthly_payables(m, P.project, P.ledger_end, P.pl_months)
+    return ledger.monthly_payables(m, P.ledger_end)
 
 
 @query
 def monthly_receivables(m):
-    return ledger.monthly_receivables(m, P.project, P.ledger_end, P.pl_months)
+    return ledger.monthly_receivables(m, P.ledger_end)
 
 
 @query
 def monthly_inventory_value(m):
-    return ledger.monthly_inventory_value(m, P.ledger_end, P.months)
+    return ledger.monthly_inventory_value(m, P.ledger_end)
 
 
 @query
@@ -572,6 +572,11 @@ def financial_ratios(m):
     return statements.financial_ratios(m, *SPAN)
 
 
+@query
+def statement_report(m):
+    return statements.statement_report(m, *SPAN)
+
+
 @query
 def tenant_income(m):
     return units.tenant_income(m, _pl(m), YEARS)

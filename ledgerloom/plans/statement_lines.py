@@ -69,6 +69,7 @@ BALANCE_LABELS = {
     "13-Owners Equity": "13-1-Total Shareholders Equity",
 }
 
+# Names of the statement lines.
 REVENUE = "01-1-Revenue"
 COST = "02-1-Cost of Revenue"
 GROSS = "02-2-Gross Profit"
@@ -149,6 +150,7 @@ BALANCE_HEADINGS = [
 CASH_FLOW_HEADINGS = ["01-Operating Activities", "08", "09-Investing Cashflow", "13",
                       "14-Financing Cashflow", "19"]
 
+# Totals of the cash flow statement.
 OPERATING_TOTAL = "07-Total Operating Cashflow"
 INVESTING_TOTAL = "12-Total Investing Cashflow"
 FINANCING_TOTAL = "18-Total Financing Cashflow"
@@ -159,7 +161,7 @@ ENDING_CASH = "22-Year Ending Cash"
 # Rows without a source stay 0.
 CASH_FLOW_ZERO = ["06-Other operating cash flow adjustments", "11-Other investing cash flows"]
 
-# Row that shows each change of a balance line, by layout; the total it belongs to follows.
+# Row that shows each change of a balance line, by layout; the total it belongs to follows.
 CASH_FLOW_ROWS = {
     "detailed": {
         RECEIVABLE: ("04-1-Accounts Receivable", OPERATING_TOTAL),
@@ -195,7 +197,7 @@ LIABILITIES = [CURRENT_LIABILITIES, LONG_LIABILITIES]
 ALL_DEBT = [DEBT, SHORT_TERM, LONG_TERM]
 MINUS_DEBT = ["-" + line for line in ALL_DEBT]
 
-# Ratios: name, factor, lines added in the numerator, lines added in the
+# Ratios as name, factor, lines added in the numerator, lines added in the
 # denominator.  A leading "-" subtracts a line.
 RATIOS = [
     ("COGS Ratio", 100, [COST], [REVENUE]),
@@ -249,3 +251,13 @@ INTEREST_GROUPS = [
     "0633-Interest on Loan",
 ]
 DEPRECIATION_GROUPS = ["0636-Depreciation"]
+
+_KINDS = {g: kind for kind, groups in (("tax", TAX_GROUPS), ("interest", INTEREST_GROUPS),
+                                       ("depreciation", DEPRECIATION_GROUPS)) for g in groups}
+
+# Rows of the table account_group, (side, group, line, kind), for books with these groups only.
+# Books with groups of their own bring a table of their own.
+DEFAULT_GROUPS = [
+    *[("pl", g, INCOME_LABELS.get(g), _KINDS.get(g)) for g in [*INCOME_LABELS, *[k for k in _KINDS if k not in INCOME_LABELS]]],
+    *[("bs", g, line, None) for g, line in BALANCE_LABELS.items()],
+]

@@ -71,7 +71,11 @@ TABLES = {
     "glheader": "zid int, xvoucher string, xdate date, xyear int, xper int",
     "gldetail": f"zid int, xvoucher string, xacc string, xproj string, xsub string, xprime {MONEY}",
     "count_history": "quarter_start date, zid int, xitem string",
-    "tenant_config": "zid int, cogs_account string, cash_account string, warehouse_text string",
+    "tenant_config": "zid int, cogs_account string, warehouse_text string",
+    # Projects of a unit, and the cash accounts of each.
+    "tenant_project": "zid int, xproj string, xacc string",
+    # Statement line and kind (tax, interest, depreciation) of an account group; side pl or bs.
+    "account_group": "side string, xgroup string, line string, kind string",
 }
 
 WEB_ORDER = (

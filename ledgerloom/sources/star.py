@@ -11,18 +11,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import constant_table, literal, lookup
+from ledgerloom.plans.statement_lines import DEFAULT_GROUPS, TAX
 from ledgerloom.schemas import MONEY
 
 # Business units.
 UNITS = [(100001, "store"), (100002, "central"), (100003, "ecommerce")]
 
-# Cost and cash account of each unit, text that marks its stock rooms.
+# Cost account of each unit, text that marks its stock rooms.
 UNIT_CONFIG = [
-    (100001, "04010001", "04010002", "Main"),
-    (100002, "4010001", "4010002", "Main"),
-    (100003, "4010001", "4010002", "Annex"),
+    (100001, "04010001", "Main"),
+    (100002, "4010001", "Main"),
+    (100003, "4010001", "Annex"),
 ]
 
+# Project of each unit and its cash accounts.
+UNIT_PROJECTS = [
+    (100001, "BUILDING", "04010002"),
+    (100001, "BUILDING", "04010007"),
+    (100002, "MACHINERY", "4010002"),
+    (100003, "FURNITURE", "4010002"),
+    (100003, "FURNITURE", "4010012"),
+]
+
+# A group that only this sample has; others come with the statement layout.
+OWN_GROUP = "0629- Unit VAT & Tax Expenses"
+
 # Class and statement group of the 25 accounts, by account number.
 ACCOUNTS = [
     (0, "Income", "08-Revenue"),
@@ -46,12 +59,13 @@ ACCOUNTS = [
     (18, "Liability", "1001-Short Term Bank Loan"),
     (19, "Expenditure", "0702-Discount-Expense"),
     (20, "Income", "08-Revenue"),
-    (21, "Expenditure", "0401-PURCHASE"),
+    (21, "Expenditure", OWN_GROUP),
     (22, "Asset", "0303-Furniture & Fixture"),
     (23, "Liability", "13-Owners Equity"),
     (24, "Expenditure", "0701-MRP-Discount"),
 ]
 
+# Status of an order by its key.
 WEB_STATUS = {
     0: "processing",
     1: "order-confirmed",
@@ -138,9 +152,16 @@ class Star:
     def tenant_config(self) -> DataFrame:
         return constant_table(
             self.spark,
-            "zid int, cogs_account string, cash_account string, warehouse_text string",
+            "zid int, cogs_account string, warehouse_text string",
             UNIT_CONFIG)
 
+    def tenant_project(self) -> DataFrame:
+        return constant_table(self.spark, "zid int, xproj string, xacc string", UNIT_PROJECTS)
+
+    def account_group(self) -> DataFrame:
+        return constant_table(self.spark, "side string, xgroup string, line string, kind string",
+                              [*DEFAULT_GROUPS, ("pl", OWN_GROUP, TAX, "tax")])
+
     def imtrn(self) -> DataFrame:
         return movements(self.read("lineitem"))
 

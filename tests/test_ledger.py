@@ -2,10 +2,11 @@ import pyspark.sql.functions as F
 import pytest
 from conftest import d, n, rows
 
-from ledgerloom.functions.months import months_between
+from ledgerloom.functions.months import months_between, show_months
 from ledgerloom.model import Model
 from ledgerloom.operators import ledger, statements, units
 from ledgerloom.plans import statement_lines as L
+from ledgerloom.schemas import TABLES
 
 YEARS = [2023, 2024]
 GROUPS = {**{g: ("Income" if g in ("08-Revenue", "14-Purchase Return", "15-Sales Return") else "Expenditure")
@@ -23,7 +24,9 @@ def books(spark, table, entries, groups=None, **more):
     heads = {e[0]: e for e in entries}
     frames = {
         "tenant": table("tenant", dict(zid=1, name="one")),
-        "tenant_config": table("tenant_config", dict(zid=1, cogs_account="A0", cash_account="A0")),
+        "tenant_config": table("tenant_config", dict(zid=1, cogs_account="A0")),
+        "tenant_project": table("tenant_project", dict(zid=1, xproj="P", xacc="A0")),
+        "account_group": spark.createDataFrame(L.DEFAULT_GROUPS, TABLES["account_group"]),
         "glmst": table("glmst", *accounts),
         "glheader": table("glheader", *[
             dict(zid=1, xvoucher=v, xdate=d(f"{e[1]}-{max(e[2], 1):02d}-15"), xyear=e[1], xper=e[2])
@@ -110,7 +113,7 @@ def test_cash_vouchers_take_all_their_lines(spark, table):
                ("JV--2", 2024, 1, "08-Revenue", -5), ("OB--1", 2024, 0, "0101-CASH & CASH EQUIVALENT", 3)]
     groups = ["0101-CASH & CASH EQUIVALENT", "08-Revenue"]
     m = books(spark, table, entries, groups)
-    window = ("P", d("2024-01-01"), d("2024-12-31"))
+    window = (d("2024-01-01"), d("2024-12-31"))
     assert rows(ledger.cash_vouchers_activity(m, *window), "xacc", "amount") == [("A0", n(9)), ("A1", n(-9))]
     flow = ledger.monthly_cash_flow(m, *window, months_between(d("2024-01-01"), d("2024-03-01")))
     by_section = {r.xhrc3: r["2024/1"] for r in flow.filter("xacc is null").collect()}
@@ -119,12 +122,53 @@ def test_cash_vouchers_take_all_their_lines(spark, table):
     assert rows(pl, "xacc", "2024/1", "2024/2") == [("A1", n(-14), n(0)), ("Profit/Loss", n(-14), n(0))]
 
 
-def test_payables_skip_opening_vouchers_and_keep_other_months(spark, table):
+def test_payables_skip_opening_vouchers_and_list_every_month(spark, table):
     entries = [("JV--1", 2023, 5, "S", 3), ("JV--3", 2024, 7, "S", 1), ("JV--2", 2024, 2, "S", 6), ("OB--1", 2024, 0, "S", 100)]
     m = books(spark, table, entries, casup=table("casup", dict(zid=1, xsup="S", xshort="sup")))
-    got = ledger.monthly_payables(m, "P", d("2024-12-31"), months_between(d("2024-01-01"), d("2024-02-01")))
-    assert rows(got, "xsub", "xshort", "other", "2024/1", "2024/2") == [
-        ("S", "sup", n(4), n(0), n(6)), (None, "Monthly Payable", n(4), n(0), n(6))]
+    long = ledger.monthly_payables(m, d("2024-12-31"))
+    assert [r[2:] for r in rows(long, "xsub", "xshort", "xyear", "xper", "amount")] == [
+        (2023, 5, n(3)), (2024, 2, n(6)), (2024, 7, n(1))] * 2
+    wide = show_months(long, ["zid", "xsub", "xshort"], d("2024-12-31"))
+    assert wide.columns[3:] == [f"{y}/{p}" for y in (2023, 2024) for p in range(5 if y == 2023 else 1, 13)] + ["other"]
+    assert rows(wide, "xsub", "xshort", "other", "2023/5", "2024/1", "2024/2") == [
+        ("S", "sup", n(0), n(3), n(0), n(6)), (None, "Monthly Payable", n(0), n(3), n(0), n(6))]
+
+
+def test_units_have_projects_and_cash_accounts_of_their_own(spark, table):
+    groups = ["0101-CASH & CASH EQUIVALENT", "0102-BANK BALANCE", "08-Revenue"]
+    entries = [("JV--1", 2024, 1, groups[0], 9), ("JV--1", 2024, 1, groups[2], -9),
+               ("JV--2", 2024, 1, groups[1], 4), ("JV--2", 2024, 1, groups[2], -4), ("JV--3", 2024, 1, groups[2], -1)]
+    m = books(spark, table, entries, groups)
+    other = m.gldetail.selectExpr("2 AS zid", "xvoucher", "xacc", "'Q' AS xproj", "xsub", "xprime")
+    two = m.replace(
+        gldetail=m.gldetail.union(other), glheader=m.glheader.union(m.glheader.selectExpr("2", "xvoucher", "xdate", "xyear", "xper")),
+        glmst=m.glmst.union(m.glmst.selectExpr("2", *m.glmst.columns[1:])),
+        tenant_project=table("tenant_project", dict(zid=1, xproj="P", xacc="A0"), dict(zid=1, xproj="P", xacc="A1"),
+                             dict(zid=2, xproj="Q", xacc="A1"), dict(zid=2, xproj="P", xacc="A0")))
+    got = ledger.cash_vouchers_activity(two, d("2024-01-01"), d("2024-12-31"))
+    assert rows(got, "zid", "xacc", "amount") == [
+        (1, "A0", n(9)), (1, "A1", n(4)), (1, "A2", n(-13)), (2, "A1", n(4)), (2, "A2", n(-4))]
+
+
+def test_groups_of_the_books_own_table_reach_their_lines(spark, table):
+    group = "0629- Somewhere VAT & Tax Expenses"
+    entries = [("JV--1", 2024, 1, group, 5), ("JV--2", 2024, 1, "08-Revenue", -20)]
+    own = spark.createDataFrame([*L.DEFAULT_GROUPS, ("pl", group, L.TAX, "tax")], TABLES["account_group"])
+    m = books(spark, table, entries, account_group=own)
+    assert report(statements.income_statement(m, YEARS, 1, 12))[L.TAX] == (n(0), n(5))
+    ratios = {r.ratio: r.y2024 for r in statements.financial_ratios(m, YEARS, 1, 12).collect()}
+    assert ratios["Tax Ratio"] == 25
+    pl = ledger.comparative(m, "pl", YEARS, 1, 12)
+    assert {r.line for r in pl.filter(F.col("xhrc4") == group).collect()} == {L.TAX}
+    last = lambda df: {r.name: r.y2024 for r in df.collect()}["one"]
+    assert last(units.tenant_tax(m, pl, YEARS)) == 5 and last(units.tenant_ebitda(m, pl, YEARS)) == -20
+
+
+def test_statement_report_holds_all_parts_with_reversed_signs(spark, table):
+    m = books(spark, table, BALANCED)
+    got = {(r.part, r.line): (r.y2023, r.y2024) for r in statements.statement_report(m, YEARS, 1, 12).collect()}
+    assert got["income", L.REVENUE] == (50, 80) and got["balance", "01-1-Assets"] == (0, 0)
+    assert got["ratios", "Gross Profit Ratio"] == (-60, -100) and {p for p, _ in got} == {"income", "balance", "cash flow", "ratios"}
 
 
 def test_unit_summaries_use_the_units_own_cost_account(spark, table):

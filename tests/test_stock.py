@@ -25,7 +25,7 @@ def test_zero_quantity_has_no_rate(spark, table):
 
 
 def test_warehouse_without_name_is_not_counted(spark, table):
-    config = table("tenant_config", dict(zid=100002, cogs_account="1", cash_account="2", warehouse_text="Main"))
+    config = table("tenant_config", dict(zid=100002, cogs_account="1", warehouse_text="Main"))
     m = model(spark, table, [move(val=10, wh="Main 1"), move(val=5, wh=None), move(val=7, wh="Annex")],
               tenant_config=config)
     assert rows(stock.inventory_value_totals(m, d("2024-01-31")), "zid", "value") == [(100002, n("10.00"))]
