@@ -614,47 +614,28 @@ def tenant_interest(m):
 
 # --- streams ------------------------------------------------------------------
 
-def land_order_pages(m: Model, folder: str) -> None:
-    """Pages as polling delivers them: each order when created and when last changed."""
-    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    known = m.web_orders
-    created = known.select("id", F.lit("processing").alias("status"),
-                           text("date_created").alias("date_created"),
-                           text("date_created").alias("date_modified"),
-                           F.col("total").cast("string").alias("total"))
-    changed = known.select("id", "status", text("date_created").alias("date_created"),
-                           text("date_modified").alias("date_modified"),
-                           F.col("total").cast("string").alias("total"))
-    created.unionByName(changed).write.json(folder)
-
-
 @query
 def stream_order_status(m):
-    spark, base = m.spark, new_folder(m.spark, "order-status")
-    land_order_pages(m, f"{base}/pages")
-    jobs.stream_order_status(spark, f"{base}/pages", f"{base}/log", f"{base}/checkpoint").awaitTermination()
-    return jobs.order_states(spark, f"{base}/log").select("id", "status", "date_modified")
+    base = new_folder(m.spark, "order-status")
+    log, checkpoint = jobs.order_log(m.spark, f"{base}/log"), f"{base}/checkpoint"
+    jobs.stream_order_status(m.order_stream, log, checkpoint).awaitTermination()
+    return log.state(jobs.last_batch(m.spark, checkpoint)).select("id", "status", "date_modified")
 
 
 @query
 def stream_stock_balance(m):
-    spark, base = m.spark, new_folder(m.spark, "stock-balance")
-    m.imtrn.drop("xdisc").write.parquet(f"{base}/moves")
-    moves = jobs.movement_stream(spark, f"{base}/moves")
-    jobs.stream_stock_balance(moves, f"{base}/log", f"{base}/checkpoint").awaitTermination()
-    return jobs.balances(spark, f"{base}/log")
+    base = new_folder(m.spark, "stock-balance")
+    log, checkpoint = jobs.balance_log(m.spark, f"{base}/log"), f"{base}/checkpoint"
+    jobs.stream_stock_balance(m.movement_stream, log, checkpoint).awaitTermination()
+    return log.state(jobs.last_batch(m.spark, checkpoint)).select("zid", "xitem", "inventory")
 
 
 @query
 def stream_stock_changes(m):
     """Items whose balance the movements after a day changed, against that day's snapshot."""
-    spark, base = m.spark, new_folder(m.spark, "stock-changes")
-    moved, day = m.imtrn.drop("xdisc"), F.lit(str(P.as_of)).cast("date")
-    for late in (False, True):
-        moved.filter(F.col("xdate") > day if late else F.col("xdate") <= day).write.mode("append").parquet(
-            f"{base}/moves")
-        stream = jobs.movement_stream(spark, f"{base}/moves")
-        jobs.stream_stock_changes(spark, stream, f"{base}/log", f"{base}/changes{int(late)}",
-                                  f"{base}/checkpoint").awaitTermination()
-    changed = jobs.read_log(spark, f"{base}/changes1", f"{jobs.BALANCE_STATE}, previous decimal(38,2)")
-    return changed.drop("batch")
+    base = new_folder(m.spark, "stock-changes")
+    log, checkpoint = jobs.balance_log(m.spark, f"{base}/log"), f"{base}/checkpoint"
+    day = F.lit(str(P.as_of)).cast("date")
+    before = jobs.running_balances(m.imtrn.filter(F.col("xdate") <= day))
+    jobs.stream_stock_changes(m.movement_stream.filter(F.col("xdate") > day), log, checkpoint, before).awaitTermination()
+    return jobs.changed_since(log, jobs.last_batch(m.spark, checkpoint))

@@ -260,14 +260,17 @@ class Star:
             f"{partner} AS xsub", f"cast(l_extendedprice AS {MONEY}) * {sign} AS xprime")
 
     def web_orders(self) -> DataFrame:
-        named = self.read("orders").withColumn(
+        return self._web_orders(self.read("orders"))
+
+    def _web_orders(self, orders: DataFrame, *more: str) -> DataFrame:
+        named = orders.withColumn(
             "status", lookup(F.expr("cast(o_orderkey % 8 AS int)"), WEB_STATUS))
         done = ("CASE WHEN o_orderkey % 8 = 7 AND o_orderkey % 5 <> 0 "
                 "THEN date_add(cast(o_orderdate AS date), cast(o_orderkey % 12 AS int)) END")
         return named.selectExpr(
             "o_orderkey AS id", "status", "o_orderdate AS date_created", f"{done} AS date_completed",
             f"coalesce({done}, date_add(cast(o_orderdate AS date), 1)) AS date_modified",
-            f"cast(o_totalprice AS {MONEY}) AS total")
+            f"cast(o_totalprice AS {MONEY}) AS total", *more)
 
     def web_order_documents(self) -> DataFrame:
         """Nested order documents.  A page may carry part of an order, so each
@@ -278,6 +281,29 @@ class Star:
             f"'sku', {LINE_ITEM})) AS line_items")
         return lines.join(self.web_orders(), "id")
 
+    def _stream(self, name: str) -> DataFrame:
+        """The files of a table as a stream; nothing is copied.
+
+        A path without a pattern has to be a folder, and the table may be one file.
+        """
+        return self.spark.readStream.schema(self.read(name).schema).option("maxFilesPerTrigger", 4).parquet(
+            f"{self.folder}/{name}.parque[t]")
+
+    def movement_stream(self) -> DataFrame:
+        return movements(self._stream("lineitem"))
+
+    def order_stream(self) -> DataFrame:
+        """Changes as polling lands them: each order when created, then when last changed."""
+        text = lambda c: f"date_format({c}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+        orders = self._stream("orders").withColumn("landed_at", F.col("_metadata.file_modification_time")).withColumn(
+            "landed_file", F.col("_metadata.file_name"))
+        known = self._web_orders(orders, "landed_at", "landed_file")
+        both = (f"array(named_struct('status', 'processing', 'date_modified', {text('date_created')}, 'row', 0L), "
+                f"named_struct('status', status, 'date_modified', {text('date_modified')}, 'row', 1L))")
+        return known.selectExpr("id", "date_created", "total", "landed_at", "landed_file", f"explode({both}) AS c").selectExpr(
+            "id", "c.date_modified", "c.status", f"{text('date_created')} AS date_created", "cast(total AS string) AS total",
+            "named_struct('at', landed_at, 'file', landed_file, 'row', c.row) AS landed")
+
     def web_products(self) -> DataFrame:
         price = f"cast(p_retailprice AS {MONEY}) + cast(p_partkey % 4 AS {MONEY})"
         return self.read("part").selectExpr(

@@ -2,91 +2,139 @@
 
 A job appends the rows that a micro-batch changed to a log folder, one
 subfolder per batch.  A batch that is replayed after a failure overwrites its
-own subfolder, so each change counts once.  Readers take the newest entry of
-each key; no batch rewrites the whole state.
+own subfolder, so each change counts once.  Every ``COMPACT``-th batch also
+writes the whole state, so a reader takes the last whole state and the few
+batches after it; no batch reads or rewrites the whole log.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.columns import newest, signed_qty
-from ledgerloom.operators.stock import KEY, stock_changes
+from ledgerloom.operators.stock import KEY
 from ledgerloom.schemas import TABLES, WEB_ORDER
 
-ORDER_STATE = "id bigint, date_modified string, status string, date_created string, total string"
-BALANCE_STATE = "zid int, xitem string, inventory decimal(38,2)"
+#: Where a change landed: file time, file name and place in the file.
+LANDED = "landed struct<at: timestamp, file: string, row: bigint>"
+ORDER_STATE = "id bigint, date_modified string, status string, date_created string, total string, " + LANDED
+BALANCE_STATE = "zid int, xitem string, inventory decimal(38,2), previous decimal(38,2)"
+COMPACT = 20
+
+
+class Log:
+    """Batches of changed rows and, every ``every`` batches, the whole state.
+
+    ``latest`` reduces rows with a column ``batch`` to the state; batch -1 is
+    the state before the first batch.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema: str, latest: Callable[[DataFrame], DataFrame],
+                 every: int = COMPACT) -> None:
+        self.spark, self.folder, self.schema, self.latest, self.every = spark, folder, schema, latest, every
 
+    def open(self, state: DataFrame | None = None) -> None:
+        """State before the first batch; a restarted job keeps what is there."""
+        first = state if state is not None else self.spark.createDataFrame([], self.schema)
+        first.select(*self._columns()).write.mode("ignore").parquet(f"{self.folder}/whole/batch=-1")
 
-def _write_batch(df: DataFrame, log: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+    def write(self, rows: DataFrame, batch: int) -> None:
+        rows.select(*self._columns()).write.mode("overwrite").parquet(f"{self.folder}/changes/batch={batch}")
+        if (batch + 1) % self.every == 0:
+            self.state(batch).select(*self._columns()).write.mode("overwrite").parquet(f"{self.folder}/whole/batch={batch}")
 
+    def batch(self, batch: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/changes/batch={batch}")
 
-def read_log(spark: SparkSession, log: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, batch bigint").parquet(log)
+    def state(self, upto: int) -> DataFrame:
+        """State after batch ``upto``: the last whole state before it and the batches since."""
+        whole = upto // self.every * self.every - 1 if upto >= 0 else -1
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.folder}/whole/batch={whole}").withColumn(
+            "batch", F.lit(whole).cast("bigint"))
+        for batch in range(whole + 1, upto + 1):
+            rows = rows.unionByName(self.batch(batch).withColumn("batch", F.lit(batch).cast("bigint")))
+        return self.latest(rows)
 
+    def _columns(self) -> list[str]:
+        return [f.name for f in self.spark.createDataFrame([], self.schema).schema]
 
-def _start(stream: DataFrame, each_batch, checkpoint: str, mode: str) -> StreamingQuery:
-    return (stream.writeStream.outputMode(mode).foreachBatch(each_batch)
+
+def _run(stream: DataFrame, log: Log, each: Callable[[DataFrame, int], DataFrame], checkpoint: str,
+         mode: str = "append") -> StreamingQuery:
+    return (stream.writeStream.outputMode(mode)
+            .foreachBatch(lambda rows, batch: log.write(each(rows, batch), batch))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def stream_order_status(spark: SparkSession, pages: str, log: str, checkpoint: str,
-                        files_per_batch: int | None = None,
-                        duplicates_within: str | None = None) -> StreamingQuery:
-    """Keep the latest state of every order from landed order pages.
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last batch that a finished job has committed; -1 before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return -1
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    return max((int(n) for n in names if n.isdigit()), default=-1)
 
-    The newest change wins whatever the order of arrival, and a repeated page
-    changes nothing, so no page is ever too late.  ``duplicates_within`` also
-    drops repeats before the log; then changes older than that delay are lost,
-    so it is off by default.
-    """
+
+# --- orders -----------------------------------------------------------------------
+
+def page_stream(spark: SparkSession, pages: str, files_per_batch: int | None = None) -> DataFrame:
+    """Landed order pages with the file each change came in."""
     reader = spark.readStream.schema(WEB_ORDER)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    fields = [c.strip().split()[0] for c in ORDER_STATE.split(",")]
-    changes = reader.json(pages).select(*fields)
-    if duplicates_within:
-        changes = (changes.withColumn("event_time", F.col("date_modified").try_cast("timestamp"))
-                   .withWatermark("event_time", duplicates_within)
-                   .dropDuplicatesWithinWatermark(["id", "date_modified"]).drop("event_time"))
-
-    def keep_newest(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(latest_orders(batch), log, batch_id)
-
-    return _start(changes, keep_newest, checkpoint, "append")
+    return reader.json(pages).select(
+        "id", "date_modified", "status", "date_created", "total",
+        F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("file"),
+                 F.lit(None).cast("bigint").alias("row")).alias("landed"))
 
 
 def latest_orders(changes: DataFrame) -> DataFrame:
-    """Latest state per order: the batch form of ``stream_order_status``."""
-    fields = ["date_modified", "status", "date_created", "total"]
-    return (changes.groupBy("id").agg(newest(["date_modified", "status"], fields).alias("o"))
+    """Latest state per order: the newest change, of equally new ones the one that landed last."""
+    fields = ["date_modified", "status", "date_created", "total", "landed"]
+    order = ["date_modified", *(["batch"] if "batch" in changes.columns else []), "landed"]
+    return (changes.groupBy("id").agg(newest(order, fields).alias("o"))
             .select("id", *[f"o.{c}" for c in fields]))
 
 
-def order_states(spark: SparkSession, log: str) -> DataFrame:
-    return latest_orders(read_log(spark, log, ORDER_STATE))
+def order_log(spark: SparkSession, folder: str, every: int = COMPACT) -> Log:
+    return Log(spark, folder, ORDER_STATE, latest_orders, every)
+
+
+def stream_order_status(changes: DataFrame, log: Log, checkpoint: str) -> StreamingQuery:
+    """Keep the latest state of every order from a stream of changes (see ``page_stream``).
 
+    The newest change wins whatever the order of arrival, and a repeated page
+    changes nothing, so no page is ever too late and none is dropped.
+    """
+    log.open()
+
+    def keep_newest(rows: DataFrame, batch: int) -> DataFrame:
+        place = F.coalesce("landed.row", F.monotonically_increasing_id())
+        return latest_orders(rows.withColumn("landed", F.struct(
+            F.col("landed.at"), F.col("landed.file"), place.alias("row"))))
+
+    return _run(changes, log, keep_newest, checkpoint)
+
+
+# --- stock ------------------------------------------------------------------------
 
 def running_balances(moves: DataFrame) -> DataFrame:
     """Running stock per (unit, item); one state row per key, bounded by the catalog."""
     return moves.groupBy(*KEY).agg(F.sum(signed_qty()).cast("decimal(38,2)").alias("inventory"))
 
 
-def stream_stock_balance(moves: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
-    """Log the new balance of every item that a batch of movements touched."""
-    return _start(running_balances(moves),
-                  lambda batch, batch_id: _write_batch(batch, log, batch_id), checkpoint, "update")
+def latest_balances(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEY).agg(F.max(F.struct("batch", "inventory", "previous")).alias("b")).select(
+        *KEY, "b.inventory", "b.previous")
 
 
-def balances(spark: SparkSession, log: str, before: int | None = None) -> DataFrame:
-    """Latest balance of every item, as of the batches before ``before``."""
-    logged = read_log(spark, log, BALANCE_STATE)
-    if before is not None:
-        logged = logged.filter(F.col("batch") < before)
-    return (logged.groupBy(*KEY).agg(F.max_by("inventory", "batch").alias("inventory")))
+def balance_log(spark: SparkSession, folder: str, every: int = COMPACT) -> Log:
+    return Log(spark, folder, BALANCE_STATE, latest_balances, every)
 
 
 def movement_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -96,13 +144,32 @@ def movement_stream(spark: SparkSession, folder: str, files_per_batch: int | Non
     return reader.parquet(folder)
 
 
-def stream_stock_changes(spark: SparkSession, moves: DataFrame, log: str, changes: str,
-                         checkpoint: str) -> StreamingQuery:
-    """Log the items whose balance differs from the snapshot before the batch."""
-    def compare(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, log, batch_id)
-        now = read_log(spark, log, BALANCE_STATE).filter(F.col("batch") == batch_id).drop("batch")
-        _write_batch(stock_changes(now, balances(spark, log, batch_id), KEY, "inventory"),
-                     changes, batch_id)
+def stream_stock_balance(moves: DataFrame, log: Log, checkpoint: str) -> StreamingQuery:
+    """Log the new balance of every item that a batch of movements touched."""
+    log.open()
+    return _run(running_balances(moves), log,
+                lambda rows, batch: rows.withColumn("previous", F.lit(None).cast("decimal(38,2)")), checkpoint, "update")
+
+
+def stream_stock_changes(moves: DataFrame, log: Log, checkpoint: str, start: DataFrame | None = None) -> StreamingQuery:
+    """Log the new and the previous balance of every item that a batch of movements touched.
+
+    ``start`` has the balances (zid, xitem, inventory) before the stream.  The
+    batch is summed first and meets the state of its own items only.
+    """
+    log.open(None if start is None else start.withColumn("previous", F.lit(None).cast("decimal(38,2)")))
+
+    def compare(rows: DataFrame, batch: int) -> DataFrame:
+        change = running_balances(rows).withColumnRenamed("inventory", "change")
+        before = log.state(batch - 1).select(*KEY, F.col("inventory").alias("previous"))
+        total = F.coalesce("previous", F.lit(0).cast("decimal(38,2)")) + F.col("change")
+        return change.join(before, KEY, "left").select(*KEY, total.cast("decimal(38,2)").alias("inventory"), "previous")
+
+    return _run(moves, log, compare, checkpoint)
+
 
-    return _start(running_balances(moves), compare, checkpoint, "update")
+def changed_since(log: Log, upto: int) -> DataFrame:
+    """Items whose balance after batch ``upto`` differs from the one before the first batch."""
+    before = log.state(-1).select(*KEY, F.col("inventory").alias("previous"))
+    now = log.state(upto).select(*KEY, "inventory")
+    return now.join(before, KEY, "left").where("previous IS NULL OR previous <> inventory")

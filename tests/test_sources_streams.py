@@ -1,11 +1,11 @@
 import json
+import os
 
 import pytest
-from conftest import SAMPLE, d, move, n, rows
+from conftest import d, move, n, rows
 
 from ledgerloom.model import Model
 from ledgerloom.operators import stock
-from ledgerloom.plans.registry import QUERIES, land_order_pages
 from ledgerloom.schemas import SHEET_HEADERS
 from ledgerloom.sources import readers, shared, sinks
 from ledgerloom.streaming import jobs
@@ -85,40 +85,70 @@ def test_shared_folder_is_taken_from_the_session(spark):
     assert shared.new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_order_stream_equals_batch_in_any_number_of_batches(spark, sample, tmp_path):
-    pages = str(tmp_path / "pages")
-    land_order_pages(sample, pages)
-    batch = jobs.latest_orders(readers.read_web_orders(spark, pages))
+def landed(spark, folder, entries):
+    """One file per page of order changes, in landing order."""
+    folder.mkdir(exist_ok=True)
+    for i, page in enumerate(entries):
+        file = folder / f"p{len(list(folder.iterdir()))}.json"
+        file.write_text("".join(json.dumps(e) + "\n" for e in page))
+        os.utime(file, (1_700_000_000 + i, 1_700_000_000 + i))
+    return str(folder)
+
+
+def change(key, status, modified):
+    return {"id": key, "status": status, "date_modified": modified, "date_created": "2024-01-01", "total": "1"}
+
+
+@pytest.mark.parametrize("files", [None, 1])
+def test_order_stream_equals_batch_in_any_number_of_batches(spark, tmp_path, files):
+    pages = landed(spark, tmp_path / "pages", [
+        [change(k, "processing", f"2024-01-{1 + k:02d}") for k in range(9)],
+        [change(k, "done", f"2024-01-{5 + k % 3:02d}") for k in range(9)],
+        [change(3, "late", "2023-01-01")]])
+    newest = {k: ("done" if 5 + k % 3 >= 1 + k else "processing") for k in range(9)}
+    log = jobs.order_log(spark, str(tmp_path / "log"), every=2)
+    for _ in range(2):  # a restart finds nothing new
+        jobs.stream_order_status(jobs.page_stream(spark, pages, files), log, str(tmp_path / "cp")).awaitTermination()
+    last = jobs.last_batch(spark, str(tmp_path / "cp"))
+    assert last == (2 if files else 0)
+    assert dict(rows(log.state(last), "id", "status")) == newest
+
+
+def test_equally_new_changes_are_settled_by_landing(spark, tmp_path):
+    same = "2024-01-01T00:00:00"
+    pages = landed(spark, tmp_path / "pages", [[change(1, "processing", same)],
+                                               [change(1, "completed", same), change(2, "b", same), change(2, "a", same)]])
     for files in (None, 1):
-        log = str(tmp_path / f"log{files}")
-        for _ in range(2):  # a restart finds nothing new
-            jobs.stream_order_status(spark, pages, log, str(tmp_path / f"cp{files}"), files).awaitTermination()
-        assert rows(jobs.order_states(spark, log)) == rows(batch)
-
-
-def test_order_stream_can_drop_repeats_early(spark, tmp_path):
-    entry = {"id": 1, "status": "a", "date_modified": "2024-01-01T00:00:00"}
-    pages = tmp_path / "pages"
-    pages.mkdir()
-    (pages / "p1.json").write_text(json.dumps(entry) + "\n" + json.dumps(entry) + "\n")
-    log = str(tmp_path / "log")
-    jobs.stream_order_status(spark, str(pages), log, str(tmp_path / "cp"),
-                             duplicates_within="1 day").awaitTermination()
-    assert rows(jobs.order_states(spark, log), "id", "status") == [(1, "a")]
-
-
-def test_balance_stream_equals_batch(spark, sample, tmp_path):
-    moves = str(tmp_path / "moves")
-    sample.imtrn.drop("xdisc").repartition(3).write.parquet(moves)
-    stream = jobs.movement_stream(spark, moves, files_per_batch=1)
-    jobs.stream_stock_balance(stream, str(tmp_path / "log"), str(tmp_path / "cp")).awaitTermination()
-    batch = stock.inventory_balance(sample).select("zid", "xitem", "inventory")
-    assert rows(jobs.balances(spark, str(tmp_path / "log")), "zid", "xitem", "inventory") == rows(batch)
+        log = jobs.order_log(spark, str(tmp_path / f"log{files}"))
+        checkpoint = str(tmp_path / f"cp{files}")
+        jobs.stream_order_status(jobs.page_stream(spark, pages, files), log, checkpoint).awaitTermination()
+        assert rows(log.state(jobs.last_batch(spark, checkpoint)), "id", "status") == [(1, "completed"), (2, "a")]
+
 
+@pytest.fixture(scope="module")
+def move_files(spark, sample, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("moves") / "m")
+    sample.imtrn.drop("xdisc").repartition(5).write.parquet(folder)
+    return folder
 
-def test_change_stream_equals_snapshot_comparison(spark, sample, tmp_path):
-    got = rows(QUERIES["stream_stock_changes"](spark, SAMPLE), "zid", "xitem", "previous")
-    now = stock.inventory_balance(sample)
-    before = stock.inventory_balance(sample, as_of=d("2001-06-30"))
-    want = stock.stock_changes(now, before, ["zid", "xitem"], "inventory")
-    assert [r[:2] for r in got] == rows(want, "zid", "xitem")
+
+def test_balance_stream_equals_batch(spark, sample, move_files, tmp_path):
+    log, checkpoint = jobs.balance_log(spark, str(tmp_path / "log"), every=2), str(tmp_path / "cp")
+    jobs.stream_stock_balance(jobs.movement_stream(spark, move_files, 1), log, checkpoint).awaitTermination()
+    batch = stock.inventory_balance(sample).select("zid", "xitem", "inventory")
+    assert jobs.last_batch(spark, checkpoint) == 4
+    assert rows(log.state(4), "zid", "xitem", "inventory") == rows(batch)
+
+
+def test_change_stream_in_several_batches(spark, sample, move_files, tmp_path):
+    day = "2001-06-30"
+    before = stock.inventory_balance(sample, as_of=d(day)).select("zid", "xitem", "inventory")
+    log, checkpoint = jobs.balance_log(spark, str(tmp_path / "log"), every=2), str(tmp_path / "cp")
+    late = jobs.movement_stream(spark, move_files, 1).filter(f"xdate > date '{day}'")
+    jobs.stream_stock_changes(late, log, checkpoint, jobs.running_balances(sample.imtrn.filter(f"xdate <= date '{day}'"))).awaitTermination()
+    got = jobs.changed_since(log, jobs.last_batch(spark, checkpoint))
+    want = stock.stock_changes(stock.inventory_balance(sample), before, ["zid", "xitem"], "inventory")
+    assert rows(got, "zid", "xitem", "inventory") == rows(want, "zid", "xitem", "inventory")
+    # a batch reads the last whole state and the batches since, not the whole log
+    plan = log.state(4)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [") == 2
