@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,8 +57,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def query_frame(operator: Callable[[DataFrame], DataFrame], name: str):
-    """A query that applies ``operator`` to one whole table."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return operator(table(spark, sf_dir, name))
-    return run
+class Numbering(dict):
+    """Numbers things from 0 as they are first asked for; ``fresh`` holds those not yet taken."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, thing):
+        number = self[thing] = len(self)
+        self.fresh.append(thing)
+        return number
+
+    def take(self) -> list:
+        fresh, self.fresh = self.fresh, []
+        return fresh

@@ -8,6 +8,7 @@ shuffled, so a hot source or a group of copies weighs no more than its rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vocab
-from .common import ship, table
+from .common import Numbering, ship, table
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -50,36 +51,53 @@ class _Words:
 
     def __init__(self, encoding, pieces) -> None:
         self.encoding, self.pieces = encoding, pieces
-        self.is_byte = np.array([pieces.is_byte(i) for i in range(pieces.get_piece_size())])
+        every = range(pieces.get_piece_size())
+        self.is_byte = np.array([pieces.is_byte(i) for i in every])
+        self.opens = np.array([pieces.id_to_piece(i).startswith("\u2581") for i in every])
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = Numbering()
         self.chars = np.zeros(0, np.int64)
         self.piece_count = np.zeros(0, np.int64)
         self.byte_count = np.zeros(0, np.int64)
         self.token_at = np.zeros(1, np.int64)
         self.tokens = np.zeros(0, np.int32)
 
-    def learn(self, words: list[bytes]) -> None:
-        first = len(self.number)
-        self.number.update(zip(words, range(first, first + len(words)), strict=True))
-        texts = [w.decode("utf-8", "replace") for w in words]
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def learn(self) -> None:
+        """Measure the words numbered since the last time."""
+        texts = [w.decode("utf-8", "replace") for w in self.number.take()]
+        if not texts:
+            return
         tokens = [self.encoding.encode_ordinary(" " + t) for t in texts]
-        pieces = self.pieces.encode(texts, num_threads=1)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        byte = self.is_byte[np.fromiter((i for p in pieces for i in p), np.int64, int(sizes.sum()))]
-        ends = np.cumsum(sizes)
-        counts = np.concatenate([[0], np.cumsum(byte)])
+        sizes, bytes_in = self._pieces(texts)
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         self.chars = np.concatenate([self.chars, np.fromiter(map(len, texts), np.int64, len(texts))])
         self.piece_count = np.concatenate([self.piece_count, sizes])
-        self.byte_count = np.concatenate([self.byte_count, counts[ends] - counts[ends - sizes]])
-        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.byte_count = np.concatenate([self.byte_count, bytes_in])
         self.token_at = np.concatenate([self.token_at, self.token_at[-1] + np.cumsum(lengths)])
-        self.tokens = np.concatenate([self.tokens, np.fromiter((i for t in tokens for i in t), np.int32, int(lengths.sum()))])
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.tokens = np.concatenate([self.tokens, np.fromiter(chain.from_iterable(tokens), np.int32, int(lengths.sum()))])
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces and byte pieces of every word.
+
+        Pieces never cross a space, so many words are encoded as one text and
+        told apart by the pieces that open a word; should the vocabulary's
+        normaliser have changed their number, each is encoded by itself.
+        """
+        ids = np.array(self.pieces.encode(" ".join(texts), num_threads=1), np.int64)
+        first = np.flatnonzero(self.opens[ids])
+        if len(first) != len(texts):
+            if len(texts) > 1:
+                half = len(texts) // 2
+                return tuple(map(np.concatenate, zip(self._pieces(texts[:half]), self._pieces(texts[half:]), strict=True)))
+            first = np.zeros(1, np.int64)
+        if not len(ids):
+            return np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        return np.diff(np.append(first, len(ids))), np.add.reduceat(self.is_byte[ids].astype(np.int64), first)
 
     def tokens_of(self, numbers: np.ndarray) -> np.ndarray:
         starts = self.token_at[numbers]
@@ -125,29 +143,38 @@ def duplicate_lines(raw: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def _measure(text: str, words: _Words) -> tuple:
-    raw = text.encode("utf-8", "replace")
-    found = raw.split()  # bytes split at exactly 0x20 and 0x09-0x0D
+def _measure(text: str, raw: bytes, numbers: np.ndarray, words: _Words) -> tuple:
     symbols = len(raw) - len(raw.translate(None, SYMBOLS))
-    if not found:
+    if not len(numbers):
         return (0, 0, symbols, 0, 0, 0, 0.0, 0.0, 0.0, "latin")
-    fresh = set(found).difference(words.number)
-    if len(fresh) + len(words.number) > MAX_WORDS_KEPT:
-        words.forget()
-        fresh = set(found)
-    if fresh:
-        words.learn(sorted(fresh))
-    numbers = words.numbers(found)
     chars = int(words.chars[numbers].sum())
     tokens = words.tokens_of(numbers)
     counts = np.bincount(tokens)
     share = counts[counts > 0] / len(tokens)
     pieces = int(words.piece_count[numbers].sum())
-    return (len(found), chars, symbols, duplicate_lines(raw), repeated_words(numbers), len(tokens),
+    return (len(numbers), chars, symbols, duplicate_lines(raw), repeated_words(numbers), len(tokens),
             chars / len(tokens), int(words.byte_count[numbers].sum()) / max(1, pieces),
             float(-(share * np.log2(share)).sum()), script_of(text, raw))
 
 
+def measure_texts(texts: list[str], words: _Words) -> list[tuple]:
+    """The fields of ``SCHEMA`` for every text; the words of about a million characters are learnt at once."""
+    out: list[tuple] = []
+    group: list[tuple[str, bytes, np.ndarray]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        raw = text.encode("utf-8", "replace")
+        group.append((text, raw, words.numbers(raw.split())))  # bytes split at exactly 0x20 and 0x09-0x0D
+        size += len(raw)
+        if size > 1_000_000 or i + 1 == len(texts):
+            words.learn()
+            out.extend(_measure(*one, words) for one in group)
+            group, size = [], 0
+            if len(words.number) > MAX_WORDS_KEPT:
+                words.forget()
+    return out
+
+
 def measure(spark: SparkSession, byte_vocabulary: str = vocab.BYTE_BPE, piece_vocabulary: str = vocab.PIECE_BPE):
     """Pandas function from texts to the fields of ``SCHEMA``."""
     ship(spark)
@@ -158,7 +185,7 @@ def measure(spark: SparkSession, byte_vocabulary: str = vocab.BYTE_BPE, piece_vo
         words = _Words(vocab.byte_bpe(ranks.value), vocab.piece_bpe(model.value))
         names = [field.split()[0] for field in SCHEMA.split(", ")]
         for texts in batches:
-            yield pd.DataFrame([_measure(t, words) for t in texts], columns=names)
+            yield pd.DataFrame(measure_texts(list(texts), words), columns=names)
     return measured
 
 
