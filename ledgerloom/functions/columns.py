@@ -45,14 +45,24 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def rate(num: Column, den: Column, digits: int = 4) -> Column:
-    """Unit rate as an exact decimal, rounded half up; NULL on a zero divisor.
+RATE_DIGITS = 10
+RATE = f"decimal(21,{RATE_DIGITS})"
 
-    A rate is multiplied and summed again later, so it must not be a double:
-    a sum of doubles depends on the order in which the rows arrive.
+
+def rate(num: Column, den: Column) -> Column:
+    """Unit rate as a decimal of ten digits, rounded half up; NULL on a zero divisor.
+
+    A rate is multiplied and summed again later, so it must not be a double (a
+    sum of doubles depends on the order in which the rows arrive) and must not
+    be rounded to what a report shows.
     """
-    exact = F.try_divide(num.cast("decimal(20,4)"), den.cast("decimal(20,4)"))
-    return F.round(exact, digits).cast(f"decimal(20,{digits})")
+    exact = F.try_divide(num.cast("decimal(26,10)"), den.cast("decimal(16,2)"))
+    return F.round(exact, RATE_DIGITS).cast(RATE)
+
+
+def at_rate(quantity: Column, unit_rate: Column) -> Column:
+    """Value of a quantity at a unit rate, exactly."""
+    return quantity.cast("decimal(16,2)") * unit_rate.cast(RATE)
 
 
 def month_label(year: str = "xyear", period: str = "xper") -> Column:

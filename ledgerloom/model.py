@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.functions.columns import doc_is
 from ledgerloom.schemas import TABLES
 from ledgerloom.sources.readers import read_table
 from ledgerloom.sources.star import Star
@@ -19,8 +20,10 @@ class Model:
     Keys are unique only within a unit, so every join carries ``zid``.
     """
 
-    def __init__(self, spark: SparkSession, tables: dict[str, Callable[[], DataFrame]]):
+    def __init__(self, spark: SparkSession, tables: dict[str, Callable[[], DataFrame]],
+                 movements_of: Callable[[str], DataFrame] | None = None):
         self.spark = spark
+        self._movements_of = movements_of
         self._tables = tables
         self._built: dict[str, DataFrame] = {}
 
@@ -32,10 +35,15 @@ class Model:
             self._built[name] = tables[name]()
         return self._built[name]
 
+    def movements_of(self, prefix: str) -> DataFrame:
+        """Movements of one document type, by stored columns where the source can test those."""
+        of_type = self.__dict__.get("_movements_of")
+        return of_type(prefix) if of_type else self.imtrn.filter(doc_is(prefix))
+
     def replace(self, **frames: DataFrame) -> Model:
         """Same model with some tables given as DataFrames."""
         given = {name: (lambda df=df: df) for name, df in frames.items()}
-        return Model(self.spark, {**self._tables, **given})
+        return Model(self.spark, {**self._tables, **given}, None if "imtrn" in given else self._movements_of)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, src: str | dict) -> Model:
@@ -46,4 +54,4 @@ class Model:
     def from_star(cls, spark: SparkSession, folder: str) -> Model:
         star = Star(spark, folder)
         names = [n for n, member in vars(Star).items() if callable(member) and not n.startswith("_")]
-        return cls(spark, {n: getattr(star, n) for n in names if n != "read"})
+        return cls(spark, {n: getattr(star, n) for n in names if n not in ("read", "imtrn_of")}, star.imtrn_of)

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import day, doc_is, newest, rate, ratio, signed_qty
+from ledgerloom.functions.columns import at_rate, day, doc_is, newest, rate, ratio, signed_qty
 from ledgerloom.model import CENTRAL, STORE, Model
 from ledgerloom.operators.stock import KEY, day_over_day_stock, of_unit, only_items
 
@@ -126,7 +126,7 @@ def sales_of_purchase(m: Model, since: date, zid: int | None = STORE,
         F.min(F.when(recent & doc_is("GRN-"), F.col("xdate"))).alias("first_day"))
     items = of_unit(m.caitem, zid).select(*KEY, "xdesc", "xgitem", "xstdprice")
     detail = (lines.join(totals, KEY, "left").join(items, KEY)
-              .withColumn("purchase_value", F.col("purchase_qty") * F.col("purchase_rate"))
+              .withColumn("purchase_value", at_rate(F.col("purchase_qty"), F.col("purchase_rate")))
               .withColumn("sales_value", -F.col("sales_qty") * F.col("xstdprice")))
     once = F.lit(1) if legacy_totals else F.when(F.col("xdate") == F.col("first_day"), 1).otherwise(0)
     grand = detail.groupBy("zid").agg(

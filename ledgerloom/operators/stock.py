@@ -57,9 +57,7 @@ def inventory_balance(m: Model, zid: int | None = None, as_of: date | None = Non
 
 def last_movement(m: Model, doc_prefix: str | None = None, zid: int | None = None) -> DataFrame:
     """Newest movement of each item, of any type or of one document type."""
-    moved = of_unit(m.imtrn, zid)
-    if doc_prefix:
-        moved = moved.filter(doc_is(doc_prefix))
+    moved = of_unit(m.movements_of(doc_prefix) if doc_prefix else m.imtrn, zid)
     return (moved.groupBy(*KEY).agg(newest(MOVEMENT_ORDER, ["xsign"]).alias("last"))
             .select(*KEY, "last.xdate", "last.xdocnum", "last.xqty", "last.xval", "last.xsign"))
 

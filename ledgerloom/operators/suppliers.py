@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import days_before, doc_is, rate, signed_qty
+from ledgerloom.functions.columns import at_rate, days_before, doc_is, rate, signed_qty
 from ledgerloom.model import CENTRAL, STORE, Model
 from ledgerloom.operators.purchasing import supplier_last_receipt
 from ledgerloom.operators.stock import inventory_balance, last_movement, of_unit
@@ -65,7 +65,7 @@ def rest_supplier_detail(m: Model, suppliers: DataFrame, as_of: date, central: i
 
 def _values() -> list:
     return [
-        F.round(F.sum(F.col("total_stock") * F.col("purchase_rate")), 2).alias("inventory_purchase_value"),
+        F.round(F.sum(at_rate(F.col("total_stock"), F.col("purchase_rate"))), 2).alias("inventory_purchase_value"),
         F.round(F.sum(F.col("total_stock") * F.col("sales_price")), 2).alias("inventory_sale_value"),
         F.round(F.sum(-F.col("store_sale") * F.col("sales_price")), 2).alias("total_sales"),
     ]

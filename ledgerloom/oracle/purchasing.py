@@ -2,7 +2,7 @@
 
 from datetime import timedelta
 
-from ledgerloom.oracle.stock import AS_OF, YEAR_AGO, balance, newest, rate
+from ledgerloom.oracle.stock import AS_OF, YEAR_AGO, balance, halves_away, newest, rate
 from ledgerloom.oracle.views import code
 from ledgerloom.plans.params import DEFAULT as P
 
@@ -132,15 +132,15 @@ STORE_COLUMNS = PROFILE_COLUMNS + " store_stock:d sales_price:d store_sale:d tot
 
 def financials(detail: str, extra: str = "") -> str:
     return f"""SELECT *, total_sales - inventory_sale_value AS difference FROM (
-        SELECT xsup, round(sum(total_stock * purchase_rate), 2) AS inventory_purchase_value,
+        SELECT xsup, round(sum(CAST(total_stock AS DECIMAL(16,2)) * CAST(purchase_rate AS DECIMAL(21,10))), 2) AS inventory_purchase_value,
         round(sum(total_stock * sales_price), 2) AS inventory_sale_value,
         round(sum(-store_sale * sales_price), 2) AS total_sales {extra} FROM ({detail}) GROUP BY 1)"""
 
 
 VALUE_COLUMNS = "xsup:s inventory_purchase_value:d inventory_sale_value:d total_sales:d difference:d"
 
-_mean_rate = """CAST((2 * CAST(sum(line_rate) * 10000 AS HUGEINT) + count(line_rate)) // (2 * count(line_rate))
-    AS DECIMAL(34,0)) * CAST(0.0001 AS DECIMAL(4,4))"""
+_mean_rate = f"""CAST({halves_away("sum(CAST(line_rate * 10000000000 AS HUGEINT))", "count(line_rate)")}
+    AS DECIMAL(28,0)) * CAST(0.0000000001 AS DECIMAL(10,10))"""
 
 
 def sales_of_purchase(unit: str) -> str:
@@ -148,7 +148,7 @@ def sales_of_purchase(unit: str) -> str:
         bought AS (SELECT zid, xitem, xdate, sum(xqty * xsign) AS purchase_qty, {_mean_rate} AS purchase_rate
             FROM rated WHERE xdocnum LIKE 'GRN-%' AND xdate > {MONTH_AGO} AND {unit} GROUP BY 1, 2, 3),
         detail AS (SELECT b.*, c.xdesc, c.xgitem, c.xstdprice AS sales_rate,
-            CAST(b.purchase_qty AS DECIMAL(18,2)) * CAST(b.purchase_rate AS DECIMAL(20,4)) AS purchase_value,
+            CAST(b.purchase_qty AS DECIMAL(16,2)) * CAST(b.purchase_rate AS DECIMAL(21,10)) AS purchase_value,
             (SELECT sum(i.xqty * i.xsign) FROM imtrn i WHERE i.zid = b.zid AND i.xitem = b.xitem) AS stock,
             coalesce((SELECT sum(i.xqty * i.xsign) FROM imtrn i WHERE i.zid = b.zid AND i.xitem = b.xitem
                       AND i.xdocnum LIKE 'CO-%' AND i.xdate > {MONTH_AGO}), 0) AS sales_qty

@@ -7,11 +7,17 @@ DAY_BEFORE = f"DATE '{P.back(1)}'"
 YEAR_AGO = f"DATE '{P.back(365)}'"
 
 
+def halves_away(num: str, den: str) -> str:
+    """Whole quotient of two whole numbers, halves rounded away from zero."""
+    sign = f"CASE WHEN ({num} < 0) <> ({den} < 0) THEN -1 ELSE 1 END"
+    return f"{sign} * ((2 * abs({num}) + abs({den})) // (2 * abs({den})))"
+
+
 def rate(num: str, den: str) -> str:
-    """num / den of two decimals with 2 digits, rounded half up to 4 digits, exactly."""
+    """num / den of two decimals with 2 digits, rounded half up to 10 digits, exactly."""
     a, b = f"CAST({num} * 100 AS HUGEINT)", f"CAST({den} * 100 AS HUGEINT)"
-    return (f"CAST(CASE WHEN {den} <> 0 THEN (2 * {a} * 10000 + {b}) // (2 * {b}) END AS DECIMAL(34,0))"
-            " * CAST(0.0001 AS DECIMAL(4,4))")
+    return (f"CAST(CASE WHEN {den} <> 0 THEN {halves_away(f'({a} * 10000000000)', b)} END AS DECIMAL(28,0))"
+            " * CAST(0.0000000001 AS DECIMAL(10,10))")
 
 
 def newest(where: str = "TRUE") -> str:

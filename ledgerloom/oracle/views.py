@@ -29,7 +29,7 @@ VIEWS = {
         cast(l_shipdate AS date) AS xdate, {code('doc', 'l_orderkey', 7)} AS xdocnum,
         cast(l_linenumber AS int) AS xline, {SUPPLIER} AS xsup,
         CASE WHEN doc IN ('GRN-', 'SRE-') THEN 1 ELSE -1 END AS xsign,
-        cast(l_quantity AS decimal(18,2)) AS xqty, cast(l_extendedprice AS decimal(18,2)) AS xval,
+        cast(CASE WHEN l_orderkey % 31 = 0 AND l_linenumber = 1 THEN -l_quantity ELSE l_quantity END AS decimal(18,2)) AS xqty, cast(l_extendedprice AS decimal(18,2)) AS xval,
         cast(l_discount AS decimal(4,2)) AS xdisc,
         CASE l_suppkey % 2 WHEN 0 THEN 'Main ' ELSE 'Annex ' END || cast(l_orderkey % 3 AS varchar) AS xwh,
         cast(year(l_shipdate) AS int) AS xyear, cast(month(l_shipdate) AS int) AS xper
@@ -80,12 +80,12 @@ VIEWS = {
         cast(o_orderdate AS date) AS xdate, cast(year(o_orderdate) AS int) AS xyear,
         cast(CASE WHEN {OPENING} THEN 0 ELSE month(o_orderdate) END AS int) AS xper FROM orders""",
     "gldetail": f"""SELECT {UNIT.format(key='o_orderkey')} AS zid, {VOUCHER} AS xvoucher,
-        concat(CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE '' END, cast(4010000 + s_nationkey AS varchar)) AS xacc,
-        c_mktsegment AS xproj,
+        concat(CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE '' END, cast(4010000 + (l_partkey + l_suppkey) % 25 AS varchar)) AS xacc,
+        CASE o_custkey % 5 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'FURNITURE'
+          WHEN 3 THEN 'HOUSEHOLD' ELSE 'MACHINERY' END AS xproj,
         CASE WHEN l_linestatus = 'F' THEN {SUPPLIER} ELSE {code("'CUS-'", 'o_custkey', 6)} END AS xsub,
-        cast(l_extendedprice AS decimal(18,2)) * CASE WHEN s_nationkey % 5 IN (0, 3) THEN -1 ELSE 1 END AS xprime
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
-        JOIN customer ON o_custkey = c_custkey""",
+        cast(l_extendedprice AS decimal(18,2)) * CASE WHEN (l_partkey + l_suppkey) % 25 % 5 IN (0, 3) THEN -1 ELSE 1 END AS xprime
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "web_orders": """SELECT o_orderkey AS id, CASE o_orderkey % 8 WHEN 0 THEN 'processing' WHEN 1 THEN 'order-confirmed'
           WHEN 2 THEN 'will-ecourier' WHEN 3 THEN 'will-sundarban' WHEN 4 THEN 'consundorban'
           WHEN 5 THEN 'on-the-way-to-del' WHEN 6 THEN 'order-cancelled' ELSE 'completed' END AS status,

@@ -2,7 +2,8 @@
 
 One line item is one stock movement; its document type follows from the return
 flag and the line status.  The mapping only projects, joins on keys and
-aggregates by document, so filters on the result reach the parquet scan.
+aggregates by document, so filters on dates and keys reach the parquet scan;
+``imtrn_of`` does the same for a document type.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ UNIT_PROJECTS = [
     (100003, "FURNITURE", "4010012"),
 ]
 
+# Projects that vouchers belong to.
+PROJECTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
 # A group that only this sample has; others come with the statement layout.
 OWN_GROUP = "0629- Unit VAT & Tax Expenses"
 
@@ -105,7 +109,10 @@ TYPES = {
 }
 DOC = (f"CASE WHEN {RETURNED} AND {SHIPPED} THEN 'PRE-' WHEN {RETURNED} THEN 'SRE-' WHEN {SHIPPED} THEN 'GRN-' "
        "WHEN l_returnflag = 'A' THEN 'TO--' ELSE 'CO--' END")
+# Some lines correct an earlier one: their quantity is negative.
+CORRECTED = "l_orderkey % 31 = 0 AND l_linenumber = 1"
 OPENING = "o_orderstatus = 'P' AND o_orderkey % 4 = 0"
+ACCOUNT = "(l_partkey + l_suppkey) % 25"
 VOUCHER = code(f"CASE WHEN {OPENING} THEN 'OB--' ELSE 'JV--' END", "o_orderkey", 7)
 
 
@@ -128,7 +135,7 @@ def movements(lineitem: DataFrame) -> DataFrame:
         f"{unit_of('l_orderkey')} AS zid", f"{LINE_ITEM} AS xitem", "cast(l_shipdate AS date) AS xdate",
         f"{code(DOC, 'l_orderkey', 7)} AS xdocnum", "cast(l_linenumber AS int) AS xline",
         f"{LINE_SUPPLIER} AS xsup", f"CASE WHEN {DOC} IN ('GRN-', 'SRE-') THEN 1 ELSE -1 END AS xsign",
-        f"cast(l_quantity AS {MONEY}) AS xqty", f"cast(l_extendedprice AS {MONEY}) AS xval",
+        f"cast(CASE WHEN {CORRECTED} THEN -l_quantity ELSE l_quantity END AS {MONEY}) AS xqty", f"cast(l_extendedprice AS {MONEY}) AS xval",
         "cast(l_discount AS decimal(4,2)) AS xdisc",
         "concat(CASE WHEN l_suppkey % 2 = 0 THEN 'Main ' ELSE 'Annex ' END, cast(l_orderkey % 3 AS string)) AS xwh",
         "year(l_shipdate) AS xyear", "month(l_shipdate) AS xper")
@@ -165,6 +172,10 @@ class Star:
     def imtrn(self) -> DataFrame:
         return movements(self.read("lineitem"))
 
+    def imtrn_of(self, prefix: str) -> DataFrame:
+        """Movements of one document type; its test reaches the scan as stored columns."""
+        return movements(self.read("lineitem").filter(TYPES[prefix]))
+
     def _lines(self, prefix: str, *columns: str) -> DataFrame:
         return movements(self.read("lineitem").filter(TYPES[prefix])).selectExpr("zid", *columns)
 
@@ -248,15 +259,13 @@ class Star:
             "year(o_orderdate) AS xyear", f"CASE WHEN {OPENING} THEN 0 ELSE month(o_orderdate) END AS xper")
 
     def gldetail(self) -> DataFrame:
-        lines = (self.read("lineitem")
-                 .join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-                 .join(self.read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-                 .join(self.read("customer"), F.col("o_custkey") == F.col("c_custkey")))
+        lines = self.read("lineitem").join(self.read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         partner = f"CASE WHEN {SHIPPED} THEN {LINE_SUPPLIER} ELSE {code(CUS, 'o_custkey', 6)} END"
-        sign = "CASE WHEN s_nationkey % 5 IN (0, 3) THEN -1 ELSE 1 END"
+        sign = f"CASE WHEN {ACCOUNT} % 5 IN (0, 3) THEN -1 ELSE 1 END"
         return lines.selectExpr(
             f"{unit_of('o_orderkey')} AS zid", f"{VOUCHER} AS xvoucher",
-            f"{account('s_nationkey', 'o_orderkey % 3 = 0')} AS xacc", "c_mktsegment AS xproj",
+            f"{account(ACCOUNT, 'o_orderkey % 3 = 0')} AS xacc",
+            f"element_at({literal(PROJECTS)}, cast(o_custkey % {len(PROJECTS)} AS int) + 1) AS xproj",
             f"{partner} AS xsub", f"cast(l_extendedprice AS {MONEY}) * {sign} AS xprime")
 
     def web_orders(self) -> DataFrame:
@@ -273,13 +282,15 @@ class Star:
             f"cast(o_totalprice AS {MONEY}) AS total", *more)
 
     def web_order_documents(self) -> DataFrame:
-        """Nested order documents.  A page may carry part of an order, so each
-        document holds one line: no task gathers the lines of a large order."""
+        """Nested order documents of several lines.  A page carries the lines of four
+        line numbers and one part class of an order, so no task gathers all lines of a large one."""
         lines = self.read("lineitem").selectExpr(
-            "l_orderkey AS id",
-            "array(named_struct('id', l_partkey, 'name', cast(NULL AS string), "
-            f"'sku', {LINE_ITEM})) AS line_items")
-        return lines.join(self.web_orders(), "id")
+            "l_orderkey AS id", "l_linenumber AS line", "concat(floor((l_linenumber - 1) / 4), '/', l_partkey % 4) AS page",
+            f"named_struct('id', l_partkey, 'name', cast(NULL AS string), 'sku', {LINE_ITEM}) AS item")
+        pages = lines.groupBy("id", "page").agg(
+            F.sort_array(F.collect_list(F.struct("line", "item"))).alias("lines")).selectExpr(
+            "id", "lines.item AS line_items")
+        return pages.join(self.web_orders(), "id")
 
     def _stream(self, name: str) -> DataFrame:
         """The files of a table as a stream; nothing is copied.

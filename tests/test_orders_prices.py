@@ -75,3 +75,11 @@ def test_payloads_hold_every_row_once(spark):
     sent = [u["id"] for b in batches for u in json.loads(b.payload)["update"]]
     assert sent == sorted(r.id for r in changes.collect())
     assert list(json.loads(batches[0].payload)["update"][0]) == ["id", "manage_stock"]
+
+
+def test_documents_hold_several_lines(sample):
+    documents = sample.web_order_documents
+    sizes = documents.selectExpr("size(line_items) AS n").groupBy().agg({"n": "max"}).first()[0]
+    assert sizes > 1
+    lines = orders.order_lines(documents)
+    assert lines.count() == sample.imtrn.count()

@@ -92,3 +92,12 @@ def test_one_hot_item_is_summed_before_it_moves(spark, sample):
     """The plan aggregates partially, and ranks nothing over raw movements."""
     plan = stock.last_movement(sample)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_receipt_type_reaches_the_scan(sample):
+    plan = stock.last_movement(sample, "GRN-")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(l_linestatus,F)" in plan
+
+
+def test_sample_has_negative_movements(sample):
+    assert stock.negative_movements(sample).count() > 0
