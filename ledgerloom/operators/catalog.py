@@ -94,12 +94,14 @@ def new_item_defaults(new: DataFrame, warehouse: str, ts: datetime) -> DataFrame
     })
 
 
-def catalog_upsert(items: DataFrame, sheet: DataFrame, row: str = "row_id") -> DataFrame:
-    """Next state of the item table.
+def catalog_upsert(items: DataFrame, sheet: DataFrame, row: str = "row_id", warehouse: str | None = None,
+                   ts: datetime | None = None) -> DataFrame:
+    """Next state of the item table, with all of its columns.
 
     A listed item takes the sheet's values of the updatable attributes, from
     its first sheet row; other items stay; unknown rows are appended under
-    generated codes.  The group of an existing item does not change.
+    generated codes, with the defaults of a new item where ``warehouse`` and
+    ``ts`` are given.  The group of an existing item does not change.
     """
     shared = [c for c in items.columns if c in sheet.columns and c in UPDATABLE]
     listed = catalog_existing(sheet, items)
@@ -111,8 +113,10 @@ def catalog_upsert(items: DataFrame, sheet: DataFrame, row: str = "row_id") -> D
           if c in shared else F.col(c) for c in items.columns],
         F.when(F.col("s").isNotNull(), "updated").otherwise("kept").alias("action"))
     added = generate_item_codes(catalog_new(sheet, items), items, row)
+    if warehouse is not None and ts is not None:
+        added = new_item_defaults(added, warehouse, ts)
     inserted = added.select(
         *[F.col("new_code").alias("xitem") if c == "xitem" else F.col(c)
-          for c in items.columns if c in sheet.columns],
+          for c in items.columns if c in added.columns],
         F.lit("inserted").alias("action"))
     return updated.unionByName(inserted, allowMissingColumns=True)

@@ -1,5 +1,6 @@
 """SQL of the stock, counting, catalog and price reports."""
 
+from ledgerloom.oracle.views import MORE_COLUMNS
 from ledgerloom.plans.params import DEFAULT as P
 
 AS_OF = f"DATE '{P.as_of}'"
@@ -81,8 +82,13 @@ ATTRIBUTES = " UNION ".join(
                     ("xmaterial", "Material")])
 
 IN_CENTRAL = "EXISTS (SELECT 1 FROM caitem c WHERE c.zid = s.zid AND c.xitem = s.xitem)"
-SHEET_COLUMNS = ("zid:i xitem:s xdesc:s xgitem:s xstdprice:d xeccrange:s xrandom:s xnameonly:s "
-                 "xbrand:s xcolor:s xmaterial:s row_id:i")
+SHEET_COLUMNS = " ".join(["zid:i xitem:s xdesc:s xgitem:s xstdprice:d xbrand:s row_id:i",
+                          *[f"{c}:{'d' if c == 'xstdcost' else 's'}" for c in MORE_COLUMNS]])
+
+# What a sheet may change on an existing item.
+CHANGED = ["xdesc", "xbrand", "xstdprice", "xlong", "xstdcost", "xduty", "xorigin", "xsup", "xwtunit", "xunitwt",
+           "xitemnew", "xitemold", "xdrawing", "xeccnum", "xunitlen", "xl", "xw", "xh", "xalias", "xcolor", "xmaterial",
+           "xeccrange", "xscode", "xrandom", "xresponse", "xnameonly", "xslot"]
 
 CODED = f"""SELECT n.*, n.xitem AS prefix, n.xitem || cast(n.rn + coalesce(m.largest, 0) AS varchar) AS new_code
     FROM (SELECT s.*, row_number() OVER (PARTITION BY s.xitem ORDER BY s.row_id) AS rn
@@ -192,11 +198,15 @@ QUERIES = {
             'Central' AS xwh, 1 AS xcfiss, 1 AS xcfpck, 1 AS xcfsta FROM ({CODED}) c""",
         SHEET_COLUMNS + " prefix:s new_code:s ztime:T xcatful:s xtypestk:s xwh:s xcfiss:i xcfpck:i xcfsta:i"),
     "catalog_upsert": (
-        f"""SELECT c.zid, c.xitem, coalesce(s.xdesc, c.xdesc) AS xdesc, c.xgitem, coalesce(s.xbrand, c.xbrand) AS xbrand,
-              coalesce(s.xstdprice, c.xstdprice) AS xstdprice, CASE WHEN s.xitem IS NULL THEN 'kept' ELSE 'updated' END AS action
+        f"""SELECT c.zid, c.xitem, c.xgitem, c.ztime, c.xcatful, c.xtypestk, c.xwh, c.xcfiss, c.xcfpck, c.xcfsta,
+              {', '.join(f'CASE WHEN s.xitem IS NULL THEN c.{x} ELSE s.{x} END AS {x}' for x in CHANGED)},
+              {', '.join(f'c.{x}' for x in MORE_COLUMNS if x not in CHANGED)},
+              CASE WHEN s.xitem IS NULL THEN 'kept' ELSE 'updated' END AS action
             FROM caitem c LEFT JOIN catalog_sheet s ON s.zid = c.zid AND s.xitem = c.xitem
-            UNION ALL SELECT zid, new_code, xdesc, xgitem, xbrand, xstdprice, 'inserted' FROM ({CODED})""",
-        "zid:i xitem:s xdesc:s xgitem:s xbrand:s xstdprice:d action:s"),
+            UNION ALL BY NAME SELECT zid, new_code AS xitem, xgitem, TIMESTAMP '2001-06-30 09:00:00' AS ztime, 'Auto' AS xcatful,
+              'Stock-N-Sell' AS xtypestk, 'Central' AS xwh, 1 AS xcfiss, 1 AS xcfpck, 1 AS xcfsta,
+              {', '.join(CHANGED)}, {', '.join(x for x in MORE_COLUMNS if x not in CHANGED)}, 'inserted' AS action FROM ({CODED})""",
+        SHEET_COLUMNS.replace(" row_id:i", "") + " ztime:T xcatful:s xtypestk:s xwh:s xcfiss:i xcfpck:i xcfsta:i action:s"),
     "price_compare": (compare(100003), "id:i xitem:s web_price:d erp_price:d web_below_erp:b web_above_erp:b"),
     "erp_price_updates": (
         f"SELECT xitem, erp_price AS current_price, web_price AS target_price FROM ({compare(100003)}) WHERE web_below_erp",

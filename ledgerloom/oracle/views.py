@@ -14,6 +14,23 @@ VOUCHER = code("CASE WHEN o_orderstatus = 'P' AND o_orderkey % 4 = 0 THEN 'OB--'
                "o_orderkey", 7)
 OPENING = "o_orderstatus = 'P' AND o_orderkey % 4 = 0"
 
+# Item columns beyond the six that the reports use, in the order of the sheet.
+MORE_COLUMNS = [
+    "xlong", "xstdcost", "xunitsel", "xunitstk", "xunitalt", "xunitiss", "xunitpck", "xunitsta", "xduty", "xorigin",
+    "xsup", "xwtunit", "xunitwt", "xitemnew", "xitemold", "xeccrange", "xrandom", "xnameonly", "xdrawing", "xeccnum",
+    "xscode", "xresponse", "xslot", "xunitlen", "xl", "xw", "xh", "xalias", "xcolor", "xmaterial", "xremark",
+]
+
+
+def more_columns(state: str, shift: int, without: tuple[str, ...] = ()) -> str:
+    cells = []
+    for place, c in enumerate(MORE_COLUMNS):
+        value = "cast(p_size AS decimal(18,2))" if c == "xstdcost" else f"'{state} {c} ' || cast(p_size AS varchar)"
+        if c not in without:
+            cells.append(f"CASE WHEN (p_size + {place + shift}) % 3 <> 0 THEN {value} END AS {c}")
+    return ", ".join(cells)
+
+
 VIEWS = {
     "tenant": "SELECT * FROM (VALUES (100001, 'store'), (100002, 'central'), (100003, 'ecommerce')) AS t(zid, name)",
     "tenant_config": """SELECT * FROM (VALUES (100001, '04010001', 'Main'), (100002, '4010001', 'Main'),
@@ -23,7 +40,9 @@ VIEWS = {
         AS t(zid, xproj, xacc)""",
     "caitem": f"""SELECT t.zid, {ITEM} AS xitem, p_name AS xdesc, p_type AS xgitem, p_brand AS xbrand,
         cast(p_retailprice AS decimal(18,2)) + cast(CASE WHEN t.zid = 100001 THEN p_partkey % 7
-          WHEN t.zid = 100003 THEN p_partkey % 5 ELSE 0 END AS decimal(18,2)) AS xstdprice
+          WHEN t.zid = 100003 THEN p_partkey % 5 ELSE 0 END AS decimal(18,2)) AS xstdprice,
+        {more_columns('old', 0)}, TIMESTAMP '1990-01-01 00:00:00' AS ztime, 'Manual' AS xcatful,
+        'Stock-N-Sell' AS xtypestk, 'Main' AS xwh, 2 AS xcfiss, 2 AS xcfpck, 2 AS xcfsta
         FROM part CROSS JOIN tenant t""",
     "imtrn": f"""SELECT {UNIT.format(key='l_orderkey')} AS zid, {code("'IT-'", 'l_partkey', 6)} AS xitem,
         cast(l_shipdate AS date) AS xdate, {code('doc', 'l_orderkey', 7)} AS xdocnum,
@@ -102,7 +121,8 @@ VIEWS = {
         concat('new ', p_name) AS xdesc, p_type AS xgitem, cast(p_retailprice AS decimal(18,2)) + 1 AS xstdprice,
         concat('U', cast(p_size % 5 AS varchar)) AS xeccrange,
         CASE WHEN p_size % 3 = 0 THEN concat('V', cast(p_size AS varchar)) END AS xrandom, 'N1' AS xnameonly,
-        p_brand AS xbrand, split_part(p_name, ' ', 1) AS xcolor, p_type AS xmaterial, p_partkey AS row_id FROM part""",
+        p_brand AS xbrand, split_part(p_name, ' ', 1) AS xcolor, p_type AS xmaterial,
+        {more_columns('new', 1, ('xeccrange', 'xrandom', 'xnameonly', 'xcolor', 'xmaterial'))}, p_partkey AS row_id FROM part""",
     "xcodes": """SELECT DISTINCT 100002 AS zid, 'Brand' AS xtype, p_brand AS xcode FROM part WHERE p_size < 2
         UNION SELECT DISTINCT 100002, 'Material', p_type FROM part WHERE p_type <> 'PROMO'""",
     "count_history": f"""SELECT t.zid, {ITEM} AS xitem, date '2001-04-01' AS quarter_start

@@ -352,7 +352,7 @@ def new_item_defaults(m):
 
 @query
 def catalog_upsert(m):
-    return catalog.catalog_upsert(m.caitem, m.catalog_sheet)
+    return catalog.catalog_upsert(m.caitem, m.catalog_sheet, warehouse="Central", ts=LOADED_AT)
 
 
 # --- prices -----------------------------------------------------------------

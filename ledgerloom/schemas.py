@@ -47,9 +47,16 @@ SHEET_HEADERS = {
 
 SHEET_TYPES = {"zid": "int", "xstdcost": MONEY, "xstdprice": MONEY}
 
+# Columns of an item that only an insert fills.
+INSERT_DEFAULTS = {"ztime": "timestamp_ntz", "xcatful": "string", "xtypestk": "string", "xwh": "string",
+                   "xcfiss": "int", "xcfpck": "int", "xcfsta": "int"}
+
+# The item master: all columns of the sheet and those that an insert fills.
+ITEM_COLUMNS = {**{c: SHEET_TYPES.get(c, "string") for c in SHEET_HEADERS.values()}, **INSERT_DEFAULTS}
+
 TABLES = {
     "tenant": "zid int, name string",
-    "caitem": f"zid int, xitem string, xdesc string, xgitem string, xbrand string, xstdprice {MONEY}",
+    "caitem": ", ".join(f"{c} {kind}" for c, kind in ITEM_COLUMNS.items()),
     "xcodes": "zid int, xtype string, xcode string",
     "imtrn": f"zid int, xitem string, xdate date, xdocnum string, xline int, xsup string, xsign int, "
              f"xqty {MONEY}, xval {MONEY}, xwh string, xyear int, xper int",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import constant_table, literal, lookup
 from ledgerloom.plans.statement_lines import DEFAULT_GROUPS, TAX
-from ledgerloom.schemas import MONEY
+from ledgerloom.schemas import INSERT_DEFAULTS, ITEM_COLUMNS, MONEY
 
 # Business units.
 UNITS = [(100001, "store"), (100002, "central"), (100003, "ecommerce")]
@@ -141,6 +141,23 @@ def movements(lineitem: DataFrame) -> DataFrame:
         "year(l_shipdate) AS xyear", "month(l_shipdate) AS xper")
 
 
+# Attributes that the sheet derives from the part by expressions of their own.
+SHEET_OWN = ["xeccrange", "xrandom", "xnameonly", "xcolor", "xmaterial"]
+
+
+def more_attributes(state: str) -> dict[str, str]:
+    """Remaining columns of an item: text of the column and the part, missing for every third size.
+
+    The sheet (state "new") misses other parts than the master, so an update empties some.
+    """
+    own = ["zid", "xitem", "xdesc", "xgitem", "xbrand", "xstdprice"]
+    out = {}
+    for place, (column, kind) in enumerate((c, k) for c, k in ITEM_COLUMNS.items() if c not in own and c not in INSERT_DEFAULTS):
+        value = f"cast(p_size AS {MONEY})" if kind == MONEY else f"concat('{state} {column} ', cast(p_size AS string))"
+        out[column] = f"CASE WHEN (p_size + {place + (state == 'new')}) % 3 <> 0 THEN {value} END"
+    return out
+
+
 class Star:
     """The mapping; one method per ERP table."""
 
@@ -183,7 +200,10 @@ class Star:
         markup = "CASE zid WHEN 100001 THEN p_partkey % 7 WHEN 100003 THEN p_partkey % 5 ELSE 0 END"
         return in_every_unit(self.read("part")).selectExpr(
             "zid", f"{ITEM} AS xitem", "p_name AS xdesc", "p_type AS xgitem", "p_brand AS xbrand",
-            f"cast(cast(p_retailprice AS {MONEY}) + cast({markup} AS {MONEY}) AS decimal(19,2)) AS xstdprice")
+            f"cast(cast(p_retailprice AS {MONEY}) + cast({markup} AS {MONEY}) AS decimal(19,2)) AS xstdprice",
+            *[f"{value} AS {c}" for c, value in more_attributes("old").items()],
+            "timestamp_ntz '1990-01-01 00:00:00' AS ztime", "'Manual' AS xcatful", "'Stock-N-Sell' AS xtypestk",
+            "'Main' AS xwh", "2 AS xcfiss", "2 AS xcfpck", "2 AS xcfsta")
 
     def pogdt(self) -> DataFrame:
         return self._lines("GRN-", "xdocnum AS xgrnnum", "xitem", "xqty")
@@ -332,7 +352,8 @@ class Star:
             "concat('U', cast(p_size % 5 AS string)) AS xeccrange",
             "CASE WHEN p_size % 3 = 0 THEN concat('V', cast(p_size AS string)) END AS xrandom",
             "'N1' AS xnameonly", "p_brand AS xbrand", "split_part(p_name, ' ', 1) AS xcolor",
-            "p_type AS xmaterial", "p_partkey AS row_id")
+            "p_type AS xmaterial",
+            *[f"{value} AS {c}" for c, value in more_attributes("new").items() if c not in SHEET_OWN], "p_partkey AS row_id")
 
     def xcodes(self) -> DataFrame:
         part = self.read("part")

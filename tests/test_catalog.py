@@ -6,7 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbering import dense_numbers
+from ledgerloom.model import Model
 from ledgerloom.operators import catalog
+from ledgerloom.schemas import ITEM_COLUMNS
 
 
 def items(spark, *codes):
@@ -51,6 +53,22 @@ def test_upsert_replaces_appends_and_keeps(spark):
                    ("N-1", "row 1", "H", None, "inserted")]
 
 
+def test_upsert_of_stored_items_loses_no_column(spark, sample, tmp_path):
+    """Attributes, also those that no sheet changes, survive a round through stored tables."""
+    sample.caitem.selectExpr(*[f"cast({c} AS {kind}) AS {c}" for c, kind in ITEM_COLUMNS.items()]).write.parquet(
+        str(tmp_path / "caitem"))
+    stored = Model.from_tables(spark, str(tmp_path)).caitem
+    assert set(stored.columns) == set(ITEM_COLUMNS) and len(ITEM_COLUMNS) == 44
+    after = catalog.catalog_upsert(stored, sample.catalog_sheet, warehouse="Room", ts=datetime(2024, 1, 2))
+    assert after.columns == [*stored.columns, "action"]
+    kept = after.filter("action = 'kept'").drop("action")
+    assert kept.exceptAll(stored).isEmpty()
+    one = after.filter("action = 'inserted'").first()
+    assert (one.xcatful, one.xwh, one.xcfiss, one.ztime) == ("Auto", "Room", 1, datetime(2024, 1, 2))
+    changed = after.filter("action = 'updated' AND xlong LIKE 'new %'").first()
+    assert changed.xremark is None or changed.xremark.startswith("old")
+
+
 def test_existing_and_new_make_the_sheet(sample):
     central = sample.caitem.filter("zid = 100002")
     listed = sample.catalog_sheet
