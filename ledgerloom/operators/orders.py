@@ -62,6 +62,7 @@ def order_age(orders: DataFrame, as_of: date) -> DataFrame:
         F.concat(text, F.lit(" pass after created")))
     return orders.select("id", "status", created.alias("date_created"),
                          completed.alias("date_completed"), "total",
+                         *[c for c in ("customer_note",) if c in orders.columns],
                          days.alias("days_for_order"), message.alias("days_pass_order"))
 
 

@@ -22,7 +22,7 @@ SCOPE = f"""SELECT * FROM web_orders WHERE cast(date_created AS date) <= {AS_OF}
 def age(source: str) -> str:
     days = f"""date_diff('day', cast(date_created AS date),
         CASE WHEN status = 'completed' AND date_completed IS NOT NULL THEN cast(date_completed AS date) ELSE {AS_OF} END)"""
-    return f"""SELECT id, status, date_created, date_completed, total, {days} AS days_for_order,
+    return f"""SELECT id, status, date_created, date_completed, total, customer_note, {days} AS days_for_order,
         CASE WHEN status = 'completed' THEN 'completed within ' || {days} || ' days'
         ELSE {days} || ' days pass after created' END AS days_pass_order FROM ({source})"""
 
@@ -32,8 +32,8 @@ def section_totals(join: str) -> str:
         min(cast(o.date_created AS date)) AS oldest FROM {SECTIONS} {join} JOIN ({SCOPE}) o ON o.status = d.status GROUP BY 1, 2"""
 
 
-ORDER_COLUMNS = "id:i status:s date_created:T date_completed:t total:d"
-AGE_COLUMNS = "id:i status:s date_created:t date_completed:t total:d days_for_order:i days_pass_order:s"
+ORDER_COLUMNS = "id:i status:s date_created:T date_completed:t total:d customer_note:s"
+AGE_COLUMNS = "id:i status:s date_created:t date_completed:t total:d customer_note:s days_for_order:i days_pass_order:s"
 MODIFIED = "coalesce(date_completed, cast(date_created AS date) + 1)"
 
 QUERIES = {

@@ -111,7 +111,8 @@ VIEWS = {
         o_orderdate AS date_created,
         CASE WHEN o_orderkey % 8 = 7 AND o_orderkey % 5 <> 0
           THEN cast(o_orderdate AS date) + cast(o_orderkey % 12 AS int) END AS date_completed,
-        cast(o_totalprice AS decimal(18,2)) AS total FROM orders""",
+        cast(o_totalprice AS decimal(18,2)) AS total,
+        CASE WHEN o_orderkey % 9 = 0 THEN 'call before ' || cast(o_orderkey % 24 AS varchar) END AS customer_note FROM orders""",
     "web_products": f"""SELECT p_partkey AS id, CASE WHEN p_partkey % 53 = 0 THEN '' ELSE {ITEM} END AS sku,
         CASE WHEN p_partkey % 17 = 0 THEN '' ELSE cast(cast(p_retailprice AS decimal(18,2))
           + cast(p_partkey % 4 AS decimal(18,2)) AS varchar) END AS regular_price,

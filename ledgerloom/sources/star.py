@@ -299,7 +299,8 @@ class Star:
         return named.selectExpr(
             "o_orderkey AS id", "status", "o_orderdate AS date_created", f"{done} AS date_completed",
             f"coalesce({done}, date_add(cast(o_orderdate AS date), 1)) AS date_modified",
-            f"cast(o_totalprice AS {MONEY}) AS total", *more)
+            f"cast(o_totalprice AS {MONEY}) AS total",
+            "CASE WHEN o_orderkey % 9 = 0 THEN concat('call before ', o_orderkey % 24) END AS customer_note", *more)
 
     def web_order_documents(self) -> DataFrame:
         """Nested order documents of several lines.  A page carries the lines of four
