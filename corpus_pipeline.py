@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import decode_ids, encode_corpus
+from ledgerloom.llm.bpe import encode_corpus
 from ledgerloom.llm.common import cut_lineage
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import judge_quality
@@ -42,8 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): little-endian 32-bit ids, and the digest of what they decode to."""
-    encoded = encode_corpus(docs.select("doc_id", "text"))
-    return encoded.select("doc_id", "n_tokens", "ids", F.sha2(decode_ids(F.col("ids"), spark), 256).alias("decoded_sha256"))
+    encoded = encode_corpus(docs.select("doc_id", "text"), decode=True)
+    return encoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -30,7 +30,7 @@ from . import vocab
 from .common import Numbering, partitions, ship, table
 
 #: Characters after which a task closes a chunk; a longer document is a chunk of its own.
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 5_000_000
 _PACKED = "chunk long, row int, words binary, positions binary, count int, {key}"
 
 
@@ -52,6 +52,12 @@ def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
     return values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
 
 
+def _decode(ids: bytes, tokens: tuple[np.ndarray, np.ndarray, np.ndarray]) -> bytes:
+    flat, starts, lengths = tokens
+    numbers = np.frombuffer(ids, "<u4")
+    return _gather(flat, starts[numbers], lengths[numbers]).tobytes()
+
+
 def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
     """Arrow function from (part, key, text) rows to the packed rows of their chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,9 +89,10 @@ def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
                 pa.array([None, *keys], key.type)], schema=schema)
 
         for batch in batches:
-            for part, own, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row in zip(*batch.columns, strict=True):  # one text at a time becomes an object
+                part, own, text = (x.as_py() for x in row)
                 found = find(text)
-                sequences.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+                sequences.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
                 keys.append(own)
                 chars += len(text)
                 if chars >= chunk_chars:
@@ -163,9 +170,13 @@ def encode_words(ranks):
     return run
 
 
-def assemble(key: pa.Field, buckets: int):
-    """Cogrouped function: the documents of one chunk and the ids of its words, put together by position."""
-    schema = pa.schema([key, ("n_tokens", pa.int64()), ("ids", pa.binary())])
+def assemble(key: pa.Field, buckets: int, ranks=None):
+    """Cogrouped function: the documents of one chunk and the ids of its words, put together by position.
+
+    With ``ranks`` the ids are decoded by the token-byte table at once, which
+    saves a second Python worker beside the one that has put them together.
+    """
+    schema = pa.schema([key, ("n_tokens", pa.int64()), ("ids", pa.binary()), *([("decoded", pa.binary())] if ranks else [])])
 
     def run(documents: pa.Table, words: pa.Table) -> pa.Table:
         if not documents.num_rows:
@@ -183,7 +194,7 @@ def assemble(key: pa.Field, buckets: int):
         sizes = np.concatenate([*counts, np.zeros(0, "<u4")]).astype(np.int64)
         lengths, starts = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
         lengths[order], starts[order] = sizes, np.cumsum(sizes) - sizes
-        keys, out, sizes = [], [], []
+        keys, out, sizes, back = [], [], [], []
         for row, own, packed, count in zip(*(documents.column(c).to_pylist() for c in ("row", key.name, "positions", "count")), strict=True):
             if row < 0:
                 continue
@@ -192,14 +203,19 @@ def assemble(key: pa.Field, buckets: int):
             keys.append(own)
             out.append(tokens.tobytes())
             sizes.append(len(tokens))
-        return pa.table([pa.array(keys, key.type), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], schema=schema)
+            if ranks:
+                back.append(_decode(out[-1], vocab.token_bytes(ranks.value)))
+        columns = [pa.array(keys, key.type), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())]
+        return pa.table([*columns, *([pa.array(back, pa.binary())] if ranks else [])], schema=schema)
     return run
 
 
 def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = vocab.BYTE_BPE,
-                  pattern: str = vocab.PATTERN, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+                  pattern: str = vocab.PATTERN, chunk_chars: int = CHUNK_CHARS, decode: bool = False) -> DataFrame:
     """(key, n_tokens, ids) per row; ``ids`` are little-endian unsigned 32-bit numbers.
 
+    With ``decode`` a column ``decoded`` has the bytes the ids stand for.
+
     Each match of ``pattern`` is encoded by the ranks of ``vocabulary``,
     without special tokens.  A null text counts as empty and has no ids.  Rows
     with equal or null keys are encoded each by itself; an empty table gives
@@ -223,7 +239,8 @@ def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", voca
     ids = (words.repartition(n, "bucket").sortWithinPartitions("bucket")
            .mapInArrow(encode_words(ranks), "chunk long, bucket int, ids binary"))
     return packed.groupBy("chunk").cogroup(ids.repartition(n, "chunk").groupBy("chunk")).applyInArrow(
-        assemble(field, buckets), f"`{key}` {kind.dataType.simpleString()}, n_tokens long, ids binary")
+        assemble(field, buckets, ranks if decode else None),
+        f"`{key}` {kind.dataType.simpleString()}, n_tokens long, ids binary" + ", decoded binary" * decode)
 
 
 def decode_ids(ids: Column, spark: SparkSession, vocabulary: str = vocab.BYTE_BPE) -> Column:
@@ -233,28 +250,16 @@ def decode_ids(ids: Column, spark: SparkSession, vocabulary: str = vocab.BYTE_BP
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        by_rank = vocab.parse_ranks(ranks.value)
-        size = max(by_rank.values()) + 1
-        lengths = np.zeros(size, np.int64)
-        tokens = [b""] * size
-        for token, rank in by_rank.items():
-            tokens[rank], lengths[rank] = token, len(token)
-        flat = np.frombuffer(b"".join(tokens), np.uint8)
-        starts = np.cumsum(lengths) - lengths
+        tokens = vocab.token_bytes(ranks.value)
         for packed in batches:
-            yield pd.Series([_gather(flat, starts[i], lengths[i]).tobytes()
-                             for i in (np.frombuffer(x, "<u4") for x in packed)], dtype=object)
+            yield pd.Series([_decode(x, tokens) for x in packed], dtype=object)
     return decoded(ids)
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(encode_corpus(table(spark, sf_dir, "documents")))
-
-
-def digests(encoded: DataFrame) -> DataFrame:
-    spark = encoded.sparkSession
+    encoded = encode_corpus(table(spark, sf_dir, "documents"), decode=True)
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                          F.sha2(decode_ids(F.col("ids"), spark), 256).alias("decoded_sha256"))
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 QUERIES = {"op10_byte_bpe": op10_byte_bpe}

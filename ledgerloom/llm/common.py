@@ -10,10 +10,14 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.shared import shared_dir
+
 #: ASCII white space as the contracts count it; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: Bytes of an Arrow batch that goes to a Python worker.
+ARROW_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,20 +32,32 @@ def ascii_lower(text: Column) -> Column:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the folder named in ``spark.checkpoint.dir`` and read it back.
 
-    A lost executor then costs a read and no recomputation.  Only where the
-    setting is missing (tests) is a folder of this machine used.
+    A lost executor then costs a read and no recomputation.  A local session
+    without the setting (tests) gets a folder of its own, a cluster is refused.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ledgerloom-llm-"))
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def _bytes(size: str) -> int:
+    """Bytes of a size setting; a negative one means no limit."""
+    digits = size.strip().lower().rstrip("bkmgt")
+    unit = size.strip().lower()[len(digits):].rstrip("b") or "b"
+    number = int(digits) * 1024 ** "bkmgt".index(unit)
+    return number if number >= 0 else 1 << 62
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, wherever the session was started from."""
+    """Prepare the Python workers: this package, wherever the session was started from, and small Arrow batches.
+
+    A worker holds a batch several times over, as bytes and as objects, so
+    batches beyond ``ARROW_BYTES`` only cost memory.
+    """
     context = spark.sparkContext
+    if _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")) > _bytes(ARROW_BYTES):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     package = Path(__file__).resolve().parent.parent
     if getattr(context, "_ledgerloom_shipped", False):
         return
