@@ -28,7 +28,7 @@ MAX_SOURCES = 100
 #: Without given weights a source weighs its documents to this power.
 TEMPERATURE = 0.5
 #: Documents that one window numbers, about.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 4_000
 OTHERS = "\u0000others"
 
 
