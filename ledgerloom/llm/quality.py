@@ -27,7 +27,7 @@ MAX_REPEAT_PERCENT = 50
 #: pieces, bits of token entropy.  Scripts a vocabulary has few words of need
 #: more tokens a character, so their bands reach lower.
 BANDS = {
-    "latin": {"chars_per_token": (1.85, 12.0), "byte_fallback": (0.0, 0.2), "entropy": (5.0, 20.0)},
+    "latin": {"chars_per_token": (1.75, 12.0), "byte_fallback": (0.0, 0.2), "entropy": (5.0, 20.0)},
     "cyrillic": {"chars_per_token": (0.9, 12.0), "byte_fallback": (0.0, 0.3), "entropy": (4.5, 20.0)},
     "greek": {"chars_per_token": (0.7, 12.0), "byte_fallback": (0.0, 0.4), "entropy": (4.5, 20.0)},
     "arabic": {"chars_per_token": (0.7, 12.0), "byte_fallback": (0.0, 0.6), "entropy": (4.5, 20.0)},
@@ -43,7 +43,7 @@ SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
           "n_tokens long, chars_per_token double, byte_fallback double, entropy double, script string")
 
 #: A worker forgets its words beyond this many; 2**21 keeps three numbers in 63 bits.
-MAX_WORDS_KEPT = 400_000
+MAX_WORDS_KEPT = 250_000
 
 
 class _Words:
