@@ -61,7 +61,7 @@ def _decode(ids: bytes, tokens: tuple[np.ndarray, np.ndarray, np.ndarray]) -> by
 def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
     """Arrow function from (part, key, text) rows to the packed rows of their chunks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
+        find = regex.compile(pattern)
         schema = pa.schema([("chunk", pa.int64()), ("row", pa.int32()), ("words", pa.binary()),
                             ("positions", pa.binary()), ("count", pa.int32()), key])
         part, serial = 0, 0
@@ -91,8 +91,11 @@ def split_chunks(key: pa.Field, chunk_chars: int, pattern: str):
         for batch in batches:
             for row in zip(*batch.columns, strict=True):  # one text at a time becomes an object
                 part, own, text = (x.as_py() for x in row)
-                found = find(text)
-                sequences.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+                if len(text) < chunk_chars:
+                    found = find.findall(text)
+                    sequences.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+                else:  # never all pre-tokens of a huge text at once
+                    sequences.append(np.fromiter((number[m.group()] for m in find.finditer(text)), np.int32))
                 keys.append(own)
                 chars += len(text)
                 if chars >= chunk_chars:

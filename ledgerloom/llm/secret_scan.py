@@ -28,9 +28,9 @@ WINDOW = 20
 #: Bits by character class that no window of ordinary text reaches; no window of
 #: 20 characters has exactly this entropy, so rounding never decides.
 BITS = {"digits": 9.0, "hex": 2.95, "upper": 3.55, "base64": 3.85}
-#: Strings that look random and are public: UUIDs, image and file names, counted or repeated examples.
+#: Strings that look random and are public: UUIDs, counted or repeated examples, paths of three parts.
 ALLOWED = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|example|placeholder|changeme"
-           r"|0123456789|abcdefgh|^(.{1,4})\1{4,}|^/|//")
+           r"|0123456789|abcdefgh|^(.{1,4})\1{4,}|^(/[a-z0-9_-]+){3,}$")
 
 
 def _spans(text: Column, pattern: str, keep=None) -> Column:
@@ -73,37 +73,41 @@ def high_entropy_span(value: Column, window: int = WINDOW) -> Column:
     over them are carried along; one step adds a character and takes one out,
     so its cost does not depend on the window.
     """
-    number = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))
     zeros = F.array_repeat(F.lit(0), len(ALPHABET) + 1)
     weight = lambda c: F.when(c > 1, c * F.log(c)).otherwise(F.lit(0.0))
     start = F.struct(zeros.alias("counts"), F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("first"),
                      F.lit(None).cast("int").alias("last"))
-    limit = _class_bits(value)
-
-    def add(state, char, by):
-        before = F.element_at(state["counts"], char)
-        counts = F.transform(state["counts"], lambda c, i: c + F.when(i == char - 1, by).otherwise(0))
-        return F.struct(counts.alias("counts"),
-                        (state["sum"] + weight(before + by) - weight(before)).alias("sum"),
-                        state["first"].alias("first"), state["last"].alias("last"))
-
-    def note(state, at):
-        high = (at >= window) & (F.lit(math.log2(window)) - state["sum"] / (window * math.log(2)) > limit)
-        return F.struct(state["counts"].alias("counts"), state["sum"].alias("sum"),
-                        F.when(high, F.coalesce(state["first"], at - window)).otherwise(state["first"]).alias("first"),
-                        F.when(high, at).otherwise(state["last"]).alias("last"))
-
-    steps = F.flatten(F.transform(F.sequence(F.lit(1), F.length(value)), lambda at: F.array(
-        F.struct((at - window).alias("at"), F.lit(-1).alias("by")),
-        F.struct(at.alias("at"), F.lit(1).alias("by")))))
-    steps = F.filter(steps, lambda x: x["at"] >= 1)
 
-    def step(state, x):
-        char = number(x["at"])
-        moved = add(state, char, x["by"])
-        return F.when(x["by"] == 1, note(moved, x["at"])).otherwise(moved)
-
-    return F.aggregate(steps, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+    def covered(numbers, limit):
+        """The result for the characters' numbers; as fields of a lambda's variable they are worked out once."""
+        def add(state, at, by):
+            char = F.element_at(numbers, at)
+            before = F.element_at(state["counts"], char)
+            counts = F.transform(state["counts"], lambda c, i: c + F.when(i == char - 1, by).otherwise(0))
+            return F.struct(counts.alias("counts"),
+                            (state["sum"] + weight(before + by) - weight(before)).alias("sum"),
+                            state["first"].alias("first"), state["last"].alias("last"))
+
+        def note(state, at):
+            high = (at >= window) & (F.lit(math.log2(window)) - state["sum"] / (window * math.log(2)) > limit)
+            return F.struct(
+                state["counts"].alias("counts"), state["sum"].alias("sum"),
+                F.when(high, F.coalesce(state["first"], at - window)).otherwise(state["first"]).alias("first"),
+                F.when(high, at).otherwise(state["last"]).alias("last"))
+
+        def step(state, x):
+            return F.when(x["by"] == 1, note(add(state, x["at"], F.lit(1)), x["at"])).otherwise(
+                add(state, x["at"], F.lit(-1)))
+
+        steps = F.flatten(F.transform(F.sequence(F.lit(1), F.size(numbers)), lambda at: F.array(
+            F.struct((at - window).alias("at"), F.lit(-1).alias("by")), F.struct(at.alias("at"), F.lit(1).alias("by")))))
+        return F.aggregate(F.filter(steps, lambda x: x["at"] >= 1), start, step,
+                           lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
+
+    characters = F.slice(F.split(value, ""), 1, F.length(value))
+    known = F.struct(F.transform(characters, lambda c: F.instr(F.lit(ALPHABET), c)).alias("numbers"),
+                     _class_bits(value).alias("limit"))
+    return F.transform(F.array(known), lambda k: covered(k["numbers"], k["limit"]))[0]
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
@@ -202,7 +206,7 @@ def _oracle() -> str:
     assign = r"""(?:(?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+"""
     group = r"""^(?:(?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
     allowed = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|example|placeholder|changeme"
-               r"|0123456789|abcdefgh|^/|//")
+               r"|0123456789|abcdefgh|^(/[a-z0-9_-]+){3,}$")
     return f"""
     WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
     body AS (SELECT rid, body FROM numbered),

@@ -29,18 +29,18 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
     if not words:
         return 0
     joined = b" ".join(words)
-    if len(words) < shingle:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = [0, *ends[:-1].tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1:] - 1).tolist(), strict=False)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-1]])
+    width = min(shingle, len(words))
+    total = len(words) - width + 1
+    digest = xxhash.xxh64_intdigest
     counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = np.array(hashes[at:at + (1 << 16)], dtype=">u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(hashes)).tobytes()
+    for at in range(0, total, 1 << 16):  # a long text is hashed piece by piece
+        upto = min(total, at + (1 << 16))
+        spans = zip(starts[at:upto].tolist(), (ends[at + width - 1:upto + width - 1] - 1).tolist(), strict=True)
+        hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], dtype=">u8")
+        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    bits = np.packbits(2 * counts > total).tobytes()
     return int.from_bytes(bits, "big", signed=True)
 
 

@@ -98,6 +98,15 @@ def test_secrets_of_odd_texts(odd):
     assert by_id(same, "text") == by_id(odd, "text")
 
 
+def test_a_long_encoded_file_is_scanned_in_linear_time(spark):
+    import base64
+    import random
+    body = base64.b64encode(random.Random(1).randbytes(300_000)).decode()
+    found = secret_scan.scan_secrets(spark.createDataFrame([(1, f"data {body} end")], "doc_id long, text string")).first()
+    (span,) = [s for s in found.secrets if s.kind == "entropy"]
+    assert span.start < 50 and len(body) - 50 < span.end <= 5 + len(body)
+
+
 def test_bpe_of_odd_texts(spark, odd):
     encoded = bpe.encode_corpus(odd)
     texts = by_id(encoded.select("doc_id", bpe.decode_ids(F.col("ids"), spark).cast("string").alias("t")), "t")
