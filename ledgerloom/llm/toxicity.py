@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import Numbering, ship, table
 
 #: Words of a window, and words from one window's start to the next one's.
 WINDOW, STRIDE = 32, 16
@@ -31,6 +31,8 @@ VOCABULARY = 4000
 EPOCHS, UPDATES, BATCH, RATE, DECAY = 10, 800, 192, 0.01, 0.3
 #: Share of words left out of a training window, and of documents kept for calibration.
 DROP, CALIBRATE = 0.1, 0.25
+#: Toxic documents below which none is spared for calibration.
+LEAST_TO_SPARE = 200
 SEED = 7
 THRESHOLD = 0.7
 #: Distinct words a task keeps before it starts anew, and windows scored at once.
@@ -214,7 +216,8 @@ def train(rows: list[tuple[int, int, list[str]]]) -> Net:
     docs = np.array([r[0] for r in rows])
     labels = np.array([r[1] for r in rows], np.float32)
     ids, place = np.unique(docs, return_inverse=True)
-    learn = (rng.random(len(ids)) >= CALIBRATE)[place]
+    toxic = len(set(docs[labels == 1].tolist()))
+    learn = (rng.random(len(ids)) >= (CALIBRATE if toxic >= LEAST_TO_SPARE else 0))[place]
     usable = learn.copy()
     share = min(0.95, max(0.05, float(labels.mean())))
     importance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
@@ -282,8 +285,8 @@ def _calibrate(logit: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
     missed = np.concatenate([[0], np.cumsum(real)])
     alarms = np.concatenate([np.cumsum((1 - real)[::-1])[::-1], [0]])
     cost = missed + 3 * alarms
-    at = int(np.flatnonzero(cost == cost.min())[-1])
-    low, high = ordered[max(0, at - 1)], ordered[min(at, len(ordered) - 1)]
+    best = np.flatnonzero(cost == cost.min())
+    low, high = ordered[max(0, best[0] - 1)], ordered[min(best[-1], len(ordered) - 1)]
     cut = float(low + 0.6 * (high - low))
     spread = float(max(np.std(logit), 0.1))
     return 2.0 / spread, float(np.log(THRESHOLD / (1 - THRESHOLD))) - 2.0 / spread * cut
@@ -309,23 +312,22 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.projected = self.net.projections(np.zeros((0, WIDTH), np.float32))
+        self.number = Numbering()
+        self.number[""] = 0  # no word is empty: row 0 pads
+        self.projected = np.zeros((1, 6 * HIDDEN), np.float32)
 
     def _numbers(self, words: list[str]) -> np.ndarray:
-        """Numbers of words from 1; row 0 of ``table`` pads."""
-        fresh = sorted(set(words).difference(self.number))
-        if fresh:
-            first = len(self.number) + 1
-            self.number.update(zip(fresh, range(first, first + len(fresh)), strict=True))
-            added = self.net.projections(self.net.vectors(fresh)[0])[:-1]
-            self.pending.append(added)
         return np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
 
+    def _learn(self) -> None:
+        """Project the words numbered since the last time."""
+        fresh = self.number.take()
+        if fresh:
+            self.projected = np.concatenate([self.projected, self.net.projections(self.net.vectors(fresh)[0])[:-1]])
+
     def scores(self, texts: list[str]) -> np.ndarray:
         """Score of every text from all of its windows; a text without a word scores 0."""
         best = np.full(len(texts), -np.inf)
-        self.pending: list[np.ndarray] = []
         stripes: list[np.ndarray] = []
         owners: list[np.ndarray] = []
         lengths: list[np.ndarray] = []
@@ -351,8 +353,7 @@ class Scorer:
         return np.where(np.isneginf(best), 0.0, score)
 
     def _flush(self, best, stripes, owners, lengths) -> None:
-        self.projected = np.concatenate([self.projected, *self.pending])
-        self.pending.clear()
+        self._learn()
         windows, owner, length = np.concatenate(stripes), np.concatenate(owners), np.concatenate(lengths)
         for at in range(0, len(windows), MAX_WINDOWS):
             part = slice(at, at + MAX_WINDOWS)
