@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.functions.columns import newest, signed_qty
 from ledgerloom.operators.stock import KEY
 from ledgerloom.schemas import TABLES, WEB_ORDER
+from ledgerloom.session import SETTINGS
 
 #: Where a change landed: file time, file name and place in the file.
 LANDED = "landed struct<at: timestamp, file: string, row: bigint>"
@@ -145,8 +146,14 @@ def movement_stream(spark: SparkSession, folder: str, files_per_batch: int | Non
 
 
 def stream_stock_balance(moves: DataFrame, log: Log, checkpoint: str) -> StreamingQuery:
-    """Log the new balance of every item that a batch of movements touched."""
+    """Log the new balance of every item that a batch of movements touched.
+
+    The state has a row per item of every unit, too many for a heap; it is kept
+    in RocksDB also where the caller's session says nothing about it.
+    """
     log.open()
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    log.spark.conf.set(provider, SETTINGS[provider])
     return _run(running_balances(moves), log,
                 lambda rows, batch: rows.withColumn("previous", F.lit(None).cast("decimal(38,2)")), checkpoint, "update")
 
