@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bpe import encode_corpus
-from ledgerloom.llm.common import cut_lineage
+from ledgerloom.llm.common import cut_lineage, with_place, write_in_order
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.quality import judge_quality
 from ledgerloom.llm.secret_scan import redact, scan_secrets
@@ -41,9 +41,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, decoded_sha256): little-endian 32-bit ids, and the digest of what they decode to."""
-    encoded = encode_corpus(docs.select("doc_id", "text"), decode=True)
-    return encoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """(doc_id, n_tokens, ids, decoded_sha256, mix_position) in no order of rows.
+
+    ``ids`` are little-endian 32-bit, the digest is of what they decode to, and
+    ``mix_position`` is the row's place from 0 in the mix.
+    """
+    placed = with_place(docs.select("doc_id", "text"), "mix_position")
+    keyed = placed.select(F.struct("doc_id", "mix_position").alias("key"), "text")
+    encoded = encode_corpus(keyed, key="key", decode=True)
+    return encoded.select("key.doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"), "key.mix_position")
 
 
 STAGES = [
@@ -63,5 +69,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = cut_lineage(docs)
+            docs = write_in_order(docs) if stage is mix else cut_lineage(docs)
     return docs

@@ -25,6 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from . import vocab
 from .common import Numbering, partitions, ship, table
@@ -230,7 +231,8 @@ def encode_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", voca
     ship(spark)
     ranks = vocab.send(spark, vocabulary)
     kind = docs.select(key).schema[0]
-    field = pa.field(key, to_arrow_type(kind.dataType))
+    # By its text, so that the fields of a struct may be null, as those of the word rows are.
+    field = pa.field(key, to_arrow_type(StructType.fromDDL(f"`{key}` {kind.dataType.simpleString()}")[0].dataType))
     packed_type = _PACKED.format(key=f"`{key}` {kind.dataType.simpleString()}")
     n = partitions(spark)
     parts = docs.select(F.spark_partition_id().cast("long").alias("__part"), F.col(key),

@@ -7,10 +7,11 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.shared import shared_dir
+from ledgerloom.sources.shared import new_folder, shared_dir
 
 #: ASCII white space as the contracts count it; everything else belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,6 +42,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_in_order(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back; ``with_place`` finds its order again."""
+    path = new_folder(df.sparkSession, "ordered")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def with_place(df: DataFrame, into: str) -> DataFrame:
+    """``df`` with ``into``, the place from 0 of each row in the order it was written in.
+
+    A written table has one file or more per task, named by the task's number,
+    and readers deal files out by size; so the place is told by file name and
+    row index.  Anything not read from files has its rows in the order of its
+    partitions.  One count per file goes to the driver.
+    """
+    file, split, row = "__file", "__split", "__row"
+    try:
+        name = F.col("_metadata.file_name")
+        part = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("long"), F.lit(0))
+        rows = df.select("*", part(r"^part-(\d+)").alias(file), part(r"-c(\d+)").alias(split), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        number = F.monotonically_increasing_id()
+        rows = df.select("*", F.shiftright(number, 33).alias(file), F.lit(0).cast("long").alias(split),
+                         number.bitwiseAND(F.lit((1 << 33) - 1)).alias(row))
+    starts, total = [], 0
+    for r in sorted(rows.groupBy(file, split).count().collect()):
+        starts.append((r[0], r[1], total))
+        total += r[2]
+    starts = df.sparkSession.createDataFrame(starts, f"{file} long, {split} long, __start long")
+    return rows.join(F.broadcast(starts), [file, split]).withColumn(into, F.col("__start") + F.col(row)).drop(
+        file, split, row, "__start")
+
+
 def _bytes(size: str) -> int:
     """Bytes of a size setting; a negative one means no limit."""
     digits = size.strip().lower().rstrip("bkmgt")

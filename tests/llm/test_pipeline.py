@@ -3,9 +3,11 @@
 import corpus_pipeline
 import pytest
 from conftest import SAMPLE
+from pyspark.sql import functions as F
 from test_operators import plain_components, plain_simhash
 
 from ledgerloom.llm import mixing, quality, vocab
+from ledgerloom.llm.common import with_place
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +80,17 @@ def test_tokens_decode_to_the_texts(stages):
 
 def test_run_equals_the_stages(spark, stages):
     assert rows(corpus_pipeline.run(spark, SAMPLE)) == rows(stages[5])
+
+
+def test_run_returns_the_order_of_the_mix(spark, stages):
+    order = [r.doc_id for r in mixing.mix_sources(stages[3]).orderBy("mix_slot", "mix_place").collect()]
+    for found in (corpus_pipeline.run(spark, SAMPLE), stages[5]):
+        found = found.select("mix_position", "doc_id").orderBy("mix_position").collect()
+        assert [tuple(r) for r in found] == list(enumerate(order))
+
+
+def test_places_of_files_and_of_partitions(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=7).withColumn("text", F.repeat(F.lit("x"), (F.col("id") % 5 * 50).cast("int")))
+    rows.write.option("maxRecordsPerFile", 30).parquet(f"{tmp_path}/t")
+    for df in (rows, spark.read.parquet(f"{tmp_path}/t"), spark.createDataFrame([], rows.schema)):
+        assert all(r.id == r.place for r in with_place(df, "place").collect())
