@@ -1,28 +1,36 @@
 """Mixing sources to target weights by Pfair scheduling of blocks.
 
-The documents of a source are cut into blocks.  Out of ``TICKETS`` slots a
-source of weight w gets w; its block i (from 0) is released at floor(i T / w)
-and due by ceil((i + 1) T / w), and each slot goes to the released block of the
-earliest deadline.  So at any time a source has received less than one block
-more or less than its share.
-
-With whole tickets the schedule repeats every ``TICKETS`` slots.  One period is
-laid out once, as a small table, and every block finds its slot from its number
-by arithmetic; nothing runs through the blocks in order.
+The documents of a source are cut into blocks, and every slot takes one block.
+While sources have blocks left they share the slots in proportion to their
+weights; when one runs out the others share its slots.  So block i (from 0) of
+a source of weight w would be served between the times t(i / w) and
+t((i + 1) / w), where t(v) is the sum of min(blocks, v * weight) over all
+sources.  It is released at the floor of the first, due by the ceiling of the
+second, and each slot goes to the released block of the earliest deadline.  So
+at any time a source has received less than one block more or less than its
+share.  Weights are taken as exact fractions: nothing is rounded to a period.
+
+The driver runs through the blocks once and keeps the blocks done of every
+source at each ``SEGMENT``; tasks lay the segments out from there.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import ship, table
 
-#: Documents of a block, and slots of a period.
-BLOCK, TICKETS = 8, 1000
+#: Documents of a block, slots of a period of whole tickets, and slots a task lays out at once (or as many as sources).
+BLOCK, TICKETS, SEGMENT = 8, 1000, 10_000
 #: Sources with a share of their own at most; the smallest others share one.
 MAX_SOURCES = 100
 #: Without given weights a source weighs its documents to this power.
@@ -38,8 +46,8 @@ def tickets(weights: Mapping[str, float], total: int = TICKETS) -> dict[str, int
     if not names:
         return {}
     spare = total - len(names)
-    whole = sum(weights.values()) or 1.0
-    exact = {n: spare * weights[n] / whole for n in names}
+    all_weights = sum(weights.values()) or 1.0
+    exact = {n: spare * weights[n] / all_weights for n in names}
     out = {n: 1 + int(exact[n]) for n in names}
     for n in sorted(names, key=lambda n: (int(exact[n]) - exact[n], n))[:total - sum(out.values())]:
         out[n] += 1
@@ -64,33 +72,79 @@ def period(shares: Mapping[str, int]) -> dict[str, list[int]]:
     return slots
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], total: int = TICKETS) -> list[tuple]:
-    """(source, first block, first slot, share, slots) for every source and phase.
-
-    A phase lasts until a source has no block left; the others then share the
-    slots by their weights anew, so every block is placed.  There are at most
-    as many phases as sources.
-    """
-    left = {n: c for n, c in blocks.items() if c > 0}
-    done = dict.fromkeys(left, 0)
-    out, base = [], 0
-    while left:
-        shares = tickets({n: weights[n] for n in left}, max(total, len(left)))
-        slots = period(shares)
-        span = sum(shares.values())
-        end = min((c - 1) // shares[n] * span + slots[n][(c - 1) % shares[n]] + 1 for n, c in left.items())
-        for n in sorted(left):
-            out.append((n, done[n], base, shares[n], span, slots[n]))
-            used = end // span * shares[n] + sum(s < end % span for s in slots[n])
-            done[n] += used
-            left[n] -= used
-        left = {n: c for n, c in left.items() if c > 0}
-        base += end
-    return out
-
-
-def _numbered(docs: DataFrame, source: Column, key: Column) -> DataFrame:
-    """``docs`` with ``__source`` and ``__number``, its place from 0 in the source, in hash order.
+class Fluid:
+    """The ideal service: when each block would be served if slots could be shared."""
+
+    def __init__(self, blocks: Sequence[int], weights: Sequence[int]) -> None:
+        self.blocks, self.weights = blocks, weights
+        ends = sorted((Fraction(c, w), c, w) for c, w in zip(blocks, weights, strict=True))
+        self.ends = [e[0] for e in ends]
+        self.done = [0, *accumulate(e[1] for e in ends)]  # blocks of the sources that have run out
+        rest = [0, *accumulate(e[2] for e in reversed(ends))][::-1]  # weight of those that have not
+        self.active = rest[:-1]
+
+    def window(self, source: int, block: int) -> tuple[int, int]:
+        """Release and deadline of a block."""
+        w = self.weights[source]
+        k, m = (bisect_left(self.ends, Fraction(i, w)) for i in (block, block + 1))
+        return (self.done[k] + self.active[k] * block // w,
+                self.done[m] - (-self.active[m] * (block + 1) // w))
+
+    def serve(self, done: Sequence[int], first: int, last: int) -> Iterator[tuple[int, int, int, int, int]]:
+        """(slot, source, block, release, deadline) of the slots from ``first``, where ``done`` blocks have been served."""
+        waiting, ready = [], []  # a source's next block is released with or after the slot of the one before
+        for s, i in enumerate(done):
+            if i < self.blocks[s]:
+                release, deadline = self.window(s, i)
+                waiting.append((release, deadline, s, i))
+        heapq.heapify(waiting)
+        for slot in range(first, last):
+            while waiting and waiting[0][0] <= slot:
+                release, deadline, s, i = heapq.heappop(waiting)
+                heapq.heappush(ready, (deadline, s, i, release))
+            deadline, s, i, release = heapq.heappop(ready)
+            yield slot, s, i, release, deadline
+            if i + 1 < self.blocks[s]:
+                release, deadline = self.window(s, i + 1)
+                heapq.heappush(waiting, (release, deadline, s, i + 1))
+
+
+def whole(weights: Sequence[float]) -> list[int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(w.denominator for w in exact))
+    return [int(w * scale) for w in exact]
+
+
+def _schedule(spark: SparkSession, blocks: Mapping[str, int], weights: Mapping[str, float]) -> DataFrame:
+    """(__source, mix_block, mix_slot, mix_release, mix_deadline), one row per block."""
+    names = sorted(n for n, c in blocks.items() if c > 0)
+    fluid = Fluid([blocks[n] for n in names], whole([weights[n] for n in names]))
+    total, span = sum(fluid.blocks), max(SEGMENT, len(names))
+    done, segments = [0] * len(names), []
+    for slot, s, i, _, _ in fluid.serve(done, 0, total):
+        if slot % span == 0:
+            segments.append((slot, min(slot + span, total), list(done)))
+        done[s] = i + 1
+    ship(spark)
+    known = spark.sparkContext.broadcast((names, fluid))
+
+    def lay_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, fluid = known.value
+        for batch in batches:
+            for first, last, done in batch.itertuples(index=False):
+                out = pd.DataFrame(list(fluid.serve(done.tolist(), int(first), int(last))),
+                                   columns=["mix_slot", "__source", "mix_block", "mix_release", "mix_deadline"])
+                yield out.assign(__source=[names[s] for s in out["__source"]])[
+                    ["__source", "mix_block", "mix_slot", "mix_release", "mix_deadline"]]
+
+    rows = spark.createDataFrame(segments, "first long, last long, done array<long>")
+    return rows.repartition(max(1, len(segments)), "first").mapInPandas(
+        lay_out, "__source string, mix_block long, mix_slot long, mix_release long, mix_deadline long")
+
+
+def _numbered(docs: DataFrame, source: Column, key: Column) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``__source``, ``__slice`` and ``__rank``, from 1 in hash order; and the slices with ``__start`` and ``count``.
 
     A source is numbered slice by slice: a slice is a range of hashes, and the
     counts of the slices before it tell where it begins.  A source with a third
@@ -103,11 +157,9 @@ def _numbered(docs: DataFrame, source: Column, key: Column) -> DataFrame:
     counts = rows.groupBy("__source", "__slice").count()
     before = Window.partitionBy("__source").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per source and slice; a source has as many as the corpus has slices.
-    starts = counts.select("__source", "__slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
+    starts = counts.withColumn("__start", F.coalesce(F.sum("count").over(before), F.lit(0)))
     order = Window.partitionBy("__source", "__slice").orderBy("__hash")
-    rows = rows.withColumn("__rank", F.row_number().over(order))
-    return rows.join(starts, ["__source", "__slice"]).withColumn(
-        "__number", F.col("__start") + F.col("__rank") - 1).drop("__slice", "__hash", "__rank", "__start")
+    return rows.withColumn("__rank", F.row_number().over(order)), starts
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, source: str = "source",
@@ -136,26 +188,18 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, sou
     counts = {r["s"]: r["count"] for r in docs.groupBy(share.alias("s")).count().collect()}
     if OTHERS in counts and OTHERS not in named:
         named[OTHERS] = float(counts[OTHERS]) ** TEMPERATURE if weights is None else 1.0
-    plan = phases({n: -(-c // block) for n, c in counts.items()}, named, total)
-    by_source: dict[str, list] = {}
-    for name, first, base, width, span, slots in plan:
-        by_source.setdefault(name, []).append((first, base, width, span, slots))
-    # At most MAX_SOURCES + 1 rows of as many phases of TICKETS slots in all, whatever the documents.
-    places = docs.sparkSession.createDataFrame(
-        list(by_source.items()),
-        "__source string, __phases array<struct<first:bigint,base:bigint,width:bigint,span:bigint,slots:array<int>>>")
-    rows = _numbered(docs, share, F.xxhash64(F.col(doc_id), own)).join(F.broadcast(places), "__source")
-    number = F.floor(F.col("__number") / block)
-    rows = rows.withColumn("mix_block", number).withColumn(
-        "__phase", F.element_at(F.filter("__phases", lambda p: p["first"] <= F.col("mix_block")), -1))
-    i = F.col("mix_block") - F.col("__phase.first")
-    width, span, base = (F.col(f"__phase.{c}") for c in ("width", "span", "base"))
-    return rows.select(
-        *[c for c in docs.columns if not c.startswith("mix_")], "mix_block",
-        (base + F.floor(i / width) * span + F.element_at("__phase.slots", (i % width + 1).cast("int"))).alias("mix_slot"),
-        (F.col("__number") % block).alias("mix_place"),
-        (base + F.floor(i * span / width)).alias("mix_release"),
-        (base + F.ceil((i + 1) * span / width)).alias("mix_deadline"))
+    schedule = _schedule(docs.sparkSession, {n: -(-c // block) for n, c in counts.items()}, named)
+    rows, starts = _numbered(docs, share, F.xxhash64(F.col(doc_id), own))
+    # A slice takes the places of its own blocks along, so documents meet the schedule where they were numbered.
+    first, last = F.floor(F.col("__start") / block), F.floor((F.col("__start") + F.col("count") - 1) / block)
+    slices = starts.select("__source", "__slice", "__start", F.explode(F.sequence(first, last)).alias("mix_block"))
+    slices = slices.join(schedule, ["__source", "mix_block"]).groupBy("__source", "__slice", "__start").agg(
+        F.array_sort(F.collect_list(F.struct("mix_block", "mix_slot", "mix_release", "mix_deadline"))).alias("__places"))
+    number = F.col("__start") + F.col("__rank") - 1
+    at = F.element_at("__places", (F.floor(number / block) - first + 1).cast("int"))
+    kept = [c for c in docs.columns if not c.startswith("mix_")]
+    placed = rows.join(slices, ["__source", "__slice"]).select(*kept, at.alias("__at"), (number % block).alias("mix_place"))
+    return placed.select(*kept, "__at.mix_block", "__at.mix_slot", "mix_place", "__at.mix_release", "__at.mix_deadline")
 
 
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -314,6 +314,27 @@ def test_mix_places_every_block_once(spark):
     assert len({(r.mix_slot, r.mix_place) for r in found}) == 5000
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.9, "b": 0.1}, {"a": 100.0, **{f"s{i}": 1.0 for i in range(100)}}, {"a": 1.0, "b": 0.0004}])
+def test_deviation_from_given_weights_over_many_periods(weights):
+    names = sorted(weights)
+    fluid = mixing.Fluid([10 ** 9] * len(names), mixing.whole([weights[n] for n in names]))
+    total, given = sum(weights.values()), Counter()
+    for slot, s, block, release, deadline in fluid.serve([0] * len(names), 0, 20_000):
+        assert block == given[s] and release <= slot < deadline
+        given[s] += 1
+        if slot % 37 == 0 or slot > 19_990:
+            assert all(abs(given[i] - (slot + 1) * weights[n] / total) < 1 + 1e-6 for i, n in enumerate(names))
+
+
+def test_segments_lay_out_one_schedule(spark, monkeypatch):
+    blocks, weights = {"a": 700, "b": 90, "c": 3, "d": 0}, {"a": 0.7, "b": 1 / 3, "c": 0.0123, "d": 1.0}
+    monkeypatch.setattr(mixing, "SEGMENT", 100)
+    found = sorted(tuple(r) for r in mixing._schedule(spark, blocks, weights).collect())
+    fluid = mixing.Fluid([700, 90, 3], mixing.whole([0.7, 1 / 3, 0.0123]))
+    assert found == sorted(("abc"[s], i, slot, r, d) for slot, s, i, r, d in fluid.serve([0, 0, 0], 0, 793))
+    assert sorted(r[2] for r in found) == list(range(793)) and all(r[3] <= r[2] < r[4] for r in found)
+
+
 # --- secrets
 
 def test_spans_point_at_their_text(spark):
