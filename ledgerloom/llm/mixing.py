@@ -31,8 +31,6 @@ from .common import ship, table
 
 #: Documents of a block, slots of a period of whole tickets, and slots a task lays out at once (or as many as sources).
 BLOCK, TICKETS, SEGMENT = 8, 1000, 10_000
-#: Sources with a share of their own at most; the smallest others share one.
-MAX_SOURCES = 100
 #: Without given weights a source weighs its documents to this power.
 TEMPERATURE = 0.5
 #: Documents that one window numbers, about.
@@ -83,30 +81,29 @@ class Fluid:
         rest = [0, *accumulate(e[2] for e in reversed(ends))][::-1]  # weight of those that have not
         self.active = rest[:-1]
 
-    def window(self, source: int, block: int) -> tuple[int, int]:
-        """Release and deadline of a block."""
+    def around(self, source: int, block: int) -> tuple[int, int]:
+        """Floor and ceiling of the time at which a block would begin and the one before would end."""
         w = self.weights[source]
-        k, m = (bisect_left(self.ends, Fraction(i, w)) for i in (block, block + 1))
-        return (self.done[k] + self.active[k] * block // w,
-                self.done[m] - (-self.active[m] * (block + 1) // w))
+        k = bisect_left(self.ends, Fraction(block, w))
+        exact = self.active[k] * block
+        return self.done[k] + exact // w, self.done[k] - (-exact // w)
 
     def serve(self, done: Sequence[int], first: int, last: int) -> Iterator[tuple[int, int, int, int, int]]:
         """(slot, source, block, release, deadline) of the slots from ``first``, where ``done`` blocks have been served."""
         waiting, ready = [], []  # a source's next block is released with or after the slot of the one before
         for s, i in enumerate(done):
             if i < self.blocks[s]:
-                release, deadline = self.window(s, i)
-                waiting.append((release, deadline, s, i))
+                waiting.append((self.around(s, i)[0], s, i))
         heapq.heapify(waiting)
         for slot in range(first, last):
             while waiting and waiting[0][0] <= slot:
-                release, deadline, s, i = heapq.heappop(waiting)
-                heapq.heappush(ready, (deadline, s, i, release))
-            deadline, s, i, release = heapq.heappop(ready)
+                release, s, i = heapq.heappop(waiting)
+                following, deadline = self.around(s, i + 1)
+                heapq.heappush(ready, (deadline, s, i, release, following))
+            deadline, s, i, release, following = heapq.heappop(ready)
             yield slot, s, i, release, deadline
             if i + 1 < self.blocks[s]:
-                release, deadline = self.window(s, i + 1)
-                heapq.heappush(waiting, (release, deadline, s, i + 1))
+                heapq.heappush(waiting, (following, s, i + 1))
 
 
 def whole(weights: Sequence[float]) -> list[int]:
@@ -166,38 +163,38 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, sou
                 doc_id: str = "doc_id", block: int = BLOCK, total: int = TICKETS) -> DataFrame:
     """``docs`` with ``mix_block``, ``mix_slot``, ``mix_place``, ``mix_release`` and ``mix_deadline``.
 
-    Rows in order of (mix_slot, mix_place) are the mix.  ``weights`` name up to
-    ``MAX_SOURCES`` sources, the rest share the weight named ``OTHERS`` (1
-    without it); without weights the largest sources weigh the square root of
-    their documents.  No row is dropped or repeated: a source that has run out
-    leaves its slots to the others.  A null source counts as the empty one;
-    null and repeated ids are placed like others; an empty table stays empty;
-    columns of the added names are replaced.
+    Rows in order of (mix_slot, mix_place) are the mix.  Without weights every
+    source weighs the square root of its documents.  ``weights`` name any number
+    of sources; those not named share the weight named ``OTHERS`` (1 without
+    it).  No row is dropped or repeated: a source that has run out leaves its
+    slots to the others.  A null source counts as the empty one; null and
+    repeated ids are placed like others; an empty table stays empty; columns of
+    the added names are replaced.
     """
     own = F.coalesce(F.col(source), F.lit(""))
+    kept = [c for c in docs.columns if not c.startswith("mix_")]
     if weights is None:
-        sizes = docs.groupBy(own.alias("s")).count()
-        named = {r["s"]: float(r["count"]) ** TEMPERATURE
-                 for r in sizes.orderBy(F.desc("count"), "s").limit(MAX_SOURCES).collect()}
+        docs = docs.withColumn("__share", own)
     else:
-        if len(weights) > MAX_SOURCES + 1 or min(weights.values(), default=1) <= 0:
-            raise ValueError(f"give up to {MAX_SOURCES} sources a weight above 0")
-        named = {n: float(w) for n, w in weights.items()}
-    known = [n for n in named if n != OTHERS]
-    share = F.when(own.isin(known), own).otherwise(F.lit(OTHERS)) if known else F.lit(OTHERS)
+        if min(weights.values(), default=1) <= 0:
+            raise ValueError("give every source a weight above 0")
+        known = docs.sparkSession.createDataFrame([(n,) for n in weights if n != OTHERS], "__known string")
+        docs = docs.join(F.broadcast(known), own == F.col("__known"), "left").withColumn(
+            "__share", F.coalesce("__known", F.lit(OTHERS))).drop("__known")
+    share = F.col("__share")
+    # One row per source, whatever the documents.
     counts = {r["s"]: r["count"] for r in docs.groupBy(share.alias("s")).count().collect()}
-    if OTHERS in counts and OTHERS not in named:
-        named[OTHERS] = float(counts[OTHERS]) ** TEMPERATURE if weights is None else 1.0
+    named = {n: (float(c) ** TEMPERATURE if weights is None else float(weights.get(n, 1.0))) for n, c in counts.items()}
     schedule = _schedule(docs.sparkSession, {n: -(-c // block) for n, c in counts.items()}, named)
     rows, starts = _numbered(docs, share, F.xxhash64(F.col(doc_id), own))
     # A slice takes the places of its own blocks along, so documents meet the schedule where they were numbered.
     first, last = F.floor(F.col("__start") / block), F.floor((F.col("__start") + F.col("count") - 1) / block)
     slices = starts.select("__source", "__slice", "__start", F.explode(F.sequence(first, last)).alias("mix_block"))
-    slices = slices.join(schedule, ["__source", "mix_block"]).groupBy("__source", "__slice", "__start").agg(
+    # Spark takes the schedule for as small as the segments it is made from and would broadcast it at any size.
+    slices = slices.join(schedule.hint("merge"), ["__source", "mix_block"]).groupBy("__source", "__slice", "__start").agg(
         F.array_sort(F.collect_list(F.struct("mix_block", "mix_slot", "mix_release", "mix_deadline"))).alias("__places"))
     number = F.col("__start") + F.col("__rank") - 1
     at = F.element_at("__places", (F.floor(number / block) - first + 1).cast("int"))
-    kept = [c for c in docs.columns if not c.startswith("mix_")]
     placed = rows.join(slices, ["__source", "__slice"]).select(*kept, at.alias("__at"), (number % block).alias("mix_place"))
     return placed.select(*kept, "__at.mix_block", "__at.mix_slot", "mix_place", "__at.mix_release", "__at.mix_deadline")
 

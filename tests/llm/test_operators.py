@@ -335,6 +335,21 @@ def test_segments_lay_out_one_schedule(spark, monkeypatch):
     assert sorted(r[2] for r in found) == list(range(793)) and all(r[3] <= r[2] < r[4] for r in found)
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_every_one_of_many_sources_has_its_share(spark, weighted):
+    rows = [(i, f"s{i % 150}") for i in range(2400)] + [(9000 + i, "hot") for i in range(1600)]
+    weights = {f"s{i}": 1.0 + i / 50 for i in range(150)} | {"hot": 40.0} if weighted else None
+    found = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string"), weights, block=1).collect()
+    sizes = Counter(s for _, s in rows)
+    share = weights or {s: c ** 0.5 for s, c in sizes.items()}
+    assert sorted(r.mix_slot for r in found) == list(range(4000))
+    total = sum(share.values())
+    for s in sizes:  # no source runs out within the first 300 slots
+        own = sorted((r.mix_block, r.mix_slot) for r in found if r.source == s)
+        assert [b for b, _ in own] == list(range(sizes[s]))
+        assert all(abs(sum(x < t for _, x in own) - t * share[s] / total) < 1 + 1e-6 for t in range(0, 300, 7))
+
+
 # --- secrets
 
 def test_spans_point_at_their_text(spark):
