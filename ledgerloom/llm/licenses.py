@@ -98,16 +98,25 @@ def _units(text: Column) -> Column:
     return F.array_union(F.array_union(lines, sentences), paragraphs)
 
 
+def _whole_sentences(text: Column) -> Column:
+    """Paragraphs and their sentences with the line ends inside them joined; lines of comment marks alone part paragraphs."""
+    paragraphs = F.transform(F.split(text, r"\n(?:[ \t\r/*#;%<>!|-]*\n)+"), lambda p: F.translate(p, "\n", " "))
+    sentences = F.transform(paragraphs, lambda p: F.split(F.regexp_replace(p, r"([.!?])[ \t\r]+", "$1\n"), "\n"))
+    return F.array_union(paragraphs, F.flatten(sentences))
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, list[str]] = TEMPLATES,
                   threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``license``, ``license_dice`` and ``n_notices``.
 
     Lines, sentences (an end mark and white space end one) and paragraphs are
-    lowered and stripped to ASCII letters and digits; each is compared with
+    lowered and stripped to ASCII letters and digits, sentences both as parted
+    by line ends and as running over them; each is compared with
     the templates whose size allows the threshold, by the Dice coefficient of
     their sets of word bigrams.  ``license`` has the best match of all units,
     ties going to the smaller name, and ``n_notices`` counts the distinct units
-    that match.  Texts without an anchor word (see ``anchors``) can match
+    that match, a sentence or paragraph over several lines only if no other unit
+    has the same words.  Texts without an anchor word (see ``anchors``) can match
     nothing and are not taken apart.  Null and empty texts have no notice
     (null, null, 0); rows are judged each by itself; columns of the added names
     are replaced.
@@ -133,10 +142,14 @@ def scan_licenses(docs: DataFrame, text: str = "text", templates: dict[str, list
         return F.array_min(dice)
 
     # Words are a column of their own: a lambda would take the unit apart again for each pair.
-    units = F.filter(_units(body), lambda u: u.rlike(anchor))
-    words = F.transform(units, lambda u: F.regexp_extract_all(ascii_lower(u), F.lit("[a-z0-9]+"), F.lit(0)))
+    def words_in(units):
+        return F.transform(F.filter(units, lambda u: u.rlike(anchor)),
+                           lambda u: F.regexp_extract_all(ascii_lower(u), F.lit("[a-z0-9]+"), F.lit(0)))
+
     nothing = F.array().cast("array<array<string>>")
-    found = docs.withColumn("__words", F.when(body.rlike(anchor), words).otherwise(nothing))
+    found = docs.withColumn("__words", F.when(body.rlike(anchor), words_in(_units(body))).otherwise(nothing))
+    found = found.withColumn("__words", F.when(F.size("__words") > 0, F.concat(
+        "__words", F.array_except(words_in(_whole_sentences(body)), "__words"))).otherwise(nothing))
     # Size bounds come before the comparison: most units are too long or too short for every template.
     found = found.withColumn("__grams", F.filter(
         F.transform(F.filter("__words", lambda w: F.size(w) >= 2), bigrams), lambda g: F.size(g) <= most))

@@ -51,6 +51,20 @@ def test_notices_found_in_place(spark):
     assert [r.license for r in found.collect()] == ["MIT", "MIT", "MIT", None, "CC-BY-NC-4.0"]
 
 
+def test_wrapped_and_commented_notices(spark):
+    wrapped = ("We wrote these pages. This work is licensed under the GNU\nGeneral Public License, version 3. More words follow here, "
+               "and more\nof them after that.")
+    header = ("/*\n * Part of a program.\n *\n * This program is free software: you can redistribute it and/or modify\n"
+              " * it under the terms of the GNU General Public License as published by\n"
+              " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.\n *\n"
+              " * This program is distributed in the hope that it will be useful, but\n * WITHOUT ANY WARRANTY; without even the "
+              "implied warranty of\n * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n * details.\n */\nint main;\n")
+    alone = "Text.\n\nThis work is licensed under the GNU\nGeneral Public License, version 2.\n\nText."
+    rows = [(1, wrapped), (2, header), (3, header.replace(" *", "#").replace("/*", "#").replace("#/", "#")), (4, alone)]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.license, r.n_notices) for r in found] == [("GPL-3.0", 1), ("GPL-3.0", 1), ("GPL-3.0", 1), ("GPL-2.0", 1)]
+
+
 # --- toxicity
 
 def test_gradients():
