@@ -27,10 +27,13 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Bits by character class that no window of ordinary text reaches; no window of
 #: 20 characters has exactly this entropy, so rounding never decides.
-BITS = {"digits": 9.0, "hex": 2.95, "upper": 3.55, "base64": 3.85}
-#: Strings that look random and are public: UUIDs, counted or repeated examples, paths of three parts.
-ALLOWED = (r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|example|placeholder|changeme"
-           r"|0123456789|abcdefgh|^(.{1,4})\1{4,}|^(/[a-z0-9_-]+){3,}$")
+BITS = {"digits": 2.75, "hex": 2.95, "upper": 3.55, "base64": 3.85}
+#: Whole candidates that look random and are public: UUIDs, repeated examples.
+ALLOWED = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(.{1,4})\1{4,}$"
+#: Words of examples; what stands around them in a candidate is judged without them.
+PUBLIC = ["example", "placeholder", "changeme", "0123456789", "abcdefgh"]
+#: A path of three parts, each of which is judged by itself.
+PATH = r"(?i)^(/[a-z0-9_-]+){3,}$"
 
 
 def _spans(text: Column, pattern: str, keep=None) -> Column:
@@ -59,6 +62,18 @@ def _empty_spans() -> Column:
     return F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
 
 
+def _judged(candidates: Column) -> Column:
+    """The parts of the candidates that are judged: without public words, paths part by part, of a window's length with a digit."""
+    def parts(c):
+        rest = F.when(c["value"].rlike(PATH), F.translate(c["value"], "/", " ")).otherwise(c["value"])
+        for word in PUBLIC:
+            rest = F.regexp_replace(rest, f"(?i){word}", " " * len(word))
+        return F.transform(_spans(rest, f"[^ ]{{{WINDOW},}}", lambda s: s["value"].rlike("[0-9]")), lambda s: F.struct(
+            (c["start"] + s["start"]).alias("start"), (c["start"] + s["end"]).alias("end"), s["value"].alias("value")))
+
+    return F.flatten(F.transform(candidates, parts))
+
+
 def _class_bits(value: Column) -> Column:
     return (F.when(value.rlike("^[0-9=_/+-]+$"), F.lit(BITS["digits"]))
             .when(value.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(BITS["hex"]))
@@ -115,8 +130,10 @@ def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") ->
 
     Places are code points, the end exclusive.  Kinds ``assign``, ``access``
     and ``hex`` follow the base patterns; ``entropy`` spans are the parts of a
-    candidate covered by windows above the bits of its class, unless the
-    candidate is on the allow list or the part lies within a base span.  Null
+    candidate covered by windows above the bits of its class, unless the whole
+    candidate is on the allow list or the part lies within a base span.  Words
+    of examples belong to no window, and the parts of a path are candidates
+    each by itself.  Null
     and empty texts have none; repeated rows are scanned each by itself; a
     column of the same name is replaced.
     """
@@ -129,6 +146,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") ->
         ("candidate", CANDIDATE, _spans(F.col("__text"), CANDIDATE, lambda s: ~s["value"].rlike(ALLOWED))),
     ):
         step = step.withColumn(f"__{name}", F.when(F.col("__text").rlike(test), spans).otherwise(_empty_spans()))
+    step = step.withColumn("__candidate", F.when(F.size("__candidate") > 0, _judged(F.col("__candidate"))).otherwise(_empty_spans()))
 
     def ranked(kind):
         rank = F.lit(KINDS.index(kind)).alias("rank")

@@ -378,6 +378,20 @@ def test_spans_point_at_their_text(spark):
     assert clean == "é\U0001F600 [SECRET]' [SECRET]\n[SECRET] x [SECRET] end [SECRET] password: short"
 
 
+@pytest.mark.parametrize("before", ["=====", "-----", "example_key=", "/home/u/", "/home/u/example/", "placeholder-0123456789-"])
+def test_public_parts_do_not_hide_a_key(spark, before):
+    key = "9fQ2xLk7Vb3NzT1yRwP8mC4d"
+    row = secret_scan.scan_secrets(spark.createDataFrame([(1, f"see {before}{key} there")], "doc_id long, text string"))
+    assert row.first().secrets and key not in secret_scan.redact(row).first().text
+
+
+def test_digits_are_flagged_and_public_strings_are_not(spark):
+    rows = [(1, "pin 83920174650291837465 end"), (2, "id 123e4567-e89b-12d3-a456-426614174000 end"), (3, "run 01234567890123456789 end"),
+            (4, "at /usr/share/doc/python3/readme-2 end"), (5, "ab1-ab1-ab1-ab1-ab1-ab1- end"), (6, "my-example-placeholder-changeme-1 end")]
+    found = secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [len(r.secrets) for r in found] == [1, 0, 0, 0, 0, 0]
+
+
 def test_entropy_by_plain_windows(spark):
     rng = random.Random(4)
     values = ["".join(rng.choice("abcdefgh0123456789XYZ+/"[:rng.randint(3, 23)]) for _ in range(rng.randint(20, 60))) for _ in range(60)]
