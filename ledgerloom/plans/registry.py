@@ -617,9 +617,9 @@ def tenant_interest(m):
 @query
 def stream_order_status(m):
     base = new_folder(m.spark, "order-status")
-    log, checkpoint = jobs.order_log(m.spark, f"{base}/log"), f"{base}/checkpoint"
-    jobs.stream_order_status(m.order_stream, log, checkpoint).awaitTermination()
-    return log.state(jobs.last_batch(m.spark, checkpoint)).select("id", "status", "date_modified")
+    state, checkpoint = jobs.OrderState(m.spark, f"{base}/state"), f"{base}/checkpoint"
+    jobs.stream_order_status(m.order_stream, state, checkpoint).awaitTermination()
+    return state.state(jobs.last_batch(m.spark, checkpoint)).select("id", "status", "date_modified")
 
 
 @query
@@ -634,8 +634,8 @@ def stream_stock_balance(m):
 def stream_stock_changes(m):
     """Items whose balance the movements after a day changed, against that day's snapshot."""
     base = new_folder(m.spark, "stock-changes")
-    log, checkpoint = jobs.balance_log(m.spark, f"{base}/log"), f"{base}/checkpoint"
+    state, checkpoint = jobs.BalanceState(m.spark, f"{base}/state"), f"{base}/checkpoint"
     day = F.lit(str(P.as_of)).cast("date")
     before = jobs.running_balances(m.imtrn.filter(F.col("xdate") <= day))
-    jobs.stream_stock_changes(m.movement_stream.filter(F.col("xdate") > day), log, checkpoint, before).awaitTermination()
-    return jobs.changed_since(log, jobs.last_batch(m.spark, checkpoint))
+    jobs.stream_stock_changes(m.movement_stream.filter(F.col("xdate") > day), state, checkpoint, before).awaitTermination()
+    return jobs.changed_since(state, jobs.last_batch(m.spark, checkpoint))

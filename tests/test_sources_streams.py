@@ -106,12 +106,12 @@ def test_order_stream_equals_batch_in_any_number_of_batches(spark, tmp_path, fil
         [change(k, "done", f"2024-01-{5 + k % 3:02d}") for k in range(9)],
         [change(3, "late", "2023-01-01")]])
     newest = {k: ("done" if 5 + k % 3 >= 1 + k else "processing") for k in range(9)}
-    log = jobs.order_log(spark, str(tmp_path / "log"), every=2)
+    state = jobs.OrderState(spark, str(tmp_path / "state"))
     for _ in range(2):  # a restart finds nothing new
-        jobs.stream_order_status(jobs.page_stream(spark, pages, files), log, str(tmp_path / "cp")).awaitTermination()
+        jobs.stream_order_status(jobs.page_stream(spark, pages, files), state, str(tmp_path / "cp")).awaitTermination()
     last = jobs.last_batch(spark, str(tmp_path / "cp"))
     assert last == (2 if files else 0)
-    assert dict(rows(log.state(last), "id", "status")) == newest
+    assert dict(rows(state.state(last), "id", "status")) == newest
 
 
 def test_equally_new_changes_are_settled_by_landing(spark, tmp_path):
@@ -119,10 +119,10 @@ def test_equally_new_changes_are_settled_by_landing(spark, tmp_path):
     pages = landed(spark, tmp_path / "pages", [[change(1, "processing", same)],
                                                [change(1, "completed", same), change(2, "b", same), change(2, "a", same)]])
     for files in (None, 1):
-        log = jobs.order_log(spark, str(tmp_path / f"log{files}"))
+        state = jobs.OrderState(spark, str(tmp_path / f"state{files}"))
         checkpoint = str(tmp_path / f"cp{files}")
-        jobs.stream_order_status(jobs.page_stream(spark, pages, files), log, checkpoint).awaitTermination()
-        assert rows(log.state(jobs.last_batch(spark, checkpoint)), "id", "status") == [(1, "completed"), (2, "a")]
+        jobs.stream_order_status(jobs.page_stream(spark, pages, files), state, checkpoint).awaitTermination()
+        assert rows(state.state(jobs.last_batch(spark, checkpoint)), "id", "status") == [(1, "completed"), (2, "a")]
 
 
 @pytest.fixture(scope="module")
@@ -140,15 +140,24 @@ def test_balance_stream_equals_batch(spark, sample, move_files, tmp_path):
     assert rows(log.state(4), "zid", "xitem", "inventory") == rows(batch)
 
 
+def test_log_reads_the_last_whole_state_and_what_came_since(spark, table, tmp_path):
+    log = jobs.balance_log(spark, str(tmp_path / "log"), every=3)
+    log.open()
+    for batch in range(8):
+        balance = spark.createDataFrame([(1, f"I{batch % 3}", batch, None)], jobs.BALANCE_STATE.replace("decimal(38,2)", "int"))
+        log.write(balance.selectExpr("zid", "xitem", "cast(inventory as decimal(38,2)) inventory", "cast(previous as decimal(38,2)) previous"), batch)
+    assert rows(log.state(7), "xitem", "inventory") == [("I0", n("6.00")), ("I1", n("7.00")), ("I2", n("5.00"))]
+    plan = log.state(7)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [") == 1
+    assert {f.split("/")[-2] for f in log.state(7).inputFiles()} == {"batch=5", "batch=6", "batch=7"}
+
+
 def test_change_stream_in_several_batches(spark, sample, move_files, tmp_path):
     day = "2001-06-30"
     before = stock.inventory_balance(sample, as_of=d(day)).select("zid", "xitem", "inventory")
-    log, checkpoint = jobs.balance_log(spark, str(tmp_path / "log"), every=2), str(tmp_path / "cp")
+    state, checkpoint = jobs.BalanceState(spark, str(tmp_path / "state")), str(tmp_path / "cp")
     late = jobs.movement_stream(spark, move_files, 1).filter(f"xdate > date '{day}'")
-    jobs.stream_stock_changes(late, log, checkpoint, jobs.running_balances(sample.imtrn.filter(f"xdate <= date '{day}'"))).awaitTermination()
-    got = jobs.changed_since(log, jobs.last_batch(spark, checkpoint))
+    jobs.stream_stock_changes(late, state, checkpoint, jobs.running_balances(sample.imtrn.filter(f"xdate <= date '{day}'"))).awaitTermination()
+    got = jobs.changed_since(state, jobs.last_batch(spark, checkpoint))
     want = stock.stock_changes(stock.inventory_balance(sample), before, ["zid", "xitem"], "inventory")
     assert rows(got, "zid", "xitem", "inventory") == rows(want, "zid", "xitem", "inventory")
-    # a batch reads the last whole state and the batches since, not the whole log
-    plan = log.state(4)._jdf.queryExecution().analyzed().toString()
-    assert plan.count("Relation [") == 2
