@@ -50,6 +50,14 @@ def orders_in_scope(orders: DataFrame, as_of: date) -> DataFrame:
         F.col("status").isin(*STATUSES) & (created > start) & (created.cast("date") <= day(as_of)))
 
 
+def typed(orders: DataFrame) -> DataFrame:
+    """Landed documents with dates and money in types of their own; what cannot be read is NULL."""
+    return orders.select(
+        "id", "status", moment("date_created").alias("date_created"), moment("date_completed").cast("date").alias("date_completed"),
+        moment("date_modified").cast("date").alias("date_modified"), F.col("total").try_cast("decimal(18,2)").alias("total"),
+        "customer_note")
+
+
 def order_age(orders: DataFrame, as_of: date) -> DataFrame:
     """Days from creation to completion, or to ``as_of`` while the order is open."""
     created = moment("date_created").cast("date")

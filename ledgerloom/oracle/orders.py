@@ -38,6 +38,10 @@ MODIFIED = "coalesce(date_completed, cast(date_created AS date) + 1)"
 
 QUERIES = {
     "orders_in_scope": (f"SELECT *, {MODIFIED} AS date_modified FROM ({SCOPE})", ORDER_COLUMNS + " date_modified:t"),
+    "orders_in_scope_landed": (f"SELECT *, {MODIFIED} AS date_modified FROM ({SCOPE})", ORDER_COLUMNS + " date_modified:t"),
+    "recent_orders_landed": (
+        f"SELECT *, {MODIFIED} AS date_modified FROM web_orders WHERE date_created >= {SHORT} AND date_created <= {AS_OF}",
+        ORDER_COLUMNS + " date_modified:t"),
     "order_age": (age("SELECT * FROM web_orders"), AGE_COLUMNS),
     "order_status_label": (
         f"""SELECT w.*, {MODIFIED} AS date_modified, d.label AS now_status

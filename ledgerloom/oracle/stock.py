@@ -208,6 +208,7 @@ QUERIES = {
               {', '.join(CHANGED)}, {', '.join(x for x in MORE_COLUMNS if x not in CHANGED)}, 'inserted' AS action FROM ({CODED})""",
         SHEET_COLUMNS.replace(" row_id:i", "") + " ztime:T xcatful:s xtypestk:s xwh:s xcfiss:i xcfpck:i xcfsta:i action:s"),
     "price_compare": (compare(100003), "id:i xitem:s web_price:d erp_price:d web_below_erp:b web_above_erp:b"),
+    "price_compare_landed": (compare(100003), "id:i xitem:s web_price:d erp_price:d web_below_erp:b web_above_erp:b"),
     "erp_price_updates": (
         f"SELECT xitem, erp_price AS current_price, web_price AS target_price FROM ({compare(100003)}) WHERE web_below_erp",
         "xitem:s current_price:d target_price:d"),

@@ -24,6 +24,7 @@ from ledgerloom.operators import (
     units,
 )
 from ledgerloom.plans.params import DEFAULT as P
+from ledgerloom.sources.pages import land_pages, read_pages
 from ledgerloom.sources.shared import new_folder
 from ledgerloom.sources.sinks import update_batches
 from ledgerloom.streaming import jobs
@@ -384,6 +385,38 @@ def orders_in_scope(m):
     return orders.orders_in_scope(m.web_orders, P.as_of)
 
 
+#: Documents of a page of the sample; the shop sends 100, which would be many small files here.
+LANDED_PAGE = 2_000
+
+
+def _landed(docs: DataFrame, date: str = "date_created") -> str:
+    folder = new_folder(docs.sparkSession, "landed")
+    land_pages(docs, folder, 0, date, LANDED_PAGE)
+    return folder
+
+
+@query
+def orders_in_scope_landed(m):
+    """The same orders from landed pages; those before the longest look-back are not opened."""
+    folder = _landed(m.order_documents)
+    docs = read_pages(m.spark, folder, after=str(P.back(orders.ALL_DAYS)))
+    return orders.orders_in_scope(orders.typed(docs), P.as_of)
+
+
+@query
+def recent_orders_landed(m):
+    """Orders of the last days from landed pages; few pages reach into them."""
+    since = str(P.back(orders.RECENT_DAYS))
+    docs = read_pages(m.spark, _landed(m.order_documents), after=since)
+    return orders.typed(docs).filter(F.col("date_created") <= F.lit(str(P.as_of)).cast("timestamp_ntz"))
+
+
+@query
+def price_compare_landed(m):
+    """Prices from landed product pages against the item master."""
+    return pricing.price_compare(read_pages(m.spark, _landed(m.web_products), "product"), m.caitem, ECOMMERCE)
+
+
 @query
 def order_age(m):
     return orders.order_age(m.web_orders, P.as_of)

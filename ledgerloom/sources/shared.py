@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -28,3 +31,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the session was started from."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerloom_package", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-code-"), "ledgerloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(archive)
+    context._ledgerloom_package = True

@@ -313,6 +313,13 @@ class Star:
             "id", "lines.item AS line_items")
         return pages.join(self.web_orders(), "id")
 
+    def order_documents(self) -> DataFrame:
+        """Orders as the shop sends them: text fields, dates as ISO text."""
+        text = lambda c: f"date_format({c}, \"yyyy-MM-dd'T'HH:mm:ss\") AS {c}"
+        return self.web_orders().selectExpr(
+            "id", "status", text("date_created"), text("date_modified"), text("date_completed"),
+            "cast(total AS string) AS total", "customer_note")
+
     def _stream(self, name: str) -> DataFrame:
         """The files of a table as a stream; nothing is copied.
 
