@@ -36,7 +36,23 @@ ORDER_COLUMNS = "id:i status:s date_created:T date_completed:t total:d customer_
 AGE_COLUMNS = "id:i status:s date_created:t date_completed:t total:d customer_note:s days_for_order:i days_pass_order:s"
 MODIFIED = "coalesce(date_completed, cast(date_created AS date) + 1)"
 
+# Documents carry the lines of four line numbers and one part class; every damage of the sample goes by the order's id.
+SENT = """SELECT DISTINCT l_orderkey AS id, (l_linenumber - 1) // 4 AS part, l_partkey % 4 AS class FROM lineitem"""
+UNREAD = """CASE WHEN id % 101 = 0 THEN 'not JSON' WHEN id % 103 = 0 AND id % 107 = 0
+    THEN 'id: not bigint; date_created: not timestamp_ntz' WHEN id % 103 = 0 THEN 'id: not bigint'
+    WHEN id % 107 = 0 THEN 'date_created: not timestamp_ntz' END"""
+
 QUERIES = {
+    "order_lines_landed": (
+        f"""SELECT w.id AS order_id, w.status, w.date_created, l.l_partkey AS product_id, {LINE_SKU} AS sku
+            FROM lineitem l JOIN web_orders w ON w.id = l.l_orderkey WHERE w.id % 101 <> 0 AND w.id % 103 <> 0 AND w.id % 107 <> 0""",
+        "order_id:i status:s date_created:t product_id:i sku:s"),
+    "order_rejects": (f"SELECT {UNREAD} AS reason, count(*) AS n FROM ({SENT}) WHERE {UNREAD} IS NOT NULL GROUP BY 1", "reason:s n:i"),
+    "order_unknown_keys": (
+        f"""SELECT '{{"coupon":{{"code":"C' || cast(s.id % 10 AS varchar) || '"}}}}' AS more, count(*) AS n, sum(w.total) AS total
+            FROM ({SENT}) s JOIN web_orders w ON w.id = s.id
+            WHERE s.id % 7 = 0 AND s.id % 101 <> 0 AND s.id % 103 <> 0 AND s.id % 107 <> 0 GROUP BY 1""",
+        "more:s n:i total:d"),
     "orders_in_scope": (f"SELECT *, {MODIFIED} AS date_modified FROM ({SCOPE})", ORDER_COLUMNS + " date_modified:t"),
     "orders_in_scope_landed": (f"SELECT *, {MODIFIED} AS date_modified FROM ({SCOPE})", ORDER_COLUMNS + " date_modified:t"),
     "recent_orders_landed": (

@@ -24,6 +24,7 @@ from ledgerloom.operators import (
     units,
 )
 from ledgerloom.plans.params import DEFAULT as P
+from ledgerloom.sources import documents
 from ledgerloom.sources.pages import land_pages, read_pages
 from ledgerloom.sources.shared import new_folder
 from ledgerloom.sources.sinks import update_batches
@@ -447,6 +448,32 @@ def order_lines(m):
     return orders.order_lines(m.web_order_documents)
 
 
+def _documents(m: Model) -> str:
+    folder = new_folder(m.spark, "documents")
+    documents.land_documents(m.document_lines, folder, 0, documents.ORDER)
+    return folder
+
+
+@query
+def order_lines_landed(m):
+    """Order lines of documents whose form has drifted; those that cannot be read are set aside."""
+    return orders.order_lines(documents.read_documents(m.spark, _documents(m), documents.ORDER))
+
+
+@query
+def order_rejects(m):
+    """Documents that were set aside, by reason."""
+    return documents.read_rejects(m.spark, _documents(m)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def order_unknown_keys(m):
+    """What the documents hold beyond the known fields."""
+    kept = documents.read_documents(m.spark, _documents(m), documents.ORDER)
+    return kept.where("more IS NOT NULL").groupBy("more").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("total").cast("decimal(18,2)")).alias("total"))
+
+
 # --- profit -------------------------------------------------------------------
 
 @query
