@@ -21,6 +21,7 @@ from ledgerloom.functions.months import (
 )
 from ledgerloom.functions.totals import with_totals
 from ledgerloom.model import Model
+from ledgerloom.sources.periods import PeriodLedger
 
 SIDES = {"pl": ("Income", "Expenditure"), "bs": ("Asset", "Liability")}
 
@@ -131,6 +132,27 @@ def monthly_inventory_value(m: Model, b: date) -> DataFrame:
     return _period_totals(grouped, ["zid", "xgitem"], "xgitem", "Monthly Inventory")
 
 
+def monthly_inventory_value_of(m: Model, kept: PeriodLedger, b: date) -> DataFrame:
+    """``monthly_inventory_value`` from sums by period (zid, xitem; ``value``) and the rows of ``b``'s own month."""
+    month = b.year * 100 + b.month
+    whole = kept.by_period(month - 1).select("zid", "xitem", "period", "value")
+    tail = (kept.rows().where((F.col("period") == month) & (F.col("xdate") <= day(b)))
+            .groupBy("zid", "xitem", "period").agg(F.sum(signed_value()).cast("decimal(38,2)").alias("value")))
+    moved = whole.unionByName(tail).selectExpr(
+        "zid", "xitem", "cast(floor(period / 100) AS int) AS xyear", "cast(period % 100 AS int) AS xper", "value AS amount")
+    grouped = moved.join(m.caitem.select("zid", "xitem", "xgitem"), ["zid", "xitem"])
+    return _period_totals(grouped, ["zid", "xgitem"], "xgitem", "Monthly Inventory")
+
+
+def gl_position_of(m: Model, kept: PeriodLedger, years: list[int], m1: int, m2: int) -> DataFrame:
+    """Cumulative ``gl_position`` from sums by period (zid, xacc; ``amount``)."""
+    per = F.col("period") % 100
+    sums = (kept.by_period(max(years) * 100 + m2).where((per >= m1) & (per <= m2))
+            .select("zid", "xacc", F.floor(F.col("period") / 100).cast("int").alias("year"), "amount"))
+    return (_of_side(m, sums, "bs").select("zid", "xacc", F.explode(years_reached(years)).alias("year"), "amount")
+            .groupBy("zid", "xacc", "year").agg(F.sum("amount").alias("amount")))
+
+
 def gl_master(m: Model, side: str = "pl") -> DataFrame:
     """Accounts of one side; an account of no class counts for both."""
     other = SIDES["bs" if side == "pl" else "pl"]

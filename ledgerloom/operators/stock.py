@@ -117,11 +117,15 @@ def _units(value: Column) -> Column:
     return F.coalesce(value, F.lit(0)).cast("bigint")
 
 
-def multi_branch_stock(m: Model, as_of: date | None = None) -> DataFrame:
-    """Stock of the three units side by side, for items that central holds."""
-    moved = m.imtrn if as_of is None else m.imtrn.filter(F.col("xdate") <= day(as_of))
-    held = (moved.groupBy(*KEY).agg(F.sum(signed_qty()).alias("inventory"))
-            .join(m.caitem.select(*KEY), KEY, "left_semi"))
+def multi_branch_stock(m: Model, as_of: date | None = None, balances: DataFrame | None = None) -> DataFrame:
+    """Stock of the three units side by side, for items that central holds.
+
+    ``balances`` (zid, xitem, inventory), where they are kept already, stand in for the movements.
+    """
+    if balances is None:
+        moved = m.imtrn if as_of is None else m.imtrn.filter(F.col("xdate") <= day(as_of))
+        balances = moved.groupBy(*KEY).agg(F.sum(signed_qty()).alias("inventory"))
+    held = balances.join(m.caitem.select(*KEY), KEY, "left_semi")
     units = {"central": CENTRAL, "store": STORE, "ecommerce": ECOMMERCE}
     side_by_side = held.groupBy("xitem").agg(
         F.count(F.when(F.col("zid") == CENTRAL, 1)).alias("held"),

@@ -366,3 +366,6 @@ QUERIES = {
     "tenant_tax": (units(f"p.xhrc2 IN ({TAX})"), UNIT_COLUMNS),
     "tenant_interest": (units(f"p.xhrc2 IN ({INTEREST})"), UNIT_COLUMNS),
 }
+
+for _kept, _anew in {"monthly_inventory_value_periods": "monthly_inventory_value", "gl_position_periods": "gl_position"}.items():
+    QUERIES[_kept] = QUERIES[_anew]

@@ -227,3 +227,14 @@ QUERIES = {
             ON o.zid = n.zid AND o.xitem = n.xitem WHERE o.q IS NULL OR o.q <> n.q""",
         "zid:i xitem:s inventory:d previous:d"),
 }
+
+# Reports that keep something between runs give the same rows as those that compute them anew.
+for _kept, _anew in {"stock_as_of_periods": "stock_as_of", "day_over_day_stock_periods": "day_over_day_stock",
+                     "stock_changes_by_history": "stock_changes"}.items():
+    QUERIES[_kept] = QUERIES[_anew]
+
+QUERIES["stock_intervals"] = (
+    """SELECT zid, xitem, sum(change) OVER (PARTITION BY zid, xitem ORDER BY xdate) AS inventory, xdate AS valid_from,
+        lead(xdate) OVER (PARTITION BY zid, xitem ORDER BY xdate) AS valid_to
+        FROM (SELECT zid, xitem, xdate, sum(xqty * xsign) AS change FROM imtrn GROUP BY 1, 2, 3 HAVING sum(xqty * xsign) <> 0)""",
+    "zid:i xitem:s inventory:d valid_from:t valid_to:t")
