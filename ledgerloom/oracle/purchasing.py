@@ -236,3 +236,38 @@ QUERIES = {
             ON p.zid = r.zid AND p.xdocnum = r.xgrnnum AND p.xitem = r.xitem""",
         RECEIPT_COLUMNS + " item_inserted_inv:d inv_rows:i today_sales_qty:d yesterday_stock:d today_stock:d"),
 }
+
+_PLACED = """SELECT *, sum(units) OVER (PARTITION BY zid, xitem, side ORDER BY xdate, xdocnum, xline, xsup, xqty, xval
+        ROWS UNBOUNDED PRECEDING) AS upto FROM (SELECT *, CASE WHEN xqty * xsign > 0 THEN 'in' ELSE 'out' END AS side,
+        abs(xqty * xsign) AS units FROM imtrn WHERE xqty * xsign <> 0)"""
+
+# Overlap of the units that came with those that went; what is beyond the other side's total is left or missing.
+_MATCHED = f"""SELECT i.zid, i.xitem, i.xdocnum AS came, i.xdate AS came_on, o.xdocnum AS went, o.xdate AS went_on,
+        least(i.upto, o.upto) - greatest(i.upto - i.units, o.upto - o.units) AS units
+        FROM (SELECT * FROM ({_PLACED}) WHERE side = 'in') i JOIN (SELECT * FROM ({_PLACED}) WHERE side = 'out') o
+        ON o.zid = i.zid AND o.xitem = i.xitem AND o.upto > i.upto - i.units AND i.upto > o.upto - o.units"""
+
+
+def _beyond(side: str) -> str:
+    other = "out" if side == "in" else "in"
+    return f"""SELECT a.*, least(a.units, a.upto - coalesce(t.total, 0)) AS rest FROM ({_PLACED}) a
+        LEFT JOIN (SELECT zid, xitem, sum(units) AS total FROM ({_PLACED}) WHERE side = '{other}' GROUP BY 1, 2) t
+        ON t.zid = a.zid AND t.xitem = a.xitem WHERE a.side = '{side}' AND a.upto > coalesce(t.total, 0)"""
+
+
+QUERIES["receipt_sales"] = (
+    f"""SELECT r.zid, r.xitem, r.xdocnum AS xgrnnum, r.xdate AS received_on, r.received, coalesce(m.sold, 0) AS sold,
+        coalesce(m.gone, 0) AS gone, coalesce(l.rest, 0) AS "left", coalesce(m.unit_days, 0) AS unit_days
+        FROM (SELECT zid, xitem, xdocnum, xdate, sum(units) AS received FROM ({_PLACED})
+              WHERE side = 'in' AND xdocnum LIKE 'GRN-%' GROUP BY ALL) r
+        LEFT JOIN (SELECT zid, xitem, came, came_on, coalesce(sum(units) FILTER (WHERE went LIKE 'CO--%'), 0) AS sold,
+              coalesce(sum(units) FILTER (WHERE went NOT LIKE 'CO--%'), 0) AS gone,
+              coalesce(sum(units * date_diff('day', came_on, went_on)) FILTER (WHERE went LIKE 'CO--%'), 0) AS unit_days
+              FROM ({_MATCHED}) GROUP BY ALL) m ON m.zid = r.zid AND m.xitem = r.xitem AND m.came = r.xdocnum AND m.came_on = r.xdate
+        LEFT JOIN (SELECT zid, xitem, xdocnum, xdate, sum(rest) AS rest FROM ({_beyond('in')}) GROUP BY ALL) l
+              ON l.zid = r.zid AND l.xitem = r.xitem AND l.xdocnum = r.xdocnum AND l.xdate = r.xdate""",
+    "zid:i xitem:s xgrnnum:s received_on:t received:d sold:d gone:d left:d unit_days:d")
+QUERIES["stock_layers"] = (
+    f"""SELECT zid, xitem, xdate AS since, FALSE AS missing, sum(rest) AS units FROM ({_beyond('in')}) GROUP BY ALL
+        UNION ALL SELECT zid, xitem, xdate, TRUE, -sum(rest) FROM ({_beyond('out')}) GROUP BY ALL""",
+    "zid:i xitem:s since:t missing:b units:d")

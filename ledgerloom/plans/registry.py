@@ -12,6 +12,7 @@ from ledgerloom.model import CENTRAL, ECOMMERCE, STORE, Model
 from ledgerloom.operators import (
     catalog,
     counting,
+    fifo,
     ledger,
     orders,
     pricing,
@@ -307,6 +308,17 @@ def sales_of_purchase_summary(m):
     return purchasing.sales_of_purchase_summary(m, P.back(30), None)
 
 
+@query
+def receipt_sales(m):
+    """Which receipts were sold, first in, first out; every unit counts once."""
+    return fifo.receipt_sales(m.imtrn)
+
+
+@query
+def stock_layers(m):
+    return fifo.stock_layers(m.imtrn)
+
+
 @query
 def receipts_of_day(m):
     return purchasing.receipts_of_day(m, P.check_day, None)
