@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.shared import written_once
+
 #: Ranges a numbering is cut into; each holds about this part of the rows.
 RANGES = 512
 STEP = 16
@@ -38,9 +40,10 @@ def dense_numbers(df: DataFrame, key: str, by: tuple[str, ...] = (),
     so a task sorts about rows / ``ranges`` of them, also where keys lie far
     apart or crowd together.  A range starts after the counts of the ranges
     below it: ``ranges`` numbers for each group, and no more when all rows
-    are one group.  The cuts are taken once, so a recomputed partition numbers
-    identically.
+    are one group.  The rows are written out once, and cuts, counts and numbers
+    all come from what was written, so a recomputed partition numbers identically.
     """
+    df = written_once(df)
     ranged = df.withColumn("_bucket", _range_of(F.col(key), _cuts(df, key, ranges)))
     counts = ranged.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     if by:

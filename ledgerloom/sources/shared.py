@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
 
@@ -33,6 +33,14 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` as rows in the shared folder, worked out once, however often it is read from here on."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the Python workers this package, wherever the session was started from."""
     context = spark.sparkContext
