@@ -228,9 +228,10 @@ QUERIES = {
         "zid:i xitem:s inventory:d previous:d"),
 }
 
-# Reports that keep something between runs give the same rows as those that compute them anew.
+# Reports that keep something between runs, or store tables another way, give the same rows as those that compute them anew.
 for _kept, _anew in {"stock_as_of_periods": "stock_as_of", "day_over_day_stock_periods": "day_over_day_stock",
-                     "stock_changes_by_history": "stock_changes"}.items():
+                     "stock_changes_by_history": "stock_changes", "inventory_balance_laid_out": "inventory_balance",
+                     "inventory_value_published": "inventory_value_by_warehouse"}.items():
     QUERIES[_kept] = QUERIES[_anew]
 
 QUERIES["stock_intervals"] = (

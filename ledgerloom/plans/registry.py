@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -25,7 +26,7 @@ from ledgerloom.operators import (
     units,
 )
 from ledgerloom.plans.params import DEFAULT as P
-from ledgerloom.sources import documents, history
+from ledgerloom.sources import controls, documents, history, layout
 from ledgerloom.sources.pages import land_pages, read_pages
 from ledgerloom.sources.periods import PeriodLedger
 from ledgerloom.sources.shared import new_folder
@@ -37,6 +38,8 @@ QUERIES: dict[str, Query] = {}
 YEARS = list(P.years)
 SPAN = (YEARS, P.first_month, P.last_month)
 LOADED_AT = datetime(2001, 6, 30, 9, 0, 0)
+#: Buckets of the sample's tables; a real ledger has as many as its largest table has gigabytes, or more.
+LAID_BUCKETS = 8
 WINDOW = P.profit_window
 LEDGER = (P.ledger_start, P.ledger_end)
 
@@ -74,6 +77,26 @@ def inventory_balance(m):
     return stock.inventory_balance(m)
 
 
+@query
+def inventory_balance_laid_out(m):
+    """The same balance from movements and items in buckets of their key: no shuffle."""
+    folder = new_folder(m.spark, "layout")
+    prefix = f"laid_{uuid.uuid4().hex}_"
+    layout.write_layout(m, folder, LAID_BUCKETS, ["imtrn", "caitem"], prefix)
+    return stock.inventory_balance(layout.open_layout(m.spark, folder, m, prefix))
+
+
+@query
+def inventory_value_published(m):
+    """Value by warehouse as it was published: it shows only if it adds up to the movements it was made from."""
+    until = m.imtrn.filter(F.col("xdate") <= F.lit(str(P.as_of)).cast("date"))
+    ledger_rows = controls.Controlled(until, {"value": "sum(xval * xsign)"})
+    path = new_folder(m.spark, "published")
+    report = stock.inventory_value_by_warehouse(m.replace(imtrn=ledger_rows.rows), P.as_of)
+    controls.publish(report, path, {"value": "sum(value)"}, ledger_rows)
+    return controls.read_published(m.spark, path)
+
+
 @query
 def last_movement(m):
     return stock.last_movement(m)

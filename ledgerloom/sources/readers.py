@@ -18,21 +18,54 @@ from ledgerloom.schemas import (
 PARTITION_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
 
 
+def jdbc_options(src: dict, name: str) -> dict:
+    """Options of the database reader for a table.
+
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``
+    are demanded: without them one task would read the whole table.
+    """
+    missing = [o for o in PARTITION_OPTIONS if o not in src]
+    if missing:
+        raise ValueError(f"give JDBC options {', '.join(missing)}; one task would read all of {name}")
+    return {**{k: v for k, v in src.items() if k != "cuts"}, "dbtable": name}
+
+
+def measured_cuts(df: DataFrame, key: str, parts: int) -> list:
+    """Keys that part the rows of a copy of the table (the last load, a sample of it) evenly; at most ``parts`` - 1.
+
+    A key that many rows have comes up once; its rows stay together.
+    """
+    points = [i / parts for i in range(1, parts)]
+    found = df.where(F.col(key).isNotNull()).agg(F.percentile_approx(key, points, 100 * parts)).first()[0]
+    return sorted(set(found or []))
+
+
+def balanced_predicates(key: str, cuts: list) -> list[str]:
+    """Conditions of one read each: no row meets two, every row meets one, rows without a key included."""
+    if not cuts:
+        return ["1 = 1"]
+    shown = [repr(c) if isinstance(c, (int, float)) else "'" + str(c).replace("'", "''") + "'" for c in cuts]
+    ranges = [f"{key} < {shown[0]} OR {key} IS NULL"]
+    ranges += [f"{key} >= {low} AND {key} < {high}" for low, high in zip(shown, shown[1:])]
+    return [*ranges, f"{key} >= {shown[-1]}"]
+
+
 def read_table(spark: SparkSession, src: str | dict, name: str) -> DataFrame:
     """ERP table from a parquet folder, or from a database.
 
-    ``src`` is a folder path, or JDBC options.  A database needs
-    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``:
-    without them one task would read the whole table, so they are demanded.
-    Filters and columns reach either source.
+    ``src`` is a folder path, or JDBC options (see ``jdbc_options``).  ``cuts``
+    among them, {table: (column, keys)} from ``measured_cuts``, reads a table
+    whose keys are skewed or sparse in parts of even size instead of even
+    bounds.  Filters and columns reach either source.
     """
     columns = [f.strip().split()[0] for f in _split(TABLES[name])]
-    if isinstance(src, dict):
-        missing = [o for o in PARTITION_OPTIONS if o not in src]
-        if missing:
-            raise ValueError(f"give JDBC options {', '.join(missing)}; one task would read all of {name}")
-        return spark.read.format("jdbc").options(**{**src, "dbtable": name}).load().select(*columns)
-    return spark.read.schema(TABLES[name]).parquet(f"{src}/{name}").select(*columns)
+    if not isinstance(src, dict):
+        return spark.read.schema(TABLES[name]).parquet(f"{src}/{name}").select(*columns)
+    if name in src.get("cuts", {}):
+        column, keys = src["cuts"][name]
+        properties = {k: str(v) for k, v in src.items() if k not in ("cuts", "url", *PARTITION_OPTIONS)}
+        return spark.read.jdbc(src["url"], name, predicates=balanced_predicates(column, keys), properties=properties).select(*columns)
+    return spark.read.format("jdbc").options(**jdbc_options(src, name)).load().select(*columns)
 
 
 def _split(schema: str) -> list[str]:
