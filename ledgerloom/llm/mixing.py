@@ -29,45 +29,14 @@ from pyspark.sql import functions as F
 
 from .common import ship, table
 
-#: Documents of a block, slots of a period of whole tickets, and slots a task lays out at once (or as many as sources).
-BLOCK, TICKETS, SEGMENT = 8, 1000, 10_000
+#: Documents of a block, and slots a task lays out at once (or as many as sources).
+BLOCK, SEGMENT = 8, 10_000
 #: Without given weights a source weighs its documents to this power.
 TEMPERATURE = 0.5
 #: Documents that one window numbers, about.
 SLICE_ROWS = 4_000
 OTHERS = "\u0000others"
-
-
-def tickets(weights: Mapping[str, float], total: int = TICKETS) -> dict[str, int]:
-    """Whole tickets in proportion to the weights, one at least each, by largest remainder."""
-    names = sorted(weights)
-    if not names:
-        return {}
-    spare = total - len(names)
-    all_weights = sum(weights.values()) or 1.0
-    exact = {n: spare * weights[n] / all_weights for n in names}
-    out = {n: 1 + int(exact[n]) for n in names}
-    for n in sorted(names, key=lambda n: (int(exact[n]) - exact[n], n))[:total - sum(out.values())]:
-        out[n] += 1
-    return out
-
-
-def period(shares: Mapping[str, int]) -> dict[str, list[int]]:
-    """Slots of each source's blocks in one period, by earliest deadline first among released blocks."""
-    total = sum(shares.values())
-    waiting = [(0, n, 0) for n in sorted(shares)]  # (release, source, block)
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {n: [] for n in shares}
-    for slot in range(total):
-        while waiting and waiting[0][0] <= slot:
-            _, name, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * total // shares[name]), name, block))
-        _, name, block = heapq.heappop(ready)
-        slots[name].append(slot)
-        if block + 1 < shares[name]:
-            heapq.heappush(waiting, ((block + 1) * total // shares[name], name, block + 1))
-    return slots
+ADDED = ("mix_block", "mix_slot", "mix_place", "mix_release", "mix_deadline")
 
 
 class Fluid:
@@ -160,33 +129,37 @@ def _numbered(docs: DataFrame, source: Column, key: Column) -> tuple[DataFrame,
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, source: str = "source",
-                doc_id: str = "doc_id", block: int = BLOCK, total: int = TICKETS) -> DataFrame:
+                block: int = BLOCK) -> DataFrame:
     """``docs`` with ``mix_block``, ``mix_slot``, ``mix_place``, ``mix_release`` and ``mix_deadline``.
 
     Rows in order of (mix_slot, mix_place) are the mix.  Without weights every
     source weighs the square root of its documents.  ``weights`` name any number
     of sources; those not named share the weight named ``OTHERS`` (1 without
     it).  No row is dropped or repeated: a source that has run out leaves its
-    slots to the others.  A null source counts as the empty one; null and
-    repeated ids are placed like others; an empty table stays empty; columns of
-    the added names are replaced.
+    slots to the others.  A null source counts as the empty one; rows of a
+    source are placed by a hash of all their columns, so null and repeated ids
+    are spread like others; an empty table stays empty; columns of exactly the
+    added names are replaced, all others stay.
     """
-    own = F.coalesce(F.col(source), F.lit(""))
-    kept = [c for c in docs.columns if not c.startswith("mix_")]
+    docs = docs.drop(*ADDED)
+    hashed = F.xxhash64(*[F.col(f"`{n}`") for n, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    # The row travels as one value, so that its columns meet none of the helpers'.
+    docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
+                       F.coalesce(F.col(source), F.lit("")).alias("__own"), hashed.alias("__key"))
     if weights is None:
-        docs = docs.withColumn("__share", own)
+        docs = docs.withColumn("__share", F.col("__own"))
     else:
         if min(weights.values(), default=1) <= 0:
             raise ValueError("give every source a weight above 0")
         known = docs.sparkSession.createDataFrame([(n,) for n in weights if n != OTHERS], "__known string")
-        docs = docs.join(F.broadcast(known), own == F.col("__known"), "left").withColumn(
+        docs = docs.join(F.broadcast(known), F.col("__own") == F.col("__known"), "left").withColumn(
             "__share", F.coalesce("__known", F.lit(OTHERS))).drop("__known")
     share = F.col("__share")
     # One row per source, whatever the documents.
     counts = {r["s"]: r["count"] for r in docs.groupBy(share.alias("s")).count().collect()}
     named = {n: (float(c) ** TEMPERATURE if weights is None else float(weights.get(n, 1.0))) for n, c in counts.items()}
     schedule = _schedule(docs.sparkSession, {n: -(-c // block) for n, c in counts.items()}, named)
-    rows, starts = _numbered(docs, share, F.xxhash64(F.col(doc_id), own))
+    rows, starts = _numbered(docs, share, F.col("__key"))
     # A slice takes the places of its own blocks along, so documents meet the schedule where they were numbered.
     first, last = F.floor(F.col("__start") / block), F.floor((F.col("__start") + F.col("count") - 1) / block)
     slices = starts.select("__source", "__slice", "__start", F.explode(F.sequence(first, last)).alias("mix_block"))
@@ -195,8 +168,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, sou
         F.array_sort(F.collect_list(F.struct("mix_block", "mix_slot", "mix_release", "mix_deadline"))).alias("__places"))
     number = F.col("__start") + F.col("__rank") - 1
     at = F.element_at("__places", (F.floor(number / block) - first + 1).cast("int"))
-    placed = rows.join(slices, ["__source", "__slice"]).select(*kept, at.alias("__at"), (number % block).alias("mix_place"))
-    return placed.select(*kept, "__at.mix_block", "__at.mix_slot", "mix_place", "__at.mix_release", "__at.mix_deadline")
+    placed = rows.join(slices, ["__source", "__slice"]).select("__doc", at.alias("__at"), (number % block).alias("mix_place"))
+    return placed.select("__doc.*", "__at.mix_block", "__at.mix_slot", "mix_place", "__at.mix_release", "__at.mix_deadline")
 
 
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

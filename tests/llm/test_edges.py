@@ -92,6 +92,22 @@ def test_mix_of_odd_texts(odd):
     assert len({r[1:3] for r in found}) == len(ODD)
 
 
+def test_mix_keeps_columns_of_other_names(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "'a' AS source", "'note' AS mix_note", "'mine' AS mix_slot", "id % 2 AS __source")
+    mixed = mixing.mix_sources(docs)
+    assert mixed.columns[:4] == ["doc_id", "source", "mix_note", "__source"] and dict(mixed.dtypes)["mix_slot"] == "bigint"
+    assert {(r.mix_note, r["__source"] - r.doc_id % 2) for r in mixed.collect()} == {("note", 0)}
+
+
+def test_mix_spreads_null_ids(spark):
+    docs = spark.range(20_000).selectExpr("cast(NULL AS long) AS doc_id", "'a' AS source", "concat('text ', id) AS text")
+    rows, _ = mixing._numbered(docs, F.col("source"), F.xxhash64(*docs.columns))
+    sizes = [r["count"] for r in rows.groupBy("__slice").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 2 * mixing.SLICE_ROWS
+    found = mixing.mix_sources(docs)
+    assert found.select("mix_slot", "mix_place").distinct().count() == 20_000
+
+
 def test_secrets_of_odd_texts(odd):
     assert {len(r[1]) for r in by_id(secret_scan.scan_secrets(odd), "secrets")} == {0}
     same = secret_scan.redact(secret_scan.scan_secrets(odd))

@@ -302,18 +302,6 @@ def test_index_finds_all_near_codes():
 
 # --- mixing
 
-def test_deviation_stays_below_one_block():
-    shares = mixing.tickets({"a": 50, "b": 30.5, "c": 0.01, "d": 7})
-    slots = mixing.period(shares)
-    total = sum(shares.values())
-    assert total == mixing.TICKETS and sorted(s for v in slots.values() for s in v) == list(range(total))
-    for name, own in slots.items():
-        given = 0
-        for t in range(total):
-            given += t in set(own[given:given + 1])
-            assert abs(given - (t + 1) * shares[name] / total) < 1
-
-
 def test_mix_places_every_block_once(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 7}") for i in range(5000)]
     weights = {"hot": 1.0, "s0": 3.0, "s1": 0.5}
