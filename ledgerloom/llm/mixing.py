@@ -129,9 +129,11 @@ def _numbered(docs: DataFrame, source: Column, key: Column) -> tuple[DataFrame,
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, source: str = "source",
-                block: int = BLOCK) -> DataFrame:
+                block: int = BLOCK, into: str | None = None) -> DataFrame:
     """``docs`` with ``mix_block``, ``mix_slot``, ``mix_place``, ``mix_release`` and ``mix_deadline``.
 
+    With ``into`` they are fields of one column of that name.
+
     Rows in order of (mix_slot, mix_place) are the mix.  Without weights every
     source weighs the square root of its documents.  ``weights`` name any number
     of sources; those not named share the weight named ``OTHERS`` (1 without
@@ -141,7 +143,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, sou
     are spread like others; an empty table stays empty; columns of exactly the
     added names are replaced, all others stay.
     """
-    docs = docs.drop(*ADDED)
+    docs = docs.drop(*([into] if into else ADDED))
     hashed = F.xxhash64(*[F.col(f"`{n}`") for n, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
     # The row travels as one value, so that its columns meet none of the helpers'.
     docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
@@ -169,7 +171,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float] | None = None, sou
     number = F.col("__start") + F.col("__rank") - 1
     at = F.element_at("__places", (F.floor(number / block) - first + 1).cast("int"))
     placed = rows.join(slices, ["__source", "__slice"]).select("__doc", at.alias("__at"), (number % block).alias("mix_place"))
-    return placed.select("__doc.*", "__at.mix_block", "__at.mix_slot", "mix_place", "__at.mix_release", "__at.mix_deadline")
+    added = [F.col(c if c == "mix_place" else f"__at.{c}").alias(c) for c in ADDED]
+    return placed.select("__doc.*", *([F.struct(*added).alias(into)] if into else added))
 
 
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,19 @@ def test_places_of_files_and_of_partitions(spark, tmp_path):
     rows.write.option("maxRecordsPerFile", 30).parquet(f"{tmp_path}/t")
     for df in (rows, spark.read.parquet(f"{tmp_path}/t"), spark.createDataFrame([], rows.schema)):
         assert all(r.id == r.place for r in with_place(df, "place").collect())
+
+
+def test_odd_rows_and_clashing_columns_pass_every_stage(spark):
+    long = " ".join(f"word{i} stands here" for i in range(400))
+    rows = [(1, None, None, None, None), (2, "", "en", "", 0), (None, long, "en", "a", len(long)), (None, long, "en", "a", len(long)),
+            (3, long + " and more of it", None, None, 1), (4, "a token = abcdefgh12 b " + long, "en", "b", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {c: F.lit(c) for c in ("mix_note", "mix_slot", "kept", "code", "secrets", "__source", "ids")})
+    for of in (docs, docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            done = stage(spark, of, SAMPLE)
+            assert done.columns == docs.columns, name
+            found = done.collect()
+            assert all(r.mix_note == "mix_note" and r.mix_slot == "mix_slot" and r["__source"] == "__source" for r in found), name
+            assert len(found) == (of.count() if name in ("secret scans", "mixing sources to target weights") else len(found))
+        assert corpus_pipeline.tokens(spark, of, SAMPLE).count() == of.count()
