@@ -24,20 +24,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by SimHash: the one of smallest id."""
+    """One document of each group linked by SimHash: the one of smallest id.
+
+    Null and empty texts have the same fingerprint and are one group; of rows
+    with the same id one stays; an empty table stays empty; columns of any name stay.
+    """
     return keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret replaced by a mask; ``n_chars`` follows where a text has changed."""
+    """All documents, every secret replaced by a mask; ``n_chars`` follows where a text has changed.
+
+    Null and empty texts stay as they are; repeated rows are masked each by
+    itself; an empty table stays empty; columns of any name stay.
+    """
     masked = redact(scan_secrets(docs, into="__secrets"), spans="__secrets")
     changed = F.size("__secrets") > 0
     return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).drop("__secrets")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix, spread over files by ranges of slots."""
-    return mix_sources(docs).orderBy("mix_slot", "mix_place").select(docs.columns)
+    """All documents in the order of the mix, spread over files by ranges of slots.
+
+    A null source counts as the empty one; null and repeated ids are placed like
+    others; an empty table stays empty; columns of any name stay.
+    """
+    return mix_sources(docs, into="__mix").orderBy("__mix.mix_slot", "__mix.mix_place").drop("__mix")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
