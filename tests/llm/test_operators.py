@@ -380,18 +380,73 @@ def test_digits_are_flagged_and_public_strings_are_not(spark):
     assert [len(r.secrets) for r in found] == [1, 0, 0, 0, 0, 0]
 
 
-def test_entropy_by_plain_windows(spark):
-    rng = random.Random(4)
-    values = ["".join(rng.choice("abcdefgh0123456789XYZ+/"[:rng.randint(3, 23)]) for _ in range(rng.randint(20, 60))) for _ in range(60)]
+def plain_high(v):
+    """Stretches that high windows of 20 cover, each window by the class of its own characters."""
+    out = []
+    for i in range(len(v) - 19):
+        w = v[i:i + 20]
+        limit = (secret_scan.BITS["digits"] if re.fullmatch("[0-9]+", w) else secret_scan.BITS["hex"] if re.fullmatch("[0-9a-f]+|[0-9A-F]+", w)
+                 else secret_scan.BITS["upper"] if re.fullmatch("[A-Z0-9]+", w) else secret_scan.BITS["base64"])
+        bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(w).values())
+        if " " not in w and re.search("[0-9]", w) and bits > limit:
+            if out and i <= out[-1][1]:
+                out[-1] = (out[-1][0], i + 20)
+            else:
+                out.append((i, i + 20))
+    return out
 
-    def plain(v):
-        limit = (secret_scan.BITS["digits"] if re.fullmatch("[0-9=_/+-]+", v) else secret_scan.BITS["hex"] if re.fullmatch("[0-9a-f]+|[0-9A-F]+", v)
-                 else secret_scan.BITS["upper"] if re.fullmatch("[A-Z0-9]+", v) else secret_scan.BITS["base64"])
-        high = [i for i in range(len(v) - 19) if -sum(c / 20 * math.log2(c / 20) for c in Counter(v[i:i + 20]).values()) > limit]
-        return (high[0], high[-1] + 20) if high else (None, None)
 
-    found = spark.createDataFrame([(v,) for v in values], "v string").select("v", secret_scan.high_entropy_span(F.col("v")).alias("s")).collect()
-    assert {r.v: (r.s.first, r.s.last) for r in found} == {v: plain(v) for v in values}
+def test_entropy_by_plain_windows(spark):
+    rng = random.Random(4)
+    pools = ["0123456789", "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+             "abcdefgh0123456789XYZ+/", "ab1", "kJ8vQz2XpL5nR7tW9yB4mC6dF1gH3sA0 "]
+    values = ["".join(rng.choice(rng.choice(pools[:rng.randint(1, 7)]) if rng.random() < 0.3 else pool) for _ in range(rng.randint(20, 90)))
+              for pool in pools for _ in range(12)]
+    values += ["9fQ2xLk7Vb3NzT1yRwP8mC4d" + "=" * 34 + "kJ8vQz2XpL5nR7tW9yB4mC6dF1gH3sA0"]
+    found = spark.createDataFrame([(v,) for v in values], "v string").select("v", secret_scan.high_entropy_spans(F.col("v")).alias("s")).collect()
+    assert {r.v: [tuple(s) for s in r.s] for r in found} == {v: plain_high(v) for v in values}
+    assert len(plain_high(values[-1])) == 2  # two keys, two spans
+    assert sum(bool(plain_high(v)) for v in values) > 20
+
+
+ORDINARY = [
+    "https://shop.org/en/2024/05/how-to-bake-sourdough-bread-quickly", "/home/user42/files/Quarterly_Report_2024_Final",
+    "call 555-0123-4567-890-2345-678 now", "ISBN 978-0-306-40615-7-978-0-14-032872-1", "2024-01-01-2024-02-29-2025-12-31",
+    "getElementsByClassName2", "internationalization18", "covid19vaccinationstatistics", "AdvancedEncryptionStandard256",
+    "win32applicationframework2", "image_20240101_123456_final_version_2", "com/example/android/version2/MainActivity",
+    "my-very-long-package-name-version-12", "chapter1_section2_paragraph3_line4", "2001-06-30T10-00-00-000Z-2001-07-30",
+]
+
+
+def test_ordinary_strings_are_left_alone(spark):
+    docs = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(ORDINARY)], "doc_id long, text string")
+    flagged = [ORDINARY[r.doc_id] for r in secret_scan.scan_secrets(docs).collect() if r.secrets]
+    assert flagged == []
+
+
+def test_many_spans_take_linear_time(spark):
+    import time
+    rng = random.Random(6)
+    hexes = ["%032x" % rng.getrandbits(128) for _ in range(100_000)]
+    keys = ["".join(rng.choice("kJ8vQz2XpL5nR7tW9yB4mC6dF1gH3sA0") for _ in range(26)) for _ in range(500)]
+    docs = spark.createDataFrame([(1, "\n".join(hexes)), (2, " ".join(keys))], "doc_id long, text string")
+    start = time.perf_counter()
+    done = {r.doc_id: r for r in secret_scan.redact(secret_scan.scan_secrets(docs)).collect()}
+    assert time.perf_counter() - start < 60
+    assert len(done[1].secrets) == 100_000 and done[1].text == "\n".join(["[SECRET]"] * 100_000)
+    assert [(s.start, s.end) for s in done[1].secrets[99_998:]] == [(33 * 99_998, 33 * 99_998 + 32), (33 * 99_999, 33 * 99_999 + 32)]
+    assert len(done[2].secrets) > 400
+
+
+def test_running_sums_and_maxima_over_many_blocks(spark):
+    rng = random.Random(2)
+    rows = [(n, [rng.randrange(1000) for _ in range(n)]) for n in (0, 1, 127, 128, 129, 1000)]
+    found = spark.createDataFrame(rows, "n int, v array<bigint>").select(
+        "n", secret_scan._running(F.col("v"), lambda x, y: x + y).alias("s"), secret_scan._running(F.col("v"), lambda x, y: F.greatest(x, y), -1).alias("m"))
+    from itertools import accumulate
+    for r in found.collect():
+        values = dict(rows)[r.n]
+        assert r.s == list(accumulate(values)) and r.m == list(accumulate(values, max))
 
 
 # --- BPE
