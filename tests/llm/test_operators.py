@@ -65,6 +65,48 @@ def test_wrapped_and_commented_notices(spark):
     assert [(r.license, r.n_notices) for r in found] == [("GPL-3.0", 1), ("GPL-3.0", 1), ("GPL-3.0", 1), ("GPL-2.0", 1)]
 
 
+def test_near_wordings_are_not_mistaken(spark):
+    clauses = licenses.TEMPLATES["BSD"][0]
+    third = licenses.TEMPLATES["BSD-3-Clause"][2]
+    grant = licenses.TEMPLATES["MIT-0"][2]
+    creative = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+    expected = {
+        "Not released under the MIT License.": None,
+        "This work is licensed under the GNU General Public License, version 4.": None,
+        "Licensed under the Apache License, Version 1.1.": None,
+        clauses: "BSD", f"{clauses}\n\n{third}": "BSD-3-Clause",
+        f"{clauses}\n\n{third.replace('the copyright holder', 'Some Company')}": "BSD-3-Clause",
+        f"{grant}\n\nTHE SOFTWARE IS PROVIDED AS IS": "MIT-0", licenses.TEMPLATES["MIT"][3]: "MIT",
+        creative.format("NoDerivatives"): "CC-BY-ND-4.0", creative.format("NonCommercial-NoDerivatives"): "CC-BY-NC-ND-4.0",
+        creative.format("NonCommercial-ShareAlike"): "CC-BY-NC-SA-4.0", creative.format("NonCommercial"): "CC-BY-NC-4.0",
+        "This work is licensed under a Creative Commons Attribution 2.5 International License.": None,
+        "# SPDX-License-Identifier: BSD-2-Clause\nimport os": "BSD-2-Clause", "// SPDX-License-Identifier: MIT": "MIT",
+        "// SPDX-License-Identifier: MIT-0": "MIT-0", "SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0",
+        "SPDX-License-Identifier: LGPL-3.0": "LGPL-3.0", "SPDX-License-Identifier: CC-BY-NC-4.0": "CC-BY-NC-4.0",
+        "SPDX-License-Identifier: Zlib": None,
+    }
+    found = licenses.scan_licenses(spark.createDataFrame(list(expected.items()), "text string, expected string")).collect()
+    assert [(r.text, r.license) for r in found if r.license != r.expected] == []
+
+
+def test_every_template_names_its_licence(spark):
+    rows = [(name, t) for name, texts in licenses.TEMPLATES.items() for t in texts]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert [(r.name, r.text, r.license) for r in found if r.license != r.name or r.license_dice < 1] == []
+
+
+def test_licence_sql_is_the_same_rule_on_wrapped_texts(spark, tmp_path):
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    rows = [(i, "Some words.\n" + t.replace(" ", "\n * ", 1 + i % 3) + " And more.\n \n" + notices[i * 7 % len(notices)]) for i, t in enumerate(notices)]
+    rows += [(10_000 + i, f"{t}\n{t}  \n# {t}") for i, t in enumerate(notices)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    found = licenses.scan_licenses(docs).select("doc_id", "license", "license_dice", "n_notices")
+    assert difference(found, con, ORACLES["op1_license_scan"]) is None
+
+
 # --- toxicity
 
 def test_gradients():
