@@ -4,12 +4,15 @@ A text is cut into overlapping windows of words.  A word is the sum of what its
 characters (hashed trigrams) and, for words of the training vocabulary, the
 word itself contribute.  A forward and a backward GRU read a window, attention
 pools their states and a logistic unit scores it; a text has the score of its
-highest window.  The net is trained on a bounded sample of labelled rows on the
-driver and sent to the tasks, which score whole texts row by row.
+highest window.  The net is trained on a bounded sample of labelled rows and
+sent to the tasks, which score whole texts row by row.  What score a logit
+becomes is learnt by cross-fitting: every sampled document is scored, whole, by
+a net that has not seen it.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,12 @@ TRIGRAMS = 1 << 13
 VOCABULARY = 4000
 #: Passes over the sample, and updates that a small sample's passes are raised to.
 EPOCHS, UPDATES, BATCH, RATE, DECAY = 10, 800, 192, 0.01, 0.3
-#: Share of words left out of a training window, and of documents kept for calibration.
-DROP, CALIBRATE = 0.1, 0.25
-#: Toxic documents below which none is spared for calibration.
-LEAST_TO_SPARE = 200
+#: Share of words left out of a training window.
+DROP = 0.1
+#: Parts of the sample that are scored by a net trained on the others, at every size of the sample.
+FOLDS = 3
+#: Missed toxic texts that a clean text called toxic counts as: clean texts are the many, the sample has few of them.
+ALARM_COST = 2
 SEED = 7
 THRESHOLD = 0.7
 #: Distinct words a task keeps before it starts anew, and windows scored at once.
@@ -196,7 +201,7 @@ def _lay_out(windows: list[list[int]], padding: int) -> tuple[np.ndarray, np.nda
 
 
 def train(rows: list[tuple[int, int, list[str]]]) -> Net:
-    """Net from (document, label, words of a window) rows; ``scale`` and ``shift`` calibrate a text's highest logit.
+    """Net from (document, label, words of a window) rows, not yet calibrated.
 
     A toxic text is toxic somewhere, not everywhere: after a fifth of the passes
     only its highest windows teach label 1, the other windows do not count.
@@ -215,10 +220,8 @@ def train(rows: list[tuple[int, int, list[str]]]) -> Net:
     _start_from_counts(net, rows, uses)
     docs = np.array([r[0] for r in rows])
     labels = np.array([r[1] for r in rows], np.float32)
-    ids, place = np.unique(docs, return_inverse=True)
-    toxic = len(set(docs[labels == 1].tolist()))
-    learn = (rng.random(len(ids)) >= (CALIBRATE if toxic >= LEAST_TO_SPARE else 0))[place]
-    usable = learn.copy()
+    place = np.unique(docs, return_inverse=True)[1]
+    usable = np.ones(len(rows), bool)
     share = min(0.95, max(0.05, float(labels.mean())))
     importance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
     epochs = max(EPOCHS, min(60, -(-UPDATES * BATCH // len(rows))))
@@ -227,7 +230,7 @@ def train(rows: list[tuple[int, int, list[str]]]) -> Net:
             logits = score_windows(net, [r[2] for r in rows])
             top = np.full(place.max() + 1, -np.inf)
             np.maximum.at(top, place, logits)
-            usable = learn & ((labels == 0) | (logits >= top[place] - 0.5))
+            usable = (labels == 0) | (logits >= top[place] - 0.5)
         rate = RATE * min(1.0, 2.0 * (1 - epoch / epochs))
         order = rng.permutation(np.flatnonzero(usable))
         for at in range(0, len(order), BATCH):
@@ -239,14 +242,6 @@ def train(rows: list[tuple[int, int, list[str]]]) -> Net:
             windows, lengths = _lay_out([[number[w] for w in t] for t in texts], len(listed))
             g, _ = net.gradients(x, source, net.projections(x), windows, lengths, labels[chosen], importance[chosen])
             net.step(g, rate)
-    logits = score_windows(net, [r[2] for r in rows])
-    top = np.full(place.max() + 1, -np.inf)
-    np.maximum.at(top, place, logits)
-    truth = np.zeros(place.max() + 1)
-    np.maximum.at(truth, place, labels)
-    apart = np.ones(len(ids), bool)
-    apart[place[learn]] = False
-    net.scale, net.shift = _calibrate(top[apart], truth[apart]) if 0 < truth[apart].sum() < apart.sum() else _calibrate(top, truth)
     return net
 
 
@@ -277,14 +272,13 @@ def _start_from_counts(net: Net, rows: list, uses: dict[str, set[int]]) -> None:
 def _calibrate(logit: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
     """Scale and shift for which the best cut of the sample scores just the threshold.
 
-    A clean text called toxic counts as three missed ones: whole texts have
-    more windows than the sample, and each may raise the score.
+    The cut is the one with the fewest misses and alarms, an alarm counting ``ALARM_COST`` times.
     """
     order = np.argsort(logit)
     ordered, real = logit[order], truth[order]
     missed = np.concatenate([[0], np.cumsum(real)])
     alarms = np.concatenate([np.cumsum((1 - real)[::-1])[::-1], [0]])
-    cost = missed + 3 * alarms
+    cost = missed + ALARM_COST * alarms
     best = np.flatnonzero(cost == cost.min())
     low, high = ordered[max(0, best[0] - 1)], ordered[min(best[-1], len(ordered) - 1)]
     cut = float(low + 0.6 * (high - low))
@@ -327,6 +321,12 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Score of every text from all of its windows; a text without a word scores 0."""
+        best = self.logits(texts)
+        score = _sigmoid(np.where(np.isneginf(best), 0.0, best) * self.net.scale + self.net.shift)
+        return np.where(np.isneginf(best), 0.0, score)
+
+    def logits(self, texts: list[str]) -> np.ndarray:
+        """Highest logit of each text's windows; minus infinity without a word."""
         best = np.full(len(texts), -np.inf)
         stripes: list[np.ndarray] = []
         owners: list[np.ndarray] = []
@@ -349,8 +349,7 @@ class Scorer:
                     self.forget()
         if stripes:
             self._flush(best, stripes, owners, lengths)
-        score = _sigmoid(np.where(np.isneginf(best), 0.0, best) * self.net.scale + self.net.shift)
-        return np.where(np.isneginf(best), 0.0, score)
+        return best
 
     def _flush(self, best, stripes, owners, lengths) -> None:
         self._learn()
@@ -364,16 +363,17 @@ class Scorer:
         lengths.clear()
 
 
-def training_windows(docs: DataFrame, labels: DataFrame, label: str, sample_docs: int) -> DataFrame:
-    """(doc_id, label, words) of up to ``SAMPLE_WINDOWS`` windows of up to ``sample_docs`` documents of each label.
-
-    Documents and windows are those of the smallest hashes, from whole texts.
-    """
+def training_documents(labels: DataFrame, label: str, sample_docs: int) -> DataFrame:
+    """(doc_id, label, fold) of up to ``sample_docs`` documents of each label, those of the smallest hashes."""
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label")).withColumn("at", F.xxhash64("doc_id", F.lit(SEED)))
-    chosen = chosen.where("label = 1").orderBy("at").limit(sample_docs).union(
-        chosen.where("label = 0").orderBy("at").limit(sample_docs)).select("doc_id", "label")
+    return chosen.where("label = 1").orderBy("at").limit(sample_docs).union(
+        chosen.where("label = 0").orderBy("at").limit(sample_docs)).select(
+        "doc_id", "label", F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(FOLDS)).cast("int").alias("fold"))
 
+
+def training_windows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, label, fold, words) of up to ``SAMPLE_WINDOWS`` windows of the chosen documents, evenly over whole texts."""
     @F.pandas_udf("array<array<string>>")
     def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
@@ -388,8 +388,50 @@ def training_windows(docs: DataFrame, labels: DataFrame, label: str, sample_docs
 
     # At most 2 * sample_docs ids, so the join needs no shuffle of the texts.
     rows = docs.join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "label", windows(F.coalesce(F.col("text"), F.lit(""))).alias("windows"))
-    return rows.select("doc_id", "label", F.explode("windows").alias("words"))
+        "doc_id", "label", "fold", windows(F.coalesce(F.col("text"), F.lit(""))).alias("windows"))
+    return rows.select("doc_id", "label", "fold", F.explode("windows").alias("words"))
+
+
+def cross_fitted(docs: DataFrame, chosen: DataFrame) -> Net:
+    """Net trained on all chosen documents; its scale and shift come from the nets trained without a fold.
+
+    The nets are trained side by side, one a task.  Each document of the sample
+    is scored over all windows of its whole text by the net that lacks its
+    fold; one logit per document returns to the driver.
+    """
+    spark = docs.sparkSession
+    rows = spark.sparkContext.broadcast([(r[0], r[1], r[2], list(r[3])) for r in training_windows(docs, chosen).collect()])
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for fold in batch["id"]:
+                net = train([(doc, label, words) for doc, label, own, words in rows.value if own != fold])
+                net.m = {}
+                yield pd.DataFrame({"fold": [fold], "net": [pickle.dumps(net)]})
+
+    # No document is of fold FOLDS, so the last net has learnt from all.
+    fitted = spark.range(0, FOLDS + 1, 1, FOLDS + 1).mapInPandas(fit, "fold long, net binary").collect()
+    nets = {r["fold"]: pickle.loads(r["net"]) for r in fitted}
+    parts = spark.sparkContext.broadcast([nets[i] for i in range(FOLDS)])
+
+    @F.pandas_udf("double")
+    def apart(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        scorers = [Scorer(net) for net in parts.value]
+        for texts, folds in batches:
+            out = np.full(len(texts), -np.inf)
+            for i, scorer in enumerate(scorers):
+                own = np.flatnonzero(folds.to_numpy() == i)
+                out[own] = scorer.logits(list(texts.iloc[own]))
+            yield pd.Series(out)
+
+    told = docs.join(F.broadcast(chosen), "doc_id").select(
+        "doc_id", "label", apart(F.coalesce(F.col("text"), F.lit("")), "fold").alias("logit")).groupBy("doc_id").agg(
+        F.max("label").alias("label"), F.max("logit").alias("logit")).collect()
+    told = [(r["logit"], r["label"]) for r in told if np.isfinite(r["logit"])]
+    net = nets[FOLDS]
+    if told:
+        net.scale, net.shift = _calibrate(np.array([t[0] for t in told]), np.array([t[1] for t in told], float))
+    return net
 
 
 def held_out_rows(doc_id: str = "doc_id"):
@@ -408,9 +450,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     spark = docs.sparkSession
     ship(spark)
     known = labels.where(~held_out_rows())
-    sample = training_windows(docs.select("doc_id", "text"), known, label, sample_docs)
-    net = train([(r[0], r[1], list(r[2])) for r in sample.collect()])
-    net.m = {}
+    net = cross_fitted(docs.select("doc_id", "text"), training_documents(known, label, sample_docs))
     weights = spark.sparkContext.broadcast(net)
 
     @F.pandas_udf("double")

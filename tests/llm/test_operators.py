@@ -132,6 +132,32 @@ def test_gradients():
         assert abs((up - down) / 2e-3 - g[k][at]) < 2e-3 * max(1, abs(g[k][at])) + 2e-4, k
 
 
+def test_toxicity_logits_equal_a_plain_forward_pass():
+    rng = np.random.default_rng(5)
+    net = toxicity.Net(["alpha", "beta", "gamma"], rng)
+    p, h = {k: v.astype(float) for k, v in net.p.items()}, toxicity.HIDDEN
+    gate = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(side, words):
+        state, out = np.zeros(h), []
+        for word in words:
+            x = net.vectors([word])[0][0] @ p[f"W{side}"] + p[f"c{side}"]
+            z = gate(x[:h] + state @ p[f"U{side}"][:, :h])
+            r = gate(x[h:2 * h] + state @ p[f"U{side}"][:, h:2 * h])
+            state = (1 - z) * state + z * np.tanh(x[2 * h:] + (r * state) @ p[f"U{side}"][:, 2 * h:])
+            out.append(state)
+        return out
+
+    def logit(words):
+        both = np.hstack([states("f", words), states("b", words[::-1])[::-1]])
+        weight = np.exp(np.tanh(both @ p["A"]) @ p["a"])
+        return (weight / weight.sum()) @ both @ p["o"] + p["o0"][0]
+
+    texts = [[str(w) for w in rng.choice(["alpha", "beta", "gamma", "delta", "word", "x"], n)] for n in (1, 15, 32, 33, 100)]
+    expected = [max(logit(t[a:a + toxicity.WINDOW]) for a in toxicity.window_starts(len(t))) for t in texts]
+    assert np.allclose(toxicity.Scorer(net).logits([" ".join(t) for t in texts] + [""]), [*expected, -np.inf], atol=1e-4)
+
+
 def _toxic_rows(rng, n):
     vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(400)]
     rows = []
