@@ -10,8 +10,10 @@ second, and each slot goes to the released block of the earliest deadline.  So
 at any time a source has received less than one block more or less than its
 share.  Weights are taken as exact fractions: nothing is rounded to a period.
 
-The driver runs through the blocks once and keeps the blocks done of every
-source at each ``SEGMENT``; tasks lay the segments out from there.
+Tasks lay out segments of the schedule, and each finds its own start
+(``Fluid.state``): what the one schedule has served before a slot follows from
+the ideal service there and from the slots since the oldest block then open.
+The driver holds a few numbers per source and no block.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import math
 from bisect import bisect_left
 from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,8 +31,12 @@ from pyspark.sql import functions as F
 
 from .common import ship, table
 
-#: Documents of a block, and slots a task lays out at once (or as many as sources).
+#: Documents of a block, and slots of a segment at least.
 BLOCK, SEGMENT = 8, 10_000
+#: Slots that leave a task in one batch, and tasks that lay the segments out at most.
+BATCH, TASKS = 10_000, 10_000
+#: A segment is at least this part of the longest time a block stays open, which is what finding its start can take.
+WARM_UP = 4
 #: Without given weights a source weighs its documents to this power.
 TEMPERATURE = 0.5
 #: Documents that one window numbers, about.
@@ -49,6 +55,7 @@ class Fluid:
         self.done = [0, *accumulate(e[1] for e in ends)]  # blocks of the sources that have run out
         rest = [0, *accumulate(e[2] for e in reversed(ends))][::-1]  # weight of those that have not
         self.active = rest[:-1]
+        self.times = [d + a * e for d, a, e in zip(self.done, self.active, self.ends)]  # when they run out
 
     def around(self, source: int, block: int) -> tuple[int, int]:
         """Floor and ceiling of the time at which a block would begin and the one before would end."""
@@ -57,6 +64,61 @@ class Fluid:
         exact = self.active[k] * block
         return self.done[k] + exact // w, self.done[k] - (-exact // w)
 
+    def ideal(self, time: int) -> tuple[int, int]:
+        """The ideal service up to a time, as numerator and denominator of blocks per weight."""
+        k = bisect_left(self.times, time)
+        return (time - self.done[k], self.active[k]) if k < len(self.times) else (self.ends[-1].numerator, self.ends[-1].denominator)
+
+    def longest(self) -> int:
+        """Slots that no block stays open longer than; the time is flattest in the service at the beginning."""
+        return max(self.around(s, 1)[1] for s in range(len(self.blocks)))
+
+    def state(self, time: int) -> list[int]:
+        """Blocks of every source that the schedule has served before a slot, without running through it.
+
+        Blocks due by then are served, and blocks not begun in the ideal are
+        not released.  At most one block of a source is open between, and such
+        blocks have got the slots that those due left idle, by deadline.  No
+        open block was released before the oldest of them; all that was
+        released before that is due, and every slot was taken, so the queue at
+        that moment is known.  From there on its idle slots are counted.
+        """
+        served, per = self.ideal(time)
+        done, opened = [], []
+        for s, (c, w) in enumerate(zip(self.blocks, self.weights, strict=True)):
+            done.append(min(c, w * served // per))
+            if done[s] < c and w * served % per:
+                opened.append((self.around(s, done[s])[0], self.around(s, done[s] + 1)[1], s))
+        idle = time - sum(done)
+        if not idle:
+            return done
+        heapq.heapify(opened)
+        slot = opened[0][0]
+        served, per = self.ideal(slot)
+        begun = [min(c, -(-w * served // per)) for c, w in zip(self.blocks, self.weights, strict=True)]
+        queue = sum(begun) - slot
+        arriving = [(self.around(s, i)[0], s, i) for s, i in enumerate(begun) if i < done[s]]
+        heapq.heapify(arriving)
+        ready, due = [], list(done)
+        while idle:
+            while arriving and arriving[0][0] <= slot:
+                _, s, i = arriving[0]
+                queue += 1
+                if i + 1 < due[s]:
+                    heapq.heapreplace(arriving, (self.around(s, i + 1)[0], s, i + 1))
+                else:
+                    heapq.heappop(arriving)
+            while opened and opened[0][0] <= slot:
+                _, deadline, s = heapq.heappop(opened)
+                heapq.heappush(ready, (deadline, s))
+            if queue:
+                queue -= 1
+            else:
+                done[heapq.heappop(ready)[1]] += 1
+                idle -= 1
+            slot += 1
+        return done
+
     def serve(self, done: Sequence[int], first: int, last: int) -> Iterator[tuple[int, int, int, int, int]]:
         """(slot, source, block, release, deadline) of the slots from ``first``, where ``done`` blocks have been served."""
         waiting, ready = [], []  # a source's next block is released with or after the slot of the one before
@@ -86,27 +148,23 @@ def _schedule(spark: SparkSession, blocks: Mapping[str, int], weights: Mapping[s
     """(__source, mix_block, mix_slot, mix_release, mix_deadline), one row per block."""
     names = sorted(n for n, c in blocks.items() if c > 0)
     fluid = Fluid([blocks[n] for n in names], whole([weights[n] for n in names]))
-    total, span = sum(fluid.blocks), max(SEGMENT, len(names))
-    done, segments = [0] * len(names), []
-    for slot, s, i, _, _ in fluid.serve(done, 0, total):
-        if slot % span == 0:
-            segments.append((slot, min(slot + span, total), list(done)))
-        done[s] = i + 1
+    total = sum(fluid.blocks)
+    span = max(SEGMENT, len(names), -(-fluid.longest() // WARM_UP)) if names else SEGMENT
     ship(spark)
     known = spark.sparkContext.broadcast((names, fluid))
+    columns = ["mix_slot", "__source", "mix_block", "mix_release", "mix_deadline"]
 
     def lay_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, fluid = known.value
         for batch in batches:
-            for first, last, done in batch.itertuples(index=False):
-                out = pd.DataFrame(list(fluid.serve(done.tolist(), int(first), int(last))),
-                                   columns=["mix_slot", "__source", "mix_block", "mix_release", "mix_deadline"])
-                yield out.assign(__source=[names[s] for s in out["__source"]])[
-                    ["__source", "mix_block", "mix_slot", "mix_release", "mix_deadline"]]
-
-    rows = spark.createDataFrame(segments, "first long, last long, done array<long>")
-    return rows.repartition(max(1, len(segments)), "first").mapInPandas(
-        lay_out, "__source string, mix_block long, mix_slot long, mix_release long, mix_deadline long")
+            for first in batch["id"].tolist():
+                slots = fluid.serve(fluid.state(first), first, min(first + span, total))
+                while rows := list(islice(slots, BATCH)):
+                    out = pd.DataFrame(rows, columns=columns)
+                    yield out.assign(__source=[names[s] for s in out["__source"]])[["__source", "mix_block", "mix_slot", "mix_release", "mix_deadline"]]
+
+    segments = spark.range(0, total, span, max(1, min(-(-total // span), TASKS)))
+    return segments.mapInPandas(lay_out, "__source string, mix_block long, mix_slot long, mix_release long, mix_deadline long")
 
 
 def _numbered(docs: DataFrame, source: Column, key: Column) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -405,6 +406,45 @@ def test_segments_lay_out_one_schedule(spark, monkeypatch):
     assert sorted(r[2] for r in found) == list(range(793)) and all(r[3] <= r[2] < r[4] for r in found)
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_a_segment_finds_the_state_of_the_one_schedule(seed):
+    draw = random.Random(seed)
+    blocks = [draw.choice([1, 2, draw.randint(1, 60), draw.randint(1, 200)]) for _ in range(draw.randint(1, 9))]
+    weights = [draw.choice([1.0, b ** 0.5, draw.random() + 0.001, 0.001, 100.0]) for b in blocks]
+    fluid, done = mixing.Fluid(blocks, mixing.whole(weights)), [0] * len(blocks)
+    for slot, s, _, release, deadline in fluid.serve(done, 0, sum(blocks)):
+        assert fluid.state(slot) == done and release <= slot < deadline
+        assert deadline - release <= fluid.longest() + 1
+        done[s] += 1
+    assert fluid.state(sum(blocks)) == done == blocks
+
+
+@pytest.mark.parametrize("blocks", [[9_000_000, 1_000_000, 37, 1], [10 ** 12 // (k + 1) ** 2 + 1 for k in range(300)]])
+def test_deviation_far_into_many_blocks(blocks):
+    weights = [float(b) ** 0.5 for b in blocks]
+    fluid, total = mixing.Fluid(blocks, mixing.whole(weights)), sum(blocks)
+    for first in (0, 12_345, total // 3, total - 2_000):
+        done = fluid.state(first)
+        assert sum(done) == first
+        for slot, s, block, release, deadline in fluid.serve(done, first, first + 2_000):
+            assert block == done[s] and release <= slot < deadline
+            done[s] += 1
+            if slot % 97 == 0:
+                served, per = fluid.ideal(slot + 1)
+                assert all(abs(d - min(b, Fraction(w * served, per))) < 1 for d, b, w in zip(done, blocks, fluid.weights, strict=True))
+        assert fluid.state(first + 2_000) == done
+
+
+def test_the_driver_does_not_walk_through_blocks(spark, monkeypatch):
+    def walk(*_):
+        raise AssertionError("the driver laid blocks out")
+    with monkeypatch.context() as driver:
+        driver.setattr(mixing.Fluid, "serve", walk)
+        driver.setattr(mixing.Fluid, "state", walk)
+        plan = mixing._schedule(spark, {"a": 10 ** 12, "b": 10 ** 11, "c": 5}, {"a": 3.0, "b": 1.0, "c": 0.1})
+    assert plan.rdd.getNumPartitions() == mixing.TASKS
+
+
 @pytest.mark.parametrize("weighted", [False, True])
 def test_every_one_of_many_sources_has_its_share(spark, weighted):
     rows = [(i, f"s{i % 150}") for i in range(2400)] + [(9000 + i, "hot") for i in range(1600)]
