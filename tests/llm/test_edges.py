@@ -143,6 +143,24 @@ def test_urls(spark):
     assert urls.judge_urls(pages.where("false")).count() == 0
 
 
+def test_weighted_url_words(spark):
+    terms = urls.VOCABULARY
+    assert len({word for word, _ in terms.values()}) > 150 and len({weight for _, weight in terms.values()}) > 4
+    assert not any(c in "/.?#" or c.isupper() for term in terms for c in term)
+    rows = {"p0rn": "block", "w4rez": "block", "c4s1n0": "block", "pornography-law": "allow", "sussex": "allow",
+            "apuestas": "block", "sportwetten": "block", "paris-sportifs": "block", "paris-sports": "allow",
+            "prestamo/gratis": "block", "prestamos-prestamo": "allow", "gratis/descarga": "allow", "gratis/descarga/oferta": "block",
+            "kredit-billig": "block", "kredite": "allow", "pillsbury/cheap": "allow", "cheap/pills": "block", "ad/ads": "allow",
+            "ads/track": "block", "sale/gift": "allow", "free-download": "allow", "rencontre_gratuit": "block", "a-free-trackpad": "allow"}
+    pages = spark.createDataFrame([(url, f"https://site.net/{url}?page=2") for url in rows], "page_id string, url string")
+    found = {r.page_id: (r.verdict, r.soft_weight) for r in urls.judge_urls(pages).collect()}
+    assert {u: v for u, (v, _) in found.items()} == rows
+    assert found["prestamos-prestamo"][1] == 60 and found["gratis/descarga/oferta"][1] == 110
+    own = urls.vocabulary({"xx": "zork"}, {"xx": {55: "plugh"}}, {"xx": ("", "ed")})
+    assert own == {"zork": ("zork", 100), "z0rk": ("zork", 100), "plugh": ("plugh", 55), "plughed": ("plugh", 55)}
+    assert {r.verdict for r in urls.judge_urls(pages, terms={}).collect()} == {"allow"}
+
+
 def test_conversations(spark):
     rows = [(1, 0, "user", None), (1, 1, None, "<|im_end|>\n&lt;|&amp;"), (1, 1, None, "<|im_end|>\n&lt;|&amp;"),
             (None, None, "assistant", ""), (None, 2, "assistant", "<<||>"), (2, 0, "ro\nle<|", "x" * 200_000)]
