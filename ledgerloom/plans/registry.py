@@ -26,11 +26,13 @@ from ledgerloom.operators import (
     units,
 )
 from ledgerloom.plans.params import DEFAULT as P
+from ledgerloom.session import sized_session
 from ledgerloom.sources import controls, documents, history, layout
 from ledgerloom.sources.pages import land_pages, read_pages
 from ledgerloom.sources.periods import PeriodLedger
 from ledgerloom.sources.shared import new_folder
 from ledgerloom.sources.sinks import update_batches
+from ledgerloom.sources.star import table_bytes
 from ledgerloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +66,8 @@ def present(df: DataFrame) -> DataFrame:
 def query(fn: Callable[[Model], DataFrame]) -> Callable[[Model], DataFrame]:
     """Register a report under the name of its function."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return present(fn(Model.from_star(spark, folder)))
+        own = sized_session(spark, table_bytes(spark, folder))
+        return present(fn(Model.from_star(own, folder)))
 
     QUERIES[fn.__name__] = run
     return fn

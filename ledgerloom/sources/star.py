@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import constant_table, literal, lookup
 from ledgerloom.plans.statement_lines import DEFAULT_GROUPS, TAX
 from ledgerloom.schemas import INSERT_DEFAULTS, ITEM_COLUMNS, MONEY
+from ledgerloom.streaming.keyed import Files
 
 # Business units.
 UNITS = [(100001, "store"), (100002, "central"), (100003, "ecommerce")]
@@ -158,6 +159,12 @@ def more_attributes(state: str) -> dict[str, str]:
     return out
 
 
+def table_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of the tables that grow with the books."""
+    files = Files(spark)
+    return sum(files.size(f"{folder}/{name}.parquet") for name in ("part", "orders", "lineitem"))
+
+
 class Star:
     """The mapping; one method per ERP table."""
 

@@ -56,6 +56,11 @@ class Files:
         finally:
             stream.close()
 
+    def size(self, path: str) -> int:
+        """Bytes of a file, or of all files below a folder."""
+        at, fs = self._path(path)
+        return fs.getContentSummary(at).getLength()
+
     def exists(self, path: str) -> bool:
         at, fs = self._path(path)
         return fs.exists(at)
