@@ -40,7 +40,7 @@ QUERIES: dict[str, Query] = {}
 YEARS = list(P.years)
 SPAN = (YEARS, P.first_month, P.last_month)
 LOADED_AT = datetime(2001, 6, 30, 9, 0, 0)
-#: Buckets of the sample's tables; a real ledger has as many as its largest table has gigabytes, or more.
+#: Buckets of small tables; larger ones have more, so that a bucket stays as large.
 LAID_BUCKETS = 8
 WINDOW = P.profit_window
 LEDGER = (P.ledger_start, P.ledger_end)
@@ -85,7 +85,8 @@ def inventory_balance_laid_out(m):
     """The same balance from movements and items in buckets of their key: no shuffle."""
     folder = new_folder(m.spark, "layout")
     prefix = f"laid_{uuid.uuid4().hex}_"
-    layout.write_layout(m, folder, LAID_BUCKETS, ["imtrn", "caitem"], prefix)
+    tables = ["imtrn", "caitem"]
+    layout.write_layout(m, folder, layout.buckets_for(m, tables, LAID_BUCKETS), tables, prefix)
     return stock.inventory_balance(layout.open_layout(m.spark, folder, m, prefix))
 
 

@@ -25,6 +25,13 @@ LAYOUT = {
     "opord": ["zid", "xordernum"], "opodt": ["zid", "xordernum"],
 }
 SPEC = "layout.json"
+#: Rows of a bucket, about; a task reads a bucket whole.
+PER_BUCKET = 250_000
+
+
+def buckets_for(m: Model, tables: Iterable[str], least: int = 1, per_bucket: int = PER_BUCKET) -> int:
+    """So many buckets that the largest of the tables has about ``per_bucket`` rows in each."""
+    return max(least, *[-(-getattr(m, name).count() // per_bucket) for name in tables])
 
 
 def write_layout(m: Model, folder: str, buckets: int, tables: Iterable[str] = tuple(LAYOUT), catalog_prefix: str = "laid_") -> None:

@@ -146,3 +146,21 @@ def test_measured_cuts_become_predicates_of_the_reader(spark, asked):
     asked.clear()
     readers.read_table(spark, source, "caitem")
     assert "cuts" not in asked["options"]
+
+
+def test_buckets_grow_with_the_rows(sample):
+    tables = ["imtrn", "caitem"]
+    moves = sample.imtrn.count()
+    assert layout.buckets_for(sample, tables, 8) == 8
+    assert layout.buckets_for(sample, tables, 8, 50) == -(-moves // 50)
+
+
+def test_a_laid_out_report_has_more_buckets_over_more_rows(spark, monkeypatch):
+    from conftest import SAMPLE
+
+    from ledgerloom.plans.registry import QUERIES
+    made, write = [], layout.write_layout
+    monkeypatch.setattr(layout.buckets_for, "__defaults__", (1, 250))
+    monkeypatch.setattr(layout, "write_layout", lambda m, folder, buckets, *a: (made.append(buckets), write(m, folder, buckets, *a))[1])
+    assert QUERIES["inventory_balance_laid_out"](spark, SAMPLE).count() > 0
+    assert made[0] > 8
