@@ -52,18 +52,20 @@ def judge(lines: DataFrame, kind: Kind, text: str = "value") -> DataFrame:
     beyond what VARIANT can hold has no document and the reason "not JSON".
     """
     parsed = lines.withColumn("document", F.expr(f"try_parse_json(`{text}`)"))
+    # Each value is read once, as a column of its own; whether a key is there matters only without a value.
+    read = parsed.withColumns({f"_read_{name}": _value(name, type_) for name, type_ in kind.fields.items()})
     faults = [F.when(~_there(name), F.lit(f"{name}: missing")) for name in kind.required]
     for name, type_ in kind.fields.items():
-        value = _value(name, type_)
-        faults.append(F.when(_there(name) & value.isNull(), F.lit(f"{name}: not {type_.split('<')[0]}")))
+        value = F.col(f"_read_{name}")
+        faults.append(F.when(value.isNull() & _there(name), F.lit(f"{name}: not {type_.split('<')[0]}")))
         if name in kind.reads_as:
             wanted = kind.reads_as[name]
             unread = value.isNotNull() & (value != "") & value.try_cast(wanted).isNull()
             faults.append(F.when(unread, F.lit(f"{name}: not {wanted.split('(')[0]}")))
     wrong = F.concat_ws("; ", *faults)
     an_object = F.expr("schema_of_variant(document)").startswith("OBJECT")
-    return parsed.withColumn("reason", F.when(F.col("document").isNull(), F.lit("not JSON"))
-                             .when(~an_object, F.lit("not an object")).when(wrong != "", wrong))
+    reason = F.when(F.col("document").isNull(), F.lit("not JSON")).when(~an_object, F.lit("not an object")).when(wrong != "", wrong)
+    return read.select(*[f"`{c}`" for c in parsed.columns], reason.alias("reason"))
 
 
 def typed(documents: DataFrame, kind: Kind) -> DataFrame:

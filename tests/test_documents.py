@@ -88,3 +88,10 @@ def test_order_lines_of_the_sample(spark, sample, tmp_path):
     assert kept.count() + docs.read_rejects(spark, folder).count() == sent.count()
     whole = orders.order_lines(sample.web_order_documents).where("order_id % 101 <> 0 AND order_id % 103 <> 0 AND order_id % 107 <> 0")
     assert rows(orders.order_lines(kept)) == rows(whole)
+
+
+def test_a_value_is_read_once(spark):
+    """Reading a value from VARIANT is what judging costs."""
+    lines = spark.createDataFrame([('{"id": 1}',)], "value string")
+    plan = docs.judge(lines, docs.ORDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") == len(docs.ORDER.fields)
