@@ -56,19 +56,18 @@ def fifo_matches(moves: DataFrame, per_range: int = PER_RANGE) -> DataFrame:
     one for each range that it reaches into.
     """
     placed = _placed(moves, per_range)
-    first = F.floor(F.col("since") / F.col("width"))
-    last = F.ceil(F.col("upto") / F.col("width")) - 1
-    spread = placed.withColumn("range", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+    # Whole quotients: a rounded one would put the end of a range into the next.
+    first, last = F.expr("since div width"), F.expr("(upto - 0.01BD) div width")
+    spread = placed.withColumn("range", F.explode(F.sequence(first, last)))
     start = (F.col("range") * F.col("width")).cast(UNITS)
     end = F.least("upto", ((F.col("range") + 1) * F.col("width")).cast(UNITS))
 
     def of(side: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.struct(*LINE)))
+        return F.when(F.col("side") == side, F.struct(*LINE)).alias(side)
 
-    # On one side at most one interval ends at a place.
-    ends = spread.select(*KEY, "range", "side", *LINE, start.alias("start"), end.alias("end")).groupBy(
-        *KEY, "range", "start", "end").agg(of(IN).alias(IN), of(OUT).alias(OUT))
-    # From the last end down, so that the interval over a piece is the latest end seen, in one step a row.
+    ends = spread.select(*KEY, "range", start.alias("start"), end.alias("end"), of(IN), of(OUT))
+    # From the last end down, so that the interval over a piece is the latest end seen, in one step a row.  On one side at
+    # most one interval ends at a place; of two ends there the first gives a piece of no units and the second has seen both.
     down = Window.partitionBy(*KEY, "range").orderBy(F.desc("end"))
     above = down.rowsBetween(Window.unboundedPreceding, 0)
     pieces = ends.select(

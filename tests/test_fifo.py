@@ -87,3 +87,17 @@ def test_what_became_of_a_receipt(spark, table):
     layers = rows(fifo.stock_layers(table("imtrn", *moves)), "xitem", "missing", "units")
     assert layers == [("A-1", False, n("8.00")), ("B", True, n("-2.00"))]
     assert fifo.receipt_sales(table("imtrn")).count() == 0
+
+
+def test_an_end_just_below_a_range_is_not_rounded_into_it(table):
+    """0.01 units short of a range of five million: a quotient of six digits would be rounded up to the range's start."""
+    moves = table("imtrn", move(doc="GRN-1", qty="4999999.99", line=1), move(doc="GRN-2", qty="5000000.01", line=2),
+                  move(doc="CO--1", qty="4999999.99", on="2024-01-02", line=1), move(doc="CO--2", qty="5000000.01", on="2024-01-02", line=2))
+    pairs = fifo.fifo_matches(moves, per_range=2).groupBy("came.xdocnum", "went.xdocnum").agg(F.sum("units").alias("units"))
+    assert sorted((r[0], r[1], float(r[2])) for r in pairs.collect()) == [("GRN-1", "CO--1", 4999999.99), ("GRN-2", "CO--2", 5000000.01)]
+
+
+def test_ends_of_both_sides_are_not_grouped(sample):
+    """The window over a range's ends sorts once; grouping the ends first sorted and dealt out all of them before it."""
+    plan = fifo.fifo_matches(sample.imtrn)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
