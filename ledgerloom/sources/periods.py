@@ -53,14 +53,15 @@ class PeriodLedger:
         self.files.write(f"{self.folder}/manifest.json", json.dumps(found))
 
     def _write_sums(self, by_period: DataFrame, target: str) -> None:
-        """Sums of both levels from those by period, in one pass."""
+        """Sums of both levels from one row per key and period; those of years come from the written sums of periods."""
+        at = {PERIOD: F.col("period"), YEAR: F.floor(F.col("period") / 100).cast("int")}
         wide = [F.col(n).cast("decimal(38,2)").alias(n) for n in self.measures]
-        levels = F.explode(F.array(F.struct(F.lit(PERIOD).alias("level"), F.col("period").alias("at")),
-                                   F.struct(F.lit(YEAR).alias("level"), F.floor(F.col("period") / 100).cast("int").alias("at"))))
-        both = by_period.select(*self.keys, *wide, levels.alias("l")).groupBy(*self.keys, "l.level", "l.at").agg(
-            *[F.sum(n).cast("decimal(38,2)").alias(n) for n in self.measures])
         # Sorted, so that the files' statistics tell which periods they hold.
-        (both.hint("rebalance", "level").sortWithinPartitions("level", "at").write.mode("overwrite").partitionBy("level").parquet(target))
+        (by_period.select(*self.keys, at[PERIOD].alias("at"), *wide).sortWithinPartitions("at")
+         .write.mode("overwrite").parquet(f"{target}/level={PERIOD}"))
+        written = self.spark.read.parquet(f"{target}/level={PERIOD}").withColumnRenamed("at", "period")
+        (written.groupBy(*self.keys, at[YEAR].alias("at")).agg(*[F.sum(n).cast("decimal(38,2)").alias(n) for n in self.measures])
+         .sortWithinPartitions("at").write.mode("overwrite").parquet(f"{target}/level={YEAR}"))
 
     def merge(self) -> None:
         """Put the sums of all batches together, so that a reader opens few files and not some of every batch."""
@@ -68,7 +69,7 @@ class PeriodLedger:
         if len(found["sums"]) < 2:
             return
         target = f"merged={max(found['rows'])}/sums"
-        self._write_sums(self.sums(PERIOD).withColumnRenamed("at", "period"), f"{self.folder}/{target}")
+        self._write_sums(self.by_period(), f"{self.folder}/{target}")
         self.files.write(f"{self.folder}/manifest.json", json.dumps({**found, "sums": [target]}))
 
     # --- reading

@@ -138,3 +138,14 @@ def test_a_loaded_history_goes_on(spark, table, tmp_path):
     held = {on: sorted((r.xitem, int(r.inventory)) for r in store.as_of(d(on)).collect()) for on in (
         "2023-12-31", "2024-01-01", "2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05")}
     assert list(held.values()) == [[], [("A-1", 5)], [("A-1", 5), ("B", 1)], [("A-1", 3), ("B", 1)], [("A-1", 3), ("B", 1)], [("A-1", 9), ("B", 1)]]
+
+
+def test_sums_of_years_come_from_those_of_periods(spark, sample, tmp_path, monkeypatch):
+    """Both levels in one grouping held every key twice in a task; now years read what periods wrote."""
+    read, seen = type(spark.read).parquet, []
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *paths: (seen.extend(paths), read(self, *paths))[1])
+    store = PeriodLedger(spark, str(tmp_path / "p"), stock.KEY, {"qty": "xqty * xsign"})
+    store.add(sample.imtrn, 0)
+    assert f"{tmp_path}/p/batch=0/sums/level=period" in seen
+    years = store.sums("year").groupBy().agg(F.sum("qty")).first()[0]
+    assert years == store.sums("period").groupBy().agg(F.sum("qty")).first()[0] == sample.imtrn.agg(F.sum(F.expr("xqty * xsign"))).first()[0]
