@@ -1,10 +1,13 @@
 """A task's part of a report must not grow with the tables."""
 
+import re
+
 import pytest
 from conftest import SAMPLE
 from pyspark.sql import functions as F
 
 from ledgerloom import session
+from ledgerloom.functions import numbering
 from ledgerloom.plans.registry import QUERIES
 
 GROWN = ["inventory_balance", "count_pool", "multi_branch_stock"]
@@ -54,3 +57,41 @@ def test_items_of_few_bytes_and_many_rows_are_not_broadcast(spark, tmp_path, nam
     many.drop("copy").write.parquet(str(tmp_path / "part.parquet"))
     report = QUERIES[name](spark, str(tmp_path))
     assert "Broadcast" not in report._jdf.queryExecution().sparkPlan().toString()
+
+
+#: Reports that share the steps of those above.
+SHARED = ["choose_units"]
+
+
+@pytest.fixture(scope="module")
+def many_items(spark, tmp_path_factory):
+    """Tables of sf0.1 with twelve times the items: few bytes of parquet, many rows."""
+    folder = tmp_path_factory.mktemp("many")
+    larger = SAMPLE.replace("sf0.001", "sf0.1")
+    for table in ("lineitem", "orders"):
+        (folder / f"{table}.parquet").symlink_to(f"{larger}/{table}.parquet")
+    copies = spark.range(12).withColumnRenamed("id", "copy")
+    many = spark.read.parquet(f"{larger}/part.parquet").crossJoin(copies).withColumn("p_partkey", F.expr("p_partkey + copy * 20000"))
+    many.drop("copy").write.parquet(str(folder / "part.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", SHARED)
+def test_no_task_of_a_sharing_report_holds_all_items(spark, many_items, monkeypatch, name):
+    """Joins by item are not planned as broadcasts, also where a report writes its rows out on the way."""
+    plans, written = [], numbering.written_once
+    monkeypatch.setattr(numbering, "written_once", lambda df: plans.append(df) or written(df))
+    plans.append(QUERIES[name](spark, many_items))
+    shown = "\n".join(df._jdf.queryExecution().sparkPlan().toString() for df in plans)
+    assert re.search(r"SortMergeJoin \[[^\]]*(xitem|sku)#", shown)
+    assert not re.search(r"Broadcast\w*Join \[[^\]]*(xitem|sku)#", shown)
+
+
+@pytest.mark.parametrize("name", SHARED)
+def test_shuffles_of_a_sharing_report_grow_with_the_tables(spark, many_items, name):
+    """Each 4 MB of table files start a partition, where the caller asks for fewer."""
+    caller = spark.newSession()
+    caller.conf.set("spark.sql.shuffle.partitions", "1")
+    own = QUERIES[name](caller, many_items).sparkSession
+    initial = own.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    assert int(initial or own.conf.get("spark.sql.shuffle.partitions")) >= 4
