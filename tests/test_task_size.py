@@ -61,7 +61,7 @@ def test_items_of_few_bytes_and_many_rows_are_not_broadcast(spark, tmp_path, nam
 
 #: Reports that share the steps of those above.
 SHARED = ["choose_units", "count_history", "stock_quantity_sync", "stock_quantity_sync_nonzero",
-          "update_batches", "shipment_errors"]
+          "update_batches", "shipment_errors", "shipment_tracking"]
 
 
 @pytest.fixture(scope="module")
